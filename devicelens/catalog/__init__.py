@@ -1,0 +1,16 @@
+"""All registered queries."""
+
+from __future__ import annotations
+
+from devicelens.catalog import tabular
+from devicelens.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["queries", "oracles", "tabular"]
+
+
+def queries() -> dict:
+    return dict(QUERIES)
+
+
+def oracles() -> dict[str, str]:
+    return dict(ORACLES)
