@@ -43,8 +43,7 @@ def lookup(
 
 def _join(df: DataFrame, table: DataFrame, on: list[str], how: str, small: bool) -> DataFrame:
     right = table.withColumnsRenamed({c: "_r_" + c for c in on})
-    condition = null_safe(df, right, on, "_r_")
-    joined = df.join(F.broadcast(right) if small else right, condition, how)
+    joined = df.join(F.broadcast(right) if small else right, null_safe(on, "_r_"), how)
     return joined.drop(*["_r_" + c for c in on])
 
 

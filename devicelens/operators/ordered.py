@@ -42,11 +42,11 @@ HOT = "_hot"
 ALL = "_all"
 
 
-def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -> Column:
-    """Join condition ``left.name <=> right.<prefix>name`` for all names."""
+def null_safe(names: Sequence[str], prefix: str) -> Column:
+    """Join condition ``name <=> prefix+name`` for all names."""
     condition = F.lit(True)
     for name in names:
-        condition = condition & left[name].eqNullSafe(right[prefix + name])
+        condition = condition & F.col(name).eqNullSafe(F.col(prefix + name))
     return condition
 
 
@@ -113,7 +113,7 @@ def ordered(
     if not longest:
         return OrderedFrame(df, tuple(keys), tuple(order_by), False)
     cuts = _prefixed(cuts, keys, "_k_")
-    found = df.join(F.broadcast(cuts), null_safe(df, cuts, keys, "_k_"), "left")
+    found = df.join(F.broadcast(cuts), null_safe(keys, "_k_"), "left")
     block = F.when(F.col("_cuts").isNull(), 0).otherwise(
         _cuts_at_or_below(F.col("_cuts"), F.struct(*order_by), longest)
     )
@@ -173,7 +173,7 @@ class OrderedFrame:
         """Left-join a carry table (one row per block) to the rows."""
         on = [*self.keys, *within, BLOCK]
         carries = _prefixed(cut(carries.select(*on, *names)), on, "_c_")
-        joined = self.df.join(F.broadcast(carries), null_safe(self.df, carries, on, "_c_"), "left")
+        joined = self.df.join(F.broadcast(carries), null_safe(on, "_c_"), "left")
         return joined.drop(*["_c_" + c for c in on])
 
     def _earlier(self, within: Sequence[str], depth: int | None = None):
@@ -199,10 +199,13 @@ class OrderedFrame:
     def dense_rank(self, value: Column, out: str) -> OrderedFrame:
         """Number of distinct values of a column that rises with the order (a date of the timestamp)."""
         frame = self.with_column("_v", value)
-        window = Window.partitionBy(*self._home).orderBy("_v")
-        local = F.dense_rank().over(window)
+        # A count of changes needs the order of the frame only; dense_rank() would sort once more.
+        window = self._window()
+        changed = (F.row_number().over(window) == 1) | ~F.col("_v").eqNullSafe(F.lag("_v").over(window))
+        frame = frame.with_column("_new", changed.cast("int"))
+        local = F.sum("_new").over(self._so_far())
         if not self.split:
-            return frame.with_df(frame.df.withColumn(out, local).drop("_v"))
+            return frame.with_df(frame.df.withColumn(out, local.cast("int")).drop("_v", "_new"))
         values = frame.df.where(F.col(HOT)).groupBy(*self.keys, BLOCK, "_v").count()
         pieces = values.groupBy(*self.keys, BLOCK).agg(
             F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_first"), F.max("_v").alias("_last")
@@ -212,12 +215,12 @@ class OrderedFrame:
         repeated = F.coalesce((F.lag("_last").over(by_block) == F.col("_first")).cast("int"), F.lit(0))
         carries = (
             pieces.withColumn("_rep", repeated)
-            .withColumn("_new", F.col("_n") - F.col("_rep"))
-            .withColumn("_before", F.sum("_new").over(self._earlier(())) - F.col("_rep"))
+            .withColumn("_more", F.col("_n") - F.col("_rep"))
+            .withColumn("_before", F.sum("_more").over(self._earlier(())) - F.col("_rep"))
         )
         joined = frame._carried(carries, (), ["_before"])
         rank = (local + F.coalesce("_before", F.lit(0))).cast("int")
-        return frame.with_df(joined.withColumn(out, rank).drop("_v", "_before"))
+        return frame.with_df(joined.withColumn(out, rank).drop("_v", "_new", "_before"))
 
     def running_sum(self, column: str, out: str, within: Sequence[str] = ()) -> OrderedFrame:
         """Sum of the column up to and including the row."""
@@ -358,7 +361,6 @@ class OrderedFrame:
         )
         known = F.col("_x").isNotNull()
         grow = F.pow(F.lit(r), -F.col("_off"))
-        fade = F.pow(F.lit(r), F.lit(stride - 1) - F.col("_off"))
         in_run = Window.partitionBy(*home, "_run").orderBy("_off").rowsBetween(Window.unboundedPreceding, 0)
         last_run = Window.partitionBy(*home).orderBy("_run").rangeBetween(-1, -1)
         zero = F.lit(0.0)
@@ -366,19 +368,19 @@ class OrderedFrame:
             {
                 "_n": F.coalesce(F.sum(F.when(known, grow * F.col("_x"))).over(in_run), zero),
                 "_d": F.coalesce(F.sum(F.when(known, grow)).over(in_run), zero),
-                "_pn": F.coalesce(F.sum(F.when(known, fade * F.col("_x"))).over(last_run), zero),
-                "_pd": F.coalesce(F.sum(F.when(known, fade)).over(last_run), zero),
             }
         )
+        # A run with a successor is complete, so its totals stand in its last row. Reading them from
+        # the running sums also lets both windows, and the last one below, share one sort.
+        at_end = F.col("_off") == stride - 1
+        df = df.withColumns({p: F.sum(F.when(at_end, F.col(c))).over(last_run) for p, c in (("_pn", "_n"), ("_pd", "_d"))})
         shrink = F.pow(F.lit(r), F.col("_off"))
+        before = shrink * F.lit(r**stride)
         df = df.withColumns(
-            {
-                "_n": F.col("_n") * shrink + F.col("_pn") * shrink * r,
-                "_d": F.col("_d") * shrink + F.col("_pd") * shrink * r,
-            }
-        ).drop("_pn", "_pd", "_run", "_off")
+            {c: F.col(c) * shrink + F.coalesce(F.col(p) * before, zero) for p, c in (("_pn", "_n"), ("_pd", "_d"))}
+        ).drop("_pn", "_pd")
         frame = frame.with_df(df)
-        spent = ["_x", "_pos", "_n", "_d"]
+        spent = ["_x", "_pos", "_run", "_off", "_n", "_d"]
         mean = F.when(known, F.col("_n") / F.col("_d"))
         if frame.split:
             frame = frame._ewma_carries(r, within)
@@ -388,7 +390,8 @@ class OrderedFrame:
             mean = F.when(known, numer / denom)
             spent += ["_cn", "_cd", "_gap"]
         frame = frame.with_column("_y", mean)
-        repeat = F.last("_y", ignorenulls=True).over(frame._so_far(within))
+        in_order = Window.partitionBy(*home).orderBy("_run", "_off").rowsBetween(Window.unboundedPreceding, 0)
+        repeat = F.last("_y", ignorenulls=True).over(in_order)
         if frame.split:
             repeat = F.coalesce(repeat, F.col("_cn") / F.col("_cd"))
         return frame.with_df(frame.df.withColumn(out, repeat).drop("_y", *spent))

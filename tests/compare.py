@@ -77,7 +77,7 @@ if __name__ == "__main__":
     sf_dir = os.environ.get("SF", "/root/testdata/sf0.01")
     wanted = sys.argv[1:]
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
