@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from devicelens.catalog.registry import on_readings, query
+from devicelens.catalog.series import FEATURE_CTES, feature_table
 from devicelens.catalog.tabular import r6
+from devicelens.functions.scalars import sigmoid
+from devicelens.operators.columns import features_label, stack_frames
+from devicelens.operators.groups import make_udf, numeric_batches
+from devicelens.operators.groups import per_group as grouped
 from devicelens.operators.neighbours import knn_self
+from devicelens.operators.profile import binary_metrics
+from devicelens.operators.sampling import ordered_split
+from devicelens.plans.combo import ComboModel
+from devicelens.plans.forecast import arima_forecast
+from devicelens.plans.forecast import tune_orders as judge_orders
+from devicelens.plans.ledger import Ledger
+from devicelens.plans.ledger import best_run as best_by_metric
+from devicelens.plans.ledger import current_stage as latest_stage
+from devicelens.plans.ledger import run_tree as nested_runs
+from devicelens.plans.mlp import train_mlp
+from devicelens.plans.models import evaluate, importances, score, train_lr, train_rf
 from devicelens.plans.oversample import smote as oversample
-from devicelens.sources.sensor import readings
+from devicelens.plans.perkey import apply_per_key, train_per_key
+from devicelens.plans.training import prepare_training
+from devicelens.session import cut, scratch_path
+from devicelens.sources.sensor import VOCABULARY, readings, series, table
+from devicelens.sources.tables import read_table, stream_table, write_path
+from devicelens.streaming.score import drain, score_stream
 
 _SIGNALS = ["delay", "density", "rotation_speed", "air_pressure"]
 
@@ -54,3 +78,359 @@ def smote(spark, sf_dir):
     """Readings with as many synthetic defects as it takes for parity."""
     made = oversample(readings(spark, sf_dir), "defect", _SIGNALS, "event_id", k=5, seed=7)
     return made.withColumns({c: r6(c) for c in _SIGNALS})
+
+
+# -- forecasts ----------------------------------------------------------------------------
+
+
+@query(
+    on_readings(
+        """SELECT event_id, round(x1 + phi * (x1 - x2), 6) AS predicted FROM l JOIN c USING (device_id)""",
+        """l AS (SELECT event_id, device_id, delay AS x, lag(delay) OVER w AS x1, lag(delay, 2) OVER w AS x2 FROM r
+          WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id))""",
+        "c AS (SELECT device_id, sum((x - x1) * (x1 - x2)) / sum(CASE WHEN x IS NOT NULL THEN (x1 - x2) * (x1 - x2) END) AS phi FROM l GROUP BY device_id)",
+    )
+)
+def ar1_forecast(spark, sf_dir):
+    """Forecast of the delay by a first-order autoregression of its differences."""
+    df = arima_forecast(series(spark, sf_dir), "delay", (1, 1, 0), "predicted")
+    return df.select("event_id", r6("predicted").alias("predicted"))
+
+
+@query()
+def arima(spark, sf_dir):
+    """Forecast of the filled temperature with the default order."""
+    filled = series(spark, sf_dir).fill(["temperature"], ["ffill", 0])
+    return arima_forecast(filled, "temperature").select("event_id", "temperature", "predicted_temp")
+
+
+@query()
+def tune_orders(spark, sf_dir):
+    """All 80 orders judged on the filled temperature of all devices."""
+    filled = series(spark, sf_dir).fill(["temperature"], ["ffill", 0])
+    return judge_orders(filled, "temperature")
+
+
+# -- feature vectors, functions in Python -------------------------------------------------
+
+
+@query(
+    on_readings(
+        f"SELECT event_id, {', '.join(f'{c} AS f{i}' for i, c in enumerate(_SIGNALS))}, CAST(defect AS DOUBLE) AS defect FROM r"
+    )
+)
+def assemble(spark, sf_dir):
+    df = features_label(readings(spark, sf_dir), "defect", _SIGNALS, keep=["event_id"])
+    values = vector_to_array("features")
+    return df.select("event_id", *[values[i].alias(f"f{i}") for i in range(len(_SIGNALS))], "defect")
+
+
+@query(
+    on_readings(
+        "SELECT device_id, count(temperature) AS n_rows, round(regr_slope(temperature, delay), 6) AS slope, "
+        "round(regr_intercept(temperature, delay), 4) AS intercept FROM r WHERE temperature IS NOT NULL GROUP BY device_id"
+    )
+)
+def per_group(spark, sf_dir):
+    """A straight line through temperature and delay of each device, from sums of its parts."""
+    df = readings(spark, sf_dir).select("event_id", "device_id", "temperature", "delay").dropna()
+
+    def partial(pdf):
+        x, y = pdf["delay"].to_numpy(), pdf["temperature"].to_numpy()
+        sums = (len(x), x.sum(), y.sum(), (x * x).sum(), (x * y).sum())
+        return pd.DataFrame([(pdf["device_id"].iloc[0], *sums)], columns=["device_id", "n", "sx", "sy", "sxx", "sxy"])
+
+    def merge(pdf):
+        n, sx, sy, sxx, sxy = pdf[["n", "sx", "sy", "sxx", "sxy"]].sum()
+        slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
+        row = (pdf["device_id"].iloc[0], int(n), round(slope, 6), round((sy - slope * sx) / n, 4))
+        return pd.DataFrame([row], columns=["device_id", "n_rows", "slope", "intercept"])
+
+    return grouped(
+        df, ["device_id"], ["event_id"],
+        partial, "device_id string, n long, sx double, sy double, sxx double, sxy double",
+        merge, "device_id string, n_rows long, slope double, intercept double",
+    )
+
+
+@query(on_readings("SELECT count(*) AS n_rows, round(sum(delay), 4) AS delay, round(sum(density), 4) AS density FROM r"))
+def batch_stats(spark, sf_dir):
+    """Batches of 2048 numeric rows, summed up over all batches."""
+
+    def stats(pdf):
+        return pd.DataFrame({"n": [len(pdf)], "delay": [pdf["delay"].sum()], "density": [pdf["density"].sum()]})
+
+    batches = numeric_batches(readings(spark, sf_dir), ["delay", "density"], stats, "n long, delay double, density double")
+    return batches.agg(
+        F.sum("n").alias("n_rows"),
+        *[F.round(F.sum(c), 4).alias(c) for c in ("delay", "density")],
+    )
+
+
+# A scorer with given weights stands for a fitted model where the answer must be repeatable.
+_BIAS, _WEIGHTS = -14.0, {"delay": 0.25, "density": 0.5, "rotation_speed": 0.004, "air_pressure": 0.001}
+
+
+def _logit_sql(weights: dict[str, float], bias: float, alias: str = "") -> str:
+    total = " + ".join([f"{bias}e0", *[f"{w}e0 * {alias}{c}" for c, w in weights.items()]])
+    return f"1e0 / (1e0 + exp(-({total})))"
+
+
+def _logit(weights: dict[str, float], bias: float):
+    total = F.lit(bias)
+    for c, w in weights.items():
+        total = total + F.lit(w) * F.col(c)
+    return sigmoid(total)
+
+
+@query(on_readings(f"SELECT event_id, round({_logit_sql(_WEIGHTS, _BIAS)}, 6) AS probability FROM r"))
+def udf_score(spark, sf_dir):
+    """A vectorised Python function with parameters bound by a closure."""
+
+    def logistic(*columns, weights, bias):
+        total = bias + sum(w * c for w, c in zip(weights, columns))
+        return 1.0 / (1.0 + np.exp(-total))
+
+    scorer = make_udf(logistic, weights=list(_WEIGHTS.values()), bias=_BIAS)
+    df = readings(spark, sf_dir)
+    return df.select("event_id", r6(scorer(*[F.col(c) for c in _WEIGHTS])).alias("probability"))
+
+
+@query(
+    on_readings(
+        f"""SELECT event_id, r.model_id, round(1e0 / (1e0 + exp(-(bias + {" + ".join(f"w{i} * {c}" for i, c in enumerate(_SIGNALS))}))), 6) AS probability
+        FROM r LEFT JOIN w ON r.model_id = w.model_id""",
+        f"""w AS (SELECT model_id, -10 * avg(defect) - 3 AS bias,
+          {", ".join(f"avg({c}) / (100 * max({c})) AS w{i}" for i, c in enumerate(_SIGNALS))}
+          FROM r WHERE model_id <> 'SkyBolt1' GROUP BY model_id)""",
+    )
+)
+def route_score(spark, sf_dir):
+    """Each row scored by the weights of its own engine model; one model has none."""
+    df = readings(spark, sf_dir)
+    weights = F.array(*[F.avg(c) / (100 * F.max(c)) for c in _SIGNALS])
+    models = df.where("model_id <> 'SkyBolt1'").groupBy("model_id").agg(
+        (-10 * F.avg("defect") - 3).alias("bias"), weights.alias("weights")
+    )
+    scored = apply_per_key(df, models, "model_id", _SIGNALS)
+    return scored.select("event_id", "model_id", r6("probability").alias("probability"))
+
+
+_COMBO_BIAS = -3.0
+_COMBO = {"temp_difference": 0.05, "rolling_mean_density": 0.4, "predicted_temp": 0.02, "ohe_A06": 0.3, "ohe_SkyJet234": 0.2}
+
+
+@query(
+    on_readings(
+        f"""SELECT event_id, round(predicted_temp, 6) AS predicted_temp, round({_logit_sql(_COMBO, _COMBO_BIAS)}, 6) AS prediction FROM (
+          SELECT *, x1 + phi * (x1 - x2) AS predicted_temp, CASE WHEN factory_id = 'A06' THEN 1e0 ELSE 0e0 END AS "ohe_A06",
+            CASE WHEN model_id = 'SkyJet234' THEN 1e0 ELSE 0e0 END AS "ohe_SkyJet234" FROM l JOIN c USING (device_id))""",
+        *FEATURE_CTES,
+        """l AS (SELECT *, lag(temperature) OVER w AS x1, lag(temperature, 2) OVER w AS x2 FROM filled
+          WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id))""",
+        "c AS (SELECT device_id, sum((temperature - x1) * (x1 - x2)) / sum((x1 - x2) * (x1 - x2)) AS phi FROM l GROUP BY device_id)",
+    )
+)
+def combo_model(spark, sf_dir):
+    """Raw readings to features, forecast and prediction in one object."""
+
+    def predict(df):
+        return df.withColumn("prediction", _logit(_COMBO, _COMBO_BIAS))
+
+    model = ComboModel(VOCABULARY, order=(1, 1, 0), trip_grain="week", predict=predict)
+    scored = model.transform(readings(spark, sf_dir))
+    return scored.select("event_id", r6("predicted_temp").alias("predicted_temp"), r6("prediction").alias("prediction"))
+
+
+# -- streaming ----------------------------------------------------------------------------
+
+
+@query(on_readings(f"SELECT event_id, defect, CAST({_logit_sql(_WEIGHTS, _BIAS)} > 0.5e0 AS INTEGER) AS predictions FROM r"))
+def stream_score(spark, sf_dir):
+    """The readings scored as a stream until all available rows are taken; the sink is read back."""
+    source, sink = scratch_path(spark, "stream_source"), scratch_path(spark, "stream_sink")
+    write_path(readings(spark, sf_dir), source)
+
+    def scorer(batch):
+        return batch.select("event_id", "defect", (_logit(_WEIGHTS, _BIAS) > 0.5).cast("int").alias("predictions"))
+
+    drain(score_stream(stream_table(spark, source), scorer, sink, scratch_path(spark, "stream_checkpoint"), name=None))
+    return spark.read.parquet(sink).drop("batch_id")
+
+
+# -- classifiers --------------------------------------------------------------------------
+
+_FEATURES = [
+    "airflow_rate", "rotation_speed", "air_pressure", "temperature", "delay", "density",
+    "rolling_mean_temp", "temp_difference", "rolling_mean_density",
+]
+_MODEL_COLUMNS = [*_FEATURES, *[f"ohe_{v}" for values in VOCABULARY.values() for v in values]]
+
+
+def silver(spark, sf_dir):
+    """The feature table, written out once: training makes many passes over it."""
+    return cut(feature_table(spark, sf_dir))
+
+
+def split(features):
+    return ordered_split(features, 0.8, ["ts", "event_id"])
+
+
+def upsampled(train):
+    return oversample(train, "defect", _MODEL_COLUMNS, "event_id", k=5)
+
+
+@query()
+def rf_scores(spark, sf_dir):
+    """Forest of 100 trees on the first 80 % of the rows, predictions for the others."""
+    train, test = split(silver(spark, sf_dir))
+    return score(test, train_rf(train, "defect", _MODEL_COLUMNS)).select("event_id", "defect", "predictions")
+
+
+@query()
+def lr_scores(spark, sf_dir):
+    """Logistic regression on the oversampled training rows."""
+    train, test = split(silver(spark, sf_dir))
+    return score(test, train_lr(upsampled(train), "defect", _MODEL_COLUMNS)).select("event_id", "defect", "predictions")
+
+
+@query()
+def rf_eval(spark, sf_dir):
+    """Held-out quality of the forest without and with oversampling."""
+    train, test = split(silver(spark, sf_dir))
+    runs = {"First Run RF": train, "Second Run RF": upsampled(train)}
+    return stack_frames(
+        [evaluate(train_rf(rows, "defect", _MODEL_COLUMNS), test, "defect").withColumn("run", F.lit(n)) for n, rows in runs.items()]
+    )
+
+
+@query(name="importances")
+def feature_importances(spark, sf_dir):
+    train, _ = split(silver(spark, sf_dir))
+    return importances(spark, train_rf(train, "defect", _MODEL_COLUMNS), _MODEL_COLUMNS)
+
+
+@query()
+def batch_score(spark, sf_dir):
+    """Log two runs, register the one with the better training recall, score with the production model."""
+    features = silver(spark, sf_dir)
+    train, _ = split(features)
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    for name, fit in (("rf", train_rf), ("lr", train_lr)):
+        ledger.log_model_run(fit(train, "defect", _MODEL_COLUMNS), train, "defect", _MODEL_COLUMNS, name)
+    version = ledger.register("device_defect", ledger.best("training_recall"))
+    ledger.set_stage("device_defect", version, "Production")
+    scored = score(features, ledger.load("device_defect", "Production"))
+    return scored.select("event_id", "device_id", "defect", "predictions")
+
+
+@query()
+def per_key_models(spark, sf_dir):
+    """A logistic model per engine model, fitted together; one row each."""
+    models = train_per_key(readings(spark, sf_dir), "model_id", "defect", _SIGNALS)
+    return models.select("model_id", "n_used", "bias", *[F.col("weights")[i].alias(f"w_{c}") for i, c in enumerate(_SIGNALS)])
+
+
+@query()
+def mlp_scores(spark, sf_dir):
+    """The neural classifier on the first 70 % of the numeric rows, probabilities for the others."""
+    train, test = dl_tables(spark, sf_dir)
+    model = train_mlp(train, "defect", _DL_COLUMNS, workers=2)
+    return model.score(test, prediction="prediction").select("id", "defect", "probability", "prediction")
+
+
+_DL_COLUMNS = ["rotation_speed", "air_pressure", "delay", "density"]
+
+
+def dl_tables(spark, sf_dir):
+    df = readings(spark, sf_dir).drop("temperature")
+    keys = ["event_id", "device_id", "ts", "factory_id", "model_id"]
+    return tuple(cut(part) for part in prepare_training(df, ["ts", "event_id"], 0.7, drop=keys))
+
+
+@query(
+    on_readings(
+        f"""SELECT CASE WHEN id <= floor(0.7e0 * n) THEN 'train' ELSE 'test' END AS part, id, {", ".join(_DL_COLUMNS)}, defect FROM (
+        SELECT *, row_number() OVER (ORDER BY ts, event_id) AS id, count(*) OVER () AS n FROM r)"""
+    )
+)
+def dl_split(spark, sf_dir):
+    """Numeric training and test tables with a dense id, written and read back."""
+    paths = [scratch_path(spark, p) for p in ("dl_train", "dl_test")]
+    df = readings(spark, sf_dir).drop("temperature")
+    prepare_training(df, ["ts", "event_id"], 0.7, ["event_id", "device_id", "ts", "factory_id", "model_id"], *paths)
+    train, test = (read_table(spark, p) for p in paths)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+# -- ledger -------------------------------------------------------------------------------
+
+
+def _runs(spark, sf_dir):
+    """Runs in the shape of the ledger, with metrics counted from the data: one per factory, one below it per engine model."""
+    df = readings(spark, sf_dir).withColumn("p", (F.col("delay") > 38).cast("int"))
+
+    def as_runs(keys, name, parent):
+        found = binary_metrics(df, "p", "defect", keys).withColumn("n", F.col("tp") + F.col("fn"))
+        metrics = F.when(F.col("n") > 0, F.create_map(F.lit("recall"), "recall", F.lit("n_defects"), F.col("n").cast("double")))
+        return found.select(
+            F.concat_ws("/", *keys).alias("run_id"),
+            parent.alias("parent_run_id"),
+            name.alias("name"),
+            F.coalesce(metrics, F.create_map().cast("map<string,double>")).alias("metrics"),
+        )
+
+    return stack_frames(
+        [
+            as_runs(["factory_id"], F.col("factory_id"), F.lit(None).cast("string")),
+            as_runs(["factory_id", "model_id"], F.col("model_id"), F.col("factory_id")),
+        ]
+    )
+
+
+_RUNS = """runs AS (
+  SELECT factory_id AS run_id, NULL AS parent_run_id, factory_id AS name, count(*) FILTER (delay > 38 AND defect = 1) AS tp,
+    count(*) FILTER (defect = 1) AS n FROM r GROUP BY factory_id
+  UNION ALL
+  SELECT factory_id || '/' || model_id, factory_id, model_id, count(*) FILTER (delay > 38 AND defect = 1), count(*) FILTER (defect = 1)
+  FROM r GROUP BY factory_id, model_id)"""
+
+
+@query(
+    on_readings(
+        "SELECT run_id, name, round(CASE WHEN n > 0 THEN tp / n::DOUBLE END, 6) AS recall FROM runs "
+        "ORDER BY CASE WHEN n > 0 THEN tp / n::DOUBLE END DESC NULLS LAST, run_id LIMIT 1",
+        _RUNS,
+    )
+)
+def best_run(spark, sf_dir):
+    found = best_by_metric(_runs(spark, sf_dir), "recall")
+    return found.select("run_id", "name", r6(F.col("metrics")["recall"]).alias("recall"))
+
+
+@query(
+    on_readings(
+        "SELECT p.name AS parent_name, c.name, round(CASE WHEN c.n > 0 THEN c.tp / c.n::DOUBLE END, 6) AS recall FROM runs c JOIN runs p ON c.parent_run_id = p.run_id",
+        _RUNS,
+    )
+)
+def run_tree(spark, sf_dir):
+    tree = nested_runs(_runs(spark, sf_dir))
+    return tree.select("parent_name", "name", r6(F.col("metrics")["recall"]).alias("recall"))
+
+
+@query(
+    """SELECT name, version, stage FROM (
+      SELECT CAST(user_id AS VARCHAR) AS name, CAST(event_id % 3 AS INTEGER) + 1 AS version, event_type AS stage,
+        row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1"""
+)
+def current_stage(spark, sf_dir):
+    """Events read as stage changes of three versions per user: the latest one holds."""
+    changes = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("name"),
+        (F.col("event_id") % 3 + 1).cast("int").alias("version"),
+        F.col("event_type").alias("stage"),
+        F.col("ts").alias("at"),
+        F.col("event_id").alias("seq"),
+    )
+    return latest_stage(changes)

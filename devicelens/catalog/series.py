@@ -248,18 +248,24 @@ _FEATURES = [
 _TRIP = "OVER (PARTITION BY device_id, trip_id ORDER BY ts, event_id)"
 
 
-def _filled(column: str, window: str = _TRIP, digits: int = 6) -> str:
-    return f"round(coalesce(last_value({column} IGNORE NULLS) {window}, 0), {digits}) AS {column}"
-
-
+def _filled(column: str, window: str = _TRIP) -> str:
+    return f"coalesce(last_value({column} IGNORE NULLS) {window}, 0) AS {column}"
+
+
+_SMOOTHED = ("airflow_rate", "temperature", "rolling_mean_temp", "temp_difference", "rolling_mean_density")
+_ENCODED = ", ".join(f"""CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS "ohe_{v}\"""" for c, vs in VOCABULARY.items() for v in vs)
+# `filled` has the complete feature rows, not yet rounded or encoded.
+FEATURE_CTES = [
+    _WEEK,
+    *_FEATURES,
+    "filled AS (SELECT event_id, device_id, factory_id, model_id, ts, trip_id, defect, rotation_speed, air_pressure, delay, density, "
+    + ", ".join([*[_filled(c) for c in _SMOOTHED[:-1]], _filled(_SMOOTHED[-1], _W)])
+    + " FROM f)",
+]
 _FEATURE_SQL = (
     "SELECT event_id, device_id, trip_id, defect, rotation_speed, air_pressure, delay, density, "
-    + ", ".join(_filled(c) for c in ("airflow_rate", "temperature", "rolling_mean_temp", "temp_difference"))
-    + ", "
-    + _filled("rolling_mean_density", _W)
-    + ", "
-    + ", ".join(f"""CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS "ohe_{v}\"""" for c, vs in VOCABULARY.items() for v in vs)
-    + " FROM f"
+    + ", ".join(f"round({c}, 6) AS {c}" for c in _SMOOTHED)
+    + f", {_ENCODED} FROM filled"
 )
 
 
@@ -269,11 +275,10 @@ def feature_table(spark, sf_dir, **kw):
     return feats.build_features(frame, VOCABULARY)
 
 
-@query(on_readings(_FEATURE_SQL, _WEEK, *_FEATURES))
+@query(on_readings(_FEATURE_SQL, *FEATURE_CTES))
 def features(spark, sf_dir):
     df = feature_table(spark, sf_dir).drop("ts")
-    rounded = ["airflow_rate", "temperature", "rolling_mean_temp", "temp_difference", "rolling_mean_density"]
-    return df.withColumns({c: r6(c) for c in rounded})
+    return df.withColumns({c: r6(c) for c in _SMOOTHED})
 
 
 # -- splits -------------------------------------------------------------------------------
