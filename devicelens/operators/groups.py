@@ -36,7 +36,7 @@ def per_group(
     keys = list(keys)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     large = cut(sizes.where(F.col("_n") > rows_per_part).select(*keys, F.ceil(F.col("_n") / rows_per_part).alias("_parts")))
-    marked = lookup(df, large, keys)
+    marked = lookup(df, large, keys, materialise=False)
     part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")), F.lit(0))
     marked = marked.withColumn("_part", part).drop("_parts")
 

@@ -22,16 +22,22 @@ def lookup(
     how: str = "left",
     max_broadcast_rows: int = BROADCAST_ROWS,
     busy_share: float = BUSY_SHARE,
+    materialise: bool = True,
 ) -> DataFrame:
     """Join ``table`` (at most one row per key) to ``df`` on equal, or equally null, keys.
 
     A table of up to ``max_broadcast_rows`` rows is broadcast. A larger one is shuffled, but
     then the keys which hold at least ``busy_share`` of the rows of ``df`` (at most 1/share
     of them) go by broadcast, so that no task receives more than a small part of the rows.
+
+    The size must be known first, so the table is materialised: it is small beside ``df``, and
+    what it takes to compute it is then done once. Pass False for a table that is stored already.
     """
     on = list(on)
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
+    if materialise:
+        table = cut(table)
     if table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         return _join(df, table, on, how, small=True)
     busy = _busy_keys(df, on, busy_share)

@@ -89,8 +89,10 @@ def knn_self(df: DataFrame, columns: Sequence[str], ident: str, k: int = 5, rows
     points = cut(points)
     n = points.count()
 
-    # 2. Tiles, and the box of each: one small row per tile.
-    points, tiles = tile(points, columns, "_point", max(rows_per_tile, math.ceil(n / MAX_TILES)), n)
+    # 2. Tiles along the columns that vary most, and the box of each: one small row per tile.
+    spread = points.agg(*[F.coalesce(F.var_pop(c), F.lit(0.0)).alias(str(i)) for i, c in enumerate(columns)]).first()
+    widest = sorted(columns, key=lambda c: -spread[columns.index(c)])
+    points, tiles = tile(points, widest, "_point", max(rows_per_tile, math.ceil(n / MAX_TILES)), n)
     if tiles > 1:
         points = cut(points)
     edges = [f(c).alias(f"{p}{i}") for i, c in enumerate(columns) for p, f in (("lo", F.min), ("hi", F.max))]
@@ -154,7 +156,7 @@ def knn_self(df: DataFrame, columns: Sequence[str], ident: str, k: int = 5, rows
     lists = kept.groupBy("_point").agg(F.array_sort(F.collect_list(F.struct("d", "i"))).alias("_list"))
     vectors = points.select(*columns, "_point")
     with_lists = cut(lookup(vectors, lists, ["_point"], "inner").drop("_point"))
-    answered = lookup(rows, with_lists, columns, "inner")
+    answered = lookup(rows, with_lists, columns, "inner", materialise=False)
     others = F.slice(F.filter("_list", lambda x: x["i"] != F.col("_id")), 1, k)
     return answered.select(F.col("_id").alias(ident), F.posexplode(others).alias("_r", "_x")).select(
         ident, F.col("_x.i").alias("neighbour_id"), (F.col("_r") + 1).alias("rank"), F.sqrt("_x.d").alias("distance")
@@ -165,11 +167,11 @@ def _visit(points: DataFrame, visits: DataFrame, columns: list[str], k: int, can
     """Answers of the visited tiles. A tile with many visitors is copied, one copy per part of them."""
     parts = visits.groupBy("_tile").agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_PART).cast("int").alias("_parts"))
     parts = cut(parts)
-    split = lookup(visits, parts, ["_tile"], "inner")
+    split = lookup(visits, parts, ["_tile"], "inner", materialise=False)
     split = split.withColumn("_part", F.pmod(F.xxhash64("_point"), F.col("_parts")).cast("int")).drop("_parts")
     asking = [F.col(c).alias("q_" + c) for c in columns]
-    split = lookup(split, points.select("_point", *asking), ["_point"], "inner")
-    copies = lookup(points, parts, ["_tile"], "inner")
+    split = lookup(split, points.select("_point", *asking), ["_point"], "inner", materialise=False)
+    copies = lookup(points, parts, ["_tile"], "inner", materialise=False)
     copies = copies.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
 
     def serve(_key, visitors: pd.DataFrame, hosts: pd.DataFrame) -> pd.DataFrame:

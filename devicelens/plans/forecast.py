@@ -77,13 +77,13 @@ def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDE
     shocks: list[Column] = []
     if q:
         terms = [[*constant, *[F.col(z[j + i]) for i in range(1, m + 1)]] for j in range(q + 1)]
-        df = lookup(df, _fit(df, keys, terms[0], F.col(z[0]), "_long"), keys)
+        df = lookup(df, _fit(df, keys, terms[0], F.col(z[0]), "_long"), keys, materialise=False)
         df = df.withColumns({f"_e{j}": F.col(z[j]) - linear(F.col("_long"), terms[j]) for j in range(1, q + 1)})
         shocks = [F.col(f"_e{j}") for j in range(1, q + 1)]
         spent += ["_long", *[f"_e{j}" for j in range(1, q + 1)]]
     terms = [*constant, *[F.col(z[i]) for i in range(1, p + 1)], *shocks]
     if terms:
-        df = lookup(df, _fit(df, keys, terms, F.col(z[0]), "_short"), keys)
+        df = lookup(df, _fit(df, keys, terms, F.col(z[0]), "_short"), keys, materialise=False)
         predicted = linear(F.col("_short"), terms)
         spent.append("_short")
     else:
@@ -137,7 +137,7 @@ def tune_orders(frame: OrderedFrame, column: str, orders: Iterable[Order] = ORDE
         both = F.when(F.col("d") == 0, solve_sums(F.col("_sums"), m + 1)).otherwise(
             solve_sums(F.col("_sums"), m + 1, range(1, m + 1))
         )
-        long = lookup(long, cut(sums.select(*group, both.alias("_long"))), group)
+        long = lookup(long, cut(sums.select(*group, both.alias("_long"))), group, materialise=False)
         long = long.withColumns({f"_e{j}": F.col(f"_z{j}") - linear(F.col("_long"), terms[j]) for j in range(1, most_q + 1)})
         shocks = [F.col(f"_e{j}") for j in range(1, most_q + 1)]
 

@@ -64,7 +64,7 @@ def train_per_key(
 def _newton_step(data: DataFrame, beta: DataFrame, key: str, terms: Sequence[Column], ridge: float) -> DataFrame:
     k = len(terms)
     p = sigmoid(dot(F.col("_beta"), F.array(*terms)))
-    with_p = lookup(data, beta.select(key, "_beta"), [key]).withColumn("_p", p)
+    with_p = lookup(data, beta.select(key, "_beta"), [key], materialise=False).withColumn("_p", p)
     curve = F.col("_p") * (1 - F.col("_p"))
     hessian = F.array(*[F.sum(curve * a * b) for i, a in enumerate(terms) for b in terms[i:]])
     gradient = F.array(*[F.sum((F.col("_y") - F.col("_p")) * a) for a in terms])
@@ -81,7 +81,7 @@ def _newton_step(data: DataFrame, beta: DataFrame, key: str, terms: Sequence[Col
             out.append(np.asarray(bi) + np.clip(step, -5.0, 5.0))
         return pd.Series(out, dtype="object")
 
-    joined = lookup(sums, beta, [key], "inner")
+    joined = lookup(sums, beta, [key], "inner", materialise=False)
     moved = joined.withColumn("_new", move("_h", "_g", "_beta", "n_used"))
     gap = F.array_max(F.zip_with("_new", "_beta", lambda a, b: F.abs(a - b)))
     return moved.select(key, "n_used", F.col("_new").alias("_beta"), gap.alias("_move"))
