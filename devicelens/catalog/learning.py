@@ -133,24 +133,28 @@ def assemble(spark, sf_dir):
 )
 def per_group(spark, sf_dir):
     """A straight line through temperature and delay of each device, from sums of its parts."""
-    df = readings(spark, sf_dir).select("event_id", "device_id", "temperature", "delay").dropna()
+    df = readings(spark, sf_dir).select("device_id", "temperature", "delay").dropna()
+    sums = ["n", "sx", "sy", "sxx", "sxy"]
 
     def partial(pdf):
-        x, y = pdf["delay"].to_numpy(), pdf["temperature"].to_numpy()
-        sums = (len(x), x.sum(), y.sum(), (x * x).sum(), (x * y).sum())
-        return pd.DataFrame([(pdf["device_id"].iloc[0], *sums)], columns=["device_id", "n", "sx", "sy", "sxx", "sxy"])
+        x, y = pdf["delay"], pdf["temperature"]
+        return merge(pdf[["device_id"]].assign(n=1.0, sx=x, sy=y, sxx=x * x, sxy=x * y))
 
     def merge(pdf):
-        n, sx, sy, sxx, sxy = pdf[["n", "sx", "sy", "sxx", "sxy"]].sum()
+        return pdf.groupby("device_id", as_index=False)[sums].sum()
+
+    def finish(pdf):
+        n, sx, sy, sxx, sxy = (pdf[c] for c in sums)
         slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
-        row = (pdf["device_id"].iloc[0], int(n), round(slope, 6), round((sy - slope * sx) / n, 4))
-        return pd.DataFrame([row], columns=["device_id", "n_rows", "slope", "intercept"])
+        intercept = (sy - slope * sx) / n
+        return pd.DataFrame(
+            {"device_id": pdf["device_id"], "n_rows": n.astype("int64"), "slope": slope.round(6), "intercept": intercept.round(4)}
+        )
 
+    summary = "device_id string, n double, sx double, sy double, sxx double, sxy double"
     return grouped(
-        df, ["device_id"], ["event_id"],
-        partial, "device_id string, n long, sx double, sy double, sxx double, sxy double",
-        merge, "device_id string, n_rows long, slope double, intercept double",
-    )
+        df, ["device_id"], partial, summary, merge, finish, "device_id string, n_rows long, slope double, intercept double"
+    )
 
 
 @query(on_readings("SELECT count(*) AS n_rows, round(sum(delay), 4) AS delay, round(sum(density), 4) AS density FROM r"))

@@ -286,7 +286,7 @@ def features(spark, sf_dir):
 
 @query(
     on_readings(
-        """SELECT part, count(*) AS n_rows, min(id) AS first_id, max(id) AS last_id, sum(defect)::BIGINT AS defects FROM (
+        """SELECT part, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, sum(defect)::BIGINT AS defects FROM (
         SELECT *, CASE WHEN id <= floor(0.8e0 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS part
         FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS id FROM r)) GROUP BY part"""
     )
@@ -295,5 +295,5 @@ def ordered_split(spark, sf_dir):
     parts = split_in_order(readings(spark, sf_dir).select("event_id", "ts", "defect"), 0.8, ["ts", "event_id"])
     named = [p.withColumn("part", F.lit(n)) for p, n in zip(parts, ("train", "test"))]
     return named[0].unionByName(named[1]).groupBy("part").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.sum("defect").alias("defects")
+        F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("defect").alias("defects")
     )

@@ -9,42 +9,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from devicelens.operators.lookup import lookup
-from devicelens.session import cut
-
-ROWS_PER_PART = 500_000
 BATCH = 2048
+MERGE_ROWS = 200_000
+
+Reducer = Callable[[pd.DataFrame], pd.DataFrame]
 
 
 def per_group(
     df: DataFrame,
     keys: Sequence[str],
-    spread_by: Sequence[str],
-    partial: Callable[[pd.DataFrame], pd.DataFrame],
+    partial: Reducer,
     partial_schema: T.StructType | str,
-    merge: Callable[[pd.DataFrame], pd.DataFrame],
+    merge: Reducer,
+    finish: Reducer,
     schema: T.StructType | str,
-    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
-    """Grouped map in two steps, so that no task holds a whole large group.
+    """A fit per key, written in pandas, which never brings the rows of a key together.
 
-    ``partial`` sees at most about ``rows_per_part`` rows of one key and returns a few summary
-    rows with the key columns; ``merge`` sees all summary rows of a key. Rows are spread over
-    the parts by a hash of ``spread_by``, which should be unique. Functions that need the rows
-    in order are windows: see :mod:`devicelens.operators.ordered`.
+    * ``partial`` turns a batch of rows, of any keys, into one summary row per key;
+    * ``merge`` turns summary rows into one per key, and must be associative;
+    * ``finish`` turns the merged summaries (one row per key) into result rows.
+
+    Each partition merges its own summaries before the shuffle, so a key with most of the rows
+    costs one summary row per partition. All three work on many keys at once: there is no call
+    per key. Functions that need rows in order are windows: see :mod:`devicelens.operators.ordered`.
     """
-    keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = cut(sizes.where(F.col("_n") > rows_per_part).select(*keys, F.ceil(F.col("_n") / rows_per_part).alias("_parts")))
-    marked = lookup(df, large, keys, materialise=False)
-    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")), F.lit(0))
-    marked = marked.withColumn("_part", part).drop("_parts")
-
-    def reduce_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        return partial(pdf.drop(columns="_part"))
-
-    summaries = marked.groupBy(*keys, "_part").applyInPandas(reduce_part, partial_schema)
-    return summaries.groupBy(*keys).applyInPandas(merge, schema)
+
+    def merged(frames: Iterable[pd.DataFrame]) -> pd.DataFrame | None:
+        held: list[pd.DataFrame] = []
+        count = 0
+        for pdf in frames:
+            held.append(pdf)
+            count += len(pdf)
+            if count > MERGE_ROWS and len(held) > 1:
+                held = [merge(pd.concat(held, ignore_index=True))]
+                # Grow with the number of keys, so that merging stays linear in the input.
+                count = len(held[0]) // 2
+        return merge(pd.concat(held, ignore_index=True)) if held else None
+
+    def summarise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = merged(partial(pdf) for pdf in frames if len(pdf))
+        if found is not None:
+            yield found
+
+    def complete(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = merged(pdf for pdf in frames if len(pdf))
+        if found is not None:
+            yield finish(found)
+
+    return df.mapInPandas(summarise, partial_schema).repartition(*keys).mapInPandas(complete, schema)
 
 
 def rebatch(frames: Iterable[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:

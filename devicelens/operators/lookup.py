@@ -23,6 +23,7 @@ def lookup(
     max_broadcast_rows: int = BROADCAST_ROWS,
     busy_share: float = BUSY_SHARE,
     materialise: bool = True,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Join ``table`` (at most one row per key) to ``df`` on equal, or equally null, keys.
 
@@ -31,14 +32,17 @@ def lookup(
     of them) go by broadcast, so that no task receives more than a small part of the rows.
 
     The size must be known first, so the table is materialised: it is small beside ``df``, and
-    what it takes to compute it is then done once. Pass False for a table that is stored already.
+    what it takes to compute it is then done once. Pass False for a table that is stored already,
+    and ``n_rows`` where its number of rows is known.
     """
     on = list(on)
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     if materialise:
         table = cut(table)
-    if table.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+    if n_rows is None:
+        n_rows = table.limit(max_broadcast_rows + 1).count()
+    if n_rows <= max_broadcast_rows:
         return _join(df, table, on, how, small=True)
     busy = _busy_keys(df, on, busy_share)
     busy_rows = _join(table, busy, on, "left_semi", small=True)

@@ -148,18 +148,16 @@ def tune_orders(frame: OrderedFrame, column: str, orders: Iterable[Order] = ORDE
 
     def judge(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for d, values, n in zip(pdf["d"], pdf["_sums"], pdf["_n"]):
-                matrix = unpack(values, k)
-                for p, d_, q in orders:
-                    if d_ != d:
-                        continue
-                    used = ([0] if d == 0 else []) + list(range(1, p + 1)) + list(range(1 + most_p, 1 + most_p + q))
-                    gram, moment = matrix[np.ix_(used, used)], matrix[used, k - 1]
-                    b = least_squares(gram, moment)
-                    error = matrix[k - 1, k - 1] - 2 * b @ moment + b @ gram @ b
-                    out.append((p, d, q, int(n), max(float(error), 0.0)))
-            yield pd.DataFrame(out, columns=["p", "d", "q", "n", "error"])
+            matrices, degree = unpack(pdf["_sums"], k), pdf["d"].to_numpy()
+            for p, d, q in orders:
+                mine = degree == d
+                used = ([0] if d == 0 else []) + list(range(1, p + 1)) + list(range(1 + most_p, 1 + most_p + q))
+                gram, moment = matrices[mine][:, used][:, :, used], matrices[mine][:, used, k - 1]
+                b = least_squares(gram, moment)
+                fitted = 2 * np.einsum("ni,ni->n", b, moment) - np.einsum("ni,nij,nj->n", b, gram, b)
+                error = np.maximum(matrices[mine, k - 1, k - 1] - fitted, 0.0)
+                # One row per order and batch: keys are summed up here already.
+                yield pd.DataFrame({"p": [p], "d": [d], "q": [q], "n": [pdf["_n"][mine].sum()], "error": [error.sum()]})
 
     judged = sums.select("d", "_sums", "_n").mapInPandas(judge, "p int, d int, q int, n long, error double")
     scored = judged.groupBy("p", "d", "q").agg(F.sum("n").alias("n_rows"), F.sqrt(F.sum("error") / F.sum("n")).alias("rmse"))

@@ -18,8 +18,12 @@ TREES, SEED = 100, 42
 
 def _fit(df: DataFrame, classifier, label: str, columns: Sequence[str]) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error")
-    data = df.select(*columns, F.col(label).cast("double").alias(label))
-    return Pipeline(stages=[assembler, classifier.setLabelCol(label)]).fit(data)
+    # The fit reads its input several times (classes, split points, rows).
+    data = df.select(*columns, F.col(label).cast("double").alias(label)).persist()
+    try:
+        return Pipeline(stages=[assembler, classifier.setLabelCol(label)]).fit(data)
+    finally:
+        data.unpersist()
 
 
 def train_rf(df: DataFrame, label: str, columns: Sequence[str], trees: int = TREES, seed: int = SEED, max_depth: int = 5) -> PipelineModel:

@@ -47,9 +47,10 @@ def train_per_key(
     k = len(terms)
     start = data.groupBy(key).agg(F.count(F.lit(1)).alias("n_used"))
     beta = cut(start.select(key, "n_used", F.array(*[F.lit(0.0)] * k).alias("_beta"), F.lit(np.inf).alias("_move")))
+    n_keys = beta.count()
     try:
         for _ in range(max_iter):
-            beta = cut(_newton_step(data, beta, key, terms, ridge))
+            beta = cut(_newton_step(data, beta, n_keys, key, terms, ridge))
             if beta.agg(F.max("_move")).first()[0] < tolerance:
                 break
     finally:
@@ -61,10 +62,10 @@ def train_per_key(
     return beta.select(key, "n_used", bias.alias("bias"), F.array(*slopes).alias("weights"))
 
 
-def _newton_step(data: DataFrame, beta: DataFrame, key: str, terms: Sequence[Column], ridge: float) -> DataFrame:
+def _newton_step(data: DataFrame, beta: DataFrame, n_keys: int, key: str, terms: Sequence[Column], ridge: float) -> DataFrame:
     k = len(terms)
     p = sigmoid(dot(F.col("_beta"), F.array(*terms)))
-    with_p = lookup(data, beta.select(key, "_beta"), [key], materialise=False).withColumn("_p", p)
+    with_p = lookup(data, beta.select(key, "_beta"), [key], materialise=False, n_rows=n_keys).withColumn("_p", p)
     curve = F.col("_p") * (1 - F.col("_p"))
     hessian = F.array(*[F.sum(curve * a * b) for i, a in enumerate(terms) for b in terms[i:]])
     gradient = F.array(*[F.sum((F.col("_y") - F.col("_p")) * a) for a in terms])
@@ -72,16 +73,16 @@ def _newton_step(data: DataFrame, beta: DataFrame, key: str, terms: Sequence[Col
 
     @F.pandas_udf("array<double>")
     def move(h: pd.Series, g: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
-        out = []
-        for hi, gi, bi, ni in zip(h, g, b, n):
-            penalty = np.full(k, ridge * ni)
-            penalty[0] = ridge * 1e-3  # the bias is all but free
-            step = np.linalg.solve(unpack(hi, k) + np.diag(penalty), np.asarray(gi) - penalty * np.asarray(bi))
-            # Steps on separable keys grow without bound; a cap on each keeps the weights finite.
-            out.append(np.asarray(bi) + np.clip(step, -5.0, 5.0))
-        return pd.Series(out, dtype="object")
-
-    joined = lookup(sums, beta, [key], "inner", materialise=False)
+        beta = np.array([np.asarray(v, dtype=float) for v in b])
+        penalty = ridge * n.to_numpy(dtype=float)[:, None] * np.ones(k)
+        penalty[:, 0] = ridge * 1e-3  # the bias is all but free
+        curvature = unpack(h, k) + penalty[:, :, None] * np.eye(k)
+        pull = np.array([np.asarray(v, dtype=float) for v in g]) - penalty * beta
+        # Steps on separable keys grow without bound; a limit on each keeps the weights finite.
+        step = np.clip(np.linalg.solve(curvature, pull[:, :, None])[:, :, 0], -5.0, 5.0)
+        return pd.Series(list(beta + step), dtype="object")
+
+    joined = lookup(sums, beta, [key], "inner", materialise=False, n_rows=n_keys)
     moved = joined.withColumn("_new", move("_h", "_g", "_beta", "n_used"))
     gap = F.array_max(F.zip_with("_new", "_beta", lambda a, b: F.abs(a - b)))
     return moved.select(key, "n_used", F.col("_new").alias("_beta"), gap.alias("_move"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,21 +15,24 @@ def product_sums(terms: Sequence[Column]) -> Column:
     return F.array(*[F.sum(a * b) for i, a in enumerate(terms) for b in terms[i:]])
 
 
-def unpack(sums: Sequence[float], k: int) -> np.ndarray:
-    """The symmetric k x k matrix of an array made by :func:`product_sums`."""
-    matrix = np.zeros((k, k))
-    upper = np.triu_indices(k)
-    matrix[upper] = sums
-    return matrix + np.triu(matrix, 1).T
+def unpack(sums: Iterable[Sequence[float]], k: int) -> np.ndarray:
+    """The symmetric k x k matrices of arrays made by :func:`product_sums`."""
+    flat = np.array([np.asarray(v, dtype=float) for v in sums]).reshape(-1, k * (k + 1) // 2)
+    matrices = np.zeros((len(flat), k, k))
+    i, j = np.triu_indices(k)
+    matrices[:, i, j] = flat
+    matrices[:, j, i] = flat
+    return matrices
 
 
 def least_squares(gram: np.ndarray, moment: np.ndarray) -> np.ndarray:
-    """Solve ``gram b = moment``; singular systems get the shortest solution. Columns are scaled first."""
-    if not len(moment):
+    """Solve ``gram b = moment`` for many systems; singular ones get the shortest solution. Columns are scaled first."""
+    if not moment.shape[1]:
         return moment
-    scale = np.sqrt(np.maximum(np.diag(gram), 0.0))
+    scale = np.sqrt(np.maximum(np.einsum("nii->ni", gram), 0.0))
     scale[scale == 0] = 1.0
-    return np.linalg.lstsq(gram / np.outer(scale, scale), moment / scale, rcond=1e-12)[0] / scale
+    inverse = np.linalg.pinv(gram / (scale[:, :, None] * scale[:, None, :]), rcond=1e-12, hermitian=True)
+    return np.einsum("nij,nj->ni", inverse, moment / scale) / scale
 
 
 def solve_sums(sums: Column, k: int, used: Sequence[int] | None = None) -> Column:
@@ -41,15 +44,15 @@ def solve_sums(sums: Column, k: int, used: Sequence[int] | None = None) -> Colum
 
     @F.pandas_udf("array<double>")
     def solve(column: pd.Series) -> pd.Series:
-        out = []
-        for values in column:
-            if values is None or any(v is None or v != v for v in values):
-                out.append(None)
-                continue
-            matrix = unpack(values, k + 1)
-            coefficients = np.zeros(k)
-            coefficients[terms] = least_squares(matrix[np.ix_(terms, terms)], matrix[terms, k])
-            out.append(coefficients)
+        values = [None if v is None else np.asarray(v, dtype=float) for v in column]
+        known = [i for i, v in enumerate(values) if v is not None and np.isfinite(v).all()]
+        out: list[np.ndarray | None] = [None] * len(values)
+        if known:
+            matrices = unpack([values[i] for i in known], k + 1)
+            coefficients = np.zeros((len(matrices), k))
+            coefficients[:, terms] = least_squares(matrices[:, terms][:, :, terms], matrices[:, terms, k])
+            for i, row in zip(known, coefficients):
+                out[i] = row
         return pd.Series(out, dtype="object")
 
     return solve(sums)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from devicelens.operators.sampling import ordered_split
+from devicelens.operators.sampling import indexed_split
 from devicelens.sources.tables import write_path
 
 
@@ -22,7 +22,7 @@ def prepare_training(
 
     Columns in ``order_by`` may be among the dropped ones: they go after the numbering.
     """
-    train, test = (part.drop(*drop) for part in ordered_split(df, fraction, order_by))
+    train, test = (part.drop(*drop) for part in indexed_split(df, fraction, order_by))
     for part, path in ((train, train_path), (test, test_path)):
         if path:
             write_path(part, path)
