@@ -54,21 +54,18 @@ def _prefixed(df: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({n: prefix + n for n in names})
 
 
-def _cuts_at_or_below(cuts: Column, probe: Column, longest: int) -> Column:
-    """Binary search: how many entries of the sorted array are <= probe."""
-    steps = max(1, math.ceil(math.log2(longest + 1)))
-
-    def halve(range_: Column, _step: Column) -> Column:
-        lo, hi = range_["lo"], range_["hi"]
-        mid = ((lo + hi) / F.lit(2)).cast("int")
-        below = F.get(cuts, mid) <= probe
-        narrowed = F.struct(
-            F.when(below, mid + 1).otherwise(lo).alias("lo"), F.when(below, hi).otherwise(mid).alias("hi")
-        )
-        return F.when(lo < hi, narrowed).otherwise(range_)
+def _with_block(df: DataFrame, probe: Column, longest: int) -> DataFrame:
+    """Add the number of entries of the sorted array ``_cuts`` that are <= probe; 0 where there is no array.
 
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
-    return F.aggregate(F.array(*[F.lit(i) for i in range(steps)]), start, halve)["lo"]
+    A binary search in jumps of falling powers of two, unrolled into plain expressions: they
+    compile with the rest of the stage, a lambda over the array would not.
+    """
+    df = df.withColumn(BLOCK, F.lit(0))
+    for power in reversed(range(longest.bit_length())):
+        jump = 2**power
+        further = F.get(F.col("_cuts"), F.col(BLOCK) + (jump - 1)) <= probe
+        df = df.withColumn(BLOCK, F.col(BLOCK) + F.when(further, jump).otherwise(0))
+    return df
 
 
 def _cut_points(df, keys, order_by, rows_per_block, max_blocks) -> tuple[DataFrame, int, int]:
@@ -114,10 +111,7 @@ def ordered(
         return OrderedFrame(df, tuple(keys), tuple(order_by), False)
     cuts = _prefixed(cuts, keys, "_k_")
     found = df.join(F.broadcast(cuts), null_safe(keys, "_k_"), "left")
-    block = F.when(F.col("_cuts").isNull(), 0).otherwise(
-        _cuts_at_or_below(F.col("_cuts"), F.struct(*order_by), longest)
-    )
-    found = found.withColumns({BLOCK: block, HOT: F.col("_cuts").isNotNull()})
+    found = _with_block(found, F.struct(*order_by), longest).withColumn(HOT, F.col("_cuts").isNotNull())
     return OrderedFrame(found.drop("_cuts", *["_k_" + k for k in keys]), tuple(keys), tuple(order_by), True)
 
 
