@@ -297,9 +297,10 @@ class OrderedFrame:
         nearest = {c: F.last(c, ignorenulls=True).over(window) for c in columns}
         if not self.split:
             return self.with_df(self.df.withColumns(nearest))
-        spot = F.struct(*self.order_by)
-        pick = F.min_by if reverse else F.max_by
-        pieces = self._pieces(within, {"_e_" + c: pick(c, F.when(F.col(c).isNotNull(), spot)) for c in columns})
+        # The position in the block orders the values: numbers, unlike tuples, aggregate by hash.
+        placed = self.with_column("_pos", F.row_number().over(self._window(within, reverse)))
+        nearest_edge = {"_e_" + c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_pos"))) for c in columns}
+        pieces = placed._pieces(within, nearest_edge)
         side = self._later(within) if reverse else self._earlier(within)
         carries = pieces.withColumns({"_f_" + c: F.last("_e_" + c, ignorenulls=True).over(side) for c in columns})
         names = ["_f_" + c for c in columns]
@@ -343,11 +344,7 @@ class OrderedFrame:
         alpha = 1.0 / (1.0 + com) if com is not None else 2.0 / (span + 1.0)
         r = 1.0 - alpha
         stride = max(1, int(150 * math.log(10) / -math.log(r))) if r > 0 else 1
-        frame = self
-        if shift:
-            frame = frame.lag(column, shift, "_x", within)
-        else:
-            frame = frame.with_column("_x", F.col(column).cast("double"))
+        frame = self.with_column("_x", F.col(column).cast("double"))
         home = [*frame._home, *within]
         frame = frame.with_column("_pos", F.row_number().over(frame._window(within)) - 1)
         frame = frame.with_df(
@@ -384,11 +381,14 @@ class OrderedFrame:
             mean = F.when(known, numer / denom)
             spent += ["_cn", "_cd", "_gap"]
         frame = frame.with_column("_y", mean)
-        in_order = Window.partitionBy(*home).orderBy("_run", "_off").rowsBetween(Window.unboundedPreceding, 0)
+        # Lagging the input is the same as lagging the mean: the frame ends that much earlier.
+        upto = shift if shift <= 1 else 0
+        in_order = Window.partitionBy(*home).orderBy("_run", "_off").rowsBetween(Window.unboundedPreceding, -upto)
         repeat = F.last("_y", ignorenulls=True).over(in_order)
         if frame.split:
             repeat = F.coalesce(repeat, F.col("_cn") / F.col("_cd"))
-        return frame.with_df(frame.df.withColumn(out, repeat).drop("_y", *spent))
+        frame = frame.with_df(frame.df.withColumn(out, repeat).drop("_y", *spent))
+        return frame if upto == shift else frame.lag(out, shift, out, within)
 
     def _ewma_carries(self, r: float, within: Sequence[str]) -> OrderedFrame:
         """Add the decayed sums at the last known row before the block and the rows since then."""

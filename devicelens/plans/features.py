@@ -43,7 +43,8 @@ def build_features(
     """
     frame = add_rolling_temp(frame, shift, trip)
     frame = frame.fill([*fill_columns, "rolling_mean_temp", "temp_difference"], ["ffill", 0], trip)
-    frame = add_rolling_density(frame, shift).fill(["rolling_mean_density"], ["ffill", 0])
+    # The mean itself carries on over nulls: only its head can be null.
+    frame = add_rolling_density(frame, shift).fill(["rolling_mean_density"], [0])
     return one_hot(frame.result(), vocab) if vocab else frame.result()
 
 

@@ -104,9 +104,9 @@ def test_lags_and_fills(sdf, pdf, rows_per_block, within):
 @pytest.mark.parametrize("rows_per_block", BLOCKS)
 @pytest.mark.parametrize("within", [[], ["day"]])
 @pytest.mark.parametrize("decay", [{"com": 5}, {"span": 600}, {"com": 0.05}, {"com": 0}])
-@pytest.mark.parametrize("shift", [0, 1])
+@pytest.mark.parametrize("shift", [0, 1, 3])
 def test_ewma(sdf, pdf, rows_per_block, within, decay, shift):
-    if shift == 0 and within:
+    if (shift == 0 and within) or (shift == 3 and "com" in decay and decay["com"] != 5):
         pytest.skip("covered by the other combinations")
     frame = ordered(sdf, ["k"], ["t", "id"], rows_per_block).ewma("x", "y", shift=shift, within=within, **decay)
     got = by_id(frame.result(), "y")
