@@ -29,7 +29,7 @@ from devicelens.plans.models import evaluate, importances, score, train_lr, trai
 from devicelens.plans.oversample import smote as oversample
 from devicelens.plans.perkey import apply_per_key, train_per_key
 from devicelens.plans.training import prepare_training
-from devicelens.session import cut, scratch_path
+from devicelens.session import scratch_path, stored
 from devicelens.sources.sensor import VOCABULARY, readings, series, table
 from devicelens.sources.tables import read_table, stream_table, write_path
 from devicelens.streaming.score import drain, score_stream
@@ -273,7 +273,7 @@ _MODEL_COLUMNS = [*_FEATURES, *[f"ohe_{v}" for values in VOCABULARY.values() for
 
 def silver(spark, sf_dir):
     """The feature table, written out once: training makes many passes over it."""
-    return cut(feature_table(spark, sf_dir))
+    return stored(feature_table(spark, sf_dir), "silver")
 
 
 def split(features):
@@ -349,7 +349,7 @@ _DL_COLUMNS = ["rotation_speed", "air_pressure", "delay", "density"]
 def dl_tables(spark, sf_dir):
     df = readings(spark, sf_dir).drop("temperature")
     keys = ["event_id", "device_id", "ts", "factory_id", "model_id"]
-    return tuple(cut(part) for part in prepare_training(df, ["ts", "event_id"], 0.7, drop=keys))
+    return tuple(stored(part, "dl_rows") for part in prepare_training(df, ["ts", "event_id"], 0.7, drop=keys))
 
 
 @query(

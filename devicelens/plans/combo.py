@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from devicelens.operators.columns import one_hot
-from devicelens.operators.ordered import ROWS_PER_BLOCK, OrderedFrame, ordered
-from devicelens.plans.features import build_features
+from devicelens.operators.ordered import ROWS_PER_BLOCK, ordered
+from devicelens.plans.features import feature_frame
 from devicelens.plans.forecast import DEFAULT_ORDER, Order, arima_forecast
 from devicelens.sources.sensor import KEY, ORDER, airflow, assign_trips
 
@@ -30,15 +30,9 @@ class ComboModel:
     def features(self, readings: DataFrame) -> DataFrame:
         frame = assign_trips(ordered(readings, KEY, ORDER, self.rows_per_block), grain=self.trip_grain)
         frame = airflow(frame, "rotation_speed", "air_pressure", within=["trip_id"])
-        df = build_features(frame, None)
-        forecast = arima_forecast(as_series(df, self.rows_per_block), "temperature", self.order, "predicted_temp")
-        return one_hot(forecast, self.vocab)
+        frame = feature_frame(frame)
+        return one_hot(arima_forecast(frame, "temperature", self.order, "predicted_temp"), self.vocab)
 
     def transform(self, readings: DataFrame) -> DataFrame:
         df = self.features(readings)
         return self.predict(df) if self.predict else df
-
-
-def as_series(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> OrderedFrame:
-    """The telemetry series of a frame derived from readings."""
-    return ordered(df, KEY, ORDER, rows_per_block)

@@ -28,24 +28,27 @@ def add_rolling_density(frame: OrderedFrame, shift: int = 1) -> OrderedFrame:
     return frame.ewma("density", "rolling_mean_density", span=DENSITY_SPAN, shift=shift)
 
 
-def build_features(
+def feature_frame(
     frame: OrderedFrame,
-    vocab: Mapping[str, Sequence[str]] | None,
     fill_columns: Sequence[str] = ("airflow_rate", "rotation_speed", "air_pressure", "temperature", "delay", "density"),
     trip: Sequence[str] = ("trip_id",),
     shift: int = 1,
-) -> DataFrame:
-    """Features of a frame that has the telemetry columns and a trip number.
+) -> OrderedFrame:
+    """Smoothed and filled columns beside the telemetry of a frame that has a trip number.
 
     All windows use the partitioning of the frame: one shuffle in all. Nulls are filled forward
-    within the trip (all listed columns and the smoothed ones), then with 0. One-hot columns come
-    last, so that they are never shuffled.
+    within the trip (all listed columns and the smoothed ones), then with 0.
     """
     frame = add_rolling_temp(frame, shift, trip)
     frame = frame.fill([*fill_columns, "rolling_mean_temp", "temp_difference"], ["ffill", 0], trip)
     # The mean itself carries on over nulls: only its head can be null.
-    frame = add_rolling_density(frame, shift).fill(["rolling_mean_density"], [0])
-    return one_hot(frame.result(), vocab) if vocab else frame.result()
+    return add_rolling_density(frame, shift).fill(["rolling_mean_density"], [0])
+
+
+def build_features(frame: OrderedFrame, vocab: Mapping[str, Sequence[str]] | None, **options) -> DataFrame:
+    """:func:`feature_frame` as a table. One-hot columns come last, so that they are never shuffled."""
+    df = feature_frame(frame, **options).result()
+    return one_hot(df, vocab) if vocab else df
 
 
 def center(df: DataFrame, column: str, keys: Sequence[str], out: str) -> DataFrame:

@@ -137,7 +137,14 @@ class Ledger:
         return run_id
 
     def log_model_run(
-        self, model: PipelineModel, train: DataFrame, label: str, columns: Sequence[str], name: str, parent_run_id: str | None = None
+        self,
+        model: PipelineModel,
+        train: DataFrame,
+        label: str,
+        columns: Sequence[str],
+        name: str,
+        parent_run_id: str | None = None,
+        tags: Mapping[str, str] | None = None,
     ) -> str:
         """Save a fitted model and log what can be logged by itself: parameters, training metrics, signature."""
         run_id = uuid.uuid4().hex
@@ -146,7 +153,7 @@ class Ledger:
         found = rows(binary_metrics(score(train, model, "_p"), "_p", label))[0].asDict()
         params = {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
         metrics = {f"training_{k}": v for k, v in found.items()}
-        return self.log_run(name, params, metrics, None, path, parent_run_id, train.select(*columns), run_id)
+        return self.log_run(name, params, metrics, tags, path, parent_run_id, train.select(*columns), run_id)
 
     def runs(self) -> DataFrame:
         return self._read("runs", RUNS)

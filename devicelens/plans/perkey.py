@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.functions.scalars import dot, sigmoid
-from devicelens.operators.columns import fit_vocab
+from devicelens.operators.columns import fit_vocab, stack_frames
 from devicelens.operators.lookup import lookup, route_models
-from devicelens.plans.models import train_rf
+from devicelens.operators.profile import count_by
+from devicelens.plans.ledger import Ledger
+from devicelens.plans.models import score, train_rf
 from devicelens.plans.regress import unpack
 from devicelens.session import cut
 from devicelens.sources.tables import rows
@@ -108,11 +110,26 @@ def train_rf_per_key(
         return dict(zip(keys, pool.map(fit, keys)))
 
 
+def log_rf_per_key(
+    ledger: Ledger, df: DataFrame, key: str, label: str, columns: Sequence[str], name: str, trees: int = 100, seed: int = 42
+) -> tuple[str, DataFrame]:
+    """Forests per key logged as child runs of one parent: the parent's id and ``(key, run_id, n_used)``."""
+    parent = ledger.log_run(name)
+    used = {r[key]: r["n_used"] for r in rows(count_by(df.where(F.col(key).isNotNull()), [key], "n_used"))}
+    logged = []
+    for value, model in train_rf_per_key(df, key, label, columns, trees, seed).items():
+        run = ledger.log_model_run(model, df.where(F.col(key) == value), label, columns, value, parent, {key: value})
+        logged.append((value, run, used[value]))
+    return parent, df.sparkSession.createDataFrame(logged, f"{key} string, run_id string, n_used long")
+
+
+def load_rf_per_key(ledger: Ledger, parent_run_id: str, key: str) -> dict[str, PipelineModel]:
+    """The forests of a parent run, for :func:`score_rf_per_key`."""
+    return {value: PipelineModel.load(path) for value, path in ledger.model_map(parent_run_id, key).items()}
+
+
 def score_rf_per_key(df: DataFrame, models: dict[str, PipelineModel], key: str, out: str = "predictions") -> DataFrame:
     """Each row scored by the forest of its key; rows of unknown keys get null."""
-    from devicelens.operators.columns import stack_frames
-    from devicelens.plans.models import score
-
     parts = [score(df.where(F.col(key) == value), model, out) for value, model in models.items()]
     rest = df.where(F.col(key).isNull() | ~F.col(key).isin(list(models))).withColumn(out, F.lit(None).cast("double"))
     return stack_frames([*parts, rest])

@@ -17,6 +17,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpoints that nothing refers to any more are removed.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -53,3 +55,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder and forget the lineage; survives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: for data that many jobs will read in part.
+
+    Unlike :func:`cut` the copy is columnar, so later readers take only the columns and row groups they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from devicelens.operators.groups import make_udf, numeric_batches, per_group, rebatch
 from devicelens.operators.profile import binary_metrics
 from devicelens.plans import mlp, perkey
-from devicelens.plans.ledger import Ledger, check_signature, signature
+from devicelens.plans.ledger import Ledger, check_signature, run_tree, signature
 from devicelens.plans.models import evaluate, importances, score, train_lr, train_perceptron, train_rf
 from devicelens.plans.training import prepare_training
 from devicelens.session import scratch_path
@@ -73,6 +73,13 @@ def test_forest_per_key_routes_each_row(spark, labelled):
     scored = perkey.score_rf_per_key(flipped, models, "k")
     assert scored.count() == 1200 and accuracy(scored, "predictions") > 0.95
 
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    parent, info = perkey.log_rf_per_key(ledger, flipped, "k", "y", ["u", "v"], "per key", trees=5)
+    assert {r.k: r.n_used for r in info.collect()} == {r["k"]: r["count"] for r in flipped.groupBy("k").count().collect()}
+    assert sorted(r.name for r in run_tree(ledger.runs()).collect()) == ["a", "b", "c"]
+    again = perkey.score_rf_per_key(flipped, perkey.load_rf_per_key(ledger, parent, "k"), "k")
+    assert again.orderBy("id").collect() == scored.orderBy("id").collect()
+
 
 def test_gradient_of_the_network():
     rng = np.random.default_rng(0)
