@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.operators.ordered import ROWS_PER_BLOCK, ordered
+from devicelens.sources.tables import rows
 
 
 def count_by(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
@@ -111,19 +113,76 @@ def group_quantiles(
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """count, mean, std, min, quartiles and max per numeric column, nulls left out."""
-    long = unpivot(df, columns)
-    moments = long.groupBy("column_name").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quarters = group_quantiles(long, ["column_name"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, exact)
-    # Both sides have one row per column of the table.
-    return moments.join(F.broadcast(quarters), "column_name", "left")
+QUARTERS = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+BRACKET = 1e-3
+SMALL = 100_000
+
+
+def describe(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy: int = 10_000, small: int = SMALL) -> DataFrame:
+    """count, mean, std, min, quartiles and max per numeric column, nulls left out.
+
+    Large tables are not shuffled for the quartiles: the first scan, which also takes the other
+    measures, brackets each of them by a sketch; the second counts what lies below the brackets
+    and ranks only the few values inside. ``exact=False`` stops after the first scan.
+    """
+    columns = list(columns)
+    wanted = [p for q in QUARTERS.values() for p in (q - BRACKET, q, q + BRACKET)]
+    measures = []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        found = {"n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+        found["sketch"] = F.percentile_approx(x, wanted, accuracy)
+        measures.append(F.struct(*[v.alias(k) for k, v in found.items()]).alias(f"c{i}"))
+    first = df.agg(*measures).first()
+    sketches = {c: first[f"c{i}"].sketch for i, c in enumerate(columns)}
+    sizes = {c: first[f"c{i}"].n for i, c in enumerate(columns)}
+    if not exact:
+        quarters = {c: {q: (s or [None] * len(wanted))[3 * j + 1] for j, q in enumerate(QUARTERS)} for c, s in sketches.items()}
+    else:
+        quarters = _ranked_in_brackets(df, columns, sizes, sketches) if max(sizes.values()) > small else None
+        if quarters is None:
+            table = group_quantiles(unpivot(df, columns), ["column_name"], "value", QUARTERS)
+            quarters = {r["column_name"]: r.asDict() for r in rows(table)}
+    summary = []
+    for i, c in enumerate(columns):
+        r, q = first[f"c{i}"], quarters.get(c, {})
+        summary.append((c, r.n, r.mean, r.std, r.min, *[q.get(k) for k in QUARTERS], r.max))
+    names = ["mean", "std", "min", *QUARTERS, "max"]
+    schema = "column_name string, n long, " + ", ".join(f"{n} double" for n in names)
+    return df.sparkSession.createDataFrame(summary, schema)
+
+
+def _ranked_in_brackets(
+    df: DataFrame, columns: Sequence[str], sizes: Mapping[str, int], sketches: Mapping[str, Sequence[float]]
+) -> dict[str, dict[str, float]] | None:
+    """Exact quartiles from brackets that hold them; None if one does not (then they must be found otherwise)."""
+    brackets = [(c, q, sketches[c][3 * j], sketches[c][3 * j + 2]) for c in columns if sizes[c] for j, q in enumerate(QUARTERS)]
+    below = df.agg(*[F.count_if(F.col(c).cast("double") < lo).alias(f"b{i}") for i, (c, _, lo, _) in enumerate(brackets)]).first()
+    inside = [
+        F.struct(F.lit(i).alias("bracket"), F.when(F.col(c).cast("double").between(lo, hi), F.col(c).cast("double")).alias("value"))
+        for i, (c, _, lo, hi) in enumerate(brackets)
+    ]
+    counts = df.select(F.inline(F.array(*inside))).where("value is not null").groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("_n"))
+    frame = ordered(counts, ["bracket"], ["value"]).running_sum("_n", "_upto")
+    start = F.element_at(F.array(*[F.lit(below[f"b{i}"]) for i in range(len(brackets))]), F.col("bracket") + 1)
+    spots = [QUARTERS[q] * (sizes[c] - 1) for c, q, _, _ in brackets]
+    spot = F.element_at(F.array(*[F.lit(float(s)) for s in spots]), F.col("bracket") + 1)
+    last = start + F.col("_upto") - 1
+    first = last - F.col("_n") + 1
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank <= last), F.col("value")))
+
+    found = {r["bracket"]: (r["lo"], r["hi"]) for r in rows(
+        frame.df.groupBy("bracket").agg(value_at(F.floor(spot)).alias("lo"), value_at(F.ceil(spot)).alias("hi"))
+    )}
+    quarters: dict[str, dict[str, float]] = {}
+    for i, (c, q, _, _) in enumerate(brackets):
+        lo, hi = found.get(i, (None, None))
+        if lo is None or hi is None:
+            return None
+        quarters.setdefault(c, {})[q] = lo + (hi - lo) * (spots[i] - math.floor(spots[i]))
+    return quarters
 
 
 def rmse(df: DataFrame, prediction: str, label: str, keys: Sequence[str] = (), out: str = "rmse") -> DataFrame:
@@ -161,7 +220,8 @@ def bin_counts(df: DataFrame, column: str, width: float, by: Sequence[str] = (),
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Values of the columns in the first row of each key."""
-    return df.groupBy(*keys).agg(*[F.min_by(c, F.struct(*order)).alias("first_" + c) for c in columns])
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("_first"))
+    return first.select(*keys, *[F.col("_first")[c].alias("first_" + c) for c in columns])
 
 
 def earliest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
@@ -170,8 +230,8 @@ def earliest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
 
 def nearest_row(df: DataFrame, keys: Sequence[str], distance: Column, tie: str, columns: Sequence[str]) -> DataFrame:
     """Values of the columns in the row with the least distance; ties go to the lower ``tie``."""
-    ranked = df.withColumn("_far", F.struct(distance.alias("d"), F.col(tie).alias("t")))
-    return ranked.groupBy(*keys).agg(*[F.min_by(c, "_far").alias(c) for c in columns])
+    nearest = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), F.struct(distance, F.col(tie))).alias("_near"))
+    return nearest.select(*keys, *[F.col("_near")[c].alias(c) for c in columns])
 
 
 def check_expectations(metrics: DataFrame, rules: Mapping[str, tuple[str, str]]) -> DataFrame:

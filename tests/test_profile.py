@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from devicelens.operators import profile
 from devicelens.operators.profile import (
     binary_metrics, check_expectations, describe, group_quantiles, null_counts, rate, rmse, table_stats, top_keys,
 )
@@ -45,13 +46,33 @@ def test_approximate_quantiles(sdf, pdf):
     np.testing.assert_allclose(got, pdf.groupby("k")["x"].median(), atol=0.2)
 
 
-def test_describe(sdf, pdf):
-    got = describe(sdf, ["x", "y"]).toPandas().set_index("column_name")
+@pytest.mark.parametrize("small", [1_000_000, 0])
+def test_describe(sdf, pdf, small):
+    got = describe(sdf, ["x", "y"], small=small).toPandas().set_index("column_name")
     for c in ("x", "y"):
         expected = pdf[c].describe()
         np.testing.assert_allclose(got.loc[c, ["n", "mean", "std", "min", "q25", "q50", "q75", "max"]].astype(float), expected, rtol=1e-9)
 
 
+def test_describe_large_table(spark):
+    df = spark.range(60_000).select(((F.col("id") * 7919) % 60_000 / 7).alias("a"), F.when(F.col("id") % 3 == 0, 5).alias("b"))
+    df = df.withColumn("c", F.lit(None).cast("double"))
+    found = {}
+    real = profile._ranked_in_brackets
+    profile._ranked_in_brackets = lambda *args: found.setdefault("q", real(*args))
+    try:
+        got = describe(df, ["a", "b", "c"], small=1000).toPandas().set_index("column_name")
+    finally:
+        profile._ranked_in_brackets = real
+    assert found["q"] is not None  # the brackets held all quartiles
+    expected = df.select("a", "b").toPandas().describe()
+    for c in ("a", "b"):
+        np.testing.assert_allclose(got.loc[c, ["q25", "q50", "q75"]].astype(float), expected.loc[["25%", "50%", "75%"], c], rtol=1e-12)
+    assert got.loc["c", "n"] == 0 and np.isnan(got.loc["c", "q50"])
+    near = describe(df, ["a"], exact=False).toPandas().iloc[0]
+    assert abs(near["q50"] - expected.loc["50%", "a"]) < 10
+
+
 def test_counts_and_rates(spark, sdf, pdf):
     assert {r.column_name: r.n_null for r in null_counts(sdf).collect()}["x"] == pdf["x"].isna().sum()
     got = {r.k: r.rate for r in rate(sdf, F.col("y") == 1, ["k"]).collect()}
