@@ -59,8 +59,15 @@ def _best(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) ->
     for j in range(queries.shape[1]):
         gap = queries[:, j, None] - vectors[None, :, j]
         distance += gap * gap
-    near = np.argsort(distance, axis=1, kind="stable")[:, :k]
-    return near, np.take_along_axis(distance, near, axis=1)
+    k = min(k, len(vectors))
+    # All candidates up to the k-th distance, ties included; then only those few are sorted.
+    limit = np.partition(distance, k - 1, axis=1)[:, k - 1]
+    row, column = np.nonzero(distance <= limit[:, None])
+    d = distance[row, column]
+    order = np.lexsort((column, d, row))
+    start = np.searchsorted(row, np.arange(len(queries)))
+    picked = order[start[:, None] + np.arange(k)[None, :]]
+    return column[picked], d[picked]
 
 
 def _box_distance(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:

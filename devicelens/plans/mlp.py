@@ -131,7 +131,7 @@ def train_mlp(
         width[width == 0] = 1.0
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("_y"))
     if workers:
-        data = data.repartition(workers, F.xxhash64(*columns, "_y"))
+        data = data.repartition(workers)  # in turn, not by hash: equal rows must not meet in one partition
     data = data.persist()
     shapes = _shapes(n, hidden)
     model = Mlp(columns, hidden, centre, width, _start(n, hidden, seed))

@@ -20,7 +20,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("devicelens-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", os.path.join(work, "checkpoints"))

@@ -101,13 +101,21 @@ def test_lags_and_fills(sdf, pdf, rows_per_block, within):
     check(got, expected)
 
 
-@pytest.mark.parametrize("rows_per_block", BLOCKS)
-@pytest.mark.parametrize("within", [[], ["day"]])
-@pytest.mark.parametrize("decay", [{"com": 5}, {"span": 600}, {"com": 0.05}, {"com": 0}])
-@pytest.mark.parametrize("shift", [0, 1, 3])
+EWMA_CASES = [
+    ({"com": 5}, 0, []),
+    ({"com": 5}, 1, []),
+    ({"com": 5}, 3, ["day"]),
+    ({"com": 5}, 1, ["day"]),
+    ({"span": 600}, 1, []),
+    ({"span": 600}, 3, []),
+    ({"com": 0.05}, 1, ["day"]),
+    ({"com": 0}, 0, []),
+]
+
+
+@pytest.mark.parametrize("rows_per_block", [2_000_000, 7])
+@pytest.mark.parametrize("decay,shift,within", EWMA_CASES)
 def test_ewma(sdf, pdf, rows_per_block, within, decay, shift):
-    if (shift == 0 and within) or (shift == 3 and "com" in decay and decay["com"] != 5):
-        pytest.skip("covered by the other combinations")
     frame = ordered(sdf, ["k"], ["t", "id"], rows_per_block).ewma("x", "y", shift=shift, within=within, **decay)
     got = by_id(frame.result(), "y")
     g = grouped(pdf, ["k", *within])
@@ -138,3 +146,28 @@ def test_keyless_series_is_split(sdf, pdf):
     got = by_id(frame.result(), "n")
     expected = pdf.sort_values(["t", "id"]).assign(n=np.arange(1, len(pdf) + 1)).sort_values("id")[["n"]]
     check(got, expected)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_series(spark, seed):
+    """Random sizes, gaps and block lengths; the same rows in any partitioning."""
+    rng = np.random.default_rng(100 + seed)
+    n = int(rng.integers(50, 250))
+    pdf = pd.DataFrame({"id": rng.permutation(n), "k": rng.choice(["a", "b", "c"], n, p=[0.8, 0.15, 0.05])})
+    pdf["x"] = np.where(rng.random(n) < rng.random(), np.nan, rng.normal(0, 1, n))
+    rows = [(int(i), k, None if np.isnan(x) else float(x)) for i, k, x in pdf.itertuples(index=False)]
+    sdf = spark.createDataFrame(rows, "id long, k string, x double").repartition(int(rng.integers(1, 6)))
+    pdf = pdf.sort_values("id").reset_index(drop=True)
+    frame = ordered(sdf, ["k"], ["id"], int(rng.integers(2, 20)), max_blocks=int(rng.integers(5, 60)))
+    frame = frame.lag("x", int(lag := rng.integers(1, 5)), "l").ewma("x", "e", com=2, shift=1).with_column("f", F.col("x"))
+    got = by_id(frame.fill(["f"], ["bfill", "ffill", 0]).row_number("n").result(), "l", "e", "f", "n")
+    g = grouped(pdf, "k")
+    expected = pd.DataFrame(
+        {
+            "l": g["x"].shift(lag),
+            "e": g["x"].transform(lambda s: s.shift(1).ewm(2).mean()),
+            "f": g["x"].transform(lambda s: s.bfill().ffill().fillna(0)),
+            "n": g.cumcount() + 1,
+        }
+    )
+    check(got, expected)
