@@ -51,19 +51,23 @@ def ordered_split(
 ) -> tuple[DataFrame, DataFrame]:
     """The first ``floor(n * fraction)`` rows in order, and the rest.
 
-    Both are filters on the order columns, which must be unique together and without nulls:
-    the rows themselves are neither sorted nor shuffled.
+    Both are filters on the order columns, which must be unique together: the rows themselves
+    are neither sorted nor shuffled. Nulls come first in the order.
     """
     order_by = list(order_by)
     size = math.floor(df.count() * fraction)
     last = row_at(df, order_by, size, rows_per_block) if size else None
     if last is None:
         return df.where(F.lit(False)), df
+    edge = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in order_by])
+    in_head = F.struct(*order_by) <= edge
+    head, tail = df.where(in_head), df.where(~in_head)
+    first, value = F.col(order_by[0]), last[order_by[0]]
+    if value is None:
+        return head, tail
     # Comparing the first column by itself as well lets the scan skip files and row groups.
-    first = order_by[0]
-    head = F.struct(*order_by) <= F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in order_by])
-    edge = F.lit(last[first]).cast(df.schema[first].dataType)
-    return df.where((F.col(first) <= edge) & head), df.where((F.col(first) >= edge) & ~head)
+    value = F.lit(value).cast(df.schema[order_by[0]].dataType)
+    return head.where(first.isNull() | (first <= value)), tail.where(first >= value)
 
 
 def indexed_split(

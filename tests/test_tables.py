@@ -118,11 +118,13 @@ def test_samples(spark):
 
 @pytest.mark.parametrize("rows_per_block", [2_000_000, 40])
 def test_split_by_cut_row(spark, rows_per_block):
-    df = spark.range(1003).select((F.col("id") * 37 % 100).alias("t"), "id")
-    ranked = sorted((r.t, r.id) for r in df.collect())
+    t = F.when(F.col("id") % 10 < 8, F.col("id") * 37 % 100)  # a fifth is null
+    df = spark.range(1003).select(t.alias("t"), "id")
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    ranked = sorted(((r.t, r.id) for r in df.collect()), key=key)
     assert tuple(row_at(df, ["t", "id"], 501, rows_per_block)) == ranked[500]
-    for fraction in (0.0, 0.8, 1.0):
+    for fraction in (0.0, 0.1, 0.8, 1.0):
         head, tail = ordered_split(df, fraction, ["t", "id"], rows_per_block)
         size = int(1003 * fraction)
-        assert sorted((r.t, r.id) for r in head.collect()) == ranked[:size]
-        assert sorted((r.t, r.id) for r in tail.collect()) == ranked[size:]
+        assert sorted(((r.t, r.id) for r in head.collect()), key=key) == ranked[:size]
+        assert sorted(((r.t, r.id) for r in tail.collect()), key=key) == ranked[size:]
