@@ -9,7 +9,7 @@ carry table with one row per block.
 * Cut points come from a hash sample of (key, order columns): one narrow scan, no
   shuffle of the data. They cover the full sort tuple, so equal timestamps split too.
 * Every row finds its block by binary search in its key's sorted cut points, which
-  are broadcast. There are never more than ``max_blocks`` of them: beyond it the
+  are broadcast in short pieces. There are never more than ``max_blocks`` of them: beyond it the
   blocks get longer, so the broadcast stays bounded whatever the size of the table.
 * Keys below ``rows_per_block`` have no cut points. If there are none at all, every
   operator below is an ordinary window over the key, with no carry and no join.
@@ -36,6 +36,7 @@ from devicelens.session import cut
 ROWS_PER_BLOCK = 2_000_000
 MAX_BLOCKS = 200_000
 SAMPLE_PER_BLOCK = 32
+FAN = 512
 
 BLOCK = "_block"
 HOT = "_hot"
@@ -54,22 +55,22 @@ def _prefixed(df: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({n: prefix + n for n in names})
 
 
-def _with_block(df: DataFrame, probe: Column, longest: int) -> DataFrame:
-    """Add the number of entries of the sorted array ``_cuts`` that are <= probe; 0 where there is no array.
+def _count_at_or_below(df: DataFrame, cuts: str, probe: Column, longest: int, out: str) -> DataFrame:
+    """Add the number of entries of a sorted array column that are <= probe; 0 where there is no array.
 
     A binary search in jumps of falling powers of two, unrolled into plain expressions: they
     compile with the rest of the stage, a lambda over the array would not.
     """
-    df = df.withColumn(BLOCK, F.lit(0))
+    df = df.withColumn(out, F.lit(0))
     for power in reversed(range(longest.bit_length())):
         jump = 2**power
-        further = F.get(F.col("_cuts"), F.col(BLOCK) + (jump - 1)) <= probe
-        df = df.withColumn(BLOCK, F.col(BLOCK) + F.when(further, jump).otherwise(0))
+        further = F.get(F.col(cuts), F.col(out) + (jump - 1)) <= probe
+        df = df.withColumn(out, F.col(out) + F.when(further, jump).otherwise(0))
     return df
 
 
-def _cut_points(df, keys, order_by, rows_per_block, max_blocks) -> tuple[DataFrame, int, int]:
-    """Cut tuples per busy key as one sorted array, their total number and the longest array."""
+def _cut_points(df, keys, order_by, rows_per_block, max_blocks) -> tuple[DataFrame, int]:
+    """Cut tuples of the busy keys, numbered 1, 2, … per key as ``_i``, and the highest number."""
     modulus = max(1, rows_per_block // SAMPLE_PER_BLOCK)
     stride = max(1, rows_per_block // modulus)
     columns = [*keys, *order_by]
@@ -80,14 +81,40 @@ def _cut_points(df, keys, order_by, rows_per_block, max_blocks) -> tuple[DataFra
     points = cut(
         sample.withColumn("_n", F.row_number().over(in_order))
         .where(F.col("_n") % stride == 0)
-        .withColumn("_n", (F.col("_n") / stride).cast("int"))
+        .withColumn("_i", (F.col("_n") / stride).cast("int"))
+        .drop("_n")
     )
-    total = points.count()
+    total, highest = points.agg(F.count(F.lit(1)), F.max("_i")).first()
     if total > max_blocks:
-        points = points.where(F.col("_n") % math.ceil(total / max_blocks) == 0)
-    cuts = points.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order_by))).alias("_cuts"))
-    longest = cuts.agg(F.max(F.size("_cuts"))).first()[0] if total else 0
-    return cuts, total, longest or 0
+        every = math.ceil(total / max_blocks)
+        points = points.where(F.col("_i") % every == 0).withColumn("_i", (F.col("_i") / every).cast("int"))
+        highest //= every
+    return points, highest or 0
+
+
+def _with_block(df: DataFrame, points: DataFrame, keys, order_by, highest: int) -> DataFrame:
+    """Add the block of each row and whether its key was cut.
+
+    The cut points of a key are searched in two steps, every ``FAN``-th one first, so that a row
+    meets two short arrays and never all cut points of its key.
+    """
+    tuple_ = F.struct(*order_by)
+    points = points.withColumn("_g", (F.col("_i") / FAN).cast("int"))
+    is_coarse = F.col("_i") % FAN == 0
+    df = df.withColumn("_top", F.lit(0))
+    if highest >= FAN:
+        coarse = points.where(is_coarse).groupBy(*keys).agg(F.array_sort(F.collect_list(tuple_)).alias("_cuts"))
+        coarse = _prefixed(coarse, keys, "_k_")
+        df = df.drop("_top").join(F.broadcast(coarse), null_safe(keys, "_k_"), "left").drop(*["_k_" + k for k in keys])
+        df = _count_at_or_below(df, "_cuts", tuple_, highest // FAN, "_top").drop("_cuts")
+    # Each group has a row, if only for its first, coarse point; that one is not listed again.
+    fine = points.groupBy(*keys, "_g").agg(F.array_sort(F.collect_list(F.when(~is_coarse, tuple_))).alias("_cuts"))
+    fine = _prefixed(fine, keys, "_k_")
+    on = null_safe(keys, "_k_") & (F.col("_top") == F.col("_g"))
+    df = df.join(F.broadcast(fine), on, "left").drop("_g", *["_k_" + k for k in keys])
+    df = _count_at_or_below(df, "_cuts", tuple_, min(highest, FAN - 1), BLOCK)
+    df = df.withColumns({BLOCK: F.col("_top") * FAN + F.col(BLOCK), HOT: F.col("_cuts").isNotNull()})
+    return df.drop("_cuts", "_top")
 
 
 def ordered(
@@ -106,13 +133,10 @@ def ordered(
     if not keys:
         df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
     order_by = list(order_by)
-    cuts, total, longest = _cut_points(df, keys, order_by, rows_per_block, max_blocks)
-    if not longest:
-        return OrderedFrame(df, tuple(keys), tuple(order_by), False)
-    cuts = _prefixed(cuts, keys, "_k_")
-    found = df.join(F.broadcast(cuts), null_safe(keys, "_k_"), "left")
-    found = _with_block(found, F.struct(*order_by), longest).withColumn(HOT, F.col("_cuts").isNotNull())
-    return OrderedFrame(found.drop("_cuts", *["_k_" + k for k in keys]), tuple(keys), tuple(order_by), True)
+    points, highest = _cut_points(df, keys, order_by, rows_per_block, max_blocks)
+    if highest:
+        df = _with_block(df, points, keys, order_by, highest)
+    return OrderedFrame(df, tuple(keys), tuple(order_by), bool(highest))
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from devicelens.operators import ordered as module
 from devicelens.operators.ordered import ordered
 
 BLOCKS = [2_000_000, 7, 40]
@@ -140,6 +141,20 @@ def test_cut_points_stay_bounded(sdf):
     assert frame.df.count() == 470
 
 
+@pytest.mark.parametrize("fan", [2, 3, 8])
+def test_cut_points_in_two_steps(sdf, pdf, monkeypatch, fan):
+    monkeypatch.setattr(module, "FAN", fan)
+    frame = ordered(sdf, ["k"], ["t", "id"], 7).row_number("n").lag("id", 2, "l").ewma("x", "y", com=5)
+    got = by_id(frame.result(), "n", "l", "y")
+    g = grouped(pdf, "k")
+    expected = pd.DataFrame(
+        {"n": g.cumcount() + 1, "l": g["id"].shift(2), "y": g["x"].transform(lambda s: s.shift(1).ewm(5).mean())}
+    )
+    check(got, expected)
+    sizes = [r["count"] for r in frame.df.groupBy("k", "_block").count().collect()]
+    assert max(sizes) <= 14 and len(sizes) > 60
+
+
 def test_keyless_series_is_split(sdf, pdf):
     frame = ordered(sdf, [], ["t", "id"], rows_per_block=20).row_number("n")
     assert frame.df.select("_block").distinct().count() > 10
