@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from devicelens.llm import mixing, simhash, warc
 from devicelens.llm.support import table
+from devicelens.session import scratch_path
 
 ORACLES: dict[str, str] = {}
 
@@ -22,4 +25,54 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
     return encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe}
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through the archive: written as records, read back, joined and verified."""
+    archive = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), archive)
+    back = warc.read_archive(spark, archive)
+    return back.select(
+        F.col("id").alias("page_id"),
+        F.length("payload").cast("long").alias("payload_bytes"),
+        warc.base32_of_sha1(F.col("payload")).alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+        "verified",
+    )
+
+
+_FIVE_BITS = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> s) & 31)::INT, 1)"
+ORACLES["op1_warc_archive"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS x,
+    max(page_id) OVER (PARTITION BY html) AS holder
+  FROM p),
+b AS (
+  SELECT *, list_transform(range(0, 8), lambda g: list_sum(list_transform(range(1, 6), lambda k:
+    (strpos('0123456789abcdef', substr(x, (5 * g + k)::INT, 1)) - 1) * power(16, 5 - k)))::BIGINT) AS groups
+  FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(groups, lambda v: array_to_string(list_transform([15, 10, 5, 0], lambda s: {_FIVE_BITS}), '')), '') AS payload_digest,
+  CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = holder THEN NULL ELSE holder END AS refers_to,
+  true AS verified
+FROM b
+"""
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_warc_archive": op1_warc_archive,
+    "op2_mix_sources": op2_mix_sources,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_simhash": op5_simhash,
+}
