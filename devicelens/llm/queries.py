@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicelens.llm import mixing, simhash, warc
+from devicelens.llm import mixing, quality, simhash, toxicity, warc
 from devicelens.llm.support import table
 from devicelens.session import scratch_path
 
@@ -70,9 +70,21 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt outside the held-out fold."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt outside the held-out fold."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_mix_sources": op2_mix_sources,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_simhash": op5_simhash,
+    "op6_toxicity": op6_toxicity,
+    "op10_quality": op10_quality,
 }
