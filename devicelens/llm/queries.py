@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicelens.llm import mixing, quality, simhash, toxicity, warc
+from devicelens.llm import ann, mixing, neardup, quality, simhash, suffixes, toxicity, warc
 from devicelens.llm.support import table
 from devicelens.session import scratch_path
 
@@ -80,11 +80,49 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    return neardup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+"""
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id 20 divides."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What removing repeated strings of 100 bytes leaves of every document."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_mix_sources": op2_mix_sources,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
+    "op7_near_vectors": op7_near_vectors,
+    "op8_nearest": op8_nearest,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
 }

@@ -246,3 +246,15 @@ def near_duplicates(docs: DataFrame, distance: int = 4, id_column: str = "doc_id
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_fp = named.join(lowest, "component").select("fp", "component_id")
     return own.join(of_fp, "fp").select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, distance: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` less all near-duplicates: of each component the row of smallest id stays.
+
+    A row without an id stands behind all rows with one. Of rows with equal ids one stays.
+    """
+    behind = F.lit((1 << 63) - 1) - F.pmod(F.xxhash64(text_column), F.lit(1 << 31))
+    named = docs.select(F.coalesce(F.col(id_column).cast("long"), behind).alias("_id"), F.struct("*").alias("_row"))
+    ids = docs.select(F.coalesce(F.col(id_column).cast("long"), behind).alias("id"), F.col(text_column).alias("text"))
+    kept = near_duplicates(ids, distance, "id", "text").where("id = component_id").select(F.col("id").alias("_id")).distinct()
+    return named.join(kept, "_id", "left_semi").dropDuplicates(["_id"]).select("_row.*")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import sys
 import types
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,3 +52,15 @@ def auc(labels: np.ndarray, scores: np.ndarray) -> float:
     y = labels[order] == 1
     pos, neg = y.sum(), (~y).sum()
     return float((rank[y].sum() - pos * (pos + 1) / 2) / max(1, pos * neg))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 16) -> Iterator[None]:
+    """Within it, planned jobs hand Python so few rows at a time: for rows of a megabyte each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
