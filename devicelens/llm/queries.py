@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicelens.llm import ann, mixing, neardup, quality, simhash, suffixes, toxicity, warc
+from devicelens.llm import ann, extraction, mixing, neardup, quality, simhash, suffixes, toxicity, warc
 from devicelens.llm.support import table
 from devicelens.session import scratch_path
 
@@ -115,10 +115,17 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.fit_extractor(pages))
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_mix_sources": op2_mix_sources,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_main_text": op4_main_text,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
     "op7_near_vectors": op7_near_vectors,
