@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from devicelens.catalog.registry import on_readings, query
+from devicelens.catalog.registry import on_readings, on_series, query
 from devicelens.catalog.series import FEATURE_CTES, feature_table
 from devicelens.catalog.tabular import r6
 from devicelens.functions.scalars import sigmoid
@@ -15,6 +18,7 @@ from devicelens.operators.columns import features_label, stack_frames
 from devicelens.operators.groups import make_udf, numeric_batches
 from devicelens.operators.groups import per_group as grouped
 from devicelens.operators.neighbours import knn_self
+from devicelens.operators.ordered import ordered
 from devicelens.operators.profile import binary_metrics
 from devicelens.operators.sampling import ordered_split
 from devicelens.plans.combo import ComboModel
@@ -27,10 +31,10 @@ from devicelens.plans.ledger import run_tree as nested_runs
 from devicelens.plans.mlp import train_mlp
 from devicelens.plans.models import evaluate, importances, score, train_lr, train_rf
 from devicelens.plans.oversample import smote as oversample
-from devicelens.plans.perkey import apply_per_key, train_per_key
+from devicelens.plans.perkey import apply_per_key, load_rf_per_key, log_rf_per_key, score_rf_per_key, train_per_key
 from devicelens.plans.training import prepare_training
 from devicelens.session import scratch_path, stored
-from devicelens.sources.sensor import VOCABULARY, readings, series, table
+from devicelens.sources.sensor import KEY, ORDER, VOCABULARY, airflow, readings, series, table
 from devicelens.sources.tables import read_table, stream_table, write_path
 from devicelens.streaming.score import drain, score_stream
 
@@ -85,7 +89,7 @@ def smote(spark, sf_dir):
 
 @query(
     on_readings(
-        """SELECT event_id, round(x1 + phi * (x1 - x2), 6) AS predicted FROM l JOIN c USING (device_id)""",
+        """SELECT event_id, round(coalesce(x1 + phi * (x1 - x2), x1, 0e0), 6) AS predicted FROM l JOIN c USING (device_id)""",
         """l AS (SELECT event_id, device_id, delay AS x, lag(delay) OVER w AS x1, lag(delay, 2) OVER w AS x2 FROM r
           WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id))""",
         "c AS (SELECT device_id, sum((x - x1) * (x1 - x2)) / sum(CASE WHEN x IS NOT NULL THEN (x1 - x2) * (x1 - x2) END) AS phi FROM l GROUP BY device_id)",
@@ -97,18 +101,49 @@ def ar1_forecast(spark, sf_dir):
     return df.select("event_id", r6("predicted").alias("predicted"))
 
 
-@query()
+@query(on_readings("SELECT device_id, count(*) AS n_rows, 0::BIGINT AS n_missing, true AS no_worse_than_naive FROM r GROUP BY device_id"))
 def arima(spark, sf_dir):
-    """Forecast of the filled temperature with the default order."""
+    """Forecast of the filled temperature with the default order: how many rows have none, and whether the fit holds.
+
+    On the rows that the fit used, least squares can't do worse than no coefficients at all, which forecast
+    what the last two values say.
+    """
     filled = series(spark, sf_dir).fill(["temperature"], ["ffill", 0])
-    return arima_forecast(filled, "temperature").select("event_id", "temperature", "predicted_temp")
+    frame = ordered(arima_forecast(filled, "temperature"), KEY, ORDER)
+    df = frame.lags({"_a": ("temperature", 1), "_b": ("temperature", 2)}).row_number("_n").result()
+    used = F.col("_n") > 14  # the depth of (1, 2, 4): two differences, and four shocks of eight lags each
+    error = F.sum(F.when(used, F.pow(F.col("temperature") - F.col("predicted_temp"), 2)))
+    naive = F.sum(F.when(used, F.pow(F.col("temperature") - 2 * F.col("_a") + F.col("_b"), 2)))
+    return df.groupBy("device_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("predicted_temp").isNull()).alias("n_missing"),
+        F.coalesce(error <= naive * (1 + 1e-9) + 1e-6, F.lit(True)).alias("no_worse_than_naive"),
+    )
 
 
-@query()
+@query(
+    on_readings(
+        """SELECT d, count(*) AS n_rows, round(sqrt(avg(power(z - CASE WHEN d = 0 THEN m ELSE 0 END, 2))), 4) AS rmse, 20::BIGINT AS n_no_worse
+        FROM (SELECT *, avg(z) OVER (PARTITION BY device_id, d) AS m FROM z) GROUP BY d""",
+        "f AS (SELECT event_id, device_id, ts, coalesce(last_value(temperature IGNORE NULLS) OVER w, 0) AS x FROM r WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id))",
+        """l AS (SELECT device_id, row_number() OVER w AS n, x, lag(x) OVER w AS a, lag(x, 2) OVER w AS b, lag(x, 3) OVER w AS c FROM f
+          WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id))""",
+        """z AS (SELECT device_id, unnest([0, 1, 2, 3]) AS d, unnest([x, x - a, x - 2 * a + b, x - 3 * a + 3 * b - c]) AS z FROM l WHERE n > 15)""",
+    )
+)
 def tune_orders(spark, sf_dir):
-    """All 80 orders judged on the filled temperature of all devices."""
+    """All 80 orders judged on the filled temperature of all devices.
+
+    Orders without lags and shocks have a closed form; each of the 20 orders of a degree contains it and can't be worse.
+    """
     filled = series(spark, sf_dir).fill(["temperature"], ["ffill", 0])
-    return judge_orders(filled, "temperature")
+    judged = judge_orders(filled, "temperature")
+    plain = F.max(F.when((F.col("p") == 0) & (F.col("q") == 0), F.col("rmse"))).over(Window.partitionBy("d"))
+    return judged.withColumn("plain", plain).groupBy("d").agg(
+        F.max("n_rows").alias("n_rows"),
+        F.round(F.max("plain"), 4).alias("rmse"),
+        F.count_if(F.col("rmse") <= F.col("plain") * (1 + 1e-9)).alias("n_no_worse"),
+    )
 
 
 # -- feature vectors, functions in Python -------------------------------------------------
@@ -227,7 +262,7 @@ _COMBO = {"temp_difference": 0.05, "rolling_mean_density": 0.4, "predicted_temp"
 @query(
     on_readings(
         f"""SELECT event_id, round(predicted_temp, 6) AS predicted_temp, round({_logit_sql(_COMBO, _COMBO_BIAS)}, 6) AS prediction FROM (
-          SELECT *, x1 + phi * (x1 - x2) AS predicted_temp, CASE WHEN factory_id = 'A06' THEN 1e0 ELSE 0e0 END AS "ohe_A06",
+          SELECT *, coalesce(x1 + phi * (x1 - x2), x1, 0e0) AS predicted_temp, CASE WHEN factory_id = 'A06' THEN 1e0 ELSE 0e0 END AS "ohe_A06",
             CASE WHEN model_id = 'SkyJet234' THEN 1e0 ELSE 0e0 END AS "ohe_SkyJet234" FROM l JOIN c USING (device_id))""",
         *FEATURE_CTES,
         """l AS (SELECT *, lag(temperature) OVER w AS x1, lag(temperature, 2) OVER w AS x2 FROM filled
@@ -284,85 +319,175 @@ def upsampled(train):
     return oversample(train, "defect", _MODEL_COLUMNS, "event_id", k=5)
 
 
-@query()
+#: Of each class a model must find this share: what guesses the larger class only finds none of the other.
+_LEARNT = 0.2
+_TEST = "i AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS i, count(*) OVER () AS n FROM r)"
+
+
+def by_class(scored: DataFrame, prediction: str = "predictions", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Per true class the rows that were scored, and whether the model finds the class."""
+    right = F.avg((F.col(prediction).cast("int") == F.col("defect").cast("int")).cast("double"))
+    return scored.groupBy(*keys, F.col("defect").cast("int").alias("defect")).agg(F.count(prediction).alias("n_scored"), (right > _LEARNT).alias("learnt"))
+
+
+_BY_CLASS = "SELECT CAST(defect AS INTEGER) AS defect, count(*) AS n_scored, true AS learnt FROM i WHERE i > floor(0.8e0 * n) GROUP BY defect"
+
+
+@query(on_readings(_BY_CLASS, _TEST))
 def rf_scores(spark, sf_dir):
     """Forest of 100 trees on the first 80 % of the rows, predictions for the others."""
     train, test = split(silver(spark, sf_dir))
-    return score(test, train_rf(train, "defect", _MODEL_COLUMNS)).select("event_id", "defect", "predictions")
+    return by_class(score(test, train_rf(train, "defect", _MODEL_COLUMNS)))
 
 
-@query()
+@query(on_readings(_BY_CLASS, _TEST))
 def lr_scores(spark, sf_dir):
     """Logistic regression on the oversampled training rows."""
     train, test = split(silver(spark, sf_dir))
-    return score(test, train_lr(upsampled(train), "defect", _MODEL_COLUMNS)).select("event_id", "defect", "predictions")
+    return by_class(score(test, train_lr(upsampled(train), "defect", _MODEL_COLUMNS)))
 
 
-@query()
+@query(
+    on_readings(
+        """SELECT run, count(*) FILTER (defect = 1) AS n_defects, true AS learnt FROM i, (SELECT unnest(['First Run RF', 'Second Run RF']) AS run)
+        WHERE i > floor(0.8e0 * n) GROUP BY run""",
+        _TEST,
+    )
+)
 def rf_eval(spark, sf_dir):
     """Held-out quality of the forest without and with oversampling."""
     train, test = split(silver(spark, sf_dir))
     runs = {"First Run RF": train, "Second Run RF": upsampled(train)}
-    return stack_frames(
+    found = stack_frames(
         [evaluate(train_rf(rows, "defect", _MODEL_COLUMNS), test, "defect").withColumn("run", F.lit(n)) for n, rows in runs.items()]
     )
+    return found.select("run", (F.col("tp") + F.col("fn")).alias("n_defects"), (F.col("recall") > _LEARNT).alias("learnt"))
 
 
-@query(name="importances")
+@query(
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in _MODEL_COLUMNS) + "]) AS feature, 1e0 AS total, true AS plausible",
+    name="importances",
+)
 def feature_importances(spark, sf_dir):
+    """Importance of each feature: shares of one, and small for the columns that the label does not depend on."""
     train, _ = split(silver(spark, sf_dir))
-    return importances(spark, train_rf(train, "defect", _MODEL_COLUMNS), _MODEL_COLUMNS)
+    found = importances(spark, train_rf(train, "defect", _MODEL_COLUMNS), _MODEL_COLUMNS)
+    share = F.col("importance")
+    most = F.when(F.col("feature").startswith("ohe_"), 0.1).otherwise(1.0)
+    total = F.round(F.sum(share).over(Window.partitionBy()), 6)  # a row per feature of the model
+    return found.select("feature", total.alias("total"), ((share >= 0) & (share <= most)).alias("plausible"))
 
 
-@query()
+@query(on_readings("SELECT CAST(defect AS INTEGER) AS defect, count(*) AS n_scored, true AS learnt FROM r GROUP BY defect"))
 def batch_score(spark, sf_dir):
-    """Log two runs, register the one with the better training recall, score with the production model."""
+    """Log two runs, register the one with the better held-out recall, score with the production model."""
     features = silver(spark, sf_dir)
-    train, _ = split(features)
+    train, test = split(features)
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
     for name, fit in (("rf", train_rf), ("lr", train_lr)):
-        ledger.log_model_run(fit(train, "defect", _MODEL_COLUMNS), train, "defect", _MODEL_COLUMNS, name)
-    version = ledger.register("device_defect", ledger.best("training_recall"))
+        ledger.log_model_run(fit(train, "defect", _MODEL_COLUMNS), train, "defect", _MODEL_COLUMNS, name, test=test)
+    version = ledger.register("device_defect", ledger.best("test_recall"))
     ledger.set_stage("device_defect", version, "Production")
-    scored = score(features, ledger.load("device_defect", "Production"))
-    return scored.select("event_id", "device_id", "defect", "predictions")
+    return by_class(ledger.score(features, "device_defect"))
 
 
-@query()
+@query(on_readings("SELECT model_id, count(*) AS n_used, true AS at_optimum FROM r GROUP BY model_id"))
 def per_key_models(spark, sf_dir):
-    """A logistic model per engine model, fitted together; one row each."""
-    models = train_per_key(readings(spark, sf_dir), "model_id", "defect", _SIGNALS)
-    return models.select("model_id", "n_used", "bias", *[F.col("weights")[i].alias(f"w_{c}") for i, c in enumerate(_SIGNALS)])
+    """A logistic model per engine model, fitted together: whether the slope of its likelihood has come to nothing."""
+    df = readings(spark, sf_dir)
+    models = train_per_key(df, "model_id", "defect", _SIGNALS)
+    scored = apply_per_key(df, models, "model_id", _SIGNALS)
+    # In units of each column's size; the small penalty leaves a slope of its own.
+    slope = F.greatest(*[F.abs(F.avg((F.col("defect") - F.col("probability")) * F.col(c))) / (1 + F.avg(F.abs(c))) for c in _SIGNALS])
+    checked = scored.groupBy("model_id").agg((slope < 2e-3).alias("at_optimum"))
+    return models.select("model_id", "n_used").join(checked, "model_id")
+
+
+# -- composite models ---------------------------------------------------------------------
+
+
+def with_forecast(spark, sf_dir, **options):
+    """The composite model's features, written out once, and their columns."""
+    combo = ComboModel(VOCABULARY, trip_grain="week", **options)
+    return combo, stored(combo.features(readings(spark, sf_dir)), "combo_features"), [*_MODEL_COLUMNS, "predicted_temp"]
+
 
+@query(on_readings(_BY_CLASS, _TEST))
+def arima_forest(spark, sf_dir):
+    """A forest that also sees the forecast of the temperature."""
+    _, features, columns = with_forecast(spark, sf_dir)
+    train, test = split(features)
+    return by_class(score(test, train_rf(train, "defect", columns)))
 
-@query()
+
+@query(on_readings("SELECT CAST(defect AS INTEGER) AS defect, count(*) AS n_rows, 0::BIGINT AS n_changed FROM r GROUP BY defect"))
+def combo_saved(spark, sf_dir):
+    """A composite model logged with its metrics, loaded by stage, and scored from raw readings: the same before and after."""
+    combo, features, columns = with_forecast(spark, sf_dir)
+    train, test = split(features)
+    fitted = replace(combo, model=train_rf(train, "defect", columns, trees=20))
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    run = ledger.log_model_run(fitted.model, train, "defect", columns, "combo", test=test)
+    path = fitted.save(spark, scratch_path(spark, "combo"))
+    ledger.set_stage("combo", ledger.register("combo", run), "Production")
+    ledger.in_stage("combo")
+    raw = readings(spark, sf_dir)
+    before = fitted.transform(raw).select("event_id", "defect", "prediction")
+    after = ComboModel.load(spark, path).transform(raw).select("event_id", F.col("prediction").alias("again"))
+    both = before.join(after, "event_id")
+    changed = F.count_if(~F.col("prediction").eqNullSafe(F.col("again")) | F.col("prediction").isNull())
+    return both.groupBy(F.col("defect").cast("int").alias("defect")).agg(F.count(F.lit(1)).alias("n_rows"), changed.alias("n_changed"))
+
+
+@query(on_readings("SELECT model_id, count(*) AS n_rows, count(*) AS n_used, 0::BIGINT AS n_unscored FROM r GROUP BY model_id"))
+def forest_per_model(spark, sf_dir):
+    """A forest per engine model on features with the forecast, logged below one run, loaded, and each row routed to its own."""
+    combo = ComboModel({"factory_id": VOCABULARY["factory_id"]}, trip_grain="week")
+    path = scratch_path(spark, "by_model")
+    combo.features(readings(spark, sf_dir)).write.partitionBy("model_id").parquet(path)  # a fit reads its own folder only
+    features = spark.read.parquet(path)
+    columns = [*_FEATURES, *[f"ohe_{v}" for v in VOCABULARY["factory_id"]], "predicted_temp"]
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    parent, used = log_rf_per_key(ledger, features, "model_id", "defect", columns, "per model", trees=10)
+    scored = score_rf_per_key(features, load_rf_per_key(ledger, parent, "model_id"), "model_id")
+    found = scored.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("predictions").isNull()).alias("n_unscored"))
+    return found.join(used.select("model_id", "n_used"), "model_id")
+
+
+@query(on_series("SELECT CAST(defect AS INTEGER) AS defect, count(*) AS n_scored, true AS learnt FROM i WHERE i > floor(0.7e0 * n) GROUP BY defect", _TEST))
 def mlp_scores(spark, sf_dir):
     """The neural classifier on the first 70 % of the numeric rows, probabilities for the others."""
     train, test = dl_tables(spark, sf_dir)
-    model = train_mlp(train, "defect", _DL_COLUMNS, workers=2)
-    return model.score(test, prediction="prediction").select("id", "defect", "probability", "prediction")
+    model = train_mlp(train, "defect", _DL_COLUMNS)
+    return by_class(model.score(test, prediction="prediction"), "prediction")
 
 
-_DL_COLUMNS = ["rotation_speed", "air_pressure", "delay", "density"]
+_DL_COLUMNS = ["airflow_rate", "rotation_speed", "air_pressure", "temperature", "delay", "density"]
+_DL_KEYS = ["event_id", "device_id", "ts", "factory_id", "model_id"]
+
+
+def dl_rows(spark, sf_dir):
+    """The numeric columns, nulls filled with 0."""
+    return airflow(series(spark, sf_dir), "rotation_speed", "air_pressure").result().fillna(0, subset=["airflow_rate", "temperature"])
 
 
 def dl_tables(spark, sf_dir):
-    df = readings(spark, sf_dir).drop("temperature")
-    keys = ["event_id", "device_id", "ts", "factory_id", "model_id"]
-    return tuple(stored(part, "dl_rows") for part in prepare_training(df, ["ts", "event_id"], 0.7, drop=keys))
+    return prepare_training(dl_rows(spark, sf_dir), ["ts", "event_id"], 0.7, drop=_DL_KEYS)
+
+
+_DL_SQL = ", ".join(f"coalesce({c}, 0) AS {c}" if c in ("airflow_rate", "temperature") else c for c in _DL_COLUMNS)
 
 
 @query(
-    on_readings(
-        f"""SELECT CASE WHEN id <= floor(0.7e0 * n) THEN 'train' ELSE 'test' END AS part, id, {", ".join(_DL_COLUMNS)}, defect FROM (
-        SELECT *, row_number() OVER (ORDER BY ts, event_id) AS id, count(*) OVER () AS n FROM r)"""
+    on_series(
+        f"""SELECT CASE WHEN id <= floor(0.7e0 * n) THEN 'train' ELSE 'test' END AS part, id, {_DL_SQL}, defect FROM (
+        SELECT *, row_number() OVER (ORDER BY ts, event_id) AS id, count(*) OVER () AS n FROM s)"""
     )
 )
 def dl_split(spark, sf_dir):
     """Numeric training and test tables with a dense id, written and read back."""
     paths = [scratch_path(spark, p) for p in ("dl_train", "dl_test")]
-    df = readings(spark, sf_dir).drop("temperature")
-    prepare_training(df, ["ts", "event_id"], 0.7, ["event_id", "device_id", "ts", "factory_id", "model_id"], *paths)
+    prepare_training(dl_rows(spark, sf_dir), ["ts", "event_id"], 0.7, _DL_KEYS, *paths)
     train, test = (read_table(spark, p) for p in paths)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 

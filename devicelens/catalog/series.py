@@ -47,6 +47,13 @@ def trips(spark, sf_dir):
     return assign_trips(frame, grain="week", out="week_trip").result().select("event_id", "trip_id", "week_trip")
 
 
+@query(on_readings("SELECT event_id, CAST(dense_rank() OVER (ORDER BY temperature NULLS FIRST) AS INTEGER) AS level FROM r"))
+def null_levels(spark, sf_dir):
+    """Dense rank of a column with nulls over the whole table, in blocks; the run of nulls spans several."""
+    frame = ordered(readings(spark, sf_dir), [], ["temperature", "event_id"], rows_per_block=100)
+    return frame.dense_rank(F.col("temperature"), "level").result().select("event_id", "level")
+
+
 @query(on_readings(f"SELECT event_id, row_number() {_W} AS row_num FROM r"))
 def row_num(spark, sf_dir):
     return series(spark, sf_dir).row_number("row_num").result().select("event_id", "row_num")

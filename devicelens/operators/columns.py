@@ -47,13 +47,14 @@ def align_columns(df: DataFrame, expected: Sequence[str], fill: float = 0.0) ->
 
 def fit_vocab(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted distinct values per column; refuses columns with too many. Fit it on training rows and keep it."""
-    vocab = {}
-    for column in columns:
-        values = df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).distinct()
-        found = [r[0] for r in values.limit(max_categories + 1).collect()]
-        if len(found) > max_categories:
+    columns = list(columns)
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    values = df.select(F.inline(pairs)).where("v is not null").distinct()
+    found = values.limit((max_categories + 1) * len(columns)).collect()  # one scan; more rows than this: some column has too many
+    vocab = {c: sorted(r.v for r in found if r.i == i) for i, c in enumerate(columns)}
+    for column, known in vocab.items():
+        if len(known) > max_categories:
             raise ValueError(f"{column} has more than {max_categories} values: not a categorical column")
-        vocab[column] = sorted(found)
     return vocab
 
 

@@ -226,11 +226,14 @@ class OrderedFrame:
             return frame.with_df(frame.df.withColumn(out, local.cast("int")).drop("_v", "_new"))
         values = frame.df.where(F.col(HOT)).groupBy(*self.keys, BLOCK, "_v").count()
         pieces = values.groupBy(*self.keys, BLOCK).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_first"), F.max("_v").alias("_last")
+            F.count(F.lit(1)).alias("_n"),
+            F.when(~F.bool_or(F.col("_v").isNull()), F.min("_v")).alias("_first"),  # nulls come first in the order
+            F.max("_v").alias("_last"),
         )
         by_block = Window.partitionBy(*self.keys).orderBy(BLOCK)
-        # A value that continues from the previous block must not count twice.
-        repeated = F.coalesce((F.lag("_last").over(by_block) == F.col("_first")).cast("int"), F.lit(0))
+        # A value, or a run of nulls, that continues from the previous block must not count twice.
+        again = (F.row_number().over(by_block) > 1) & F.lag("_last").over(by_block).eqNullSafe(F.col("_first"))
+        repeated = again.cast("int")
         carries = (
             pieces.withColumn("_rep", repeated)
             .withColumn("_more", F.col("_n") - F.col("_rep"))
@@ -248,7 +251,9 @@ class OrderedFrame:
         pieces = self._pieces(within, {"_s": F.sum(column)})
         carries = pieces.withColumn("_before", F.sum("_s").over(self._earlier(within)))
         joined = self._carried(carries, within, ["_before"])
-        return self.with_df(joined.withColumn(out, local + F.coalesce("_before", F.lit(0))).drop("_before"))
+        # Nulls at the head of a block leave the sum of the blocks before.
+        total = F.coalesce(local + F.coalesce("_before", F.lit(0)), F.col("_before"))
+        return self.with_df(joined.withColumn(out, total).drop("_before"))
 
     def group_sum(self, value: Column, out: str, within: Sequence[str] = ()) -> OrderedFrame:
         """Sum over the whole run, on each of its rows."""

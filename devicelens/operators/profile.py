@@ -115,13 +115,12 @@ def group_quantiles(
 
 QUARTERS = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 BRACKET = 1e-3
-SMALL = 100_000
 
 
-def describe(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy: int = 10_000, small: int = SMALL) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column, nulls left out.
 
-    Large tables are not shuffled for the quartiles: the first scan, which also takes the other
+    The table is not shuffled for the quartiles: the first scan, which also takes the other
     measures, brackets each of them by a sketch; the second counts what lies below the brackets
     and ranks only the few values inside. ``exact=False`` stops after the first scan.
     """
@@ -139,8 +138,8 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy
     if not exact:
         quarters = {c: {q: (s or [None] * len(wanted))[3 * j + 1] for j, q in enumerate(QUARTERS)} for c, s in sketches.items()}
     else:
-        quarters = _ranked_in_brackets(df, columns, sizes, sketches) if max(sizes.values()) > small else None
-        if quarters is None:
+        quarters = _ranked_in_brackets(df, columns, sizes, sketches)
+        if quarters is None:  # a bracket missed its quartile
             table = group_quantiles(unpivot(df, columns), ["column_name"], "value", QUARTERS)
             quarters = {r["column_name"]: r.asDict() for r in rows(table)}
     summary = []
@@ -157,12 +156,14 @@ def _ranked_in_brackets(
 ) -> dict[str, dict[str, float]] | None:
     """Exact quartiles from brackets that hold them; None if one does not (then they must be found otherwise)."""
     brackets = [(c, q, sketches[c][3 * j], sketches[c][3 * j + 2]) for c in columns if sizes[c] for j, q in enumerate(QUARTERS)]
+    if not brackets:
+        return {}
     below = df.agg(*[F.count_if(F.col(c).cast("double") < lo).alias(f"b{i}") for i, (c, _, lo, _) in enumerate(brackets)]).first()
     inside = [
         F.struct(F.lit(i).alias("bracket"), F.when(F.col(c).cast("double").between(lo, hi), F.col(c).cast("double")).alias("value"))
         for i, (c, _, lo, hi) in enumerate(brackets)
     ]
-    counts = df.select(F.inline(F.array(*inside))).where("value is not null").groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.select(F.inline(F.filter(F.array(*inside), lambda x: x["value"].isNotNull()))).groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("_n"))
     frame = ordered(counts, ["bracket"], ["value"]).running_sum("_n", "_upto")
     start = F.element_at(F.array(*[F.lit(below[f"b{i}"]) for i in range(len(brackets))]), F.col("bracket") + 1)
     spots = [QUARTERS[q] * (sizes[c] - 1) for c, q, _, _ in brackets]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from devicelens.functions.scalars import unit_hash
 from devicelens.operators.ordered import BLOCK, ROWS_PER_BLOCK, ordered
+from devicelens.session import stored
 
 
 def row_sample(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
@@ -73,7 +74,7 @@ def ordered_split(
 def indexed_split(
     df: DataFrame, fraction: float, order_by: Sequence[str], id_column: str = "id", rows_per_block: int = ROWS_PER_BLOCK
 ) -> tuple[DataFrame, DataFrame]:
-    """The same split of a table that also gets dense row numbers in order."""
-    indexed = global_index(df, order_by, id_column, rows_per_block)
-    last = math.floor(df.count() * fraction)
+    """The same split of a table that also gets dense row numbers in order; it is numbered once, and stored."""
+    indexed = stored(global_index(df, order_by, id_column, rows_per_block), "indexed")
+    last = math.floor(indexed.count() * fraction)
     return indexed.where(F.col(id_column) <= last), indexed.where(F.col(id_column) > last)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 
 from devicelens.operators.columns import one_hot
 from devicelens.operators.ordered import ROWS_PER_BLOCK, ordered
 from devicelens.plans.features import feature_frame
 from devicelens.plans.forecast import DEFAULT_ORDER, Order, arima_forecast
+from devicelens.plans.models import score
 from devicelens.sources.sensor import KEY, ORDER, airflow, assign_trips
 
 
@@ -26,6 +29,7 @@ class ComboModel:
     trip_grain: str = "day"
     predict: Callable[[DataFrame], DataFrame] | None = None
     rows_per_block: int = ROWS_PER_BLOCK
+    model: PipelineModel | None = None
 
     def features(self, readings: DataFrame) -> DataFrame:
         frame = assign_trips(ordered(readings, KEY, ORDER, self.rows_per_block), grain=self.trip_grain)
@@ -35,4 +39,22 @@ class ComboModel:
 
     def transform(self, readings: DataFrame) -> DataFrame:
         df = self.features(readings)
-        return self.predict(df) if self.predict else df
+        if self.predict:
+            return self.predict(df)
+        return score(df, self.model, "prediction") if self.model else df
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Write vocabulary, order, trip grain and fitted model below ``path``; a bare function cannot be saved."""
+        if self.predict:
+            raise ValueError("only a fitted model can be saved, not a function")
+        parts = {"vocab": {k: list(v) for k, v in self.vocab.items()}, "order": list(self.order), "trip_grain": self.trip_grain, "rows_per_block": self.rows_per_block, "fitted": self.model is not None}
+        spark.createDataFrame([(json.dumps(parts),)], "config string").coalesce(1).write.parquet(f"{path}/config")
+        if self.model:
+            self.model.write().save(f"{path}/model")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ComboModel:
+        parts = json.loads(spark.read.parquet(f"{path}/config").first()["config"])
+        model = PipelineModel.load(f"{path}/model") if parts["fitted"] else None
+        return cls(parts["vocab"], tuple(parts["order"]), parts["trip_grain"], None, parts["rows_per_block"], model)

@@ -57,9 +57,11 @@ def _undo(values: Sequence[Column], d: int) -> Column:
 
 
 def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDER, out: str = "predicted_temp") -> DataFrame:
-    """Add the in-sample one-step forecast of each row; null until all lags it needs are known.
+    """Add the in-sample one-step forecast of each row.
 
-    The column should have no nulls (fill or drop them first). One model is fitted per key.
+    The column should have no nulls (fill or drop them first). One model is fitted per key. A row that lacks
+    some of the lags, at the head of its key, gets what the highest known difference says if it does not change
+    (the last value, when only that is known), and the first row of a key gets 0.
     """
     p, d, q = order
     m = _long_order(p, q)
@@ -71,7 +73,8 @@ def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDE
         df = df.withColumn("_all", F.lit(0))
     z = [f"_z{j}" for j in range(depth - d + 1)]
     df = df.withColumns({n: nth_difference(x[j : j + d + 1], d) for j, n in enumerate(z)})
-    df = df.withColumn("_undo", _undo(x, d)).drop(*[f"_x{i}" for i in range(1, depth + 1)])
+    without_shocks = [_undo(x, k) for k in range(d, 0, -1)] + ([x[1]] if depth else [])
+    df = df.withColumns({"_undo": _undo(x, d), "_plain": F.coalesce(*without_shocks, F.lit(0.0))}).drop(*[f"_x{i}" for i in range(1, depth + 1)])
     constant = [F.lit(1.0)] if d == 0 else []
     spent = ["_undo", *z]
     shocks: list[Column] = []
@@ -88,7 +91,7 @@ def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDE
         spent.append("_short")
     else:
         predicted = F.lit(0.0)
-    return df.withColumn(out, predicted + F.col("_undo")).drop(*spent, "_all")
+    return df.withColumn(out, F.coalesce(predicted + F.col("_undo"), F.col("_plain"))).drop(*spent, "_plain", "_all")
 
 
 def _fit(df: DataFrame, keys: list[str], terms: Sequence[Column], target: Column, out: str) -> DataFrame:

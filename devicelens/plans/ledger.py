@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,14 +145,19 @@ class Ledger:
         name: str,
         parent_run_id: str | None = None,
         tags: Mapping[str, str] | None = None,
+        test: DataFrame | None = None,
     ) -> str:
-        """Save a fitted model and log what can be logged by itself: parameters, training metrics, signature."""
+        """Save a fitted model and log what can be logged by itself: parameters, metrics, signature.
+
+        With held-out rows the metrics are those on them (``test_recall``); else on the training rows (``training_recall``).
+        """
         run_id = uuid.uuid4().hex
         path = self._path(f"models/{run_id}")
         model.write().save(path)
-        found = rows(binary_metrics(score(train, model, "_p"), "_p", label))[0].asDict()
+        judged, part = (train, "training") if test is None else (test, "test")
+        found = rows(binary_metrics(score(judged, model, "_p"), "_p", label))[0].asDict()
         params = {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
-        metrics = {f"training_{k}": v for k, v in found.items()}
+        metrics = {f"{part}_{k}": v for k, v in found.items()}
         return self.log_run(name, params, metrics, tags, path, parent_run_id, train.select(*columns), run_id)
 
     def runs(self) -> DataFrame:
@@ -196,21 +201,31 @@ class Ledger:
     def stages(self) -> DataFrame:
         return current_stage(self._read("stages", STAGES), ["seq"])
 
-    def resolve(self, name: str, stage: str = "Production") -> str:
-        """Model path of the highest version that is in the stage now."""
+    def in_stage(self, name: str, stage: str = "Production") -> Row:
+        """Model path and signature of the highest version that is in the stage now."""
         here: Column = (F.col("name") == name) & (F.col("stage") == stage)
         found = (
             self.stages().where(here)
             .join(self.versions(), ["name", "version"])
             .join(self.runs(), "run_id")
             .orderBy(F.col("version").desc())
-            .select("model_path")
+            .select("model_path", "signature")
             .limit(1)
         )
-        path = rows(found)
-        if not path:
+        row = rows(found)
+        if not row:
             raise LookupError(f"no version of {name} in stage {stage}")
-        return path[0]["model_path"]
+        return row[0]
+
+    def resolve(self, name: str, stage: str = "Production") -> str:
+        return self.in_stage(name, stage)["model_path"]
 
     def load(self, name: str, stage: str = "Production") -> PipelineModel:
         return PipelineModel.load(self.resolve(name, stage))
+
+    def score(self, df: DataFrame, name: str, stage: str = "Production", out: str = "predictions") -> DataFrame:
+        """Predictions by the model in the stage; refuses a frame that does not have the columns of its signature."""
+        row = self.in_stage(name, stage)
+        if row["signature"]:
+            check_signature(df, row["signature"])
+        return score(df, PipelineModel.load(row["model_path"]), out)

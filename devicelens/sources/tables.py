@@ -81,15 +81,11 @@ def table_names(user: str, schema: str = "telemetry") -> dict[str, str]:
     # The keys and suffixes that jobs refer to.
     tables = {
         "bronze_table": "sensor_bronze",
-        "defect_table": "defect_bronze",
         "silver_table": "sensor_silver",
         "silver_features": "features_table",
-        "gold_table": "sensor_gold",
         "predictions_table": "predictions",
-        "tuned_bronze_table": "sensor_bronze_clustered",
     }
     folders = {
-        "csv_staging": "csv_staging",
         "checkpoint_location": "sensor_checkpoints",
         "train_table": "train_table",
         "test_table": "test_table",

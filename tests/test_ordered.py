@@ -186,3 +186,22 @@ def test_random_series(spark, seed):
         }
     )
     check(got, expected)
+
+
+@pytest.mark.parametrize("rows_per_block", [4, 7, 1000])
+@pytest.mark.parametrize("nulls", [0, 12, 40])
+def test_nulls_in_the_order_span_blocks(spark, rows_per_block, nulls):
+    """A run of null order values over several blocks is one value, and all operators still agree with one block."""
+    rows = [(i, None if i < nulls else float(i // 3), float(i % 5) if i % 4 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v double, x double").withColumn("k", F.lit("a"))
+
+    def table(size):
+        frame = ordered(df, ["k"], ["v", "id"], size)
+        frame = frame.dense_rank(F.col("v"), "rank").row_number("n").running_sum("x", "s").lags({"l": ("x", 3)})
+        frame = frame.fill(["x"], ["ffill"]).ewma("x", "m", com=2)
+        return [tuple(round(c, 9) if isinstance(c, float) else c for c in r) for r in frame.result().orderBy("id").collect()]
+
+    got = table(rows_per_block)
+    assert got == table(2_000_000)
+    ranks = {r[0]: r[4] for r in got}
+    assert [ranks[i] for i in range(40)] == pd.Series([-1.0 if r[1] is None else r[1] for r in rows]).rank(method="dense").astype(int).tolist()

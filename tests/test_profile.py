@@ -46,9 +46,8 @@ def test_approximate_quantiles(sdf, pdf):
     np.testing.assert_allclose(got, pdf.groupby("k")["x"].median(), atol=0.2)
 
 
-@pytest.mark.parametrize("small", [1_000_000, 0])
-def test_describe(sdf, pdf, small):
-    got = describe(sdf, ["x", "y"], small=small).toPandas().set_index("column_name")
+def test_describe(sdf, pdf):
+    got = describe(sdf, ["x", "y"]).toPandas().set_index("column_name")
     for c in ("x", "y"):
         expected = pdf[c].describe()
         np.testing.assert_allclose(got.loc[c, ["n", "mean", "std", "min", "q25", "q50", "q75", "max"]].astype(float), expected, rtol=1e-9)
@@ -61,7 +60,7 @@ def test_describe_large_table(spark):
     real = profile._ranked_in_brackets
     profile._ranked_in_brackets = lambda *args: found.setdefault("q", real(*args))
     try:
-        got = describe(df, ["a", "b", "c"], small=1000).toPandas().set_index("column_name")
+        got = describe(df, ["a", "b", "c"]).toPandas().set_index("column_name")
     finally:
         profile._ranked_in_brackets = real
     assert found["q"] is not None  # the brackets held all quartiles
