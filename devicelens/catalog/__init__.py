@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from devicelens.catalog import learning, series, tabular
+from devicelens.catalog import learning, series, storage, tabular
 from devicelens.catalog.registry import ORACLES, QUERIES
 
-__all__ = ["queries", "oracles", "learning", "series", "tabular"]
+__all__ = ["queries", "oracles", "learning", "series", "storage", "tabular"]
 
 
 def queries() -> dict:
