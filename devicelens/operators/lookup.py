@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from devicelens.operators.ordered import null_safe
 from devicelens.session import cut
 
-BROADCAST_ROWS = 500_000
+#: A table goes by broadcast up to so many rows, if they also take no more than so many bytes (as JSON).
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 BUSY_SHARE = 1 / 2000
 SAMPLE_FRACTION = 1e-3
+SALTS = 64
 
 
 def lookup(
@@ -24,12 +26,13 @@ def lookup(
     busy_share: float = BUSY_SHARE,
     materialise: bool = True,
     n_rows: int | None = None,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``table`` (at most one row per key) to ``df`` on equal, or equally null, keys.
 
-    A table of up to ``max_broadcast_rows`` rows is broadcast. A larger one is shuffled, but
-    then the keys which hold at least ``busy_share`` of the rows of ``df`` (at most 1/share
-    of them) go by broadcast, so that no task receives more than a small part of the rows.
+    A table of up to ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` is broadcast. A larger one is
+    shuffled, in one join: keys which hold at least ``busy_share`` of the rows of ``df`` (at most 1/share of
+    them) are dealt over ``SALTS`` parts, and their rows of the table are there for each part.
 
     The size must be known first, so the table is materialised: it is small beside ``df``, and
     what it takes to compute it is then done once. Pass False for a table that is stored already,
@@ -40,15 +43,19 @@ def lookup(
         raise ValueError("how must be left or inner")
     if materialise:
         table = cut(table)
-    if n_rows is None:
-        n_rows = table.limit(max_broadcast_rows + 1).count()
-    if n_rows <= max_broadcast_rows:
-        return _join(df, table, on, how, small=True)
-    busy = _busy_keys(df, on, busy_share)
-    busy_rows = _join(table, busy, on, "left_semi", small=True)
-    hot = _join(df, busy, on, "left_semi", small=True)
-    cold = _join(df, busy, on, "left_anti", small=True)
-    return _join(hot, busy_rows, on, how, small=True).unionByName(_join(cold, table, on, how, small=False))
+    if n_rows is None or n_rows <= max_broadcast_rows:
+        known = table.limit(max_broadcast_rows + 1) if n_rows is None else table.limit(1_000)
+        n, size = known.agg(F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct("*"))))).first()
+        size = (size or 0) if n_rows is None else (size or 0) / max(1, n) * n_rows
+        if (n if n_rows is None else n_rows) <= max_broadcast_rows and size <= max_broadcast_bytes:
+            return _join(df, table, on, how, small=True)
+    busy = _busy_keys(df, on, busy_share).withColumn("_busy", F.lit(True))
+    hashed = [F.col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
+    salt = F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
+    left = _join(df, busy, on, "left", small=True).withColumn("_salt", F.when(F.col("_busy"), salt).otherwise(0)).drop("_busy")
+    copies = F.sequence(F.lit(0), F.when(F.col("_busy"), SALTS - 1).otherwise(0))
+    right = _join(table, busy, on, "left", small=True).withColumn("_salt", F.explode(copies)).drop("_busy")
+    return _join(left, right, [*on, "_salt"], how, small=False).drop("_salt")
 
 
 def _join(df: DataFrame, table: DataFrame, on: list[str], how: str, small: bool) -> DataFrame:

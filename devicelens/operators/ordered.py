@@ -86,9 +86,14 @@ def _cut_points(df, keys, order_by, rows_per_block, max_blocks) -> tuple[DataFra
     )
     total, highest = points.agg(F.count(F.lit(1)), F.max("_i")).first()
     if total > max_blocks:
+        # Longer blocks, but a key with few cut points keeps its middle one: no busy key becomes one task again.
         every = math.ceil(total / max_blocks)
-        points = points.where(F.col("_i") % every == 0).withColumn("_i", (F.col("_i") / every).cast("int"))
-        highest //= every
+        own = F.max("_i").over(Window.partitionBy(*keys))
+        middle = (F.col("_own") < every) & (F.col("_i") == F.floor((F.col("_own") + 1) / 2))
+        points = points.withColumn("_own", own).where((F.col("_i") % every == 0) | middle)
+        numbered = F.row_number().over(Window.partitionBy(*keys).orderBy("_i")).cast("int")
+        points = cut(points.withColumn("_j", numbered).drop("_i", "_own").withColumnRenamed("_j", "_i"))
+        highest = points.agg(F.max("_i")).first()[0]
     return points, highest or 0
 
 
