@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from devicelens.llm.support import worker_memo
 
 #: A worker forgets its known words, pieces, machine states or stable pairs when it has this many; they are made again on demand.
-MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 500_000, 500_000, 120_000, 500_000
+MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 300_000, 400_000, 120_000, 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -50,8 +50,8 @@ class _State(dict):
 class Transducer:
     """The lazily determinised machine of a table of ranks."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], memo: float = 1.0):
+        self.ranks, self.memo = ranks, memo
         self.token = {r: t for t, r in ranks.items()}
         # The trie: a child by node and byte, a token (or -1) and whether anything is below by node; the root is 0.
         self.child: dict[int, int] = {}
@@ -133,9 +133,9 @@ class Transducer:
 
     def encode(self, piece: bytes) -> list[int]:
         """Tokens of one piece."""
-        if len(self.number) > MEMO_STATES:
+        if len(self.number) > MEMO_STATES * self.memo:
             self._clear()
-        if len(self.stable_pairs) > MEMO_PAIRS:
+        if len(self.stable_pairs) > MEMO_PAIRS * self.memo:
             self.stable_pairs.clear()
         out: list[int] = []
         state = self.start
@@ -236,16 +236,16 @@ class Codec:
     texts are looked up word by word, each with the space before it; only new words are cut by the pattern.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: float = 1.0):
         import regex
 
-        self.machine = Transducer(ranks)
+        self.machine = Transducer(ranks, memo)
         # In the pattern's dialect white space is the Unicode property; Python's own class has four more characters.
         exact = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.cut = regex.compile(exact).findall
         self.by_words = pattern == PATTERN_OF_WORDS
-        self.pieces = _Memo(lambda p: array("I", self.machine.encode(p.encode("utf-8", "surrogatepass"))).tobytes(), MEMO_PIECES)
-        self.words = _Memo(self._word, MEMO_WORDS)
+        self.pieces = _Memo(lambda p: array("I", self.machine.encode(p.encode("utf-8", "surrogatepass"))).tobytes(), int(MEMO_PIECES * memo))
+        self.words = _Memo(self._word, int(MEMO_WORDS * memo))
         self.token_bytes = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.token_bytes[rank] = token
@@ -270,23 +270,24 @@ class Codec:
         return b"".join(map(self.token_bytes.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
-def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True, memo: float = 1.0) -> DataFrame:
     """One row per document: its ids and the digests of ids and decoded text.
 
     A null text is the empty text: no ids, and the digests of zero bytes. Each row stands for itself, so
     repeated rows give repeated results, a null id stays null, and an empty table gives no rows. Only the
     two named columns are read, so other columns may have any name. The rank table (one vocabulary, fixed
-    size) is broadcast; a worker builds its machine once and keeps it.
+    size) is broadcast; a worker builds its machine once and keeps it. ``memo`` scales what it may remember: less takes
+    less memory and more time, and changes no result.
 
     Columns: the id, ``n_tokens`` long, ``ids_sha256``, ``decoded_sha256`` string, ``decoded_chars`` long
     (code points that the streaming decoder gave), and ``ids`` binary (little-endian 32-bit) if asked for.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)
-    name = f"bpe-{hashlib.sha256(repr((sorted(ranks.items())[:2000], len(ranks), pattern)).encode()).hexdigest()}"
+    name = f"bpe-{hashlib.sha256(repr((sorted(ranks.items())[:2000], len(ranks), pattern, memo)).encode()).hexdigest()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_memo(name, lambda: Codec(shared.value, pattern))
+        codec = worker_memo(name, lambda: Codec(shared.value, pattern, memo))
         for batch in batches:
             n, ids_sha, out_sha, chars, blobs = [], [], [], [], []
             for text in batch.column(1):

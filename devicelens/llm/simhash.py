@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.llm.components import components, lowest_labels
+from devicelens.llm.support import forget_memo
 from devicelens.session import cut
 
 WORDS, SEED, BITS, FANOUT = 4, 42, 64, 8
@@ -58,6 +59,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """The id and ``fp`` (the fingerprint as a signed long) of every row; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_memo()
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64())], [id_column, "fp"])

@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from devicelens.llm.support import forget_memo
 from devicelens.session import cut, scratch_path
 
 #: Bytes of a repeated string, of the gram that anchors compare, of a chunk's texts, and of texts hashed at a time.
-LENGTH, GRAM, CHUNK, PIECE = 100, 32, 12_000_000, 2_000_000
+LENGTH, GRAM, CHUNK, PIECE = 100, 32, 8_000_000, 500_000
 NO_ID = (1 << 63) - 1
 
 
@@ -232,6 +233,7 @@ def repeated(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
 
 def _texts(chunk: pa.Table) -> tuple[list[int], list[bytes]]:
     """Ids and bytes of a chunk's texts, in an order that every pass finds again."""
+    forget_memo()
     chunk = chunk.sort_by([("doc", "ascending"), ("sha", "ascending")])
     return chunk.column("doc").to_pylist(), [t.encode("utf-8", "surrogatepass") for t in chunk.column("text").to_pylist()]
 

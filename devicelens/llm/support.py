@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import zlib
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +23,25 @@ def worker_memo(key: str, make: Callable):
     """An object that a Python worker makes once and keeps for its later tasks.
 
     Functions travel by value, so their module globals last for one task only; tables that are
-    dear to build (a tokenizer's trie) are kept under a name in ``sys.modules`` of the worker.
+    dear to build (a tokenizer's trie) are kept in ``sys.modules`` of the worker. A worker keeps one
+    object: it serves the stages of a pipeline one after the other, and their memos must not add up.
     """
-    home = sys.modules.setdefault("_devicelens_memo", types.ModuleType("_devicelens_memo"))
-    if key not in home.__dict__:
-        home.__dict__[key] = make()
-    return home.__dict__[key]
+    kept = sys.modules.setdefault("_devicelens_memo", types.ModuleType("_devicelens_memo")).__dict__.setdefault("kept", {})
+    if key not in kept:
+        forget_memo()
+        kept[key] = make()
+    return kept[key]
+
+
+def forget_memo() -> None:
+    """Free what an earlier stage left in this worker; for functions that need room and keep nothing themselves."""
+    home = sys.modules.get("_devicelens_memo")
+    kept = home.__dict__.get("kept") if home else None
+    if kept:
+        kept.clear()
+        gc.collect()
+        with suppress(OSError, AttributeError):  # where the C library can give free memory back
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def fold(column: Column, modulus: int) -> Column:

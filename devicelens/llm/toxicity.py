@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.llm.quality import labelled_sample
-from devicelens.llm.support import fold, worker_memo
+from devicelens.llm.support import fold, forget_memo, worker_memo
 from devicelens.session import cut
 
 #: Symbols of the language model: 0 is a word's edge, 1-26 are a-z, 27 is any other letter.
@@ -63,6 +63,7 @@ def count_grams(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``gram``, ``n``: how often each four symbols follow each other, over all rows; each task sends its sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_memo()
         table, total = _symbols(), np.zeros(SYMBOLS**4, np.int64)
         for batch in batches:
             held, size = [], 0
@@ -90,7 +91,7 @@ class Letters:
         p = (c2 + 5 * p) / (c2.sum(-1, keepdims=True) + 5)
         p = (c3 + 5 * p) / (c3.sum(-1, keepdims=True) + 5)
         p = (c4 + 5 * p) / (c4.sum(-1, keepdims=True) + 5)
-        self.log = np.log(p).astype(np.float32).ravel().tolist()
+        self.log = memoryview(np.log(p).astype(np.float32).ravel())
 
     def decode(self, word: str) -> str:
         """The likeliest reading of a word of letters, look-alikes and marks, by Viterbi over its lattice."""
