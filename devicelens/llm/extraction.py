@@ -368,7 +368,10 @@ def training_pages(sentences: list[str], count: int = TRAINING_PAGES, seed: int
 
 def fit_extractor(pages: DataFrame, most: int = SAMPLE_PAGES, html_column: str = "html") -> Trees:
     """Trees fitted on training pages with sentences from at most ``most`` pages, chosen by hash; fixed words if there are none."""
-    rows = pages.select(F.col(html_column).alias("h")).where("h is not null").orderBy(F.xxhash64("h"), "h").limit(most).collect()
+    # The hashes are chosen first, so that only the chosen pages themselves are sent; copies count once.
+    hashed = pages.select(F.col(html_column).alias("h"), F.xxhash64(html_column).alias("k")).where("h is not null")
+    chosen = hashed.select("k").distinct().orderBy("k").limit(most).collect()
+    rows = hashed.where(F.col("k") <= chosen[-1].k).dropDuplicates(["k"]).orderBy("k").collect() if chosen else []
     sentences = sorted({" ".join(html.unescape(s).split()) for r in rows for s in re.findall(r">([^<>]{20,})<", r.h)})
     sentences = [s for s in sentences if s] or ["One line of some words, and then one more.", "Another line stands here, with words of its own."]
     parsed = [parse(p)[0] for p in training_pages(sentences)]
