@@ -42,7 +42,9 @@ MEMO = 400_000
 _EDGE = "\"'`.,;:!?()[]{}<>*#%&$|~_-+=/\\«»“”‘’¿¡…"
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
-_RUN = re.compile(rb"\x01{3,}")
+_RUN = re.compile(rb"\x01{2,}")
+#: Edge characters that stand for no letter.
+_PUNCT = "".join(c for c in _EDGE if c not in LOOKALIKES)
 
 
 def _symbols() -> np.ndarray:
@@ -94,8 +96,11 @@ class Letters:
         self.log = memoryview(np.log(p).astype(np.float32).ravel())
 
     def decode(self, word: str) -> str:
-        """The likeliest reading of a word of letters, look-alikes and marks, by Viterbi over its lattice."""
-        beam = {(0, 0): (0.0, "")}  # (last three symbols, whether the last one may repeat) to (score, letters)
+        """The likeliest reading of a word of letters, look-alikes and marks, by Viterbi over its lattice.
+
+        A space between letters may be dropped or be the edge of a word, which then is a space of the reading.
+        """
+        beam: dict[int, tuple[float, tuple]] = {0: (0.0, ())}  # last three symbols to (score, letters as (those before, last))
         before = ""
         for place, c in enumerate(word):
             ways: list[tuple[str, float]] = []
@@ -106,28 +111,35 @@ class Letters:
                     third = word[place - 2 : place - 1] == c
                     keep, drop = LATER if third else SECOND if word[place + 1 : place + 2] == c else PAIR
                     ways += [(c, keep), ("", drop)]
+            elif c == " ":
+                ways += [("", DROP), (" ", 0.0)]
             else:
                 ways += [(x, SWAP) for x in LOOKALIKES.get(c, "")]
-                if c in MARKS or c == " " or c in "$!|(+":
-                    ways.append(("", DROP if c in MARKS or c == " " else SWAP + DROP))
+                if c in MARKS or c in "$!|(+":
+                    ways.append(("", DROP if c in MARKS else SWAP + DROP))
                 if c in WILD:
                     ways += [(chr(x), HIDE) for x in range(97, 123)]
                 if c == before and c in LOOKALIKES:
                     ways.append(("", SECOND[1]))
                 if not ways:
                     ways.append(("", DROP))
-            grown: dict[tuple[int, int], tuple[float, str]] = {}
-            for (context, _), (score, letters) in beam.items():
+            grown: dict[int, tuple[float, tuple]] = {}
+            for context, (score, letters) in beam.items():
                 for letter, cost in ways:
                     if letter:
-                        at = context * SYMBOLS + symbol(letter)
-                        key, value = (at % SYMBOLS**3, 0), (score + cost + self.log[at], letters + letter)
+                        at = context * SYMBOLS + (0 if letter == " " else symbol(letter))
+                        key, value = at % SYMBOLS**3, score + cost + self.log[at]
                     else:
-                        key, value = (context, 0), (score + cost, letters)
-                    if key not in grown or grown[key][0] < value[0]:
-                        grown[key] = value
+                        key, value = context, score + cost
+                    if key not in grown or grown[key][0] < value:
+                        grown[key] = (value, (letters, letter) if letter else letters)
             beam, before = grown, c
-        return max(((score + self.log[context * SYMBOLS], letters) for (context, _), (score, letters) in beam.items()))[1]
+        letters = max((score + self.log[context * SYMBOLS], context, letters) for context, (score, letters) in beam.items())[2]
+        out = []
+        while letters:
+            letters, letter = letters
+            out.append(letter)
+        return "".join(out[::-1])
 
 
 def strip_edges(token: str) -> str:
@@ -157,6 +169,15 @@ def readings(token: str, letters: Letters) -> list[str]:
     return [letters.decode(core), *plain]
 
 
+def alone(token: str) -> str:
+    """The only character of a token besides punctuation at its ends, if there is one."""
+    for edge in (_PUNCT, _EDGE):
+        core = token.strip(edge)
+        if len(core) == 1:
+            return core
+    return ""
+
+
 def features(word: str) -> list[str]:
     return [word, word[:4] + "*", word[:5] + "*"] if len(word) >= 6 else [word]
 
@@ -192,21 +213,32 @@ class Restorer:
         tokens = text.split()
         out: set = set()
         runs, starts = thrice(text), self.starts
+        lone: dict[str, str] = {}  # tokens of one character, besides punctuation, and that character
         for token in set(tokens):
+            if len(token) == 1:
+                lone[token] = token
+            elif not token.isalpha() and (letter := alone(token)):
+                lone[token] = letter
             core = token if token.isalpha() else token.strip(_EDGE)
             if core.isalpha() and not (runs and _THRICE.search(core)) and (core is token or (token[0] not in "@$(|¡" and token[-1] not in "@$|+")):
                 if starts is None or core[:4] in starts:
                     out.update(self._of_words([core]))
             elif core:
                 out.update(self._of_token(token))
-        single = bytes([len(t) == 1 for t in tokens])
-        if b"\x01\x01\x01" in single:
-            for run in _RUN.finditer(single):
-                letters = tokens[run.start() : run.end()]
-                for spelled in ("".join(letters), " ".join(letters)):
-                    out.update(self._of_words([spelled] if spelled.isalpha() and not _THRICE.search(spelled) else [self.letters.decode(spelled)]))
+        single = bytes([t in lone for t in tokens]) if lone else b""
+        for run in _RUN.finditer(single):
+            self._spelled([lone[t] for t in tokens[run.start() : run.end()]], out)
         return out
 
+    def _spelled(self, parts: list[str], out: set) -> None:
+        """Add the features of what letters with spaces between them may spell: one word, or several."""
+        if sum(p.isalpha() or p in LOOKALIKES for p in parts) < 2:
+            return
+        words = set(readings("".join(parts), self.letters))
+        for spelled in " ".join(parts), " ".join(p for p in parts if p.isalpha() or p in LOOKALIKES):
+            words.update(self.letters.decode(spelled).split())
+        out.update(self._of_words(sorted(words)))
+
 
 @dataclass
 class Model:

@@ -351,6 +351,19 @@ def test_letters_restore_hidden_words(spark):
     assert "idiot" in restorer.of_text("you i d i o t there") and restorer.of_text(None) == set()
 
 
+@pytest.fixture(scope="module")
+def letters(spark):
+    counts = np.zeros(toxicity.SYMBOLS**4, np.int64)
+    for r in toxicity.count_grams(table(spark, "/root/testdata/sf0.01", "documents")).collect():
+        counts[r.gram] = r.n
+    return toxicity.Letters(counts)
+
+
+@pytest.mark.parametrize("text,words", [("what a m o r o n he is", "moron"), ("s c u m i d i o t", "scum idiot"), ("an i d i o t.", "idiot"), ("so s t u p i d, man", "stupid"), ("m . o . r . o . n!", "moron"), ("I a m a n i d i o t", "idiot")])
+def test_spaced_words_beside_others(letters, text, words):
+    assert set(words.split()) <= toxicity.Restorer(letters).of_text(text)
+
+
 def test_grams_count_everything(spark):
     rows = spark.createDataFrame([("ab",), (None,), ("",), ("ab",), ("é1 zz" * 10,)], "text string").repartition(2)
     total = sum(r.n for r in toxicity.count_grams(rows).collect())
