@@ -36,12 +36,16 @@ MARKS, WILD = set(".-_~=/\\,;:'`^·​‌‍­*#%&"), set("*#%&")
 SWAP, DROP, HIDE = -0.7, -0.3, -4.0
 #: Log costs of keeping or dropping a letter that equals the one before: in a pair, as second and as later letter of a longer run.
 PAIR, SECOND, LATER = (0.0, -8.0), (-0.7, -0.5), (-4.0, -0.1)
+#: The same for a pair where a writer doubles letters, and where no pair is a repeat; such readings stand beside the plain one.
+DOUBLED, KEPT = (-1.0, -1.0), (0.0, -np.inf)
 #: Labelled documents that the scorer is fitted on, at most, and features that it may use.
 FIT_DOCUMENTS, FEATURES = 10_000, 600
 MEMO = 400_000
 _EDGE = "\"'`.,;:!?()[]{}<>*#%&$|~_-+=/\\«»“”‘’¿¡…"
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
+_TWICE = re.compile(r"([^\W\d_])\1")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
+_TWICE_ALIKE = re.compile(rf"([{re.escape(''.join(LOOKALIKES))}])\1")
 _RUN = re.compile(rb"\x01{2,}")
 #: Edge characters that stand for no letter.
 _PUNCT = "".join(c for c in _EDGE if c not in LOOKALIKES)
@@ -95,10 +99,12 @@ class Letters:
         p = (c4 + 5 * p) / (c4.sum(-1, keepdims=True) + 5)
         self.log = memoryview(np.log(p).astype(np.float32).ravel())
 
-    def decode(self, word: str) -> str:
+    def decode(self, word: str, pair: tuple[float, float] = PAIR, hide: bool = True, firm: bool = False) -> str:
         """The likeliest reading of a word of letters, look-alikes and marks, by Viterbi over its lattice.
 
-        A space between letters may be dropped or be the edge of a word, which then is a space of the reading.
+        A space between letters may be dropped or be the edge of a word, which then is a space of the reading. ``pair`` has
+        the costs of the letters of a pair; without ``hide`` a mark stands for no letter; ``firm`` look-alikes are letters,
+        but for those that often are punctuation.
         """
         beam: dict[int, tuple[float, tuple]] = {0: (0.0, ())}  # last three symbols to (score, letters as (those before, last))
         before = ""
@@ -109,18 +115,19 @@ class Letters:
                     ways.append((c, 0.0))
                 else:
                     third = word[place - 2 : place - 1] == c
-                    keep, drop = LATER if third else SECOND if word[place + 1 : place + 2] == c else PAIR
+                    keep, drop = LATER if third else SECOND if word[place + 1 : place + 2] == c else pair
                     ways += [(c, keep), ("", drop)]
             elif c == " ":
                 ways += [("", DROP), (" ", 0.0)]
             else:
                 ways += [(x, SWAP) for x in LOOKALIKES.get(c, "")]
-                if c in MARKS or c in "$!|(+":
+                if c in MARKS or c in ("!(" if firm else "$!|(+"):
                     ways.append(("", DROP if c in MARKS else SWAP + DROP))
-                if c in WILD:
+                if c in WILD and hide:
                     ways += [(chr(x), HIDE) for x in range(97, 123)]
                 if c == before and c in LOOKALIKES:
-                    ways.append(("", SECOND[1]))
+                    longer = word[place - 2 : place - 1] == c or word[place + 1 : place + 2] == c
+                    ways.append(("", SECOND[1] if longer else pair[1]))
                 if not ways:
                     ways.append(("", DROP))
             grown: dict[int, tuple[float, tuple]] = {}
@@ -155,18 +162,24 @@ def strip_edges(token: str) -> str:
 
 
 def readings(token: str, letters: Letters) -> list[str]:
-    """The words that a token (in lower case) may stand for: itself if plain, and what is restored if it looks changed."""
-    if _PLAIN.match(token) and not _THRICE.search(token):
-        return [token]
-    core = strip_edges(token)
-    if not core:
+    """The words that a token (in lower case) may stand for: what stands there, and what is restored if it looks changed.
+
+    Look-alikes at the ends are read both as punctuation and as letters, doubled letters both as written and as repeats.
+    """
+    core, full = strip_edges(token), token.strip(_PUNCT)
+    if not any(c.isalpha() or c in LOOKALIKES for c in full):
         return []
-    if _PLAIN.match(core) and not _THRICE.search(core):
-        return [core]
-    if sum(map(str.isalpha, core)) * 3 < len(core) or "://" in core or not any(c in LOOKALIKES or c in MARKS for c in core) and not _THRICE.search(core):
-        return [x for x in re.findall(r"[^\W\d_]+", core)]
-    plain = [x for x in re.findall(r"[^\W\d_]+", core) if len(x) > 2]
-    return [letters.decode(core), *plain]
+    mostly = sum(map(str.isalpha, core)) * 3 >= len(core) and "://" not in core
+    # Of a word in pieces only the longer pieces are words; in a number or an address all of them may be.
+    out = [core] if _PLAIN.match(core) else [x for x in re.findall(r"[^\W\d_]+", core) if len(x) > 2 or not mostly]
+    # A long mask between few letters hides what no lattice can tell: there marks are dropped only.
+    if core and (not _PLAIN.match(core) or _THRICE.search(core)):
+        out.append(letters.decode(core, hide=mostly))
+    if _TWICE.search(core) or _TWICE_ALIKE.search(core):
+        out.append(letters.decode(core, DOUBLED, mostly))
+    if full != core or _TWICE_ALIKE.search(full) or any(c in "$|+" for c in full):
+        out += [letters.decode(full, pair, mostly, True) for pair in (KEPT, DOUBLED)]
+    return list(dict.fromkeys(x for x in out if x))
 
 
 def alone(token: str) -> str:
@@ -182,12 +195,6 @@ def features(word: str) -> list[str]:
     return [word, word[:4] + "*", word[:5] + "*"] if len(word) >= 6 else [word]
 
 
-def thrice(text: str) -> bool:
-    """Whether any character stands three times in a row."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return bool(len(codes) > 2 and ((codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2])).any())
-
-
 class Restorer:
     """Features of whole texts; keeps the readings of changed tokens it has met, up to a bound."""
 
@@ -212,19 +219,19 @@ class Restorer:
         text = (text or "").lower()
         tokens = text.split()
         out: set = set()
-        runs, starts = thrice(text), self.starts
+        starts = self.starts
         lone: dict[str, str] = {}  # tokens of one character, besides punctuation, and that character
         for token in set(tokens):
             if len(token) == 1:
                 lone[token] = token
             elif not token.isalpha() and (letter := alone(token)):
                 lone[token] = letter
-            core = token if token.isalpha() else token.strip(_EDGE)
-            if core.isalpha() and not (runs and _THRICE.search(core)) and (core is token or (token[0] not in "@$(|¡" and token[-1] not in "@$|+")):
+            core = token if token.isalpha() else token.strip(_PUNCT)
+            if core.isalpha() and not _TWICE.search(core):
                 if starts is None or core[:4] in starts:
                     out.update(self._of_words([core]))
             elif core:
-                out.update(self._of_token(token))
+                out.update(self._of_token(core))
         single = bytes([t in lone for t in tokens]) if lone else b""
         for run in _RUN.finditer(single):
             self._spelled([lone[t] for t in tokens[run.start() : run.end()]], out)

@@ -364,6 +364,18 @@ def test_spaced_words_beside_others(letters, text, words):
     assert set(words.split()) <= toxicity.Restorer(letters).of_text(text)
 
 
+@pytest.mark.parametrize("hidden,word", [("1d107", "idiot"), ("h473", "hate"), ("i...d...i...o...t", "idiot"), ("iiddiioott", "idiot"), ("sttuppidd", "stupid"), ("idioot", "idiot"), ("a$$", "ass"), ("a$$!", "ass"), ("$$cum", "scum"), ("id!ot!!", "idiot")])
+def test_no_token_is_kept_from_the_lattice(letters, hidden, word):
+    restorer = toxicity.Restorer(letters)
+    assert word in toxicity.readings(hidden, letters) and word in restorer.of_text(f"so {hidden}, he said")
+
+
+@pytest.mark.parametrize("token,plain", [("letter", "letter"), ("10000km", "km"), ("(word", "word"), ("word!!", "word"), ("http://a.example/moron", "moron"), ("i##########d", "id")])
+def test_plain_readings_stay(letters, token, plain):
+    assert plain in toxicity.readings(token, letters)
+    assert not toxicity.readings("--*--", letters)
+
+
 def test_grams_count_everything(spark):
     rows = spark.createDataFrame([("ab",), (None,), ("",), ("ab",), ("é1 zz" * 10,)], "text string").repartition(2)
     total = sum(r.n for r in toxicity.count_grams(rows).collect())
