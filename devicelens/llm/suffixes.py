@@ -13,7 +13,9 @@ context is all bytes of these windows.
    out: of two suffixes the one that shares more is smaller, and only where they share as much are bytes compared, from
    there on. In the merged order suffixes with equal grams stand together, and windows that also occur
    earlier become spans.
-5. Spans go back to their chunk, which cuts them out.
+5. A gram with more than ``HOT`` anchors in all goes another way, as its suffixes would be one group in one task: chunks
+   send the SHA-256 of each of its windows, equal windows of a chunk once, and Spark takes the first place of each.
+6. Spans go back to their chunk, which cuts them out.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from devicelens.session import cut, scratch_path
 
 #: Bytes of a repeated string, of the gram that anchors compare, of a chunk's texts, and of texts hashed at a time.
 LENGTH, GRAM, CHUNK, PIECE = 100, 32, 8_000_000, 500_000
+#: Anchors of one gram that one task compares, at most, and windows of other grams that a chunk sends as one row.
+HOT, WINDOWS = 100_000, 5_000
 NO_ID = (1 << 63) - 1
 
 
@@ -231,6 +235,28 @@ def repeated(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
                     low = d
 
 
+def window_spans(windows: Iterator[tuple[bytes, int, int, int]], length: int) -> tuple[dict[bytes, list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
+    """Of (hash, doc, place, row): the first (doc, place, row) by hash, ties included, and spans (row, start, end) of the later ones."""
+    first: dict[bytes, list[tuple[int, int, int]]] = {}
+    later: list[tuple[int, int]] = []
+    for window, *mine in windows:
+        old = first.setdefault(window, [])
+        if not old or mine[:2] == list(old[0][:2]):
+            old.append(tuple(mine))
+        elif tuple(mine) < old[0]:
+            later += [(row, place) for _, place, row in old]
+            first[window] = [tuple(mine)]
+        else:
+            later.append((mine[2], mine[1]))
+    spans: list[tuple[int, int, int]] = []
+    for row, place in sorted(later):  # windows that meet are one span
+        if spans and spans[-1][0] == row and place <= spans[-1][2]:
+            spans[-1] = (row, spans[-1][1], place + length)
+        else:
+            spans.append((row, place, place + length))
+    return first, spans
+
+
 def _texts(chunk: pa.Table) -> tuple[list[int], list[bytes]]:
     """Ids and bytes of a chunk's texts, in an order that every pass finds again."""
     forget_memo()
@@ -238,7 +264,7 @@ def _texts(chunk: pa.Table) -> tuple[list[int], list[bytes]]:
     return chunk.column("doc").to_pylist(), [t.encode("utf-8", "surrogatepass") for t in chunk.column("text").to_pylist()]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text", chunk_bytes: int = CHUNK, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text", chunk_bytes: int = CHUNK, with_text: bool = False, hot: int = HOT) -> DataFrame:
     """Per row the id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` (and ``kept_text`` if asked for).
 
     Texts are UTF-8 bytes, null is empty. A byte goes if it lies in a string of ``length`` bytes that also starts earlier:
@@ -261,7 +287,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     try:
         # Columnar and in the shared folder: what comes back no longer needs the bucketed table.
         path = scratch_path(spark, "suffix-kept")
-        kept = _without_repeats(texts, chunks, length, gram, with_text)
+        kept = _without_repeats(texts, chunks, length, gram, with_text, hot)
         kept.write.option("compression", "zstd").parquet(path)
         done = spark.read.schema(kept.schema).parquet(path)
     finally:
@@ -282,11 +308,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     return joined.select(*columns)
 
 
-def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_text: bool) -> DataFrame:
+def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_text: bool, hot: int) -> DataFrame:
     """``sha``, ``removed``, ``spans``, ``digest``, ``kept`` of each text of the chunks."""
 
     def grams_of(chunk: pa.Table) -> pa.Table:
-        """The chunk's gram hashes by part, sorted, and which of them it has more than once."""
+        """The chunk's gram hashes by part, sorted, and how often it has each."""
         _, found = _texts(chunk)
         each = [anchors(group, length, gram)[4] for _, group in pieces_of(found, PIECE)]
         keys, count = np.unique(np.concatenate(each), return_counts=True) if each else (np.zeros(0, np.uint64), np.zeros(0, int))
@@ -295,7 +321,7 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
         keys, count, part = keys[order], count[order], part[order]
         cuts = np.flatnonzero(np.diff(part)) + 1
         number = chunk.column("chunk")[0].as_py()
-        out = [(number, int(p[0]), k.tobytes(), (c > 1).tobytes()) for p, k, c in zip(np.split(part, cuts), np.split(keys, cuts), np.split(count, cuts)) if len(p)]
+        out = [(number, int(p[0]), k.tobytes(), c.astype(np.uint32).tobytes()) for p, k, c in zip(np.split(part, cuts), np.split(keys, cuts), np.split(count, cuts)) if len(p)]
         return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "part", "keys", "more"])
 
     hashes = texts.groupBy("chunk").applyInArrow(grams_of, "chunk int, part int, keys binary, more binary")
@@ -306,17 +332,19 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
         keys = np.frombuffer(b"".join(blobs), np.uint64)
         owner = np.repeat(np.arange(len(blobs)), [len(b) // 8 for b in blobs])
         _, place, count = np.unique(keys, return_inverse=True, return_counts=True)
-        twice = np.bincount(place, np.frombuffer(b"".join(more), bool), len(count)) > 0
-        keep = ((count > 1) | twice)[place]
-        keys, owner = keys[keep], owner[keep]
+        total = np.bincount(place, np.frombuffer(b"".join(more), np.uint32), len(count))
+        keep = (total > 1)[place]
+        keys, owner, many = keys[keep], owner[keep], (total > hot)[place][keep]
         cuts = np.flatnonzero(np.diff(owner)) + 1
-        out = [(number[o[0]], k.tobytes()) for o, k in zip(np.split(owner, cuts), np.split(keys, cuts)) if len(o)]
-        return pa.table([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())], names=["chunk", "keys"])
+        out = [(number[o[0]], k.tobytes(), k[m].tobytes()) for o, k, m in zip(np.split(owner, cuts), np.split(keys, cuts), np.split(many, cuts)) if len(o)]
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "keys", "hot"])
 
-    shared = hashes.groupBy("part").applyInArrow(shared_of, "chunk int, keys binary")
+    # Cut, as it is looked at for hot grams first: a few bytes per anchor.
+    shared = cut(hashes.groupBy("part").applyInArrow(shared_of, "chunk int, keys binary, hot binary"))
+    any_hot = bool(shared.where("octet_length(hot) > 0").head(1))
 
     def runs_of(key: tuple, chunk: pa.Table, known: pa.Table) -> pa.Table:
-        """Sorted runs of the chunk's suffixes at anchors with a shared gram, by part; part -1 has spans found within the chunk."""
+        """Sorted runs of the chunk's suffixes at anchors with a shared gram, by part; part -1 has spans found within the chunk, part -2 the windows of hot grams."""
         number = key[0].as_py()
         out: list[tuple[int, bytes, bytes]] = []
         if chunk.num_rows and known.num_rows:
@@ -343,12 +371,26 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
                     if mine[:2] < old[:2]:
                         first[context] = mine
                     spans.append((max(mine, old)[2], max(mine, old)[4], max(mine, old)[5] + length))
+            many = set(np.frombuffer(b"".join(known.column("hot").to_pylist()), np.uint64).tolist())
+            windows = (
+                (hashlib.sha256((left + right)[k : k + length]).digest(), d, i + k, row)
+                for (right, left, *_), (d, _, row, v, i, j) in first.items()
+                if v in many
+                for k in range(j - i + 1)
+            )
+            least, found_here = window_spans(windows, length)
+            spans += found_here
             by_part: dict[int, list] = {}
             for (right, left, near, *_), (d, a, row, v, _, _) in first.items():
-                by_part.setdefault(v % parts, []).append((right, left, d, row, a, number, near))
+                if v not in many:
+                    by_part.setdefault(v % parts, []).append((right, left, d, row, a, number, near))
             out = [(p, Run.pack(sorted(records)), b"") for p, records in by_part.items()]
             if spans:
                 out.append((-1, b"", np.array([(number, *s) for s in spans], np.int64).tobytes()))
+            places = [(window, *where) for window, found in least.items() for where in found]
+            for at in range(0, len(places), WINDOWS):
+                some = places[at : at + WINDOWS]
+                out.append((-2, b"".join(p[0] for p in some), np.array([(number, *p[1:]) for p in some], np.int64).tobytes()))
         return pa.table([pa.array([number] * len(out), pa.int32()), *(pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary())))], names=["chunk", "part", "run", "spans"])
 
     runs = cut(texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(runs_of, "chunk int, part int, run binary, spans binary"))
@@ -375,7 +417,7 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
 
     between = runs.where("part >= 0").select("part", "run").groupBy("part").applyInArrow(merged, "chunk int, spans binary")
     # A span of a chunk's own begins with the number of the chunk; the others don't.
-    inside = runs.where("part < 0").select("chunk", "spans")
+    inside = runs.where("part = -1").select("chunk", "spans")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -384,6 +426,28 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
 
     spans = between.unionByName(inside.mapInArrow(own, "chunk int, spans binary"))
 
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per window of the hot grams."""
+        for batch in batches:
+            for windows, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                each = np.frombuffer(places, np.int64).reshape(-1, 4)
+                hashed = pa.array([windows[i : i + 32] for i in range(0, len(windows), 32)], pa.binary())
+                yield pa.RecordBatch.from_arrays([hashed, *(pa.array(c) for c in each.T.copy())], ["window", "chunk", "doc", "place", "row"])
+
+    def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunk, row, place = (c.to_numpy() for c in batch.columns)
+            found = np.stack([chunk, row, place, place + length], 1)
+            yield from by_chunk(found).to_batches()
+
+    if any_hot:
+        # At most a row per window and chunk: equal windows of a chunk are settled there. Minima are combined before the shuffle.
+        each = runs.where("part = -2").select("run", "spans").mapInArrow(opened, "window binary, chunk long, doc long, place long, row long")
+        each = each.withColumn("at", F.struct("doc", "place"))
+        least_of = each.groupBy("window").agg(F.min("at").alias("least"))
+        lost = each.join(least_of, "window").where(F.col("at") > F.col("least")).select("chunk", "row", "place")
+        spans = spans.unionByName(lost.mapInArrow(covered, "chunk int, spans binary"))
+
     def cut_out(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:
         chunk = chunk.sort_by([("doc", "ascending"), ("sha", "ascending")])
         data = [t.encode("utf-8", "surrogatepass") for t in chunk.column("text").to_pylist()]

@@ -229,6 +229,21 @@ def test_suffix_dedup_equals_brute_force(spark, length, gram, chunk):
     assert sorted(str(tuple(r)) for r in got) == plain_repeats(rows, length)
 
 
+@pytest.mark.parametrize("hot,chunk", [(0, 700), (3, 300), (15, 1_500), (15, 100_000)])
+def test_suffix_dedup_of_a_gram_in_very_many_contexts(spark, hot, chunk):
+    """A common phrase with other words around it in most texts, whole passages that come again, and versions of one id."""
+    rng = random.Random(hot + chunk)
+    phrase, passage = "the phrase that stands in nearly all texts ", "a passage of some length with the phrase that stands in nearly all texts of it "
+    rows = []
+    for i in range(60):
+        left, right = ("".join(rng.choices("xyz ü", k=rng.randint(0, 60))) for _ in range(2))
+        rows.append((rng.choice([i, i, max(0, i - 1), None]), left + rng.choice([phrase, phrase, passage]) + right))
+    rows += [*rows[:3], (7, "more " + rows[5][1]), (7, "some " + rows[5][1]), (3, passage * 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffixes.remove_repeats(frame, 60, 20, chunk_bytes=chunk, hot=hot).collect()
+    assert sorted(str(tuple(r)) for r in got) == plain_repeats(rows, 60)
+
+
 def test_op9_whole_table(spark, sf_dir):
     from devicelens.llm.queries import op9_suffix_dedup
 
