@@ -55,17 +55,22 @@ def fingerprint(text: str | None, words_per_shingle: int = WORDS, seed: int = SE
     return int(sum(1 << i for i in np.flatnonzero(2 * count > total).tolist()))
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The id and ``fp`` (the fingerprint as a signed long) of every row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_sha: bool = False) -> DataFrame:
+    """The id and ``fp`` (the fingerprint as a signed long) of every row, ``sha`` (see :func:`text_sha`) if asked for; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_memo()
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64())], [id_column, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64), pa.int64()), *batch.columns[2:]], [id_column, "fp", *batch.schema.names[2:]])
 
-    narrow = docs.select(F.col(id_column).cast("long"), text_column)
-    return narrow.mapInArrow(run, f"`{id_column}` long, fp long")
+    narrow = docs.select(F.col(id_column).cast("long"), text_column, *([text_sha(F.col(text_column)).alias("sha")] if with_sha else []))
+    return narrow.mapInArrow(run, f"`{id_column}` long, fp long" + (", sha string" if with_sha else ""))
+
+
+def text_sha(text: Column) -> Column:
+    """SHA-256 of the text in hexadecimal; null has the empty string."""
+    return F.coalesce(F.sha2(text.cast("binary"), 256), F.lit(""))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -231,6 +236,14 @@ def linked(distinct: DataFrame, count: int, distance: int = 4, tile: int = TILE)
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def grouped(distinct: DataFrame, distance: int, tile: int = TILE) -> DataFrame:
+    """``component`` of each fingerprint of a table of distinct ones (``fp``, ``least``)."""
+    distinct = cut(distinct)
+    found = components(linked(distinct, distinct.count(), distance, tile))
+    named = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return named.select("component", "fp", "least")
+
+
 def near_duplicates(docs: DataFrame, distance: int = 4, id_column: str = "doc_id", text_column: str = "text", tile: int = TILE) -> DataFrame:
     """The id, ``fingerprint`` (16 hexadecimal digits) and ``component_id`` of every row.
 
@@ -240,11 +253,7 @@ def near_duplicates(docs: DataFrame, distance: int = 4, id_column: str = "doc_id
     Repeated rows are given back as they came, an empty table gives no rows, other columns are not read.
     """
     own = cut(fingerprints(docs, id_column, text_column).withColumnRenamed(id_column, "id"))
-    distinct = own.groupBy("fp").agg(F.min("id").alias("least"))
-    distinct = cut(distinct)
-    found = components(linked(distinct, distinct.count(), distance, tile))
-    named = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = named.select("component", "fp", "least")
+    named = grouped(own.groupBy("fp").agg(F.min("id").alias("least")), distance, tile)
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_fp = named.join(lowest, "component").select("fp", "component_id")
     return own.join(of_fp, "fp").select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -253,10 +262,15 @@ def near_duplicates(docs: DataFrame, distance: int = 4, id_column: str = "doc_id
 def one_per_group(docs: DataFrame, distance: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` less all near-duplicates: of each component the row of smallest id stays.
 
-    A row without an id stands behind all rows with one. Of rows with equal ids one stays.
+    Rows are told apart by id and SHA-256 of the text. A row without an id stands behind all rows with one; of equal ids, and
+    of rows without one, the smallest SHA-256 is first. Rows of one id with unlike texts are different rows, of
+    rows equal in id and text one stays.
     """
-    behind = F.lit((1 << 63) - 1) - F.pmod(F.xxhash64(text_column), F.lit(1 << 31))
-    named = docs.select(F.coalesce(F.col(id_column).cast("long"), behind).alias("_id"), F.struct("*").alias("_row"))
-    ids = docs.select(F.coalesce(F.col(id_column).cast("long"), behind).alias("id"), F.col(text_column).alias("text"))
-    kept = near_duplicates(ids, distance, "id", "text").where("id = component_id").select(F.col("id").alias("_id")).distinct()
-    return named.join(kept, "_id", "left_semi").dropDuplicates(["_id"]).select("_row.*")
+    own = fingerprints(docs, id_column, text_column, with_sha=True)
+    row = F.struct(F.col(id_column).isNull().alias("none"), F.coalesce(id_column, F.lit(0)).alias("id"), F.col("sha"))
+    named = grouped(own.groupBy("fp").agg(F.min(row).alias("least")), distance)
+    kept = named.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.none").alias("_none"), F.col("least.id").alias("_id"), F.col("least.sha").alias("_sha"))
+    key = ["_none", "_id", "_sha"]
+    id_ = F.col(id_column).cast("long")
+    rows = docs.select(id_.isNull().alias("_none"), F.coalesce(id_, F.lit(0)).alias("_id"), text_sha(F.col(text_column)).alias("_sha"), F.struct("*").alias("_row"))
+    return rows.join(kept, key, "left_semi").dropDuplicates(key).select("_row.*")

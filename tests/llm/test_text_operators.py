@@ -158,6 +158,32 @@ def test_simhash_odd_rows_and_divided_keys(spark, tile):
     assert sorted(map(str, want)) == sorted(str((r.doc_id, r.fingerprint, r.component_id)) for r in got)
 
 
+def test_one_per_group_keys_rows_by_id_and_whole_text(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(40))
+    # Clean texts without an id whose hashes agree in the 31 bits that once were their stand-in id.
+    low = {}
+    for r in spark.range(200_000).select(F.concat(F.lit("t "), F.sha2(F.col("id").cast("string"), 256)).alias("t")).select("t", F.pmod(F.xxhash64("t"), F.lit(1 << 31)).alias("h")).collect():
+        low.setdefault(r.h, []).append(r.t)
+    twins = next(v for v in low.values() if len(v) > 1)
+    near = text()
+    versions = [(5, f"{near} {w}") for w in ("one", "two", "three", "four", "five", "six")]
+    alone = [(5, text()) for _ in range(6)]
+    rows = [(None, twins[0]), (None, twins[1]), (None, twins[1]), (1, near), *versions, *alone, (9, None), (None, ""), (8, "x y")]
+    codes = [plain_fingerprint(t) for _, t in rows]
+    f = np.array(codes, np.uint64)
+    label = lowest_labels(len(f), *np.nonzero(np.bitwise_count(f[:, None] ^ f[None, :]) <= 4))
+    least = {}
+    for (i, t), c in zip(rows, label):
+        mine = (i is None, i or 0, "" if t is None else hashlib.sha256(t.encode()).hexdigest(), i, t)
+        least[c] = min(least.get(c, mine), mine)
+    for parts in (1, 5):
+        frame = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string").repartition(parts)
+        got = simhash.one_per_group(frame)
+        assert got.columns == frame.columns
+        assert sorted(str((r.doc_id, r.text)) for r in got.collect()) == sorted(str(v[3:]) for v in least.values())
+
+
 def test_forest_equals_brute_force(monkeypatch):
     rng = np.random.default_rng(0)
     for trial in range(25):
