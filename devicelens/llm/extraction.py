@@ -33,6 +33,8 @@ UNREAD = set("script style template noscript head title svg iframe object canvas
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Start tags that end an open element: an open element of the first set ends when one of the second starts.
 CLOSES = [({"p"}, None), ({"li"}, {"li"}), ({"dt", "dd"}, {"dt", "dd"}), ({"tr"}, {"tr", "tbody", "tfoot"}), ({"td", "th"}, {"td", "th", "tr", "tbody", "tfoot"}), ({"option"}, {"option"})]
+#: Start tags that may stand in a head; any other ends it.
+IN_HEAD = set("html head base basefont bgsound link meta noframes noscript script style template title".split())
 ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 
 TAG_GROUPS = [
@@ -71,16 +73,22 @@ class Node:
     children: list = field(default_factory=list)
 
 
+def open_head(stack: list[tuple[str, int]], head: int) -> int:
+    """``head``, the place where one was opened, if it is open still; 0 if not, or if what is open belongs to a template in it."""
+    is_open = 0 < head < len(stack) and stack[head][0] == "head"
+    return head if is_open and not any(name == "template" for name, _ in stack[head:]) else 0
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block-level nodes in page order (the root is 0), and the page's text as (node, piece); a piece "\\n" ends a block.
 
-    Open elements end as HTML says for paragraphs, list items and table parts; an end tag closes up to its element, or
-    nothing if none is open; what is open at the end ends there.
+    Open elements end as HTML says for paragraphs, list items, table parts and the head; an end tag closes up to its
+    element, or nothing if none is open; what is open at the end ends there.
     """
     nodes = [Node("#", -1, 0, 0)]
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("#", 0)]  # open elements with the block they belong to
-    seen, linked, unread, at = 0, 0, 0, 0
+    seen, linked, unread, at, head = 0, 0, 0, 0, 0
     n = len(page)
     while at < n:
         found = _TOKEN.match(page, at)
@@ -88,6 +96,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         tag = found.group(2)
         if tag is None:
             piece = found.group()
+            if unread and stack[-1][0] == "head" and piece[0] != "<" and piece.strip():
+                unread -= 1
+                del stack[-1]
             if not unread and (piece[0] != "<" or len(piece) == 1):
                 text = html.unescape(piece)
                 node = nodes[stack[-1][1]]
@@ -111,6 +122,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                     del stack[i:]
                     break
             continue
+        if unread and tag not in IN_HEAD and open_head(stack, head):
+            for ended, _ in stack[head:]:
+                linked -= ended == "a"
+                unread -= ended in UNREAD
+            del stack[head:]
         if tag in INLINE:
             nodes[stack[-1][1]].tags += 1
             if tag == "br":
@@ -149,8 +165,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in RAW:
             end = re.compile(rf"</{tag}", re.I).search(page, at)
             at = end.start() if end else n
+        elif tag in ("title", "noscript") and unread and open_head(stack, head):
+            # Tags in them are not the head's, if their end tag is there.
+            end = re.compile(rf"</?{tag}\b" if tag == "title" else r"</?noscript\b|</head\b|<body\b", re.I).search(page, at)
+            at = end.start() if end and end.group().lower() == f"</{tag}" else at
         if not attributes.rstrip().endswith("/"):
             unread += tag in UNREAD
+            if tag == "head" and not open_head(stack, head):
+                head = len(stack)
             stack.append((tag, len(nodes) - 1))
     return nodes, out
 

@@ -76,6 +76,20 @@ def test_layouts_not_seen(trees):
     assert extraction.extract_text(page, trees).split("\n") == want
 
 
+@pytest.mark.parametrize("head", ["<title>T</title>", "<title>T <p> and <body> tags</title>", "<title>T", "<meta charset=utf-8><title>T</title><noscript><p>No script</p></noscript><style>p{}</style>", "<title>T</title><noscript><link href=a>", "<template><p>no</p></template><title>T</title>", "<base href=/><script>'<p>'</script>"])
+@pytest.mark.parametrize("body", ["<body>", "", "</head><body>"])
+def test_head_without_its_end(trees, head, body):
+    rest = f"""<div class="nav"><a href=/>Home</a> <a href=/b>B</a></div><article><h1>Name</h1><p>{TEXT}</p><p>{TEXT}</p></article><footer>&copy; Site</footer>"""
+    want = extraction.extract_text(f"<html><head><title>T</title></head><body>{rest}</body></html>", trees)
+    assert TEXT in want
+    assert extraction.extract_text(f"<!doctype html><html><head>{head}{body}{rest}</body></html>", trees) == want
+
+
+def test_text_ends_a_head(trees):
+    _, out = extraction.parse(f"<head><title>T</title>\n{TEXT}<b>bold</b>")
+    assert "".join(t for _, t in out).split("\n")[-1] == f"{TEXT}bold"
+
+
 def test_given_pages_keep_their_article(spark, sf_dir, trees):
     import html
     import re
