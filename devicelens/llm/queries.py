@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicelens.llm import ann, chat, extraction, mixing, neardup, quality, simhash, suffixes, toxicity, warc
+from devicelens.llm import ann, chat, extraction, mixing, neardup, quality, simhash, spelling, suffixes, toxicity, warc
 from devicelens.llm.support import table
 from devicelens.session import scratch_path
 
@@ -158,6 +158,45 @@ FROM m GROUP BY conv_id
 """
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and roots of the words of all documents, some of which lose a letter by the stated rule."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), slip=199)
+
+
+#: For SQL, whose distance counts bytes: one byte for each letter beyond ASCII, none of which a word holds.
+_ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+_BYTES = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.islower() and c not in "'\\")[: len(_ACCENTED)]
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES["op13_spelling_variants"] = f"""
+WITH RECURSIVE r AS (
+  SELECT d, run, count(*) AS n
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{_LETTERS}', '{_LETTERS.lower()}') AS run FROM documents)
+  GROUP BY d, run),
+crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(0, 256) x(i))),
+b AS (
+  SELECT run, n, flatten(list_transform(string_split(d || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS bytes FROM r),
+h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM b, crc),
+w AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(n)::BIGINT AS n FROM h GROUP BY 1),
+v AS (
+  SELECT word, n, translate(word, '{_ACCENTED}', '{_BYTES}') AS code FROM w WHERE length(word) >= 6 AND n >= 5),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM v a JOIN v b ON length(a.code) - length(b.code) BETWEEN -1 AND 1
+  WHERE a.word <> b.word AND levenshtein(a.code, b.code) = 1),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most, min(struct_pack(less := -other_n, other := encode(other))) AS b FROM near GROUP BY word),
+f AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN decode(b.other) END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n FROM v LEFT JOIN best USING (word)),
+up AS (
+  SELECT word, word AS root, form FROM f
+  UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON f.word = up.form)
+SELECT f.word, f.n, f.form, f.form_n, f.n_near, up.root FROM f JOIN up ON up.word = f.word AND up.form IS NULL
+"""
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_mix_sources": op2_mix_sources,
@@ -170,4 +209,5 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
     "op11_chat_format": op11_chat_format,
+    "op13_spelling_variants": op13_spelling_variants,
 }
