@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicelens.llm import ann, chat, extraction, mixing, neardup, quality, simhash, spelling, suffixes, toxicity, warc
+from devicelens.llm import ann, chat, extraction, mixing, neardup, negatives, quality, simhash, spelling, suffixes, toxicity, warc
 from devicelens.llm.support import table
 from devicelens.session import scratch_path
 
@@ -158,6 +158,32 @@ FROM m GROUP BY conv_id
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id 100 divides; those whose id 7 divides have the next label."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id AS id, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forms and roots of the words of all documents, some of which lose a letter by the stated rule."""
     return spelling.spelling_groups(table(spark, sf_dir, "documents"), slip=199)
@@ -209,5 +235,6 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality": op10_quality,
     "op11_chat_format": op11_chat_format,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling_variants": op13_spelling_variants,
 }
