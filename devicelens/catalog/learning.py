@@ -17,7 +17,7 @@ from devicelens.functions.scalars import sigmoid
 from devicelens.operators.columns import features_label, stack_frames
 from devicelens.operators.groups import make_udf, numeric_batches
 from devicelens.operators.groups import per_group as grouped
-from devicelens.operators.neighbours import knn_self
+from devicelens.operators.neighbours import knn_forest, knn_self
 from devicelens.operators.ordered import ordered
 from devicelens.operators.profile import binary_metrics
 from devicelens.operators.sampling import ordered_split
@@ -316,7 +316,7 @@ def split(features):
 
 
 def upsampled(train):
-    return oversample(train, "defect", _MODEL_COLUMNS, "event_id", k=5)
+    return oversample(train, "defect", _MODEL_COLUMNS, "event_id", k=5, search=knn_forest)
 
 
 #: Of each class a model must find this share: what guesses the larger class only finds none of the other.

@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from devicelens.operators.neighbours import knn_self
+from devicelens.operators import neighbours as module
+from devicelens.operators.neighbours import knn_forest, knn_self
 from devicelens.plans.oversample import smote
 
 
@@ -25,13 +26,13 @@ def brute(pdf, columns, k):
     out = {}
     for i in range(len(v)):
         gap = v[i] - v
-        d = (gap[:, 0] ** 2 + gap[:, 1] ** 2) + (gap[:, 2] ** 2 if len(columns) > 2 else 0)
+        d = sum(gap[:, j] ** 2 for j in range(len(columns)))
         order = [j for j in np.lexsort((ids, d)) if j != i][:k]
         out[ids[i]] = [(ids[j], r + 1, np.sqrt(d[j])) for r, j in enumerate(order)]
     return out
 
 
-@pytest.mark.parametrize("rows_per_tile,columns", [(2000, ["x", "y", "z"]), (20, ["x", "y", "z"]), (9, ["x", "y"])])
+@pytest.mark.parametrize("rows_per_tile,columns", [(2000, ["x", "y", "z"]), (20, ["x", "y", "z"]), (9, ["x", "y"]), (15, ["x"])])
 def test_knn_is_exact(spark, rows_per_tile, columns):
     pdf = points()
     found = knn_self(spark.createDataFrame(pdf).repartition(4), columns, "id", 4, rows_per_tile).toPandas()
@@ -56,3 +57,58 @@ def test_smote_parity_and_position(spark):
     for s in made.where(F.col("synthetic")).toPandas()[["x", "y", "z"]].to_numpy():
         detour = min(np.linalg.norm(s - a) + np.linalg.norm(s - b) - np.linalg.norm(a - b) for a, b in pairs)
         assert detour < 1e-9
+
+
+def random_points(spark, n, d, seed=4):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    columns = [f"c{j}" for j in range(d)]
+    pdf = pd.DataFrame(x, columns=columns).assign(id=rng.permutation(n) * 2)
+    return pdf, columns, spark.createDataFrame(pdf).repartition(8)
+
+
+def recall_of(found, pdf, columns, k, queries=150):
+    x, ids = pdf[columns].to_numpy(), pdf["id"].to_numpy()
+    got = found.groupby("id")["neighbour_id"].agg(set)
+    hits = 0
+    for i in range(queries):
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        hits += len(got.get(ids[i], set()) & set(ids[np.argsort(d)[:k]]))
+    return hits / (queries * k)
+
+
+def test_forest_finds_neighbours_in_many_columns(spark):
+    """28 columns without any structure, where every tile would be in reach of every point."""
+    pdf, columns, df = random_points(spark, 12_000, 28)
+    found = knn_forest(df, columns, "id", 5, cell=6_000, leaf=3_000).toPandas()
+    assert (found.groupby("id").size() == 5).all() and found["id"].nunique() == len(pdf)
+    assert recall_of(found, pdf, columns, 5) >= 0.9
+    vectors = pdf.set_index("id")[columns]
+    some = found.head(500)
+    gap = vectors.loc[some["id"]].to_numpy() - vectors.loc[some["neighbour_id"]].to_numpy()
+    np.testing.assert_allclose(some["distance"], np.sqrt((gap * gap).sum(axis=1)), atol=1e-9)
+
+
+def test_forest_cuts_cells_in_rounds(spark, monkeypatch):
+    """Cells of two parts per round, so that there are several rounds, in few columns that the trees follow well."""
+    monkeypatch.setattr(module, "FAN", 4)
+    pdf, columns, df = random_points(spark, 3_000, 3)
+    found = knn_forest(df, columns, "id", 4, trees=8, cell=150, leaf=100).toPandas()
+    assert recall_of(found, pdf, columns, 4) >= 0.9
+
+
+def test_forest_with_copies(spark):
+    pdf = points()
+    found = knn_forest(spark.createDataFrame(pdf).repartition(4), ["x", "y", "z"], "id", 4).toPandas()
+    expected = brute(pdf, ["x", "y", "z"], 4)
+    for ident, group in found.sort_values("rank").groupby("id"):
+        assert list(zip(group["neighbour_id"], group["rank"])) == [(i, r) for i, r, _ in expected[ident]]
+
+
+def test_smote_by_forest_keeps_parity(spark):
+    pdf = points(1, 300)
+    pdf["defect"] = (pdf.index % 7 == 0).astype("int32")
+    made = smote(spark.createDataFrame(pdf), "defect", ["x", "y", "z"], "id", k=3, search=knn_forest, trees=3)
+    balance = {r["defect"]: r["count"] for r in made.groupBy("defect").count().collect()}
+    assert balance[0] == balance[1]
