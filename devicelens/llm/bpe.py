@@ -22,10 +22,11 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from devicelens.llm.support import worker_memo
+from devicelens.llm.support import Memo, worker_memo
 
-#: A worker forgets its known words, pieces, machine states or stable pairs when it has this many; they are made again on demand.
-MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 300_000, 400_000, 120_000, 400_000
+#: A worker forgets its known words or pieces at so many bytes, its machine states (about 700 bytes each) or stable pairs at so many; they are
+#: made again on demand.
+MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 48 << 20, 24 << 20, 80_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -72,12 +73,15 @@ class Transducer:
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[tuple, _State] = {}
-        self.start = self._state(((-1, 0, ()),))
+        first = ((-1, 0, ()),)
+        self.start = _State(self, first)
+        self.number: dict[tuple, _State] = {first: self.start}
 
     def _state(self, configurations: tuple) -> _State:
         found = self.number.get(configurations)
         if found is None:
+            if len(self.number) >= MEMO_STATES * self.memo:
+                self._clear()  # also within a piece: the state it is in goes on by itself
             found = self.number[configurations] = _State(self, configurations)
         return found
 
@@ -133,8 +137,6 @@ class Transducer:
 
     def encode(self, piece: bytes) -> list[int]:
         """Tokens of one piece."""
-        if len(self.number) > MEMO_STATES * self.memo:
-            self._clear()
         if len(self.stable_pairs) > MEMO_PAIRS * self.memo:
             self.stable_pairs.clear()
         out: list[int] = []
@@ -215,20 +217,6 @@ def decode_text(token_bytes: list[bytes], ids: Iterable[int], tokens_per_chunk:
 #: Fixed value: the pattern for which words separated by single spaces can be cut apart first.
 PATTERN_OF_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-class _Memo(dict):
-    """A bounded dictionary that makes what it lacks."""
-
-    def __init__(self, make: Callable, most: int):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.make(key)
-        return value
-
-
 class Codec:
     """Encoder and decoder of a rank table and a pattern.
 
@@ -244,8 +232,8 @@ class Codec:
         exact = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.cut = regex.compile(exact).findall
         self.by_words = pattern == PATTERN_OF_WORDS
-        self.pieces = _Memo(lambda p: array("I", self.machine.encode(p.encode("utf-8", "surrogatepass"))).tobytes(), int(MEMO_PIECES * memo))
-        self.words = _Memo(self._word, int(MEMO_WORDS * memo))
+        self.pieces = Memo(lambda p: array("I", self.machine.encode(p.encode("utf-8", "surrogatepass"))).tobytes(), int(MEMO_PIECES * memo))
+        self.words = Memo(self._word, int(MEMO_WORDS * memo))
         self.token_bytes = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.token_bytes[rank] = token

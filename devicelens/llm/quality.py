@@ -191,10 +191,15 @@ def score_texts(field: Field, texts: list[str]) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``text``, ``y`` of at most ``most`` labelled documents, chosen by the hash of their id."""
+    """``text``, ``y`` of at most ``most`` labelled documents, chosen by the hash of their id.
+
+    Rows of one id with equal texts are one document, and the bound holds for documents too, not only for labels.
+    """
     chosen = labels.where(F.col(label).isin(0, 1)).select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("y"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "y").limit(most)
-    return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text")).join(F.broadcast(chosen), "_id").select("text", "y")
+    chosen = chosen.distinct().orderBy(F.xxhash64("_id"), "y").limit(most)
+    found = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text")).join(F.broadcast(chosen), "_id")
+    found = found.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).dropDuplicates(["_id", "_sha", "y"])
+    return found.orderBy(F.xxhash64("_id"), "_sha", "y").limit(most).select("text", "y")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS, label: str = "quality", id_column: str = "doc_id", text_column: str = "text") -> Field:

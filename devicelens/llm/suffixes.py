@@ -14,12 +14,13 @@ context is all bytes of these windows.
    there on. In the merged order suffixes with equal grams stand together, and windows that also occur
    earlier become spans.
 5. A gram with more than ``HOT`` anchors in all goes another way, as its suffixes would be one group in one task: chunks
-   send the SHA-256 of each of its windows, equal windows of a chunk once, and Spark takes the first place of each.
+   send the SHA-256 of each of its windows, equal windows of a group of texts once, and Spark takes the first place of each.
 6. Spans go back to their chunk, which cuts them out.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import struct
 import uuid
@@ -235,26 +236,41 @@ def repeated(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, i
                     low = d
 
 
-def window_spans(windows: Iterator[tuple[bytes, int, int, int]], length: int) -> tuple[dict[bytes, list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
-    """Of (hash, doc, place, row): the first (doc, place, row) by hash, ties included, and spans (row, start, end) of the later ones."""
-    first: dict[bytes, list[tuple[int, int, int]]] = {}
-    later: list[tuple[int, int]] = []
-    for window, *mine in windows:
-        old = first.setdefault(window, [])
-        if not old or mine[:2] == list(old[0][:2]):
-            old.append(tuple(mine))
-        elif tuple(mine) < old[0]:
-            later += [(row, place) for _, place, row in old]
-            first[window] = [tuple(mine)]
-        else:
-            later.append((mine[2], mine[1]))
+#: A window of a hot gram: its SHA-256, document, first byte, and row in the chunk.
+WINDOW = np.dtype([("sha", "S32"), ("doc", "<i8"), ("place", "<i8"), ("row", "<i8")])
+
+
+def hashed_windows(texts: list[bytes], rows: list[tuple[int, int, int]], doc: list[int], base: int, length: int) -> np.ndarray:
+    """The windows of contexts (row, first and last window start) of a group of texts whose first row is ``base``."""
+    total = sum(high - low + 1 for row, low, high in rows)
+    out, at = np.zeros(total, WINDOW), 0
+    for row, low, high in rows:
+        data, n = texts[row - base], high - low + 1
+        part = out[at : at + n]
+        part["sha"] = [hashlib.sha256(data[k : k + length]).digest() for k in range(low, high + 1)]
+        part["doc"], part["place"], part["row"] = doc[row], np.arange(low, high + 1), row
+        at += n
+    return out
+
+
+def window_spans(windows: np.ndarray, length: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Of some windows: the first by hash, ties of document and place included, and spans (row, start, end) of the later ones."""
+    # Bytes of type S lose zeros at their end: all 32 are compared as four numbers.
+    sha = np.ascontiguousarray(windows["sha"]).view("S1").reshape(len(windows), 32).view("<u8") if len(windows) else np.zeros((0, 4), np.uint64)
+    order = np.lexsort((windows["row"], windows["place"], windows["doc"], *sha.T))
+    windows, sha = windows[order], sha[order]
+    new = np.ones(len(windows), bool)
+    new[1:] = (sha[1:] != sha[:-1]).any(1)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(windows)), 0))
+    first = (windows["doc"] == windows["doc"][head]) & (windows["place"] == windows["place"][head])
+    later = windows[~first]
     spans: list[tuple[int, int, int]] = []
-    for row, place in sorted(later):  # windows that meet are one span
+    for row, place in sorted(zip(later["row"].tolist(), later["place"].tolist())):  # windows that meet are one span
         if spans and spans[-1][0] == row and place <= spans[-1][2]:
             spans[-1] = (row, spans[-1][1], place + length)
         else:
             spans.append((row, place, place + length))
-    return first, spans
+    return windows[first], spans
 
 
 def _texts(chunk: pa.Table) -> tuple[list[int], list[bytes]]:
@@ -352,7 +368,10 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
             keys = np.sort(np.frombuffer(b"".join(known.column("keys").to_pylist()), np.uint64))
             first: dict[tuple, tuple] = {}
             spans: list[tuple[int, int, int]] = []
+            bases, groups = [], []
             for base, group in pieces_of(found, PIECE):
+                bases.append(base)
+                groups.append(group)
                 text, place, low, high, value = anchors(group, length, gram)
                 at = np.minimum(np.searchsorted(keys, value), len(keys) - 1)
                 keep = keys[at] == value
@@ -372,25 +391,27 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
                         first[context] = mine
                     spans.append((max(mine, old)[2], max(mine, old)[4], max(mine, old)[5] + length))
             many = set(np.frombuffer(b"".join(known.column("hot").to_pylist()), np.uint64).tolist())
-            windows = (
-                (hashlib.sha256((left + right)[k : k + length]).digest(), d, i + k, row)
-                for (right, left, *_), (d, _, row, v, i, j) in first.items()
-                if v in many
-                for k in range(j - i + 1)
-            )
-            least, found_here = window_spans(windows, length)
-            spans += found_here
+            # Windows of hot grams: hashed and settled group by group, and sent as they are.
+            held: dict[int, list] = {}
+            for (right, left, *_), (d, _, row, v, i, j) in first.items():
+                if v in many:
+                    held.setdefault(bisect.bisect_right(bases, row) - 1, []).append((row, i, j))
+            for number_of, rows in sorted(held.items()):
+                group = groups[number_of]
+                least, found_here = window_spans(hashed_windows(group, rows, doc, bases[number_of], length), length)
+                spans += found_here
+                for at in range(0, len(least), WINDOWS):
+                    some = least[at : at + WINDOWS]
+                    places = np.stack([np.full(len(some), number), some["doc"], some["place"], some["row"]], 1)
+                    out.append((-2, np.ascontiguousarray(some["sha"]).view("S1").tobytes(), places.astype(np.int64).tobytes()))
             by_part: dict[int, list] = {}
             for (right, left, near, *_), (d, a, row, v, _, _) in first.items():
                 if v not in many:
                     by_part.setdefault(v % parts, []).append((right, left, d, row, a, number, near))
-            out = [(p, Run.pack(sorted(records)), b"") for p, records in by_part.items()]
+            del first
+            out += [(p, Run.pack(sorted(records)), b"") for p, records in by_part.items()]
             if spans:
                 out.append((-1, b"", np.array([(number, *s) for s in spans], np.int64).tobytes()))
-            places = [(window, *where) for window, found in least.items() for where in found]
-            for at in range(0, len(places), WINDOWS):
-                some = places[at : at + WINDOWS]
-                out.append((-2, b"".join(p[0] for p in some), np.array([(number, *p[1:]) for p in some], np.int64).tobytes()))
         return pa.table([pa.array([number] * len(out), pa.int32()), *(pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary())))], names=["chunk", "part", "run", "spans"])
 
     runs = cut(texts.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(runs_of, "chunk int, part int, run binary, spans binary"))
@@ -441,7 +462,7 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
             yield from by_chunk(found).to_batches()
 
     if any_hot:
-        # At most a row per window and chunk: equal windows of a chunk are settled there. Minima are combined before the shuffle.
+        # At most a row per window and group of texts: equal windows of a group are settled there. Minima are combined before the shuffle.
         each = runs.where("part = -2").select("run", "spans").mapInArrow(opened, "window binary, chunk long, doc long, place long, row long")
         each = each.withColumn("at", F.struct("doc", "place"))
         least_of = each.groupBy("window").agg(F.min("at").alias("least"))

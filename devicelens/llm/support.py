@@ -44,6 +44,30 @@ def forget_memo() -> None:
             ctypes.CDLL(None).malloc_trim(0)
 
 
+class Memo(dict):
+    """A dictionary that makes what it lacks, forgets everything at so many bytes, and does not keep long entries.
+
+    Keys and values are counted by their length (four bytes a character, if they are no bytes) and ``ENTRY`` for what holds them.
+    """
+
+    ENTRY, LONGEST = 200, 512
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.size = make, most, 0
+
+    def __missing__(self, key):
+        value = self.make(key)
+        length = len(key) + 8 * len(value or ())
+        if length <= self.LONGEST:
+            self.size += length + self.ENTRY
+            if self.size > self.most:
+                self.clear()
+                self.size = length + self.ENTRY
+            self[key] = value
+        return value
+
+
 def fold(column: Column, modulus: int) -> Column:
     """``crc32`` of the value as text, modulo ``modulus``; null counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus

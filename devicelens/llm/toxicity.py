@@ -9,6 +9,7 @@ scores the text together with what was restored.
 
 from __future__ import annotations
 
+import heapq
 import re
 import uuid
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.llm.quality import labelled_sample
-from devicelens.llm.support import fold, forget_memo, worker_memo
+from devicelens.llm.support import Memo, fold, forget_memo, worker_memo
 from devicelens.session import cut
 
 #: Symbols of the language model: 0 is a word's edge, 1-26 are a-z, 27 is any other letter.
@@ -40,7 +41,8 @@ PAIR, SECOND, LATER = (0.0, -8.0), (-0.7, -0.5), (-4.0, -0.1)
 DOUBLED, KEPT = (-1.0, -1.0), (0.0, -np.inf)
 #: Labelled documents that the scorer is fitted on, at most, and features that it may use.
 FIT_DOCUMENTS, FEATURES = 10_000, 600
-MEMO = 400_000
+#: Bytes of known tokens that a worker keeps, and contexts that decoding follows at each character.
+MEMO, BEAM = 24 << 20, 256
 _EDGE = "\"'`.,;:!?()[]{}<>*#%&$|~_-+=/\\«»“”‘’¿¡…"
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
 _TWICE = re.compile(r"([^\W\d_])\1")
@@ -102,6 +104,8 @@ class Letters:
     def decode(self, word: str, pair: tuple[float, float] = PAIR, hide: bool = True, firm: bool = False) -> str:
         """The likeliest reading of a word of letters, look-alikes and marks, by Viterbi over its lattice.
 
+        At each character the ``BEAM`` likeliest contexts are followed; without marks that hide letters there are never so many.
+
         A space between letters may be dropped or be the edge of a word, which then is a space of the reading. ``pair`` has
         the costs of the letters of a pair; without ``hide`` a mark stands for no letter; ``firm`` look-alikes are letters,
         but for those that often are punctuation.
@@ -140,6 +144,8 @@ class Letters:
                         key, value = context, score + cost
                     if key not in grown or grown[key][0] < value:
                         grown[key] = (value, (letters, letter) if letter else letters)
+            if len(grown) > BEAM:  # only where marks hide letters: each opens 26 ways
+                grown = dict(heapq.nlargest(BEAM, grown.items(), key=lambda x: (x[1][0], -x[0])))
             beam, before = grown, c
         letters = max((score + self.log[context * SYMBOLS], context, letters) for context, (score, letters) in beam.items())[2]
         out = []
@@ -199,21 +205,14 @@ class Restorer:
     """Features of whole texts; keeps the readings of changed tokens it has met, up to a bound."""
 
     def __init__(self, letters: Letters, known: dict[str, int] | None = None):
-        self.letters, self.known, self.memo = letters, known, {}
+        self.letters, self.known = letters, known
+        self.memo = Memo(lambda token: self._of_words(readings(token, letters)), MEMO)
         self.starts = None if known is None else {f[:4].rstrip("*") for f in known}
 
     def _of_words(self, words: list[str]) -> tuple:
         found = [f for word in words for f in features(word)]
         return tuple(found if self.known is None else [self.known[f] for f in found if f in self.known])
 
-    def _of_token(self, token: str) -> tuple:
-        found = self.memo.get(token)
-        if found is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            found = self.memo[token] = self._of_words(readings(token, self.letters))
-        return found
-
     def of_text(self, text: str | None) -> set:
         """Distinct features of a text: of each word, and of words spelled with spaces between their letters."""
         text = (text or "").lower()
@@ -231,7 +230,7 @@ class Restorer:
                 if starts is None or core[:4] in starts:
                     out.update(self._of_words([core]))
             elif core:
-                out.update(self._of_token(core))
+                out.update(self.memo[core])
         single = bytes([t in lone for t in tokens]) if lone else b""
         for run in _RUN.finditer(single):
             self._spelled([lone[t] for t in tokens[run.start() : run.end()]], out)

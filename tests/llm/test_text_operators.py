@@ -470,3 +470,79 @@ def test_empty_tables(spark):
         mixing.mixed(docs), mixing.mixed_documents(docs), toxicity.toxicity(docs, labels), quality.quality(docs, labels),
     ]
     assert [r.count() for r in results] == [0] * len(results)
+
+
+# --- bounds of memory -----------------------------------------------------------------------------------------------
+
+
+def test_memo_is_bounded_in_bytes():
+    from devicelens.llm.support import Memo
+
+    memo = Memo(lambda k: k.encode(), 10_000)
+    for i in range(1_000):
+        assert memo[f"word {i}"] == f"word {i}".encode()
+    assert len(memo) <= 10_000 // Memo.ENTRY and memo.size <= 10_000
+    assert memo["x" * 5_000] == b"x" * 5_000 and "x" * 5_000 not in memo
+
+
+def test_bpe_counts_states_inside_a_piece(codec, tiktoken_encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_STATES", 3_000)
+    rng = random.Random(7)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60_000))
+    codec.machine._clear()
+    assert ids_of(codec._whole(text)) == tiktoken_encoding.encode_ordinary(text)
+    assert len(codec.machine.number) <= 3_000
+
+
+def test_chunk_of_hot_grams_only(spark):
+    """Every gram is hot: all windows go by their hashes, and the result is that of the merged runs."""
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcd ") for _ in range(2_000))
+    docs = [(i, base[rng.randrange(900) :][: rng.randint(150, 1_200)], "x") for i in range(60)]
+    frame = fixture(spark, docs)
+    plain, hot = (suffixes.remove_repeats(frame, chunk_bytes=9_000, hot=h).toPandas().sort_values("doc_id").reset_index(drop=True) for h in (suffixes.HOT, 0))
+    assert plain.equals(hot) and plain.n_removed.sum() > 10_000
+
+
+def test_labelled_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 40}") for i in range(3_000)] + [(2, "other"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    assert quality.labelled_sample(docs, labels, "toxic", 10).count() == 10
+    assert quality.labelled_sample(docs, labels, "toxic", 1_000).count() == 42
+
+
+def test_beam_finds_the_best_of_all_readings(spark):
+    """Against every path through the lattice of short words, and in bounded time on a long mask."""
+    import itertools
+    import time
+
+    counts = np.zeros(toxicity.SYMBOLS**4, np.int64)
+    for word in ["idiot", "hello", "stupid", "moron", "silly", "the", "boot"] * 50:
+        symbols = [0, 0, 0, *[ord(c) - 96 for c in word], 0]
+        for a in zip(symbols, symbols[1:], symbols[2:], symbols[3:]):
+            counts[((a[0] * 28 + a[1]) * 28 + a[2]) * 28 + a[3]] += 1
+    letters = toxicity.Letters(counts)
+
+    def cost(word):
+        symbols, total = [0, 0, 0, *[ord(c) - 96 for c in word], 0], 0.0
+        for a in zip(symbols, symbols[1:], symbols[2:], symbols[3:]):
+            total += letters.log[((a[0] * 28 + a[1]) * 28 + a[2]) * 28 + a[3]]
+        return total
+
+    for token in ["1d10t", "h3ll0", "st*pid", "m0r0n", "$1lly", "b.o.t", "i*io*"]:
+        ways = []
+        for c in token:
+            if c.isalpha():
+                ways.append([(c, 0.0)])
+                continue
+            mine = [(x, toxicity.SWAP) for x in toxicity.LOOKALIKES.get(c, "")]
+            if c in toxicity.MARKS or c in "$!|(+":
+                mine.append(("", toxicity.DROP if c in toxicity.MARKS else toxicity.SWAP + toxicity.DROP))
+            if c in toxicity.WILD:
+                mine += [(chr(x), toxicity.HIDE) for x in range(97, 123)]
+            ways.append(mine)
+        best = max((sum(w[1] for w in path) + cost("".join(w[0] for w in path)), "".join(w[0] for w in path)) for path in itertools.product(*ways))
+        assert letters.decode(token) == best[1]
+    start = time.time()
+    assert letters.decode("a" + "*" * 60 + "b")
+    assert time.time() - start < 5
