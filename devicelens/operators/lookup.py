@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devicelens.operators.ordered import null_safe
 from devicelens.session import cut
 
 #: A table goes by broadcast up to so many rows, if they also take no more than so many bytes (as JSON).
@@ -17,6 +16,14 @@ SAMPLE_FRACTION = 1e-3
 SALTS = 64
 
 
+def null_safe(names: Sequence[str], prefix: str) -> Column:
+    """Join condition ``name <=> prefix+name`` for all names."""
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & F.col(name).eqNullSafe(F.col(prefix + name))
+    return condition
+
+
 def lookup(
     df: DataFrame,
     table: DataFrame,

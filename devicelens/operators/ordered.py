@@ -8,13 +8,14 @@ carry table with one row per block.
 
 * Cut points come from a hash sample of (key, order columns): one narrow scan, no
   shuffle of the data. They cover the full sort tuple, so equal timestamps split too.
-* Every row finds its block by binary search in its key's sorted cut points, which
-  are broadcast in short pieces. There are never more than ``max_blocks`` of them: beyond it the
-  blocks get longer, so the broadcast stays bounded whatever the size of the table.
+* Every row finds its block by binary search in its key's sorted cut points, in short
+  pieces that are joined to the rows: by broadcast as long as they are small, else by one shuffle.
 * Keys below ``rows_per_block`` have no cut points. If there are none at all, every
   operator below is an ordinary window over the key, with no carry and no join.
-* Carry tables (at most two rows per cut point) are checkpointed, so a chain of
-  operators has a plan of linear size and a lost executor costs no recomputation.
+* On a frame with blocks operators wait until the rows are asked for, and then run in *waves*: all that do not read each
+  other's results compute what their blocks know by themselves in one pass, which is stored; one aggregation sums up the state of
+  all of them per block; the states are folded; and one join brings each block what came before. So a chain costs
+  a few jobs per wave, however many operators it has.
 
 The block of a row depends on its values only, never on its partition, so retried
 tasks and repeated branches agree.
@@ -23,38 +24,31 @@ tasks and repeated branches agree.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+import re
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from devicelens.session import cut
+from devicelens.operators.lookup import lookup, null_safe
+from devicelens.session import cut, stored
+
+__all__ = ["OrderedFrame", "nth_difference", "null_safe", "ordered"]
 
 ROWS_PER_BLOCK = 2_000_000
-MAX_BLOCKS = 200_000
 SAMPLE_PER_BLOCK = 32
 FAN = 512
+#: Blocks of a key whose states one task folds; beyond it chunks of so many are folded first, then the chunks.
+FOLD = 1_024
 
 BLOCK = "_block"
 HOT = "_hot"
 ALL = "_all"
 
 
-def null_safe(names: Sequence[str], prefix: str) -> Column:
-    """Join condition ``name <=> prefix+name`` for all names."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(name).eqNullSafe(F.col(prefix + name))
-    return condition
-
-
-def _prefixed(df: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({n: prefix + n for n in names})
-
-
 def _count_at_or_below(df: DataFrame, cuts: str, probe: Column, longest: int, out: str) -> DataFrame:
     """Add the number of entries of a sorted array column that are <= probe; 0 where there is no array.
 
@@ -69,7 +63,7 @@ def _count_at_or_below(df: DataFrame, cuts: str, probe: Column, longest: int, ou
     return df
 
 
-def _cut_points(df, keys, order_by, rows_per_block, max_blocks) -> tuple[DataFrame, int]:
+def _cut_points(df, keys, order_by, rows_per_block) -> tuple[DataFrame, int]:
     """Cut tuples of the busy keys, numbered 1, 2, … per key as ``_i``, and the highest number."""
     modulus = max(1, rows_per_block // SAMPLE_PER_BLOCK)
     stride = max(1, rows_per_block // modulus)
@@ -84,17 +78,7 @@ def _cut_points(df, keys, order_by, rows_per_block, max_blocks) -> tuple[DataFra
         .withColumn("_i", (F.col("_n") / stride).cast("int"))
         .drop("_n")
     )
-    total, highest = points.agg(F.count(F.lit(1)), F.max("_i")).first()
-    if total > max_blocks:
-        # Longer blocks, but a key with few cut points keeps its middle one: no busy key becomes one task again.
-        every = math.ceil(total / max_blocks)
-        own = F.max("_i").over(Window.partitionBy(*keys))
-        middle = (F.col("_own") < every) & (F.col("_i") == F.floor((F.col("_own") + 1) / 2))
-        points = points.withColumn("_own", own).where((F.col("_i") % every == 0) | middle)
-        numbered = F.row_number().over(Window.partitionBy(*keys).orderBy("_i")).cast("int")
-        points = cut(points.withColumn("_j", numbered).drop("_i", "_own").withColumnRenamed("_j", "_i"))
-        highest = points.agg(F.max("_i")).first()[0]
-    return points, highest or 0
+    return points, points.agg(F.max("_i")).first()[0] or 0
 
 
 def _with_block(df: DataFrame, points: DataFrame, keys, order_by, highest: int) -> DataFrame:
@@ -109,26 +93,17 @@ def _with_block(df: DataFrame, points: DataFrame, keys, order_by, highest: int)
     df = df.withColumn("_top", F.lit(0))
     if highest >= FAN:
         coarse = points.where(is_coarse).groupBy(*keys).agg(F.array_sort(F.collect_list(tuple_)).alias("_cuts"))
-        coarse = _prefixed(coarse, keys, "_k_")
-        df = df.drop("_top").join(F.broadcast(coarse), null_safe(keys, "_k_"), "left").drop(*["_k_" + k for k in keys])
+        df = lookup(df.drop("_top"), coarse, keys)
         df = _count_at_or_below(df, "_cuts", tuple_, highest // FAN, "_top").drop("_cuts")
     # Each group has a row, if only for its first, coarse point; that one is not listed again.
-    fine = points.groupBy(*keys, "_g").agg(F.array_sort(F.collect_list(F.when(~is_coarse, tuple_))).alias("_cuts"))
-    fine = _prefixed(fine, keys, "_k_")
-    on = null_safe(keys, "_k_") & (F.col("_top") == F.col("_g"))
-    df = df.join(F.broadcast(fine), on, "left").drop("_g", *["_k_" + k for k in keys])
+    fine = points.groupBy(*keys, F.col("_g").alias("_top")).agg(F.array_sort(F.collect_list(F.when(~is_coarse, tuple_))).alias("_cuts"))
+    df = lookup(df, fine, [*keys, "_top"])
     df = _count_at_or_below(df, "_cuts", tuple_, min(highest, FAN - 1), BLOCK)
     df = df.withColumns({BLOCK: F.col("_top") * FAN + F.col(BLOCK), HOT: F.col("_cuts").isNotNull()})
     return df.drop("_cuts", "_top")
 
 
-def ordered(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    rows_per_block: int = ROWS_PER_BLOCK,
-    max_blocks: int = MAX_BLOCKS,
-) -> OrderedFrame:
+def ordered(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> OrderedFrame:
     """Prepare ``df`` for ordered operators per ``keys`` (none: one series over the whole table).
 
     ``order_by`` are column names, ascending, and should end in a unique column: the order
@@ -138,12 +113,54 @@ def ordered(
     if not keys:
         df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
     order_by = list(order_by)
-    points, highest = _cut_points(df, keys, order_by, rows_per_block, max_blocks)
+    points, highest = _cut_points(df, keys, order_by, rows_per_block)
     if highest:
         df = _with_block(df, points, keys, order_by, highest)
     return OrderedFrame(df, tuple(keys), tuple(order_by), bool(highest))
 
 
+# -- operators: what a block knows, what it hands on, and how both make the result ----------------------
+
+
+@dataclass(frozen=True)
+class _Scan:
+    """An operator on a frame with blocks.
+
+    ``local`` are expressions per (key, block) in stages, ``summary`` what a block hands on, ``carry`` turns the table of all
+    summaries into what each block gets, ``final`` has the results. ``value`` is an expression of unknown columns that it reads.
+    """
+
+    reads: frozenset[str]
+    within: tuple[str, ...]
+    local: list[dict[str, Column]]
+    summary: dict[str, Column]
+    carry: Callable[[DataFrame], DataFrame]
+    carried: tuple[str, ...]
+    final: dict[str, Column]
+    value: Column | None = None
+    fold: tuple | None = None
+
+    @property
+    def writes(self) -> set[str]:
+        return set(self.final)
+
+
+@dataclass(frozen=True)
+class _Change:
+    """A step that needs its own row only; ``value`` if all it does is to add one column."""
+
+    apply: Callable[[DataFrame], DataFrame]
+    writes: set[str]
+    value: Column | None = None
+
+
+def _mentions(value: Column, names: set[str]) -> bool:
+    """Whether an expression may read one of the columns: its text has the name, or is shortened."""
+    text = str(value).removeprefix("Column<'")
+    words = set(re.findall(r"\w+", text))
+    return "more fields" in text or any(name in (words if name.isidentifier() else text) for name in names)
+
+
 @dataclass(frozen=True)
 class OrderedFrame:
     """A frame whose rows have a defined order within ``keys``.
@@ -153,13 +170,24 @@ class OrderedFrame:
     the operator then restarts at each run, with no further shuffle.
     """
 
-    df: DataFrame
+    base: DataFrame
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
     split: bool
+    pending: tuple = ()
+    _made: list = field(default_factory=list, compare=False, repr=False)
 
     # -- plumbing ---------------------------------------------------------------------
 
+    @property
+    def df(self) -> DataFrame:
+        """The rows with all results, and with bookkeeping columns."""
+        if not self.pending:
+            return self.base
+        if not self._made:
+            self._made.append(self._flush())
+        return self._made[0]
+
     @property
     def _home(self) -> list[str]:
         return [*self.keys, BLOCK] if self.split else list(self.keys)
@@ -172,32 +200,30 @@ class OrderedFrame:
         return self._window(within, reverse).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def with_df(self, df: DataFrame) -> OrderedFrame:
-        return replace(self, df=df)
+        return replace(self, base=df, pending=(), _made=[])
+
+    def _then(self, step) -> OrderedFrame:
+        return replace(self, pending=(*self.pending, step), _made=[])
+
+    def _change(self, apply: Callable[[DataFrame], DataFrame], writes: Sequence[str], value: Column | None = None) -> OrderedFrame:
+        if not self.pending:
+            return self.with_df(apply(self.base))
+        return self._then(_Change(apply, set(writes), value))
 
     def with_column(self, name: str, value: Column) -> OrderedFrame:
-        return self.with_df(self.df.withColumn(name, value))
+        return self._change(lambda df: df.withColumn(name, value), [name], value)
+
+    def without(self, *names: str) -> OrderedFrame:
+        return self._change(lambda df: df.drop(*names), names)
 
     def result(self) -> DataFrame:
         """The frame without bookkeeping columns."""
         return self.df.drop(BLOCK, HOT, ALL)
 
-    def _pieces(self, within: Sequence[str], summaries: Mapping[str, Column]) -> DataFrame:
-        """One summary row per block of every run that spans more than one block."""
-        group = [*self.keys, *within]
-        rows = self.df.where(F.col(HOT))
-        pieces = rows.groupBy(*group, BLOCK).agg(*[c.alias(n) for n, c in summaries.items()])
-        return self._spanning(pieces, group)
-
-    def _spanning(self, pieces: DataFrame, group: Sequence[str]) -> DataFrame:
-        several = F.count(F.lit(1)).over(Window.partitionBy(*group))
-        return pieces.withColumn("_several", several).where(F.col("_several") > 1).drop("_several")
-
-    def _carried(self, carries: DataFrame, within: Sequence[str], names: Sequence[str]) -> DataFrame:
-        """Left-join a carry table (one row per block) to the rows."""
-        on = [*self.keys, *within, BLOCK]
-        carries = _prefixed(cut(carries.select(*on, *names)), on, "_c_")
-        joined = self.df.join(F.broadcast(carries), null_safe(on, "_c_"), "left")
-        return joined.drop(*["_c_" + c for c in on])
+    @property
+    def _tag(self) -> str:
+        """A prefix for the working columns of the next step."""
+        return f"_s{len(self.pending)}_"
 
     def _earlier(self, within: Sequence[str], depth: int | None = None):
         start = Window.unboundedPreceding if depth is None else -depth
@@ -207,75 +233,145 @@ class OrderedFrame:
         back = Window.partitionBy(*self.keys, *within).orderBy(F.col(BLOCK).desc())
         return back.rowsBetween(Window.unboundedPreceding, -1)
 
+    def _position(self, within: Sequence[str]) -> dict[str, Column]:
+        """Position in the block from 0; operators of a wave share it."""
+        return {self._position_name(within): F.row_number().over(self._window(within)) - 1}
+
+    @staticmethod
+    def _position_name(within: Sequence[str]) -> str:
+        return "_at_" + "_".join(within)
+
+    def _scan(self, reads, within, local, summary, final, carry=lambda pieces: pieces, carried=(), value=None, fold=None) -> OrderedFrame:
+        return self._then(_Scan(frozenset(reads) | set(within), tuple(within), local, summary, carry, tuple(carried), final, value, fold))
+
+    # -- waves ------------------------------------------------------------------------
+
+    def _flush(self) -> DataFrame:
+        df, todo = self.base, list(self.pending)
+        while todo:
+            if isinstance(todo[0], _Change):
+                df = todo.pop(0).apply(df)
+                continue
+            wave, rest, late, waiting = [], [], set(), set()
+            for step in todo:
+                if isinstance(step, _Change) and step.value is not None and not step.writes & (set(df.columns) | waiting | late):
+                    if not _mentions(step.value, late):
+                        df = step.apply(df)  # a new column that no operator of this wave makes
+                        continue
+                ready = isinstance(step, _Scan) and not step.reads & late
+                ready = ready and (step.value is None or not _mentions(step.value, late))
+                # What waits may still read a column as it was.
+                ready = ready and not (rest and step.writes & (waiting | set(df.columns)))
+                (wave if ready else rest).append(step)
+                late |= step.writes
+                if not ready:
+                    waiting |= step.writes
+            df, todo = self._wave(df, wave), rest
+        return df
+
+    def _wave(self, df: DataFrame, wave: list[_Scan]) -> DataFrame:
+        """Results of operators that do not depend on each other."""
+        columns, working = df.columns, []
+        for stage in range(max(len(op.local) for op in wave)):
+            added = {n: c for op in wave if stage < len(op.local) for n, c in op.local[stage].items()}
+            df = df.withColumns(added)
+            working += list(added)
+        df = stored(df, "blocks")
+        for within in dict.fromkeys(op.within for op in wave):
+            mine = [op for op in wave if op.within == within]
+            group = [*self.keys, *within]
+            names = [n for op in mine for n in op.carried]
+            summaries = {n: c for op in mine for n, c in op.summary.items()}
+            pieces = df.where(F.col(HOT)).groupBy(*group, BLOCK).agg(*[c.alias(n) for n, c in summaries.items()])
+            several = F.count(F.lit(1)).over(Window.partitionBy(*group))
+            pieces = pieces.withColumn("_several", several).where(F.col("_several") > 1).drop("_several")
+            for op in mine:
+                pieces = op.carry(pieces)
+            folds = [op.fold for op in mine if op.fold]
+            if folds:
+                pieces = _folded(pieces, group, folds)
+            carries = cut(pieces.select(*group, BLOCK, *names))
+            df = lookup(df, carries, [*group, BLOCK], materialise=False)
+            working += names
+        results = {n: c for op in wave for n, c in op.final.items()}
+        # A result may replace a column that another one reads: all are made at once.
+        kept = [results.pop(c).alias(c) if c in results else F.col(c) for c in columns]
+        return df.select(*kept, *[c.alias(n) for n, c in results.items()])
+
     # -- positions --------------------------------------------------------------------
 
     def row_number(self, out: str, within: Sequence[str] = ()) -> OrderedFrame:
         """1, 2, 3 … in order."""
-        local = F.row_number().over(self._window(within)).cast("long")
         if not self.split:
-            return self.with_column(out, local)
-        pieces = self._pieces(within, {"_n": F.count(F.lit(1))})
-        carries = pieces.withColumn("_before", F.sum("_n").over(self._earlier(within)))
-        joined = self._carried(carries, within, ["_before"])
-        return self.with_df(joined.withColumn(out, local + F.coalesce("_before", F.lit(0))).drop("_before"))
+            return self.with_column(out, F.row_number().over(self._window(within)).cast("long"))
+        n, before, at = self._tag + "n", self._tag + "before", self._position_name(within)
+        return self._scan(
+            (), within, [self._position(within)], {n: F.count(F.lit(1))}, {out: F.col(at) + 1 + F.coalesce(F.col(before), F.lit(0).cast("long"))},
+            lambda pieces: pieces.withColumn(before, F.sum(n).over(self._earlier(within))), [before],
+        )
 
     def dense_rank(self, value: Column, out: str) -> OrderedFrame:
         """Number of distinct values of a column that rises with the order (a date of the timestamp)."""
-        frame = self.with_column("_v", value)
+        tag = self._tag if self.split else "_"
+        v, new, local = tag + "v", tag + "new", tag + "rank"
         # A count of changes needs the order of the frame only; dense_rank() would sort once more.
         window = self._window()
-        changed = (F.row_number().over(window) == 1) | ~F.col("_v").eqNullSafe(F.lag("_v").over(window))
-        frame = frame.with_column("_new", changed.cast("int"))
-        local = F.sum("_new").over(self._so_far())
+        changed = (F.row_number().over(window) == 1) | ~F.col(v).eqNullSafe(F.lag(v).over(window))
+        stages = [{v: value}, {new: changed.cast("int")}, {local: F.sum(new).over(self._so_far())}]
         if not self.split:
-            return frame.with_df(frame.df.withColumn(out, local.cast("int")).drop("_v", "_new"))
-        values = frame.df.where(F.col(HOT)).groupBy(*self.keys, BLOCK, "_v").count()
-        pieces = values.groupBy(*self.keys, BLOCK).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.when(~F.bool_or(F.col("_v").isNull()), F.min("_v")).alias("_first"),  # nulls come first in the order
-            F.max("_v").alias("_last"),
-        )
-        by_block = Window.partitionBy(*self.keys).orderBy(BLOCK)
-        # A value, or a run of nulls, that continues from the previous block must not count twice.
-        again = (F.row_number().over(by_block) > 1) & F.lag("_last").over(by_block).eqNullSafe(F.col("_first"))
-        repeated = again.cast("int")
-        carries = (
-            pieces.withColumn("_rep", repeated)
-            .withColumn("_more", F.col("_n") - F.col("_rep"))
-            .withColumn("_before", F.sum("_more").over(self._earlier(())) - F.col("_rep"))
-        )
-        joined = frame._carried(carries, (), ["_before"])
-        rank = (local + F.coalesce("_before", F.lit(0))).cast("int")
-        return frame.with_df(joined.withColumn(out, rank).drop("_v", "_new", "_before"))
+            df = self.df
+            for stage in stages:
+                df = df.withColumns(stage)
+            return self.with_df(df.withColumn(out, F.col(local).cast("int")).drop(v, new, local))
+        n, first, last, before = (tag + x for x in ("n", "first", "last", "before"))
+        summary = {
+            n: F.max(local),
+            first: F.when(~F.bool_or(F.col(v).isNull()), F.min(v)),  # nulls come first in the order
+            last: F.max(v),
+        }
+
+        def carry(pieces: DataFrame) -> DataFrame:
+            by_block = Window.partitionBy(*self.keys).orderBy(BLOCK)
+            # A value, or a run of nulls, that continues from the previous block must not count twice.
+            again = (F.row_number().over(by_block) > 1) & F.lag(last).over(by_block).eqNullSafe(F.col(first))
+            pieces = pieces.withColumn("_again", again.cast("int")).withColumn("_more", F.col(n) - F.col("_again"))
+            return pieces.withColumn(before, F.sum("_more").over(self._earlier(())) - F.col("_again")).drop("_again", "_more")
+
+        rank = (F.col(local) + F.coalesce(F.col(before), F.lit(0).cast("long"))).cast("int")
+        return self._scan((), (), stages, summary, {out: rank}, carry, [before], value)
 
     def running_sum(self, column: str, out: str, within: Sequence[str] = ()) -> OrderedFrame:
         """Sum of the column up to and including the row."""
-        local = F.sum(column).over(self._so_far(within))
+        so_far = F.sum(column).over(self._so_far(within))
         if not self.split:
-            return self.with_column(out, local)
-        pieces = self._pieces(within, {"_s": F.sum(column)})
-        carries = pieces.withColumn("_before", F.sum("_s").over(self._earlier(within)))
-        joined = self._carried(carries, within, ["_before"])
+            return self.with_column(out, so_far)
+        local, total, before = (self._tag + x for x in ("sum", "total", "before"))
         # Nulls at the head of a block leave the sum of the blocks before.
-        total = F.coalesce(local + F.coalesce("_before", F.lit(0)), F.col("_before"))
-        return self.with_df(joined.withColumn(out, total).drop("_before"))
+        value = F.coalesce(F.col(local) + F.col(before), F.col(local), F.col(before))
+        return self._scan(
+            [column], within, [{local: so_far}], {total: F.sum(column)}, {out: value},
+            lambda pieces: pieces.withColumn(before, F.sum(total).over(self._earlier(within))), [before],
+        )
 
     def group_sum(self, value: Column, out: str, within: Sequence[str] = ()) -> OrderedFrame:
         """Sum over the whole run, on each of its rows."""
-        frame = self.with_column("_v", value)
-        local = F.sum("_v").over(Window.partitionBy(*self._home, *within))
+        tag = self._tag if self.split else "_"
+        v, local, total, whole = (tag + x for x in ("v", "sum", "total", "whole"))
+        stages = [{v: value}, {local: F.sum(v).over(Window.partitionBy(*self._home, *within))}]
         if not self.split:
-            return frame.with_df(frame.df.withColumn(out, local).drop("_v"))
-        pieces = frame._pieces(within, {"_s": F.sum("_v")})
-        whole = F.sum("_s").over(Window.partitionBy(*self.keys, *within))
-        joined = frame._carried(pieces.withColumn("_whole", whole), within, ["_whole"])
-        return frame.with_df(joined.withColumn(out, F.coalesce("_whole", local)).drop("_v", "_whole"))
+            df = self.df.withColumns(stages[0]).withColumns(stages[1])
+            return self.with_df(df.withColumn(out, F.col(local)).drop(v, local))
+        over = Window.partitionBy(*self.keys, *within)
+        return self._scan(
+            (), within, stages, {total: F.sum(v)}, {out: F.coalesce(F.col(whole), F.col(local))},
+            lambda pieces: pieces.withColumn(whole, F.sum(total).over(over)), [whole], value,
+        )
 
     def scaled_position(self, out: str, scale: float = 10.0, within: Sequence[str] = ()) -> OrderedFrame:
         """Position in the run from 0 (first row) to ``scale`` (last row)."""
         frame = self.row_number("_pos", within).group_sum(F.lit(1), "_len", within)
         position = F.when(F.col("_len") > 1, (F.col("_pos") - 1) * scale / (F.col("_len") - 1)).otherwise(F.lit(0.0))
-        return frame.with_df(frame.df.withColumn(out, position).drop("_pos", "_len"))
+        return frame.with_column(out, position).without("_pos", "_len")
 
     # -- earlier values ---------------------------------------------------------------
 
@@ -285,32 +381,25 @@ class OrderedFrame:
         local = {out: F.lag(column, n).over(window) for out, (column, n) in outputs.items()}
         if not self.split:
             return self.with_df(self.df.withColumns(local))
+        tag, at = self._tag, self._position_name(within)
+        size, own, tail = tag + "size", tag + "own", tag + "tail"
         depth = max(n for _, n in outputs.values())
         columns = sorted({column for column, _ in outputs.values()})
-        group = [*self.keys, *within]
-        # The last `depth` rows of each block, newest first: the rank filter keeps the shuffle small.
-        newest = F.row_number().over(self._window(within, reverse=True))
-        tails = (
-            self.df.where(F.col(HOT))
-            .select(*dict.fromkeys([*group, BLOCK, *self.order_by, *columns]))
-            .withColumn("_back", newest)
-            .where(F.col("_back") <= depth)
-            .groupBy(*group, BLOCK)
-            .agg(F.array_sort(F.collect_list(F.struct("_back", *[F.col(c).alias("v_" + c) for c in columns]))).alias("_own"))
-        )
-        tails = self._spanning(tails, group)
+        stage = {tag + out: value for out, value in local.items()}
+        stage |= self._position(within) | {size: F.count(F.lit(1)).over(Window.partitionBy(*self._home, *within))}
+        # The last `depth` rows of each block, newest first.
+        back = F.col(size) - F.col(at)
+        newest = F.when(back <= depth, F.struct(back.alias("_back"), *[F.col(c).alias("v_" + c) for c in columns]))
         # Each block has at least one row, so `depth` earlier blocks are enough.
-        before = F.flatten(F.reverse(F.collect_list("_own").over(self._earlier(within, depth))))
-        carries = tails.withColumn("_tail", F.slice(before, 1, depth))
-        joined = self._carried(carries, within, ["_tail"]).withColumn("_pos", F.row_number().over(window) - 1)
-        frame = self.with_df(joined)
-        values = {
-            out: F.when(F.col("_pos") >= n, F.lag(column, n).over(window)).otherwise(
-                F.get(F.col("_tail"), F.lit(n - 1) - F.col("_pos"))["v_" + column]
-            )
+        before = F.flatten(F.reverse(F.collect_list(own).over(self._earlier(within, depth))))
+        final = {
+            out: F.when(F.col(at) >= n, F.col(tag + out)).otherwise(F.get(F.col(tail), F.lit(n - 1) - F.col(at))["v_" + column])
             for out, (column, n) in outputs.items()
         }
-        return frame.with_df(frame.df.withColumns(values).drop("_pos", "_tail"))
+        return self._scan(
+            columns, within, [stage], {own: F.array_sort(F.collect_list(newest))}, final,
+            lambda pieces: pieces.withColumn(tail, F.slice(before, 1, depth)), [tail],
+        )
 
     def lag(self, column: str, n: int, out: str, within: Sequence[str] = ()) -> OrderedFrame:
         return self.lags({out: (column, n)}, within)
@@ -321,8 +410,7 @@ class OrderedFrame:
             return self.with_column(out, F.col(column))
         names = [f"_d{i}" for i in range(1, d + 1)]
         frame = self.lags({name: (column, i) for i, name in enumerate(names, 1)}, within)
-        value = nth_difference([F.col(column), *map(F.col, names)], d)
-        return frame.with_df(frame.df.withColumn(out, value).drop(*names))
+        return frame.with_column(out, nth_difference([F.col(column), *map(F.col, names)], d)).without(*names)
 
     # -- fills ------------------------------------------------------------------------
 
@@ -331,26 +419,26 @@ class OrderedFrame:
         nearest = {c: F.last(c, ignorenulls=True).over(window) for c in columns}
         if not self.split:
             return self.with_df(self.df.withColumns(nearest))
+        tag, at = self._tag, F.col(self._position_name(within))
+        pick = F.min_by if reverse else F.max_by
         # The position in the block orders the values: numbers, unlike tuples, aggregate by hash.
-        placed = self.with_column("_pos", F.row_number().over(self._window(within, reverse)))
-        nearest_edge = {"_e_" + c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_pos"))) for c in columns}
-        pieces = placed._pieces(within, nearest_edge)
+        edges = {f"{tag}e_{c}": pick(c, F.when(F.col(c).isNotNull(), at)) for c in columns}
         side = self._later(within) if reverse else self._earlier(within)
-        carries = pieces.withColumns({"_f_" + c: F.last("_e_" + c, ignorenulls=True).over(side) for c in columns})
-        names = ["_f_" + c for c in columns]
-        joined = self._carried(carries, within, names)
-        return self.with_df(
-            joined.withColumns({c: F.coalesce(nearest[c], F.col("_f_" + c)) for c in columns}).drop(*names)
-        )
+        return self._scan(
+            columns, within, [{f"{tag}l_{c}": value for c, value in nearest.items()} | self._position(within)], edges,
+            {c: F.coalesce(F.col(f"{tag}l_{c}"), F.col(f"{tag}f_{c}")) for c in columns},
+            lambda pieces: pieces.withColumns({f"{tag}f_{c}": F.last(f"{tag}e_{c}", ignorenulls=True).over(side) for c in columns}),
+            [f"{tag}f_{c}" for c in columns],
+        )
 
     def fill(self, columns: Sequence[str], methods: Sequence[str | float] = ("ffill", 0), within: Sequence[str] = ()):
         """Replace nulls by each method in turn: 'ffill', 'bfill' or a constant."""
-        frame = self
+        frame, columns = self, list(columns)
         for method in methods:
             if method in ("ffill", "bfill"):
-                frame = frame._fill_from(list(columns), within, reverse=method == "bfill")
+                frame = frame._fill_from(columns, within, reverse=method == "bfill")
             else:
-                frame = frame.with_df(frame.df.fillna(method, subset=list(columns)))
+                frame = frame._change(lambda df, constant=method: df.fillna(constant, subset=columns), columns)
         return frame
 
     # -- exponentially weighted mean --------------------------------------------------
@@ -378,92 +466,136 @@ class OrderedFrame:
         alpha = 1.0 / (1.0 + com) if com is not None else 2.0 / (span + 1.0)
         r = 1.0 - alpha
         stride = max(1, int(150 * math.log(10) / -math.log(r))) if r > 0 else 1
-        frame = self.with_column("_x", F.col(column).cast("double"))
-        home = [*frame._home, *within]
-        frame = frame.with_column("_pos", F.row_number().over(frame._window(within)) - 1)
-        frame = frame.with_df(
-            frame.df.withColumns({"_run": (F.col("_pos") / stride).cast("int"), "_off": F.col("_pos") % stride})
-        )
-        known = F.col("_x").isNotNull()
-        grow = F.pow(F.lit(r), -F.col("_off"))
-        in_run = Window.partitionBy(*home, "_run").orderBy("_off").rowsBetween(Window.unboundedPreceding, 0)
-        last_run = Window.partitionBy(*home).orderBy("_run").rangeBetween(-1, -1)
-        zero = F.lit(0.0)
-        df = frame.df.withColumns(
-            {
-                "_n": F.coalesce(F.sum(F.when(known, grow * F.col("_x"))).over(in_run), zero),
-                "_d": F.coalesce(F.sum(F.when(known, grow)).over(in_run), zero),
-            }
-        )
+        tag = self._tag if self.split else "_"
+        x, run, off, n, d, pn, pd_, at = (tag + c for c in ("x", "run", "off", "n", "d", "pn", "pd", "pos"))
+        home = [*self._home, *within]
+        known = F.col(x).isNotNull()
+        grow, shrink, zero = F.pow(F.lit(r), -F.col(off)), F.pow(F.lit(r), F.col(off)), F.lit(0.0)
+        in_run = Window.partitionBy(*home, run).orderBy(off).rowsBetween(Window.unboundedPreceding, 0)
+        last_run = Window.partitionBy(*home).orderBy(run).rangeBetween(-1, -1)
         # A run with a successor is complete, so its totals stand in its last row. Reading them from
         # the running sums also lets both windows, and the last one below, share one sort.
-        at_end = F.col("_off") == stride - 1
-        df = df.withColumns({p: F.sum(F.when(at_end, F.col(c))).over(last_run) for p, c in (("_pn", "_n"), ("_pd", "_d"))})
-        shrink = F.pow(F.lit(r), F.col("_off"))
+        at_end = F.col(off) == stride - 1
         before = shrink * F.lit(r**stride)
-        df = df.withColumns(
-            {c: F.col(c) * shrink + F.coalesce(F.col(p) * before, zero) for p, c in (("_pn", "_n"), ("_pd", "_d"))}
-        ).drop("_pn", "_pd")
-        frame = frame.with_df(df)
-        spent = ["_x", "_pos", "_run", "_off", "_n", "_d"]
-        mean = F.when(known, F.col("_n") / F.col("_d"))
-        if frame.split:
-            frame = frame._ewma_carries(r, within)
-            gap = F.pow(F.lit(r), F.col("_gap") + F.col("_pos") + 1)
-            numer = F.col("_n") + F.coalesce(F.col("_cn") * gap, zero)
-            denom = F.col("_d") + F.coalesce(F.col("_cd") * gap, zero)
-            mean = F.when(known, numer / denom)
-            spent += ["_cn", "_cd", "_gap"]
-        frame = frame.with_column("_y", mean)
         # Lagging the input is the same as lagging the mean: the frame ends that much earlier.
         upto = shift if shift <= 1 else 0
-        in_order = Window.partitionBy(*home).orderBy("_run", "_off").rowsBetween(Window.unboundedPreceding, -upto)
-        repeat = F.last("_y", ignorenulls=True).over(in_order)
-        if frame.split:
-            repeat = F.coalesce(repeat, F.col("_cn") / F.col("_cd"))
-        frame = frame.with_df(frame.df.withColumn(out, repeat).drop("_y", *spent))
+        in_order = Window.partitionBy(*home).orderBy(run, off).rowsBetween(Window.unboundedPreceding, -upto)
+        latest = lambda c: F.last(F.when(known, c), ignorenulls=True).over(in_order)
+        stages = [
+            {x: F.col(column).cast("double"), at: F.row_number().over(self._window(within)) - 1},
+            {run: (F.col(at) / stride).cast("int"), off: F.col(at) % stride},
+            {n: F.coalesce(F.sum(F.when(known, grow * F.col(x))).over(in_run), zero), d: F.coalesce(F.sum(F.when(known, grow)).over(in_run), zero)},
+            {p: F.sum(F.when(at_end, F.col(c))).over(last_run) for p, c in ((pn, n), (pd_, d))},
+            {c: F.col(c) * shrink + F.coalesce(F.col(p) * before, zero) for p, c in ((pn, n), (pd_, d))},
+        ]
+        if not self.split:
+            df = self.df
+            for stage in stages:
+                df = df.withColumns(stage)
+            frame = self.with_df(df.withColumn(out, latest(F.col(n) / F.col(d))).drop(x, run, off, n, d, pn, pd_, at))
+            return frame if upto == shift else frame.lag(out, shift, out, within)
+        ln, ld, lp, cn, cd, gap = (tag + c for c in ("ln", "ld", "lp", "cn", "cd", "gap"))
+        stages.append({ln: latest(F.col(n)), ld: latest(F.col(d)), lp: latest(F.col(at))})
+        known_at = F.when(known, F.col(at))
+        summary = {
+            tag + "en": F.max_by(n, known_at),
+            tag + "ed": F.max_by(d, known_at),
+            tag + "at": F.max(known_at).cast("long"),
+            tag + "len": F.count(F.lit(1)),
+        }
+        weight = F.pow(F.lit(r), F.col(gap) + F.col(lp) + 1)
+        numer, denom = (F.col(a) + F.coalesce(F.col(c) * weight, zero) for a, c in ((ln, cn), (ld, cd)))
+        mean = F.coalesce(numer / denom, F.col(cn) / F.col(cd))
+        frame = self._scan([column], within, stages, summary, {out: mean}, carried=[cn, cd, gap], fold=(tag, r))
         return frame if upto == shift else frame.lag(out, shift, out, within)
 
-    def _ewma_carries(self, r: float, within: Sequence[str]) -> OrderedFrame:
-        """Add the decayed sums at the last known row before the block and the rows since then."""
-        known_at = F.when(F.col("_x").isNotNull(), F.col("_pos"))
-        pieces = self._pieces(
-            within,
-            {
-                "_en": F.max_by("_n", known_at),
-                "_ed": F.max_by("_d", known_at),
-                "_at": F.max(known_at),
-                "_len": F.count(F.lit(1)),
-            },
-        )
-        group = [*self.keys, *within]
-        fields = [pieces.schema[c] for c in [*group, BLOCK]]
-        schema = T.StructType(
-            fields + [T.StructField(n, t) for n, t in (("_cn", T.DoubleType()), ("_cd", T.DoubleType()), ("_gap", T.LongType()))]
-        )
-
-        # A linear recurrence over one small row per block; never over data rows.
-        def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(BLOCK)
-            numer = denom = None
-            gap, states = 0, []
-            for en, ed, at, length in zip(pdf["_en"], pdf["_ed"], pdf["_at"], pdf["_len"]):
-                states.append((numer, denom, gap))
-                if pd.isna(at):
-                    gap += length
-                    continue
-                weight = r ** (gap + at + 1)
-                numer = en + (numer or 0.0) * weight
-                denom = ed + (denom or 0.0) * weight
-                gap = int(length - 1 - at)
-            result = pdf[[*group, BLOCK]].copy()
-            result["_cn"] = pd.Series([s[0] for s in states], index=pdf.index, dtype="float64")
-            result["_cd"] = pd.Series([s[1] for s in states], index=pdf.index, dtype="float64")
-            result["_gap"] = [int(s[2]) for s in states]
-            return result
-
-        carries = pieces.groupBy(*group).applyInPandas(fold, schema)
-        return self.with_df(self._carried(carries, within, ["_cn", "_cd", "_gap"]))
+
+# -- fold of decayed sums -----------------------------------------------------------------------------------
+
+
+def _join_pieces(r: float, state: tuple, piece: tuple) -> tuple:
+    """The decayed sums of two stretches of rows: sums at the last known row, its place, and the length."""
+    (en, ed, at, length), (fn, fd, place, more) = state, piece
+    if place is None:
+        return en, ed, at, length + more
+    weight = 0.0 if at is None else r ** (length - 1 - at + place + 1)
+    return fn + (en or 0.0) * weight, fd + (ed or 0.0) * weight, length + place, length + more
+
+
+_START = (None, None, None, 0)
+
+
+def _pieces_of(pdf: pd.DataFrame, tag: str) -> list[tuple]:
+    at = [None if pd.isna(a) else int(a) for a in pdf[tag + "at"]]
+    return list(zip(pdf[tag + "en"], pdf[tag + "ed"], at, pdf[tag + "len"].astype(int)))
+
+
+def _before(pdf: pd.DataFrame, folds: list[tuple[str, float]], start: Callable[[str], tuple]) -> pd.DataFrame:
+    """Per row of the sorted pieces, the state of all rows before it."""
+    out = {}
+    for tag, r in folds:
+        state, states = start(tag), []
+        for piece in _pieces_of(pdf, tag):
+            states.append(state)
+            state = _join_pieces(r, state, piece)
+        out[tag + "cn"] = pd.Series([s[0] for s in states], index=pdf.index, dtype="float64")
+        out[tag + "cd"] = pd.Series([s[1] for s in states], index=pdf.index, dtype="float64")
+        # Rows since the last known one; before the first one there is none, and no weight.
+        out[tag + "gap"] = pd.Series([s[3] - 1 - s[2] if s[2] is not None else 0 for s in states], index=pdf.index, dtype="int64")
+        out[tag + "done"] = pd.Series([s[2] if s[2] is not None else -1 for s in states], index=pdf.index, dtype="int64")
+        out[tag + "rows"] = pd.Series([s[3] for s in states], index=pdf.index, dtype="int64")
+    return pdf.assign(**out)
+
+
+def _folded(pieces: DataFrame, group: list[str], folds: list[tuple[str, float]]) -> DataFrame:
+    """Add to each block the decayed sums of the blocks before: a linear recurrence over one small row per block.
+
+    A stretch of blocks is summed up as a block is, so chunks of ``FOLD`` blocks are folded by themselves, then the chunks,
+    and no task ever has all blocks of a key that has very many.
+    """
+    state = [(tag + c, t) for tag, _ in folds for c, t in (("cn", T.DoubleType()), ("cd", T.DoubleType()), ("gap", T.LongType()), ("done", T.LongType()), ("rows", T.LongType()))]
+    added = T.StructType([*pieces.schema.fields, *[T.StructField(n, t) for n, t in state]])
+    drop = [n for n, _ in state if n.endswith(("done", "rows"))]
+    empty = lambda tag: _START
+    longest = pieces.agg(F.max(BLOCK)).first()[0] or 0 if FOLD < 1 << 20 else 0
+    if longest < FOLD:
+        found = pieces.groupBy(*group).applyInPandas(lambda pdf: _before(pdf.sort_values(BLOCK), folds, empty), added)
+        return found.drop(*drop)
+    pieces = cut(pieces.withColumn("_chunk", F.floor(F.col(BLOCK) / FOLD).cast("int")))
+    whole = [T.StructField("_chunk", T.IntegerType())]
+    whole += [pieces.schema[tag + c] for tag, _ in folds for c in ("en", "ed", "at", "len")]
+    whole = T.StructType([*[pieces.schema[g] for g in group], *whole])
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(BLOCK)
+        out = pdf[[*group, "_chunk"]].iloc[:1].copy()
+        for tag, r in folds:
+            state = _START
+            for piece in _pieces_of(pdf, tag):
+                state = _join_pieces(r, state, piece)
+            out[tag + "en"], out[tag + "ed"], out[tag + "len"] = pd.Series([state[0]], index=out.index, dtype="float64"), pd.Series([state[1]], index=out.index, dtype="float64"), state[3]
+            out[tag + "at"] = pd.Series([state[2]], index=out.index, dtype="Int64")
+        return out[whole.names]
+
+    chunks = pieces.groupBy(*group, "_chunk").applyInPandas(total, whole)
+    with_state = T.StructType([*whole.fields, *[T.StructField(n, t) for n, t in state]])
+    chunks = chunks.groupBy(*group).applyInPandas(lambda pdf: _before(pdf.sort_values("_chunk"), folds, empty), with_state)
+    starts = chunks.select(*group, "_chunk", *[F.col(n).alias("c" + n) for n, _ in state])
+    joined = lookup(pieces, starts, [*group, "_chunk"])
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(BLOCK)
+        first = pdf.iloc[0]
+
+        def start(tag: str) -> tuple:
+            done = int(first["c" + tag + "done"])
+            if done < 0:
+                return None, None, None, int(first["c" + tag + "rows"])
+            return float(first["c" + tag + "cn"]), float(first["c" + tag + "cd"]), done, int(first["c" + tag + "rows"])
+
+        return _before(pdf, folds, start)[added.names]
+
+    return joined.groupBy(*group, "_chunk").applyInPandas(inside, added).drop(*drop)
 
 
 def nth_difference(values: Sequence[Column], d: int) -> Column:

@@ -84,7 +84,7 @@ def assign_trips(frame: OrderedFrame, ts: str = "ts", grain: str = "day", out: s
 def airflow(frame: OrderedFrame, rotation: str, pressure: str, n: int = 5, out: str = "airflow_rate", within=()) -> OrderedFrame:
     """Rotation speed n readings ago over the present air pressure."""
     frame = frame.lag(rotation, n, "_rotation", within)
-    return frame.with_df(frame.df.withColumn(out, ratio(F.col("_rotation"), F.col(pressure))).drop("_rotation"))
+    return frame.with_column(out, ratio(F.col("_rotation"), F.col(pressure))).without("_rotation")
 
 
 def series(spark: SparkSession, sf_dir: str, rows_per_block: int = ROWS_PER_BLOCK) -> OrderedFrame:

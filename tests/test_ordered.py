@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from devicelens.operators import ordered as module
+from devicelens.operators.lookup import lookup
 from devicelens.operators.ordered import ordered
 
 BLOCKS = [2_000_000, 7, 40]
@@ -134,11 +137,58 @@ def test_ewma_long_series_does_not_overflow(spark):
         check(got, pdf["x"].ewm(5).mean().to_frame("y"))
 
 
-def test_cut_points_stay_bounded(sdf):
-    frame = ordered(sdf, ["k"], ["t", "id"], rows_per_block=7, max_blocks=10).row_number("n")
-    blocks = frame.df.select("k", "_block").distinct().groupBy("k").count().collect()
-    assert sum(r["count"] for r in blocks) <= 10 + len(blocks)
-    assert frame.df.count() == 470
+def test_many_cut_points_and_carries_go_by_shuffle(sdf, pdf, monkeypatch):
+    """Beyond the size of a broadcast the same tables are joined by shuffle."""
+    monkeypatch.setattr(module, "lookup", functools.partial(lookup, max_broadcast_rows=3))
+    frame = ordered(sdf, ["k"], ["t", "id"], rows_per_block=7).row_number("n").lag("x", 2, "l").ewma("x", "y", com=5)
+    got = by_id(frame.result(), "n", "l", "y")
+    g = grouped(pdf, "k")
+    expected = pd.DataFrame({"n": g.cumcount() + 1, "l": g["x"].shift(2), "y": g["x"].transform(lambda s: s.shift(1).ewm(5).mean())})
+    check(got, expected)
+
+
+@pytest.mark.parametrize("fold", [2, 5])
+def test_states_are_folded_in_two_levels(sdf, pdf, monkeypatch, fold):
+    monkeypatch.setattr(module, "FOLD", fold)
+    frame = ordered(sdf, ["k"], ["t", "id"], rows_per_block=7).ewma("x", "a", com=5).ewma("x", "b", span=600, shift=0).ewma("x", "c", com=2, within=["day"])
+    got = by_id(frame.result(), "a", "b", "c")
+    g = grouped(pdf, "k")["x"]
+    expected = pd.DataFrame({
+        "a": g.transform(lambda s: s.shift(1).ewm(5).mean()),
+        "b": g.transform(lambda s: s.ewm(span=600).mean()),
+        "c": grouped(pdf, ["k", "day"])["x"].transform(lambda s: s.shift(1).ewm(2).mean()),
+    })
+    check(got, expected)
+
+
+def count_jobs(spark, frame):
+    """Jobs that the rows of a frame take."""
+    group = f"jobs-{id(frame)}"
+    spark.sparkContext.setJobGroup(group, "")
+    frame.result().write.format("noop").mode("overwrite").save()
+    found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    return found
+
+
+def test_jobs_do_not_grow_with_the_operators(spark, sdf):
+    one = ordered(sdf, ["k"], ["t", "id"], rows_per_block=40).row_number("n")
+    many = ordered(sdf, ["k"], ["t", "id"], rows_per_block=40)
+    many = many.row_number("n").dense_rank(F.col("day"), "r").lags({"l1": ("x", 1), "i3": ("id", 3)}).running_sum("id", "c").group_sum(F.col("id"), "g")
+    many = many.ewma("x", "e", com=5).ewma("x", "f", span=600).with_column("w", F.col("x")).fill(["w"], ["ffill"])
+    assert count_jobs(spark, many) <= count_jobs(spark, one) + 4
+
+
+def test_waves_respect_what_is_read(sdf, pdf):
+    """Results that feed later operators, columns that are replaced, and columns read before they are replaced."""
+    results = []
+    for size in (2_000_000, 7):
+        frame = ordered(sdf, ["k"], ["t", "id"], size).row_number("n").lag("n", 1, "m").with_column("z", F.col("m") * 2).running_sum("z", "s")
+        frame = frame.lag("x", 1, "before").fill(["x"], ["ffill", 0]).lag("x", 1, "after").dense_rank(F.col("n"), "r").ewma("after", "e", com=3, shift=2)
+        frame = frame.with_column("x", F.col("x") + 1).lag("x", 1, "last").without("z")
+        results.append(by_id(frame.result(), "n", "m", "s", "before", "x", "after", "r", "e", "last"))
+    check(results[1], results[0])
+    assert "z" not in frame.result().columns
 
 
 @pytest.mark.parametrize("fan", [2, 3, 8])
@@ -173,7 +223,7 @@ def test_random_series(spark, seed):
     rows = [(int(i), k, None if np.isnan(x) else float(x)) for i, k, x in pdf.itertuples(index=False)]
     sdf = spark.createDataFrame(rows, "id long, k string, x double").repartition(int(rng.integers(1, 6)))
     pdf = pdf.sort_values("id").reset_index(drop=True)
-    frame = ordered(sdf, ["k"], ["id"], int(rng.integers(2, 20)), max_blocks=int(rng.integers(5, 60)))
+    frame = ordered(sdf, ["k"], ["id"], int(rng.integers(2, 20)))
     frame = frame.lag("x", int(lag := rng.integers(1, 5)), "l").ewma("x", "e", com=2, shift=1).with_column("f", F.col("x"))
     got = by_id(frame.fill(["f"], ["bfill", "ffill", 0]).row_number("n").result(), "l", "e", "f", "n")
     g = grouped(pdf, "k")
