@@ -11,6 +11,7 @@ The trees are fitted on pages written by a rule: known layouts around sentences
 from __future__ import annotations
 
 import html
+import itertools
 import re
 import uuid
 from collections.abc import Iterator
@@ -29,6 +30,9 @@ SAMPLE_PAGES, TRAINING_PAGES, TREES, DEPTH, RATE = 64, 500, 40, 4, 0.3
 # Fixed values of HTML: elements without content, with raw content, without readable text, within a line.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {"script", "style"}
+#: Elements whose content is text up to their end tag, if it is there, and those that stand within a line though nothing in them is read.
+RAW_IF_CLOSED = {"iframe", "noembed", "noframes", "textarea"}
+FLOWING = set("script style template noscript svg iframe object canvas math select textarea".split())
 UNREAD = set("script style template noscript head title svg iframe object canvas math select option datalist textarea".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Start tags that end an open element: an open element of the first set ends when one of the second starts.
@@ -52,8 +56,13 @@ TOKEN_GROUPS = [
     "article content post entry story main body text prose richtext",
 ]
 TOKEN_OF = {t: i for i, group in enumerate(TOKEN_GROUPS) for t in group.split()}
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|<[^<>]*>|[^<]+|<""", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: Attributes that features look at, and the mark of a block's end among a page's pieces.
+ATTRIBUTES, BLOCK_END = {"class", "id", "role", "data-main"}, (-1, "")
+_NAME = re.compile(r"[A-Za-z][^\t\n\f\r />]*")
+_NEXT = re.compile(r"[\t\n\f\r /]*([^\t\n\f\r />][^\t\n\f\r />=]*)?[\t\n\f\r ]*")
+_SPACE = re.compile(r"[\t\n\f\r ]*")
+_BARE = re.compile(r"[^\t\n\f\r >]*")
+_COMMENT_END = re.compile(r"--!?>")
 _SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -79,27 +88,96 @@ def open_head(stack: list[tuple[str, int]], head: int) -> int:
     return head if is_open and not any(name == "template" for name, _ in stack[head:]) else 0
 
 
+def read_tag(page: str, at: int) -> tuple[str | None, list[tuple[str, str]], bool, int]:
+    """Name, wanted attributes, whether it closes itself, and end of a tag whose name begins at ``at``; no name if the page ends in it.
+
+    A quote counts only where a value begins, as HTML says.
+    """
+    found = _NAME.match(page, at)
+    name, at, n, wanted = found.group(), found.end(), len(page), []
+    while True:
+        found = _NEXT.match(page, at)
+        at, key = found.end(), found.group(1)
+        if at >= n:
+            return None, [], False, n
+        if key is None:
+            return name.lower() if name.isascii() else name, wanted, page[at - 1] == "/" and found.end() > found.start(), at + 1
+        value = ""
+        if page[at] == "=":
+            at = _SPACE.match(page, at + 1).end()
+            quote = page[at : at + 1]
+            if quote in ('"', "'"):
+                end = page.find(quote, at + 1)
+                if end < 0:
+                    return None, [], False, n
+                value, at = page[at + 1 : end], end + 1
+            else:
+                found = _BARE.match(page, at)
+                value, at = found.group(), found.end()
+        if key.lower() in ATTRIBUTES:
+            wanted.append((key.lower(), value))
+
+
+def after_markup(page: str, at: int) -> int:
+    """Where a comment, a declaration or other markup that is no tag ends; ``at`` is the place of its ``<``. The place itself if it is text."""
+    c = page[at + 1 : at + 2]
+    if page.startswith("<!--", at):
+        if page.startswith(">", at + 4) or page.startswith("->", at + 4):
+            return page.index(">", at) + 1
+        end = _COMMENT_END.search(page, at + 4)
+        return end.end() if end else len(page)
+    if c in ("!", "?", "/") and c:
+        end = page.find(">", at + 2)
+        return end + 1 if end >= 0 else len(page) if c != "/" or at + 2 < len(page) else at
+    return at
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
-    """Block-level nodes in page order (the root is 0), and the page's text as (node, piece); a piece "\\n" ends a block.
+    """Block-level nodes in page order (the root is 0), and the page's text as (node, piece); ``BLOCK_END`` ends a block.
 
-    Open elements end as HTML says for paragraphs, list items, table parts and the head; an end tag closes up to its
-    element, or nothing if none is open; what is open at the end ends there.
+    ``<`` begins a tag before a letter, or before ``/`` and a letter; before ``!``, ``?`` and ``/`` it begins other markup, else it is
+    text. Open elements end as HTML says for paragraphs, list items, table parts and the head; an end tag closes up to its
+    element, or nothing if none is open; what is open at the end ends there. The work is linear in the page.
     """
     nodes = [Node("#", -1, 0, 0)]
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("#", 0)]  # open elements with the block they belong to
+    opened: dict[str, int] = {}  # how many elements of a name are open
+    unclosed_raw: set[str] = set()  # names whose end tag no longer comes
     seen, linked, unread, at, head = 0, 0, 0, 0, 0
     n = len(page)
+
+    def close(i: int) -> None:
+        nonlocal linked, unread
+        for name, _ in stack[i:]:
+            opened[name] -= 1
+            linked -= name == "a"
+            unread -= name in UNREAD
+        del stack[i:]
+
+    def put(tag: str, node: int) -> None:
+        opened[tag] = opened.get(tag, 0) + 1
+        stack.append((tag, node))
+
     while at < n:
-        found = _TOKEN.match(page, at)
-        at = found.end()
-        tag = found.group(2)
-        if tag is None:
-            piece = found.group()
-            if unread and stack[-1][0] == "head" and piece[0] != "<" and piece.strip():
-                unread -= 1
-                del stack[-1]
-            if not unread and (piece[0] != "<" or len(piece) == 1):
+        start = page.find("<", at)
+        piece, ending = "", False
+        if start != at:
+            piece, at = page[at : start if start >= 0 else n], start if start >= 0 else n
+        elif page[at + 1 : at + 2].isascii() and page[at + 1 : at + 2].isalpha():
+            pass
+        elif page[at + 1 : at + 2] == "/" and page[at + 2 : at + 3].isascii() and page[at + 2 : at + 3].isalpha():
+            ending = True
+        else:
+            end = after_markup(page, at)
+            if end > at:
+                at = end
+                continue
+            piece, at = "<", at + 1
+        if piece:
+            if unread and stack[-1][0] == "head" and piece != "<" and piece.strip():
+                close(len(stack) - 1)
+            if not unread:
                 text = html.unescape(piece)
                 node = nodes[stack[-1][1]]
                 size = len(text.strip())
@@ -110,70 +188,72 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 node.marks += text.count(".") + text.count(",")
                 out.append((stack[-1][1], text))
             continue
-        tag = tag.lower()
-        if found.group(1):
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    for name, _ in stack[i:]:
-                        linked -= name == "a"
-                        unread -= name in UNREAD
-                    if any(name not in INLINE for name, _ in stack[i:]):
-                        out.append((0, "\n"))
-                    del stack[i:]
-                    break
+        tag, attributes, closed, at = read_tag(page, at + 1 + ending)
+        if tag is None:
+            break
+        if ending:
+            if opened.get(tag):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] == tag:
+                        # What closes inside of something unread, or within a line, ends no block.
+                        names = itertools.takewhile(lambda name: name not in FLOWING, (name for name, _ in stack[i:]))
+                        ends = any(name not in INLINE for name in names)
+                        close(i)
+                        if ends and not unread:
+                            out.append(BLOCK_END)
+                        break
             continue
         if unread and tag not in IN_HEAD and open_head(stack, head):
-            for ended, _ in stack[head:]:
-                linked -= ended == "a"
-                unread -= ended in UNREAD
-            del stack[head:]
+            close(head)
         if tag in INLINE:
             nodes[stack[-1][1]].tags += 1
             if tag == "br":
                 out.append((stack[-1][1], " "))
-            if tag not in VOID and not found.group(3).rstrip().endswith("/"):
+            if tag not in VOID and not closed:
                 linked += tag == "a"
-                stack.append((tag, stack[-1][1]))
+                put(tag, stack[-1][1])
             continue
         for open_, starts in CLOSES:
-            if tag in (ENDS_P if starts is None else starts):
+            if tag in (ENDS_P if starts is None else starts) and any(opened.get(name) for name in open_):
                 for i in range(len(stack) - 1, 0, -1):
                     name = stack[i][0]
                     if name in open_:
-                        for ended, _ in stack[i:]:
-                            linked -= ended == "a"
-                            unread -= ended in UNREAD
-                        del stack[i:]
+                        close(i)
                         break
                     if name not in INLINE and name not in ("tr", "td", "th", "p"):
                         break
-        out.append((0, "\n"))
+        if tag not in FLOWING and not unread:
+            out.append(BLOCK_END)
         if tag in VOID:
             nodes[stack[-1][1]].tags += 1
             continue
         parent = stack[-1][1]
         node = Node(tag, parent, nodes[parent].depth + 1, len(nodes[parent].children), before=seen)
-        attributes = found.group(3)
-        if attributes:
-            for name, a, b, c in _ATTRIBUTE.findall(attributes):
-                if name.lower() == "data-main":
-                    node.main = True
-                else:
-                    node.tokens += f" {a or b or c}".lower()
+        for name, value in attributes:
+            if name == "data-main":
+                node.main = True
+            else:
+                node.tokens += f" {value}".lower()
         nodes[parent].children.append(len(nodes))
         nodes.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}", re.I).search(page, at)
+            end = re.compile(rf"</{tag}(?=[\t\n\f\r />])", re.I).search(page, at)
             at = end.start() if end else n
+        elif tag in RAW_IF_CLOSED and tag not in unclosed_raw:
+            end = re.compile(rf"</{tag}(?=[\t\n\f\r />])", re.I).search(page, at)
+            if end:
+                at = end.start()
+            else:
+                unclosed_raw.add(tag)
         elif tag in ("title", "noscript") and unread and open_head(stack, head):
             # Tags in them are not the head's, if their end tag is there.
             end = re.compile(rf"</?{tag}\b" if tag == "title" else r"</?noscript\b|</head\b|<body\b", re.I).search(page, at)
             at = end.start() if end and end.group().lower() == f"</{tag}" else at
-        if not attributes.rstrip().endswith("/"):
+        if not closed:
             unread += tag in UNREAD
             if tag == "head" and not open_head(stack, head):
                 head = len(stack)
-            stack.append((tag, len(nodes) - 1))
+            put(tag, len(nodes) - 1)
     return nodes, out
 
 
@@ -210,7 +290,8 @@ def node_features(pages: list[list[Node]]) -> np.ndarray:
         if x.tokens:
             tokens[i] = _token_counts(x.tokens)
     # Upwards by depth: what subtrees hold. Downwards: what stands above.
-    by_depth = [np.flatnonzero(depth == d) for d in range(depth.max(initial=0) + 1)]
+    sorted_ = np.argsort(depth, kind="stable")
+    by_depth = np.split(sorted_, np.searchsorted(depth[sorted_], np.arange(1, depth.max(initial=0) + 1)))
     for at in by_depth[:0:-1]:
         np.add.at(sums, parent[at], sums[at])
         np.maximum.at(best, parent[at], best[at])
@@ -305,8 +386,8 @@ def decode(nodes: list[Node], odds: np.ndarray) -> np.ndarray:
 def assemble(pieces: list[tuple[int, str]], keep: np.ndarray) -> str:
     """Blocks of the kept nodes, white space within them one space, joined by line ends."""
     blocks, held = [], []
-    for node, piece in [*pieces, (0, "\n")]:
-        if piece == "\n" and node == 0:
+    for node, piece in [*pieces, BLOCK_END]:
+        if node < 0:
             if held:
                 block = " ".join("".join(held).split())
                 if block:

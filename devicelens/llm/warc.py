@@ -32,7 +32,8 @@ def write_archive(pages: DataFrame, path: str, id_column: str = "page_id", url_c
     least ``min_bytes`` the one with the largest id is the response, all others revisit it; smaller payloads
     are responses all. Rows repeated with that largest id are responses too. A null id is below all others: its
     record refers to the largest id, or is a response if no row of its payload has one. Only the three named
-    columns are read; an empty table gives an empty archive; a null URL leaves out ``WARC-Target-URI``.
+    columns are read; an empty table gives an empty archive; a null URL leaves out ``WARC-Target-URI``, and line ends in a URL are
+    percent-encoded, so that it cannot add header lines.
 
     The payload crosses the network once. Copies are dropped before that shuffle, task by task, so a page
     that a third of all rows share is sent once per task.
@@ -54,7 +55,7 @@ def write_archive(pages: DataFrame, path: str, id_column: str = "page_id", url_c
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: "), name(F.col("id"))),
         F.lit(f"WARC-Date: {date}"),
-        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\r\n]+", " ")),
+        F.concat(F.lit("WARC-Target-URI: "), F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), name(F.col("holder")))),
         F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
@@ -68,20 +69,21 @@ def write_archive(pages: DataFrame, path: str, id_column: str = "page_id", url_c
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Records as captured: ``id``, ``header``, ``payload``, the parsed ``record_type``, ``refers_to``, ``digest``, and ``verified``.
 
-    ``verified`` is whether the bytes that the join found have the digest of the header; ``record`` of a
+    ``verified`` is whether the bytes that the join found have the digest of the header and that they are stored under; ``record`` of a
     verified row is the header followed by its block (none for a revisit) and the two line ends that close it.
     """
     headers, payloads = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
     text = F.col("header").cast("string")
-    field = lambda name: F.nullif(F.regexp_extract(text, rf"(?m)^{name}: (.*)$", 1), F.lit(""))
+    # Lines end at CR LF alone; other line ends of Unicode may stand in a URL. The first line of a name counts, and none comes from a URL.
+    field = lambda name: F.nullif(F.regexp_extract(text, rf"(?:^|\r\n){name}: ([^\r\n]*)", 1), F.lit(""))
     joined = headers.join(payloads, "key")
     return joined.select(
         "id",
         "header",
         "payload",
         field("WARC-Type").alias("record_type"),
-        F.nullif(F.regexp_extract(field("WARC-Refers-To"), r"^<urn:page:(.*)>$", 1), F.lit("")).alias("refers_to"),
-        F.regexp_extract(field("WARC-Payload-Digest"), r"^sha1:([A-Z2-7]+)$", 1).alias("digest"),
-        (F.concat(F.lit("sha1:"), base32_of_sha1(F.col("payload"))) == field("WARC-Payload-Digest")).alias("verified"),
+        F.nullif(F.regexp_extract(field("WARC-Refers-To"), r"\A<urn:page:([^>]*)>\z", 1), F.lit("")).alias("refers_to"),
+        F.regexp_extract(field("WARC-Payload-Digest"), r"\Asha1:([A-Z2-7]+)\z", 1).alias("digest"),
+        ((F.concat(F.lit("sha1:"), base32_of_sha1(F.col("payload"))) == field("WARC-Payload-Digest")) & (F.sha2("payload", 256) == F.col("key"))).alias("verified"),
         F.when(field("WARC-Type") == "response", F.concat("header", "payload", F.lit("\r\n\r\n").cast("binary"))).otherwise(F.concat("header", F.lit("\r\n\r\n").cast("binary"))).alias("record"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -243,7 +244,7 @@ def test_entry_lists_all(spark):
     import __spark_entry__ as entry
 
     numbers = {n.split("_")[0] for n in entry.queries() if n.startswith("op") and n[2].isdigit()}
-    assert numbers == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert numbers == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_pipeline_stages(spark):
@@ -296,3 +297,89 @@ def test_pipeline_keeps_odd_rows(spark, sf_dir):
     empty = frame.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+# --- markup and header lines that are easily misread --------------------------------------------------------------
+
+
+def text_of(page):
+    nodes, pieces = extraction.parse(page)
+    return extraction.assemble(pieces, np.ones(len(nodes), bool))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p>We said <a href='x' title='don't go'>this</a> here.</p><p>It's a long article, isn't it</p>", "We said this here.\nIt's a long article, isn't it"),
+        ("if a < b then c > d holds", "if a < b then c > d holds"),
+        ("<p>intro</p><!-->after one<!--->after two", "intro\nafter oneafter two"),
+        ("<p>x</p><!-- a --!>y<!-- <p>no</p> -- > -->z", "x\nyz"),
+        ("Hello <b>x</b>\n<b>y</b>", "Hello x y"),
+        ("a <svg><g><path d='x'/></g></svg> sentence <iframe src=x><p>no</iframe> goes <math><mi>no</math>on", "a sentence goes on"),
+        ("<a b=c/>x</a></>y</ no>z<?no?>w<![CDATA[no]]>v", "xyzwv"),
+        ("a <textarea><b>no</textarea> b <textarea> c", "a b"),
+        ("<div class='a>b' id=c'd>x</div>1 <2 and <3", "x\n1 <2 and <3"),
+        ("<DIV\nCLASS = \"a\"\tdata-main>x<BR/>y</DIV >z", "x y\nz"),
+        ("<script>if (a</b>) '<p>'</scripty></script >x<style></style/>y", "xy"),
+        ("<p title='never closed>all of this is in the tag", ""),
+        ("&lt;b&gt; &amp;c &#x41; < &notit; a<", "<b> &c A < \u00acit; a<"),
+    ],
+)
+def test_markup_as_html_reads_it(page, text):
+    assert text_of(page) == text
+
+
+def test_attributes_of_blocks():
+    nodes, _ = extraction.parse("<div class=\"Nav bar\" id='it\"s' role=main x=y data-main=1><p class=a/><p id= b >t")
+    assert [n.tokens for n in nodes[1:]] == [' nav bar it"s main', " a/", " b"] and nodes[1].main and not nodes[2].main
+
+
+def test_tokens_against_the_standard_parser():
+    """Random markup of tags, quotes, comments and loose marks: the same characters of text, in order."""
+    import html.parser
+
+    class Plain(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.text = []
+
+        def handle_data(self, data):
+            self.text.append(data)
+
+    parts = ["word ", "it's ", 'say "so" ', "<p>", "</p>", "<b class='x y'>", "</b>", '<i title="a > b">', "</i>", "<div id=c>", "</div>", "<!-- note <p> -->", "1 < 2 ", "a > b ", "&amp; ", "&eacute;", "<br/>", "<img alt='don\"t'>", "\n", "<span\nclass=z >", "</span>", "&", "<em>", "</em >"]
+    rng = random.Random(12)
+    for _ in range(400):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(1, 60))) + "."
+        plain = Plain()
+        plain.feed(page)
+        plain.close()
+        got = "".join(piece for node, piece in extraction.parse(page)[1] if node >= 0 and piece != " ")
+        assert "".join(got.split()) == "".join("".join(plain.text).split()), page
+
+
+@pytest.mark.parametrize("unit", ["<a b='", "<", "<!--", "</", "<a ", "<li><b>", "<textarea>", "</b>", "<!-- --"])
+def test_a_megabyte_of_broken_markup_takes_linear_time(unit):
+    page = unit * (1_000_000 // len(unit))
+    start = time.time()
+    extraction.parse(page)
+    assert time.time() - start < 20  # seconds if it is linear, hours if not
+
+
+def test_archive_fields_do_not_come_from_a_url(spark, tmp_path):
+    """Line ends of Unicode, and of HTTP, inside a URL."""
+    ends = ["\u0085", "\u2028", "\u2029", "\r\n", "\n", "\r", "\x0b", "\x0c"]
+    rows = [(i, f"http://x/{e}WARC-Refers-To: <urn:page:99>{e}WARC-Type: revisit{e}WARC-Payload-Digest: sha1:AAAA", f"<p>{i}</p>") for i, e in enumerate(ends)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "a"))
+    back = warc.read_archive(spark, str(tmp_path / "a")).collect()
+    assert len(back) == len(ends)
+    for r in back:
+        assert r.record_type == "response" and r.refers_to is None and r.verified, r
+
+
+def test_archive_verifies_the_key_too(spark, tmp_path):
+    path = str(tmp_path / "a")
+    warc.write_archive(spark.createDataFrame([(1, "u", "one"), (2, "u", "two")], "page_id long, url string, html string"), path)
+    other = spark.read.parquet(f"{path}/payloads").withColumn("payload", F.when(F.col("payload") == F.lit(b"one"), F.lit(b"onf")).otherwise(F.col("payload")))
+    other.write.parquet(str(tmp_path / "b/payloads"))
+    spark.read.parquet(f"{path}/headers").write.parquet(str(tmp_path / "b/headers"))
+    assert {r.id: r.verified for r in warc.read_archive(spark, str(tmp_path / "b")).collect()} == {1: False, 2: True}
