@@ -49,7 +49,7 @@ HOT = "_hot"
 ALL = "_all"
 
 
-def _count_at_or_below(df: DataFrame, cuts: str, probe: Column, longest: int, out: str) -> DataFrame:
+def count_at_or_below(df: DataFrame, cuts: str, probe: Column, longest: int, out: str) -> DataFrame:
     """Add the number of entries of a sorted array column that are <= probe; 0 where there is no array.
 
     A binary search in jumps of falling powers of two, unrolled into plain expressions: they
@@ -94,11 +94,11 @@ def _with_block(df: DataFrame, points: DataFrame, keys, order_by, highest: int)
     if highest >= FAN:
         coarse = points.where(is_coarse).groupBy(*keys).agg(F.array_sort(F.collect_list(tuple_)).alias("_cuts"))
         df = lookup(df.drop("_top"), coarse, keys)
-        df = _count_at_or_below(df, "_cuts", tuple_, highest // FAN, "_top").drop("_cuts")
+        df = count_at_or_below(df, "_cuts", tuple_, highest // FAN, "_top").drop("_cuts")
     # Each group has a row, if only for its first, coarse point; that one is not listed again.
     fine = points.groupBy(*keys, F.col("_g").alias("_top")).agg(F.array_sort(F.collect_list(F.when(~is_coarse, tuple_))).alias("_cuts"))
     df = lookup(df, fine, [*keys, "_top"])
-    df = _count_at_or_below(df, "_cuts", tuple_, min(highest, FAN - 1), BLOCK)
+    df = count_at_or_below(df, "_cuts", tuple_, min(highest, FAN - 1), BLOCK)
     df = df.withColumns({BLOCK: F.col("_top") * FAN + F.col(BLOCK), HOT: F.col("_cuts").isNotNull()})
     return df.drop("_cuts", "_top")
 
