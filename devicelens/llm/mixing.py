@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from devicelens.operators.ordered import count_at_or_below
 from devicelens.session import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK, SHARD_SLOTS, PASSES, ROUNDS = 64, 4_096, 3, 12
 #: Documents of a source that are numbered together.
 CHUNK = 20_000
+#: Shards whose slots are counted together, and slots that a task makes.
+RUN, TASK_SLOTS = 1_024, 250_000
 
 
 def n_words(text: Column) -> Column:
@@ -79,19 +82,31 @@ def slots(blocks: DataFrame, seed: int) -> DataFrame:
     order = W.orderBy(F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
     shares = blocks.where("n_slots > 0").withColumn("upto", F.sum("n_slots").over(order)).withColumn("from", F.col("upto") - F.col("n_slots"))
     shares = cut(shares)
-    total = shares.agg(F.sum("n_slots")).first()[0] or 0
-    # One array of the cumulated shares; its place gives the source. As long as there are sources, not documents.
+    total, sources = shares.agg(F.sum("n_slots"), F.count("*")).first()
+    total = total or 0
+    # The cumulated shares and their sources, as long as there are sources, not documents; each slot searches them by halves.
     bounds = shares.agg(F.sort_array(F.collect_list(F.struct("upto", "source"))).alias("bounds"))
     drawn = spark.range(total).withColumn("shard", F.floor(F.col("id") / SHARD_SLOTS).cast("long"))
     drawn = drawn.withColumn("u", F.floor(_uniform(F.lit(seed), F.col("id")) * total).cast("long"))
-    drawn = drawn.withColumn("bounds", bounds.scalar()).withColumn("hit", F.expr("filter(bounds, b -> b.upto > u)[0]"))
-    counts = drawn.groupBy(F.col("hit.source").alias("source"), "shard").agg(F.count("*").alias("n"))
+    drawn = drawn.withColumns({"upto": bounds.select("bounds.upto").scalar(), "sources": bounds.select("bounds.source").scalar()})
+    drawn = count_at_or_below(drawn, "upto", F.col("u"), sources, "hit")
+    counts = drawn.groupBy(F.get("sources", F.col("hit")).alias("source"), "shard").agg(F.count("*").alias("n"))
+    counts = cut(counts)
     known = shares.select(F.col("source").alias("s"), "n_blocks", "n_slots")
-    running = W.partitionBy("source").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
+    # How many slots of the source the shards before have: by runs of shards, then within them.
+    counts = counts.withColumn("run", F.floor(F.col("shard") / RUN).cast("long"))
+    runs = counts.groupBy("source", "run").agg(F.sum("n").alias("all"))
+    earlier = W.partitionBy("source").orderBy("run").rowsBetween(W.unboundedPreceding, -1)
+    runs = runs.select(F.col("source").alias("s"), F.col("run").alias("r"), F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base"))
+    inside = W.partitionBy("source", "run").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    counts = counts.join(runs, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r"))).withColumn("before", F.col("before") + F.col("base")).drop("s", "r", "base", "run")
     settled = counts.join(known, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     settled = settled.withColumn("n", F.greatest(F.lit(0), F.least("n", F.col("n_slots") - F.col("before"))))
-    numbered = settled.where("n > 0").select("source", "n_blocks", "shard", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("slot"))
+    # A row here is a few numbers and becomes thousands of slots: rows are dealt over all cores first, a source's shards too.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_SLOTS))
+    settled = settled.where("n > 0").select("source", "n_blocks", "shard", "before", "n").repartition(tasks, "source", "shard")
+    numbered = settled.select("source", "n_blocks", "shard", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("slot"))
     have = counts.groupBy("source").agg(F.sum("n").alias("have"))
     short = known.join(have, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < n_slots")
     shards = max(1, -(-total // SHARD_SLOTS))
@@ -103,8 +118,11 @@ def slots(blocks: DataFrame, seed: int) -> DataFrame:
     return every.select("source", "shard", walk.alias("pass"), block.alias("block"))
 
 
-def row_key(*columns: Column | str) -> Column:
-    return F.xxhash64(*columns)
+def row_key(ident: Column | str, source: Column | str, text: Column | str) -> Column:
+    """SHA-256 of the three values, as bytes; null differs from the empty text."""
+    value = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
+    part = lambda c: F.coalesce(F.concat(F.length(value(c)).cast("string"), F.lit(":"), value(c)), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(part(ident), part(source), part(text)).cast("binary"), 256))
 
 
 def pieces(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -112,13 +130,13 @@ def pieces(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
 
     ``rows``: ``key``, ``id``, ``source``, ``size``, ``copies``; rows equal in all three columns are one with so many copies.
     ``pieces``: ``key``, ``source``, ``block``, ``start``, ``words``: ``words`` words of the row from word ``start`` on lie in that
-    block of its source. Rows are numbered within chunks of a source dealt by hash, and chunks one after the other,
+    block of its source. Rows are numbered within chunks of a source dealt by hash of the key, and chunks one after the other,
     so a source of any size is packed in parts.
     """
     narrow = docs.select(row_key("id", "source", "text").alias("key"), "id", "source", n_words(F.col("text")).alias("size"))
     rows = cut(narrow.groupBy("key", "id", "source", "size").agg(F.count("*").alias("copies")))
     parts = max(1, -(-rows.count() // CHUNK))
-    placed = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(parts))).withColumn("span", F.col("size") * F.col("copies"))
+    placed = rows.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(parts))).withColumn("span", F.col("size") * F.col("copies"))
     chunks = placed.groupBy("source", "chunk").agg(F.sum("span").alias("n"))
     before = W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     chunks = chunks.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))

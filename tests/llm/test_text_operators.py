@@ -546,3 +546,46 @@ def test_beam_finds_the_best_of_all_readings(spark):
     start = time.time()
     assert letters.decode("a" + "*" * 60 + "b")
     assert time.time() - start < 5
+
+
+def test_taken_is_what_the_slots_take(spark):
+    """Per document, against a plain program over the slots: which words of it lie in the blocks they name."""
+    rng = random.Random(21)
+    rows = [(i if i % 9 else None, " ".join(["w"] * rng.randint(0, 400)), rng.choice(["a", "b", "c", "d", None, "hot", "hot", "hot"])) for i in range(240)]
+    rows += [(500, "same text here", "a")] * 4 + [(None, "x " * 70, "hot")] * 3
+    frame = fixture(spark, rows)
+    named = frame.select(F.col("doc_id").alias("id"), "source", "text")
+    row_table, found, aimed, every = mixing.plan(named, block=16)
+    size = {r.source: r.source_size for r in aimed.collect()}
+    # The pieces tile each source without gaps.
+    spans: dict = {}
+    for r in found.collect():
+        spans.setdefault((r.source, r.block), []).append((r.words, bytes(r.key)))
+    for source, n in size.items():
+        blocks = [sum(w for w, _ in spans[source, b]) for b in range(-(-n // 16))]
+        assert all(w == 16 for w in blocks[:-1]) and sum(blocks) == n
+    # A pass takes each block once at most.
+    slots = [(r.source, r["pass"], r.block) for r in every.collect()]
+    assert len(slots) == len(set(slots)) and all(0 <= p < 3 for _, p, _ in slots)
+    want: dict = {}
+    for source, _, block in slots:
+        for words, key in spans[source, block]:
+            want[key] = want.get(key, 0) + words
+    copies = {bytes(r.key): (r.id, r.source, r.size, r.copies) for r in row_table.collect()}
+    expected = sorted((str(i), str(s), n, want.get(k, 0) // c) for k, (i, s, n, c) in copies.items() for _ in range(c))
+    assert sorted((r[0], r[2], r[3]) for r in expected) == sorted((str(r.doc_id), r.size, r.taken) for r in mixing.mixed(frame, block=16).collect())
+
+
+def test_row_keys_tell_rows_apart(spark):
+    rows = [(1, "a", "b"), (1, "ab", ""), (1, None, "b"), (1, "", "b"), (None, "a", "b"), (11, "a", "b"), (1, "a", None), (1, "a", "1:b"), (1, "-", "b")]
+    frame = spark.createDataFrame(rows, "id long, source string, text string")
+    assert frame.select(mixing.row_key("id", "source", "text")).distinct().count() == len(rows)
+
+
+def test_slots_are_made_all_over(spark):
+    """One source has nearly all slots: its shards are still dealt over many tasks."""
+    blocks = spark.createDataFrame([("hot", 400_000, 400_000), ("b", 10, 30)], "source string, n_blocks long, n_slots long")
+    made = mixing.slots(blocks, 3)
+    by_task = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(by_task) == 400_030 and max(by_task) < 200_000
+    assert made.where("source = 'hot'").select("block", "pass").distinct().count() == 400_000
