@@ -24,6 +24,7 @@ from devicelens.operators.sampling import ordered_split
 from devicelens.plans.combo import ComboModel
 from devicelens.plans.forecast import arima_forecast
 from devicelens.plans.forecast import tune_orders as judge_orders
+from devicelens.plans.forest import train_forest_per_key
 from devicelens.plans.ledger import Ledger
 from devicelens.plans.ledger import best_run as best_by_metric
 from devicelens.plans.ledger import current_stage as latest_stage
@@ -31,7 +32,7 @@ from devicelens.plans.ledger import run_tree as nested_runs
 from devicelens.plans.mlp import train_mlp
 from devicelens.plans.models import evaluate, importances, score, train_lr, train_rf
 from devicelens.plans.oversample import smote as oversample
-from devicelens.plans.perkey import apply_per_key, load_rf_per_key, log_rf_per_key, score_rf_per_key, train_per_key
+from devicelens.plans.perkey import apply_per_key, load_forest_per_key, log_forest_per_key, train_per_key
 from devicelens.plans.training import prepare_training
 from devicelens.session import scratch_path, stored
 from devicelens.sources.sensor import KEY, ORDER, VOCABULARY, airflow, readings, series, table
@@ -426,32 +427,42 @@ def combo_saved(spark, sf_dir):
     combo, features, columns = with_forecast(spark, sf_dir)
     train, test = split(features)
     fitted = replace(combo, model=train_rf(train, "defect", columns, trees=20))
+    raw = readings(spark, sf_dir)
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
-    run = ledger.log_model_run(fitted.model, train, "defect", columns, "combo", test=test)
-    path = fitted.save(spark, scratch_path(spark, "combo"))
+    found = evaluate(fitted.model, test, "defect").first().asDict()
+    run = ledger.log_composite(fitted, raw, "combo", {f"test_{k}": v for k, v in found.items()})
     ledger.set_stage("combo", ledger.register("combo", run), "Production")
-    ledger.in_stage("combo")
-    raw = readings(spark, sf_dir)
-    before = fitted.transform(raw).select("event_id", "defect", "prediction")
-    after = ComboModel.load(spark, path).transform(raw).select("event_id", F.col("prediction").alias("again"))
+    before = fitted.predicted(features).select("event_id", "defect", "prediction")
+    after = ledger.score(raw, "combo", out="again").select("event_id", "again")
     both = before.join(after, "event_id")
     changed = F.count_if(~F.col("prediction").eqNullSafe(F.col("again")) | F.col("prediction").isNull())
     return both.groupBy(F.col("defect").cast("int").alias("defect")).agg(F.count(F.lit(1)).alias("n_rows"), changed.alias("n_changed"))
 
 
-@query(on_readings("SELECT model_id, count(*) AS n_rows, count(*) AS n_used, 0::BIGINT AS n_unscored FROM r GROUP BY model_id"))
+@query(on_readings("SELECT model_id, count(*) AS n_rows, count(*) AS n_used, 0::BIGINT AS n_unscored, true AS learnt FROM r GROUP BY model_id"))
 def forest_per_model(spark, sf_dir):
-    """A forest per engine model on features with the forecast, logged below one run, loaded, and each row routed to its own."""
+    """A forest per engine model inside a composite model, logged with a run per engine, loaded by stage, and each raw reading routed to its own.
+
+    Learnt is whether a forest finds at least half the defects among the rows it was fitted on, and clears as many of the others.
+    """
     combo = ComboModel({"factory_id": VOCABULARY["factory_id"]}, trip_grain="week")
-    path = scratch_path(spark, "by_model")
-    combo.features(readings(spark, sf_dir)).write.partitionBy("model_id").parquet(path)  # a fit reads its own folder only
-    features = spark.read.parquet(path)
+    features = stored(combo.features(readings(spark, sf_dir)), "combo_features")
     columns = [*_FEATURES, *[f"ohe_{v}" for v in VOCABULARY["factory_id"]], "predicted_temp"]
+    forest = train_forest_per_key(features, "model_id", "defect", columns, trees=10)
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
-    parent, used = log_rf_per_key(ledger, features, "model_id", "defect", columns, "per model", trees=10)
-    scored = score_rf_per_key(features, load_rf_per_key(ledger, parent, "model_id"), "model_id")
-    found = scored.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("predictions").isNull()).alias("n_unscored"))
-    return found.join(used.select("model_id", "n_used"), "model_id")
+    parent = log_forest_per_key(ledger, forest, "per model")
+    raw = readings(spark, sf_dir)
+    run = ledger.log_composite(replace(combo, model=load_forest_per_key(ledger, parent)), raw, "per model", parent_run_id=parent)
+    ledger.set_stage("per model", ledger.register("per model", run), "Production")
+    scored = ledger.score(raw, "per model")
+    right = F.col("predictions") == F.col("defect")
+    shares = [F.coalesce(F.avg(F.when(F.col("defect") == c, right.cast("double"))), F.lit(1.0)) for c in (0, 1)]
+    found = scored.groupBy("model_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("predictions").isNull()).alias("n_unscored"), (F.least(*shares) >= 0.5).alias("learnt")
+    )
+    used = ledger.runs().where((F.col("parent_run_id") == parent) & F.col("tags")["model_id"].isNotNull())
+    used = used.select(F.col("tags")["model_id"].alias("model_id"), F.col("metrics")["n_used"].cast("long").alias("n_used"))
+    return found.join(used, "model_id")
 
 
 @query(on_series("SELECT CAST(defect AS INTEGER) AS defect, count(*) AS n_scored, true AS learnt FROM i WHERE i > floor(0.7e0 * n) GROUP BY defect", _TEST))

@@ -10,15 +10,16 @@ import datetime as dt
 import json
 import os
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from devicelens.plans.models import importances, score
 from devicelens.operators.profile import binary_metrics
+from devicelens.plans.combo import ComboModel
+from devicelens.plans.models import importances, score
 from devicelens.sources.tables import rows, write_path
 
 TEXTS = T.MapType(T.StringType(), T.StringType())
@@ -36,6 +37,8 @@ RUNS = T.StructType(
         T.StructField("input_example", T.StringType()),
     ]
 )
+#: Tag of a run whose model goes all the way from raw readings.
+KIND, COMPOSITE = "kind", "composite"
 VERSIONS = T.StructType(
     [
         T.StructField("name", T.StringType()),
@@ -160,6 +163,28 @@ class Ledger:
         metrics = {f"{part}_{k}": v for k, v in found.items()}
         return self.log_run(name, params, metrics, tags, path, parent_run_id, train.select(*columns), run_id)
 
+    def log_saved(self, save: Callable[[str], object], name: str, run_id: str | None = None, **run) -> str:
+        """Append a run whose model ``save`` writes to the path it is given."""
+        run_id = run_id or uuid.uuid4().hex
+        path = self._path(f"models/{run_id}")
+        save(path)
+        return self.log_run(name, model_path=path, run_id=run_id, **run)
+
+    def log_composite(self, combo: ComboModel, raw: DataFrame, name: str, metrics: Mapping[str, float] | None = None, **run) -> str:
+        """Append a run with the whole way from raw readings to a prediction; the signature is that of the raw readings."""
+        tags = {**run.pop("tags", {}), KIND: COMPOSITE}
+        params = {"order": combo.order, "trip_grain": combo.trip_grain, **run.pop("params", {})}
+        return self.log_saved(lambda path: combo.save(self.spark, path), name, metrics=metrics, params=params, tags=tags, inputs=raw, **run)
+
+    def append_runs(self, runs: DataFrame) -> None:
+        """Append many runs in one job; columns that ``runs`` lacks are null."""
+        now = F.lit(dt.datetime.now())
+        have = {c: F.col(c) for c in runs.columns} | ({} if "logged_at" in runs.columns else {"logged_at": now})
+        runs.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RUNS]).write.mode("append").parquet(self._path("runs"))
+
+    def model_path(self, run_id: str) -> str:
+        return rows(self.runs().where(F.col("run_id") == run_id).select("model_path"))[0]["model_path"]
+
     def runs(self) -> DataFrame:
         return self._read("runs", RUNS)
 
@@ -209,7 +234,7 @@ class Ledger:
             .join(self.versions(), ["name", "version"])
             .join(self.runs(), "run_id")
             .orderBy(F.col("version").desc())
-            .select("model_path", "signature")
+            .select("model_path", "signature", "tags")
             .limit(1)
         )
         row = rows(found)
@@ -220,12 +245,23 @@ class Ledger:
     def resolve(self, name: str, stage: str = "Production") -> str:
         return self.in_stage(name, stage)["model_path"]
 
-    def load(self, name: str, stage: str = "Production") -> PipelineModel:
-        return PipelineModel.load(self.resolve(name, stage))
+    def load(self, name: str, stage: str = "Production") -> PipelineModel | ComboModel:
+        return self._load(self.in_stage(name, stage))
+
+    def _load(self, row: Row) -> PipelineModel | ComboModel:
+        if (row["tags"] or {}).get(KIND) == COMPOSITE:
+            return ComboModel.load(self.spark, row["model_path"])
+        return PipelineModel.load(row["model_path"])
 
     def score(self, df: DataFrame, name: str, stage: str = "Production", out: str = "predictions") -> DataFrame:
-        """Predictions by the model in the stage; refuses a frame that does not have the columns of its signature."""
+        """Predictions by the model in the stage; refuses a frame that does not have the columns of its signature.
+
+        A composite takes raw readings and gives its features beside the prediction.
+        """
         row = self.in_stage(name, stage)
         if row["signature"]:
             check_signature(df, row["signature"])
-        return score(df, PipelineModel.load(row["model_path"]), out)
+        model = self._load(row)
+        if isinstance(model, ComboModel):
+            return model.transform(df).withColumnRenamed("prediction", out)
+        return score(df, model, out)

@@ -1,22 +1,18 @@
-"""One classifier per key (engine model): fitted for all keys at once, applied row by row."""
+"""One classifier per key (engine model): logistic models fitted for all keys at once, and forests in the ledger."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.functions.scalars import dot, sigmoid
-from devicelens.operators.columns import fit_vocab, stack_frames
 from devicelens.operators.lookup import lookup, route_models
-from devicelens.operators.profile import count_by
+from devicelens.plans.forest import KeyedForest
 from devicelens.plans.ledger import Ledger
-from devicelens.plans.models import score, train_rf
 from devicelens.plans.regress import unpack
 from devicelens.session import cut
 from devicelens.sources.tables import rows
@@ -97,39 +93,27 @@ def apply_per_key(df: DataFrame, models: DataFrame, key: str, columns: Sequence[
     return routed.withColumn(out, sigmoid(F.col("bias") + dot(values, F.col("weights")))).drop("bias", "weights")
 
 
-def train_rf_per_key(
-    df: DataFrame, key: str, label: str, columns: Sequence[str], trees: int = 100, seed: int = 42, parallel: int = 4, max_keys: int = 100
-) -> dict[str, PipelineModel]:
-    """A forest per key, for few keys: each fit is a distributed job of its own, some run side by side."""
-    keys = fit_vocab(df, [key], max_keys)[key]
+def log_forest_per_key(ledger: Ledger, forest: KeyedForest, name: str, **parent) -> str:
+    """Forests logged as one child run per key below one parent, which holds them all; the parent's id.
 
-    def fit(value: str) -> PipelineModel:
-        return train_rf(df.where(F.col(key) == value), label, columns, trees, seed)
-
-    with ThreadPoolExecutor(parallel) as pool:
-        return dict(zip(keys, pool.map(fit, keys)))
-
-
-def log_rf_per_key(
-    ledger: Ledger, df: DataFrame, key: str, label: str, columns: Sequence[str], name: str, trees: int = 100, seed: int = 42
-) -> tuple[str, DataFrame]:
-    """Forests per key logged as child runs of one parent: the parent's id and ``(key, run_id, n_used)``."""
-    parent = ledger.log_run(name)
-    used = {r[key]: r["n_used"] for r in rows(count_by(df.where(F.col(key).isNotNull()), [key], "n_used"))}
-    logged = []
-    for value, model in train_rf_per_key(df, key, label, columns, trees, seed).items():
-        run = ledger.log_model_run(model, df.where(F.col(key) == value), label, columns, value, parent, {key: value})
-        logged.append((value, run, used[value]))
-    return parent, df.sparkSession.createDataFrame(logged, f"{key} string, run_id string, n_used long")
-
-
-def load_rf_per_key(ledger: Ledger, parent_run_id: str, key: str) -> dict[str, PipelineModel]:
-    """The forests of a parent run, for :func:`score_rf_per_key`."""
-    return {value: PipelineModel.load(path) for value, path in ledger.model_map(parent_run_id, key).items()}
-
-
-def score_rf_per_key(df: DataFrame, models: dict[str, PipelineModel], key: str, out: str = "predictions") -> DataFrame:
-    """Each row scored by the forest of its key; rows of unknown keys get null."""
-    parts = [score(df.where(F.col(key) == value), model, out) for value, model in models.items()]
-    rest = df.where(F.col(key).isNull() | ~F.col(key).isin(list(models))).withColumn(out, F.lit(None).cast("double"))
-    return stack_frames([*parts, rest])
+    The child runs are written by one job from the forests themselves, so their number does not matter.
+    """
+    run_id = ledger.log_saved(forest.save, name, **parent)
+    path = ledger.model_path(run_id)
+    text = lambda c: F.col(c).cast("string")
+    ledger.append_runs(
+        forest.models.select(
+            F.concat_ws("/", F.lit(run_id), "key").alias("run_id"),
+            F.lit(run_id).alias("parent_run_id"),
+            F.col("key").alias("name"),
+            F.create_map(F.lit("depth"), F.lit(str(forest.depth)), F.lit("trees"), F.size("trees").cast("string")).alias("params"),
+            F.create_map(F.lit("n_used"), F.col("n_used").cast("double"), F.lit("n_positive"), F.col("n_positive").cast("double")).alias("metrics"),
+            F.create_map(F.lit(forest.key), text("key")).alias("tags"),
+            F.lit(path).alias("model_path"),
+        )
+    )
+    return run_id
+
+
+def load_forest_per_key(ledger: Ledger, parent_run_id: str) -> KeyedForest:
+    return KeyedForest.load(ledger.spark, ledger.model_path(parent_run_id))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,11 +11,13 @@ from pyspark.sql import functions as F
 
 from devicelens.operators.groups import make_udf, numeric_batches, per_group, rebatch
 from devicelens.operators.profile import binary_metrics
-from devicelens.plans import mlp, perkey
+from devicelens.plans import forest, mlp, perkey
+from devicelens.plans.combo import ComboModel
 from devicelens.plans.ledger import Ledger, check_signature, run_tree, signature
 from devicelens.plans.models import evaluate, importances, score, train_lr, train_perceptron, train_rf
 from devicelens.plans.training import prepare_training
 from devicelens.session import scratch_path
+from devicelens.sources.sensor import VOCABULARY, readings
 
 
 @pytest.fixture(scope="module")
@@ -65,22 +69,88 @@ def test_logistic_per_key(spark, labelled):
     assert accuracy(routed.withColumn("p", (F.col("probability") > 0.5).cast("int")), "p") > 0.75
 
 
+def trees_of(forest):
+    return {r.key: (r.n_used, r.n_positive, r.trees) for r in forest.models.collect()}
+
+
 def test_forest_per_key_routes_each_row(spark, labelled):
     _, df = labelled
     flipped = df.withColumn("y", ((F.col("u") > 0) != (F.col("k") == "b")).cast("int"))
-    models = perkey.train_rf_per_key(flipped, "k", "y", ["u", "v"], trees=5)
-    assert sorted(models) == ["a", "b", "c"]
-    scored = perkey.score_rf_per_key(flipped, models, "k")
-    assert scored.count() == 1200 and accuracy(scored, "predictions") > 0.95
+    made = forest.train_forest_per_key(flipped, "k", "y", ["u", "v"], trees=8)
+    scored = made.score(flipped)
+    assert scored.count() == 1200 and accuracy(scored, "predictions") > 0.95 and scored.columns == [*flipped.columns, "predictions"]
+    other = flipped.withColumn("k", F.when(F.col("id") == 3, "x").when(F.col("id") == 4, None).otherwise(F.col("k")))
+    assert sorted(r.id for r in made.score(other).where("predictions is null").collect()) == [3, 4]
 
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
-    parent, info = perkey.log_rf_per_key(ledger, flipped, "k", "y", ["u", "v"], "per key", trees=5)
-    assert {r.k: r.n_used for r in info.collect()} == {r["k"]: r["count"] for r in flipped.groupBy("k").count().collect()}
-    assert sorted(r.name for r in run_tree(ledger.runs()).collect()) == ["a", "b", "c"]
-    again = perkey.score_rf_per_key(flipped, perkey.load_rf_per_key(ledger, parent, "k"), "k")
+    parent = perkey.log_forest_per_key(ledger, made, "per key")
+    children = run_tree(ledger.runs()).collect()
+    assert sorted(r.name for r in children) == ["a", "b", "c"] and set(ledger.model_map(parent, "k")) == {"a", "b", "c"}
+    assert {r.name: r.metrics["n_used"] for r in children} == {r["k"]: r["count"] for r in flipped.groupBy("k").count().collect()}
+    again = perkey.load_forest_per_key(ledger, parent).score(flipped)
     assert again.orderBy("id").collect() == scored.orderBy("id").collect()
 
 
+def test_forest_per_key_does_not_depend_on_the_layout(spark, labelled):
+    """A key over many blocks, keys that share one, and any partitioning give the same trees."""
+    _, df = labelled
+    want = trees_of(forest.train_forest_per_key(df, "k", "y", ["u", "v", "w"], trees=3, depth=3))
+    got = trees_of(forest.train_forest_per_key(df.repartition(9), "k", "y", ["u", "v", "w"], trees=3, depth=3, block_rows=100))
+    assert got == want and all(len(t[2]) == 3 for t in want.values())
+
+
+def test_forest_cuts_are_the_best_ones(spark, labelled):
+    """The root of a tree on all columns, against every cut of every column."""
+    pdf, df = labelled
+    made = forest.train_forest_per_key(df, "k", "y", ["u", "v", "w"], trees=2, depth=1, features=3)
+    edges = forest._edges(df, ["u", "v", "w"], forest.BINS)
+    hashes = {r.id: r.h for r in df.select("id", F.xxhash64(F.col("k"), F.col("y").cast("double"), "u", "v", "w").alias("h")).collect()}
+    for key, (_, _, trees) in trees_of(made).items():
+        part = pdf[pdf["k"] == key]
+        for t, tree in enumerate(trees):
+            w, y = forest._drawn(part["id"].map(hashes).to_numpy(), t, 42), part["y"].to_numpy(float)
+            best = (-1.0, None, None)
+            for j, c in enumerate("uvw"):
+                for e in edges[j]:
+                    left = part[c].to_numpy() <= e
+                    parts = [(w[m].sum(), (w * y)[m].sum()) for m in (np.ones(len(w), bool), left, ~left)]
+                    if parts[1][0] >= 1 and parts[2][0] >= 1:
+                        a, b, d = (p * (n - p) / n for n, p in parts)
+                        best = max(best, (round(a - b - d, 9), -j, -e))
+            assert tree.feature[0] == -best[1] and tree.cut[0] == -best[2]
+            left = part["uvw"[tree.feature[0]]].to_numpy() <= tree.cut[0]
+            np.testing.assert_allclose(tree.p[1:3], [(w * y)[left].sum() / w[left].sum(), (w * y)[~left].sum() / w[~left].sum()])
+
+
+def test_forests_for_very_many_keys(spark):
+    """More keys than any list of fits could hold: one pass per level serves them all."""
+    rng = np.random.default_rng(2)
+    n = 24_000
+    pdf = pd.DataFrame({"k": rng.integers(0, 1_500, n), "u": rng.normal(size=n), "v": rng.normal(size=n)})
+    pdf.loc[:8_000, "k"] = 7
+    pdf["y"] = ((pdf["u"] > 0) != (pdf["k"] % 2 == 0)).astype("int32")
+    df = spark.createDataFrame(pdf).repartition(4)
+    made = forest.train_forest_per_key(df, "k", "y", ["u", "v"], trees=3, depth=2, block_rows=3_000, features=2)
+    assert made.models.count() == pdf["k"].nunique()
+    scored = made.score(df)
+    assert scored.where("predictions is null").count() == 0 and accuracy(scored, "predictions") > 0.9
+
+
+def test_composite_in_the_ledger(spark, sf_dir):
+    raw = readings(spark, sf_dir)
+    combo = ComboModel({"model_id": VOCABULARY["model_id"]}, order=(1, 1, 0), trip_grain="week")
+    features = combo.features(raw).cache()
+    made = forest.train_forest_per_key(features, "factory_id", "defect", ["delay", "density", "rotation_speed", "air_pressure"], trees=3)
+    fitted = replace(combo, model=made)
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    ledger.set_stage("c", ledger.register("c", ledger.log_composite(fitted, raw, "c", {"recall": 0.5})), "Production")
+    before = {r.event_id: r.prediction for r in fitted.predicted(features).collect()}
+    after = {r.event_id: r.predictions for r in ledger.score(raw, "c").collect()}
+    assert before == after and None not in before.values() and len(before) == raw.count()
+    with pytest.raises(ValueError):
+        ledger.score(raw.drop("delay"), "c")
+
+
 def test_gradient_of_the_network():
     rng = np.random.default_rng(0)
     shapes = mlp._shapes(3, (5, 4))
