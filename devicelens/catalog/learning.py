@@ -15,8 +15,9 @@ from devicelens.catalog.series import FEATURE_CTES, feature_table
 from devicelens.catalog.tabular import r6
 from devicelens.functions.scalars import sigmoid
 from devicelens.operators.columns import features_label, stack_frames
-from devicelens.operators.groups import make_udf, numeric_batches
+from devicelens.operators.groups import BATCH, make_udf, numeric_batches
 from devicelens.operators.groups import per_group as grouped
+from devicelens.operators.lookup import lookup
 from devicelens.operators.neighbours import knn_forest, knn_self
 from devicelens.operators.ordered import ordered
 from devicelens.operators.profile import binary_metrics
@@ -29,10 +30,12 @@ from devicelens.plans.ledger import Ledger
 from devicelens.plans.ledger import best_run as best_by_metric
 from devicelens.plans.ledger import current_stage as latest_stage
 from devicelens.plans.ledger import run_tree as nested_runs
+from devicelens.plans.innovations import innovations
 from devicelens.plans.mlp import train_mlp
 from devicelens.plans.models import evaluate, importances, score, train_lr, train_rf
 from devicelens.plans.oversample import smote as oversample
 from devicelens.plans.perkey import apply_per_key, load_forest_per_key, log_forest_per_key, train_per_key
+from devicelens.plans.robust import huber_lines
 from devicelens.plans.training import prepare_training
 from devicelens.session import scratch_path, stored
 from devicelens.sources.sensor import KEY, ORDER, VOCABULARY, airflow, readings, series, table
@@ -465,18 +468,77 @@ def forest_per_model(spark, sf_dir):
     return found.join(used, "model_id")
 
 
+#: Rows of a worker, and gradient steps that each takes per epoch at least.
+_SHARE, _STEPS = 8_192, 30
+
+
 @query(on_series("SELECT CAST(defect AS INTEGER) AS defect, count(*) AS n_scored, true AS learnt FROM i WHERE i > floor(0.7e0 * n) GROUP BY defect", _TEST))
 def mlp_scores(spark, sf_dir):
-    """The neural classifier on the first 70 % of the numeric rows, the others scored by class.
+    """The neural classifier on the first 70 % of the numeric rows, with both classes of equal weight; the others scored by class.
 
-    Learnt is whether the loss fell and defects get the higher mean probability: on few rows the fixed
-    number of epochs is too short for more.
+    Few rows make smaller batches, so that each worker takes enough steps to learn.
     """
     train, test = dl_tables(spark, sf_dir)
-    model = train_mlp(train, "defect", _DL_COLUMNS)
-    found = model.score(test).groupBy(F.col("defect").cast("int").alias("defect")).agg(F.count("probability").alias("n_scored"), F.avg("probability").alias("p"))
-    mean = {c: F.max(F.when(F.col("defect") == c, F.col("p"))).over(Window.partitionBy()) for c in (0, 1)}  # two rows
-    return found.select("defect", "n_scored", ((mean[1] > mean[0]) & F.lit(model.history[-1] < model.history[0])).alias("learnt"))
+    n = train.count()
+    workers = max(1, min(n // _SHARE, spark.sparkContext.defaultParallelism))
+    batch = max(16, min(BATCH, n // workers // _STEPS))
+    model = train_mlp(train, "defect", _DL_COLUMNS, batch=batch, workers=workers, balanced=True)
+    return by_class(model.score(test, prediction="predictions"))
+
+
+@query(on_readings("SELECT device_id, count(temperature) AS n_rows, true AS at_optimum, true AS no_worse FROM r WHERE temperature IS NOT NULL GROUP BY device_id"))
+def robust_lines(spark, sf_dir):
+    """Huber's line through density and temperature of each device: whether its equations hold, and it beats least squares by its own measure."""
+    limit = 5.0
+    df = readings(spark, sf_dir).select("device_id", "density", "temperature").dropna()
+    lines = huber_lines(df, "device_id", "density", "temperature", limit)
+    plain = df.groupBy("device_id").agg(F.regr_slope("temperature", "density").alias("p"), F.regr_intercept("temperature", "density").alias("q"), F.avg("density").alias("m"))
+    both = lookup(lookup(df, lines.select("device_id", "n_rows", "slope", "intercept"), ["device_id"]), plain, ["device_id"])
+
+    def loss(r):
+        return F.when(F.abs(r) <= limit, r * r / 2).otherwise(limit * (F.abs(r) - limit / 2))
+
+    r = F.col("temperature") - F.col("intercept") - F.col("slope") * F.col("density")
+    push = F.greatest(F.lit(-limit), F.least(F.lit(limit), r))
+    flat = F.coalesce("q", F.lit(0.0)) + F.coalesce("p", F.lit(0.0)) * F.col("density")
+    return both.groupBy("device_id").agg(
+        F.max("n_rows").alias("n_rows"),
+        (F.greatest(F.abs(F.avg(push)), F.abs(F.avg(push * (F.col("density") - F.col("m"))))) < 1e-6).alias("at_optimum"),
+        (F.sum(loss(r)) <= F.sum(loss(F.col("temperature") - flat)) + 1e-6).alias("no_worse"),
+    )
+
+
+_PHI, _THETA = 0.5, (0.4, -0.2)
+
+
+@query(
+    on_readings(
+        "SELECT event_id, round(e, 6) AS shock FROM e",
+        "x AS (SELECT event_id, device_id, row_number() OVER w AS n, delay - 0.5e0 * lag(delay) OVER w AS w FROM r WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id))",
+        """e AS (SELECT event_id, device_id, n, w AS e, 0e0 AS e1, 0e0 AS e2 FROM x WHERE n = 1
+          UNION ALL SELECT x.event_id, x.device_id, x.n, x.w - 0.4e0 * coalesce(e.e, 0e0) + 0.2e0 * e.e1, coalesce(e.e, 0e0), e.e1
+          FROM e JOIN x ON x.device_id = e.device_id AND x.n = e.n + 1)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+)
+def arma_shocks(spark, sf_dir):
+    """One-step shocks of the delay under given terms, one after the other, in blocks of 20 readings."""
+    frame = series(spark, sf_dir, rows_per_block=20).lag("delay", 1, "_before").with_column("_w", F.col("delay") - _PHI * F.col("_before"))
+    df = innovations(frame, "_w", F.array(*[F.lit(t) for t in _THETA]), "shock")
+    return df.select("event_id", r6("shock").alias("shock"))
+
+
+@query(on_readings("SELECT device_id, count(*) AS n_rows, 0::BIGINT AS n_missing, true AS beats_naive FROM r GROUP BY device_id"))
+def arima_recursive(spark, sf_dir):
+    """Forecast of the delay with shocks of the model itself: none is missing, and it beats the last value over all rows."""
+    filled = series(spark, sf_dir)
+    df = arima_forecast(filled, "delay", (1, 0, 2), "predicted", recursive=True)
+    df = ordered(df, KEY, ORDER).lag("delay", 1, "_before").result()
+    return (
+        df.groupBy("device_id")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("predicted").isNull()).alias("n_missing"), F.sum(F.pow(F.col("delay") - F.col("predicted"), 2)).alias("e"), F.sum(F.pow(F.col("delay") - F.coalesce("_before", F.lit(0.0)), 2)).alias("f"))
+        .withColumn("beats_naive", F.sum("e").over(Window.partitionBy()) < F.sum("f").over(Window.partitionBy()))
+        .drop("e", "f")
+    )
 
 
 _DL_COLUMNS = ["airflow_rate", "rotation_speed", "air_pressure", "temperature", "delay", "density"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from devicelens.catalog.registry import on_readings, on_series, query
@@ -388,19 +390,48 @@ def bin_counts(spark, sf_dir):
 
 @query(
     on_readings(
-        """SELECT r.event_id, CAST(r.ts AS DATE) AS date, d.starting_temp FROM r LEFT JOIN
-        (SELECT CAST(ts AS DATE) AS date, round(avg(value), 6) AS starting_temp FROM events WHERE day(ts) % 2 = 0 GROUP BY 1) d
-        ON d.date = CAST(r.ts AS DATE)"""
+        """SELECT r.event_id, CAST(r.ts AS DATE) - 1 AS date, d.starting_temp FROM r LEFT JOIN
+        (SELECT CAST(ts AS DATE) AS date, round(avg(value), 6) AS starting_temp FROM events GROUP BY 1) d
+        ON d.date = CAST(r.ts AS DATE) - 1"""
     )
 )
 def join_daily(spark, sf_dir):
-    """Starting temperature of the day; odd days are missing from the daily table."""
-    events = table(spark, sf_dir, "events").select(F.to_date("ts").alias("date"), "value").where(F.dayofmonth("date") % 2 == 0)
-    daily = events.groupBy("date").agg(r6(F.avg("value")).alias("starting_temp"))
-    df = readings(spark, sf_dir).select("event_id", F.to_date("ts").alias("date"))
+    """Starting temperature by the mean of the day before; the first day has none before it."""
+    daily = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date")).agg(r6(F.avg("value")).alias("starting_temp"))
+    df = readings(spark, sf_dir).select("event_id", F.date_sub("ts", 1).alias("date"))
     return enrich_daily(df, daily)
 
 
+@query(on_readings("SELECT event_id, CASE WHEN model_id LIKE 'Sky%' THEN 1e0 ELSE 0e0 END AS sky FROM r"))
+def columns_like(spark, sf_dir):
+    """One-hot columns chosen by a part of their name, added up."""
+    df = C.one_hot(readings(spark, sf_dir).select("event_id", "model_id", "factory_id"), VOCABULARY)
+    total = F.lit(0.0)
+    for c in C.columns_like(df, "ohe_Sky"):
+        total = total + F.col(c)
+    return df.select("event_id", total.alias("sky"))
+
+
+_TOP = 25
+
+
+@query(
+    f"""WITH o AS (SELECT o_custkey::VARCHAR AS v, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, o_custkey::VARCHAR) AS r FROM orders GROUP BY 1),
+    p AS (SELECT o_orderpriority AS v, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) AS r FROM orders GROUP BY 1)
+    SELECT 'o_custkey=' || v AS feature, n FROM o WHERE r <= {_TOP} UNION ALL SELECT 'o_custkey≠', coalesce(sum(n), 0)::BIGINT FROM o WHERE r > {_TOP}
+    UNION ALL SELECT 'o_orderpriority=' || v, n FROM p WHERE r <= {_TOP} UNION ALL SELECT 'o_orderpriority≠', coalesce(sum(n), 0)::BIGINT FROM p WHERE r > {_TOP}"""
+)
+def top_values(spark, sf_dir):
+    """The most frequent customers and priorities of all orders as places of sparse vectors, every other value in one place, added up."""
+    df = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority")
+    # Customers have nearly the same number of orders: all of them are kept, so that ties are told apart exactly.
+    vocab = C.fit_top_vocab(df, ["o_custkey", "o_orderpriority"], _TOP, slack=100_000)
+    encoded, names = C.sparse_one_hot(df, vocab)
+    total = encoded.agg(Summarizer.sum(F.col("ohe")).alias("s")).select(vector_to_array("s").alias("s"))
+    each = total.select(F.posexplode("s").alias("i", "n"))
+    return each.select(F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1).alias("feature"), F.col("n").cast("long").alias("n"))
+
+
 _GRID = [{"limit": float(limit), "slope": slope} for limit in (36, 38, 40) for slope in (0.0, 0.5)]
 
 

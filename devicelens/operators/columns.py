@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from devicelens.session import cut
+
 MAX_CATEGORIES = 1000
 
 
@@ -66,6 +69,59 @@ def one_hot(df: DataFrame, vocab: Mapping[str, Sequence[str]], prefix: str = "oh
     return hstack(df, encoded).drop(*vocab)
 
 
+def fit_top_vocab(df: DataFrame, columns: Sequence[str], n: int, slack: int = 8) -> dict[str, list[str]]:
+    """The ``n`` most frequent values of each column (as text; ties: the smaller value first), however many values there are.
+
+    A summary of bounded size per task (heavy hitters by Misra and Gries, merged) leaves out only values that stand in less than one of
+    ``slack * n`` rows; the values it keeps are counted exactly in a second scan. So a value above that share is never missed.
+    """
+    columns, room = list(columns), slack * n
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    values = df.select(F.inline(pairs)).where("v is not null")
+
+    def summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = pd.Series(dtype="int64")
+        for pdf in frames:
+            counts = pdf.groupby(["i", "v"])["n"].sum() if "n" in pdf else pdf.value_counts(["i", "v"])
+            held = heavy(held.add(counts, fill_value=0) if len(held) else counts)
+        if len(held):
+            yield held.rename("n").rename_axis(["i", "v"]).reset_index().astype({"n": "int64"})
+
+    def heavy(counts: pd.Series) -> pd.Series:
+        """Of each column the largest ``room`` counts, less the largest one that goes."""
+        kept = []
+        for _, part in counts.groupby(level=0):
+            if len(part) > room:
+                part = part.sort_values(ascending=False, kind="stable")
+                part = part.iloc[:room] - part.iloc[room]
+            kept.append(part[part > 0])
+        return pd.concat(kept)
+
+    schema = "i int, v string, n long"
+    # The summaries of all tasks merge on all cores, then in one task: rows are bounded by tasks and cores, not by values.
+    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    found = values.mapInPandas(summaries, schema).repartition(cores).mapInPandas(summaries, schema)
+    likely = cut(found.coalesce(1).mapInPandas(summaries, schema).select("i", "v"))
+    exact = values.join(F.broadcast(likely), ["i", "v"]).groupBy("i", "v").count()
+    ranked = exact.withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy(F.col("count").desc(), "v"))).where(F.col("r") <= n)
+    best = ranked.orderBy("i", "r").collect()  # n rows per column
+    return {c: [r.v for r in best if r.i == i] for i, c in enumerate(columns)}
+
+
+def sparse_one_hot(df: DataFrame, vocab: Mapping[str, Sequence[str]], out: str = "ohe") -> tuple[DataFrame, list[str]]:
+    """A sparse vector with one place per known value, and one per column for all others; and the names of its places.
+
+    Nulls have no place. The source columns stay; the vector takes the room of the values a row has, not of the vocabulary.
+    """
+    names = [f"{c}={v}" for c, values in vocab.items() for v in values] + [f"{c}≠" for c in vocab]
+    tokens = []
+    for c, values in vocab.items():
+        value = F.col(c).cast("string")
+        tokens.append(F.when(value.isin(list(values)), F.concat(F.lit(f"{c}="), value)).when(value.isNotNull(), F.lit(f"{c}≠")))
+    model = CountVectorizerModel.from_vocabulary(names, inputCol="_tokens", outputCol=out)
+    return model.transform(df.withColumn("_tokens", F.array_compact(F.array(*tokens)))).drop("_tokens"), names
+
+
 def with_params(df: DataFrame, grid: Sequence[Mapping[str, float]]) -> DataFrame:
     """Each row once per parameter set. The grid is a literal array: no join, no shuffle."""
     if len(grid) > MAX_CATEGORIES:

@@ -116,7 +116,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows_pe
     points, highest = _cut_points(df, keys, order_by, rows_per_block)
     if highest:
         df = _with_block(df, points, keys, order_by, highest)
-    return OrderedFrame(df, tuple(keys), tuple(order_by), bool(highest))
+    return OrderedFrame(df, tuple(keys), tuple(order_by), bool(highest), rows_per_block)
 
 
 # -- operators: what a block knows, what it hands on, and how both make the result ----------------------
@@ -174,6 +174,7 @@ class OrderedFrame:
     keys: tuple[str, ...]
     order_by: tuple[str, ...]
     split: bool
+    rows_per_block: int = ROWS_PER_BLOCK
     pending: tuple = ()
     _made: list = field(default_factory=list, compare=False, repr=False)
 

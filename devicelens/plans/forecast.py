@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.operators.lookup import lookup
-from devicelens.operators.ordered import OrderedFrame, nth_difference
+from devicelens.operators.ordered import OrderedFrame, nth_difference, ordered
+from devicelens.plans.innovations import innovations
 from devicelens.plans.regress import least_squares, linear, product_sums, solve_sums, unpack
 from devicelens.session import cut
 
@@ -56,9 +57,12 @@ def _undo(values: Sequence[Column], d: int) -> Column:
     return total
 
 
-def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDER, out: str = "predicted_temp") -> DataFrame:
+def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDER, out: str = "predicted_temp", recursive: bool = False) -> DataFrame:
     """Add the in-sample one-step forecast of each row.
 
+    Shocks come from the long autoregression of the fit; with ``recursive`` they are those of the fitted model itself, one step
+    after the other (:func:`innovations`), and moving-average terms whose shocks would not fade are drawn in.
+
     The column should have no nulls (fill or drop them first). One model is fitted per key. A row that lacks
     some of the lags, at the head of its key, gets what the highest known difference says if it does not change
     (the last value, when only that is known), and the first row of a key gets 0.
@@ -89,6 +93,13 @@ def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDE
         df = lookup(df, _fit(df, keys, terms, F.col(z[0]), "_short"), keys, materialise=False)
         predicted = linear(F.col("_short"), terms)
         spent.append("_short")
+        if recursive and q:
+            known = len(constant) + p
+            rest = F.col(z[0]) - linear(F.col("_short"), terms[:known])
+            again = ordered(df.withColumn("_rest", rest), [k for k in keys if k != "_all"], frame.order_by, frame.rows_per_block)
+            df = innovations(again, "_rest", F.slice("_short", known + 1, q), "_shock")
+            predicted = F.col(z[0]) - F.col("_shock")
+            spent += ["_rest", "_shock"]
     else:
         predicted = F.lit(0.0)
     return df.withColumn(out, F.coalesce(predicted + F.col("_undo"), F.col("_plain"))).drop(*spent, "_plain", "_all")

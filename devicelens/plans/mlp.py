@@ -5,15 +5,21 @@ fixed batches, and returns its weights and optimiser moments. Their row-weighted
 an aggregation over a few thousand numbers, is the start of the next epoch. Only that
 mean ever reaches the driver. Results depend on the partitioning, as with any data-parallel
 training; rows never leave their partition.
+
+Synchronous training is the other way: all partitions run side by side as one barrier stage, and exchange the sums of their
+gradients at each batch. It gives the same weights however the rows lie, but waits for an exchange at each batch (most of a second
+here, measured): it is for few, large batches.
 """
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,13 +70,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def _loss_gradient(flat: np.ndarray, shapes, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Mean binary cross-entropy of a batch and its gradient."""
+def _loss_gradient(flat: np.ndarray, shapes, x: np.ndarray, y: np.ndarray, heavy: tuple[float, float] = (1.0, 1.0)) -> tuple[float, np.ndarray]:
+    """Mean binary cross-entropy of a batch and its gradient; ``heavy`` are the weights of rows of class 0 and 1."""
     layers = _split(flat, shapes)
     acts = _forward(layers, x)
     p = _sigmoid(acts[-1][:, 0])
-    loss = -np.mean(y * np.log(np.maximum(p, 1e-12)) + (1 - y) * np.log(np.maximum(1 - p, 1e-12)))
-    back = ((p - y) / len(y))[:, None]
+    weight = np.where(y > 0.5, heavy[1], heavy[0])
+    loss = -np.mean(weight * (y * np.log(np.maximum(p, 1e-12)) + (1 - y) * np.log(np.maximum(1 - p, 1e-12))))
+    back = (weight * (p - y) / len(y))[:, None]
     grads: list[np.ndarray] = []
     for i in range(len(layers) - 2, -1, -2):
         below = acts[i // 2]
@@ -116,10 +123,14 @@ def train_mlp(
     workers: int | None = None,
     seed: int = 0,
     standardise: bool = True,
+    synchronous: bool = False,
+    balanced: bool = False,
 ) -> Mlp:
     """Train until the epochs are used up or the training loss has not improved for ``patience`` of them.
 
-    ``workers`` is the number of partitions that train side by side (default: as the data lie).
+    ``workers`` is the number of partitions that train side by side (default: as the data lie). Weights are averaged after
+    each epoch; with ``synchronous`` gradients are summed after each batch instead, so the result does not depend on the partitions.
+    With ``balanced`` rows of both classes weigh the same in all.
     """
     columns, hidden = list(columns), tuple(hidden)
     n = len(columns)
@@ -130,11 +141,25 @@ def train_mlp(
         width = np.array([spread[f"s{i}"] or 0.0 for i in range(n)])
         width[width == 0] = 1.0
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("double").alias("_y"))
+    if synchronous:
+        # All workers must run at once: no more of them than cores.
+        cores = data.sparkSession.sparkContext.defaultParallelism
+        workers = min(workers or max(1, data.count() // (4 * batch)), cores)
     if workers:
         data = data.repartition(workers)  # in turn, not by hash: equal rows must not meet in one partition
     data = data.persist()
     shapes = _shapes(n, hidden)
     model = Mlp(columns, hidden, centre, width, _start(n, hidden, seed))
+    if balanced:
+        share = data.agg(F.avg("_y")).first()[0] or 0.0
+        heavy = (0.5 / (1 - share) if share < 1 else 1.0, 0.5 / share if share > 0 else 1.0)
+    else:
+        heavy = (1.0, 1.0)
+    if synchronous:
+        try:
+            return _train_together(data, model, shapes, columns, epochs, batch, learning_rate, patience, heavy)
+        finally:
+            data.unpersist()
     size = len(model.flat)
     moments = np.zeros(2 * size)
     steps, waited, best = 0.0, 0, np.inf
@@ -147,7 +172,7 @@ def train_mlp(
                 count, total = 0, 0.0
                 for pdf in rebatch(frames, batch):
                     x = (pdf[columns].to_numpy(dtype=float) - centre) / width
-                    loss, gradient = _loss_gradient(flat, shapes, x, pdf["_y"].to_numpy(dtype=float))
+                    loss, gradient = _loss_gradient(flat, shapes, x, pdf["_y"].to_numpy(dtype=float), heavy)
                     t += 1
                     m = 0.9 * m + 0.1 * gradient
                     v = 0.999 * v + 0.001 * gradient * gradient
@@ -173,3 +198,62 @@ def train_mlp(
     finally:
         data.unpersist()
     return model
+
+
+def _train_together(data: DataFrame, model: Mlp, shapes, columns: list[str], epochs: int, batch: int, learning_rate: float, patience: int, heavy) -> Mlp:
+    """All partitions take each step together: the gradient of a batch is the sum over the partitions' rows of it.
+
+    A row's batch comes from its hash, so batches do not depend on the layout. All tasks run at once and exchange sums by
+    ``allGather``; each holds its partition's rows and ends with the same weights, which the first one hands back.
+    """
+    total = data.count()
+    if not total:
+        raise ValueError("no rows to train on")
+    steps = max(1, -(-total // batch))
+    start, centre, width = model.flat, model.centre, model.width
+    marked = data.withColumn("_h", F.xxhash64(*columns, "_y"))
+
+    def train(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = BarrierTaskContext.get()
+        alone = len(context.getTaskInfos()) == 1
+        held = [pdf for pdf in frames if len(pdf)]
+        pdf = pd.concat(held, ignore_index=True) if held else pd.DataFrame(columns=[*columns, "_y", "_h"], dtype=float)
+        x, y = (pdf[columns].to_numpy(dtype=float) - centre) / width, pdf["_y"].to_numpy(dtype=float)
+        order = np.argsort(pdf["_h"].to_numpy(dtype=np.int64), kind="stable")
+        x, y, h = x[order], y[order], pdf["_h"].to_numpy(dtype=np.int64)[order]
+        flat, m, v, t = start.copy(), np.zeros(len(start)), np.zeros(len(start)), 0
+        history, waited, best = [], 0, np.inf
+        for epoch in range(epochs):
+            with np.errstate(over="ignore"):
+                mixed = (h.astype(np.uint64) ^ np.uint64(epoch * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xBF58476D1CE4E5B9)
+            of = ((mixed >> np.uint64(33)) % np.uint64(steps)).astype(np.int64)
+            lost = 0.0
+            for step in range(steps):
+                mine = of == step
+                n = int(mine.sum())
+                loss, gradient = _loss_gradient(flat, shapes, x[mine], y[mine], heavy) if n else (0.0, np.zeros(len(flat)))
+                sums = np.concatenate([gradient * n, [loss * n, n]])
+                if alone:
+                    gathered = [sums]
+                else:
+                    gathered = [np.frombuffer(base64.b64decode(g), np.float64) for g in context.allGather(base64.b64encode(sums.tobytes()).decode())]
+                sums = np.sum(gathered, axis=0)
+                if not sums[-1]:
+                    continue
+                gradient, t = sums[:-2] / sums[-1], t + 1
+                lost += sums[-2]
+                m = 0.9 * m + 0.1 * gradient
+                v = 0.999 * v + 0.001 * gradient * gradient
+                flat = flat - learning_rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+            history.append(lost / total)
+            waited = 0 if history[-1] < best else waited + 1
+            best = min(best, history[-1])
+            if waited >= patience:
+                break
+        if context.partitionId() == 0:
+            values = np.concatenate([flat, history])
+            yield pd.DataFrame({"at": np.arange(len(values)), "value": values})
+
+    values = marked.mapInPandas(train, "at int, value double", barrier=True).toPandas().sort_values("at")["value"].to_numpy()
+    model.flat, model.history = values[: len(start)], values[len(start) :].tolist()
+    return model

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,8 +49,47 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder; nothing is ever reused or deleted."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new path below the shared folder, in a folder of this application that goes when the application ends.
+
+    Within :func:`scratch` it goes at the end of the block.
+    """
+    home = _home(spark)
+    return os.path.join(_SCOPES[-1] if _SCOPES else home, f"{label}-{uuid.uuid4().hex}")
+
+
+_SCOPES: list[str] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _home(spark: SparkSession) -> str:
+    """The scratch folder of the application; made, and marked for removal at its end, when first asked for."""
+    home = os.path.join(shared_dir(spark), f"scratch-{spark.sparkContext.applicationId}")
+    files, where = _file_system(spark, home)
+    if not files.exists(where):
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+    return home
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Paths from :func:`scratch_path` inside the block lie in one folder, which is removed at its end, also after an error.
+
+    Results must be written elsewhere, or counted, before the block ends: what still reads a removed path fails.
+    """
+    folder = os.path.join(_home(spark), f"scope-{uuid.uuid4().hex}")
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        files, where = _file_system(spark, folder)
+        files.delete(where, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
