@@ -241,3 +241,10 @@ def test_ledger(spark, labelled):
     forest = train_rf(df, "y", ["u", "v"], trees=3)
     path = ledger.log_importances(run, forest, ["u", "v"])
     assert spark.read.parquet(path).count() == 2
+
+
+def test_synchronous_training_does_not_depend_on_the_layout(spark, labelled):
+    _, df = labelled
+    losses = [mlp.train_mlp(df.repartition(p), "y", ["u", "v", "w"], epochs=2, batch=400, workers=p, synchronous=True).history for p in (1, 4, 8)]
+    np.testing.assert_allclose(losses[1:], [losses[0]] * 2, rtol=1e-9)
+    assert losses[0][1] < losses[0][0]

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from devicelens.operators.ordered import ordered
+from devicelens.plans.features import build_features
 from devicelens.session import scratch_path
-from devicelens.sources.sensor import readings
+from devicelens.sources.sensor import airflow, assign_trips, readings
 from devicelens.sources.tables import stream_table, write_path
+from devicelens.streaming.features import write_features
 from devicelens.streaming.score import drain, score_stream, write_batch
 
 
@@ -70,3 +75,30 @@ def test_table_stream(spark, sf_dir):
         assert len(scored(spark, sink)) == 30
     finally:
         spark.sql("DROP DATABASE stream_test CASCADE")
+
+
+def test_features_of_a_stream_equal_those_of_the_table(spark):
+    """Random readings with gaps in three runs, with a restart between them, against the batch operators."""
+    rng = np.random.default_rng(9)
+    n = 400
+    pdf = pd.DataFrame({"event_id": np.arange(n), "device_id": rng.choice(["a", "b", "c"], n, p=[0.7, 0.25, 0.05])})
+    pdf["ts"] = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.sort(rng.integers(0, 60 * 24 * 50, n)), unit="min")
+    for c in ("rotation_speed", "air_pressure", "temperature", "delay", "density"):
+        pdf[c] = rng.normal(50, 9, n).round(2)
+        if c != "density":
+            pdf.loc[rng.random(n) < 0.2, c] = np.nan
+    pdf.loc[5, "air_pressure"] = 0.0
+    pdf["factory_id"], pdf["model_id"], pdf["defect"] = "f", "m", 0
+    plain = [[None if x != x else x.to_pydatetime() if isinstance(x, pd.Timestamp) else x for x in row] for row in pdf.astype(object).itertuples(index=False)]
+    numbers = ", ".join(f"{c} double" for c in pdf.columns[3:8])
+    df = spark.createDataFrame(plain, f"event_id long, device_id string, ts timestamp_ntz, {numbers}, factory_id string, model_id string, defect int")
+    frame = assign_trips(ordered(df, ["device_id"], ["ts", "event_id"]), grain="week")
+    batch = build_features(airflow(frame, "rotation_speed", "air_pressure", within=["trip_id"]), None).toPandas().set_index("event_id").sort_index()
+    source, sink, checkpoint = (scratch_path(spark, x) for x in ("source", "sink", "checkpoint"))
+    for low, high in ((0, 150), (150, 151), (151, n)):
+        write_path(df.where(F.col("event_id").between(low, high - 1)), source, mode="append")
+        drain(write_features(stream_table(spark, source), sink, checkpoint), 120)
+    got = spark.read.parquet(sink).toPandas().set_index("event_id").sort_index()
+    assert got.index.tolist() == list(range(n))
+    for c in ("trip_id", "airflow_rate", "rotation_speed", "air_pressure", "temperature", "delay", "density", "rolling_mean_temp", "temp_difference", "rolling_mean_density"):
+        np.testing.assert_allclose(got[c].astype(float), batch[c].astype(float), rtol=1e-9, atol=1e-9, err_msg=c)

@@ -6,8 +6,10 @@ import os
 
 import pandas as pd
 import pytest
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
+from devicelens.operators import columns
 from devicelens.operators.columns import cast_columns, columns_like, fit_vocab, one_hot, with_constant
 from devicelens.operators.sampling import hash_sample, ordered_split, row_at, row_sample
 from devicelens.session import scratch_path, shared_dir
@@ -128,3 +130,32 @@ def test_split_by_cut_row(spark, rows_per_block):
         size = int(1003 * fraction)
         assert sorted(((r.t, r.id) for r in head.collect()), key=key) == ranked[:size]
         assert sorted(((r.t, r.id) for r in tail.collect()), key=key) == ranked[size:]
+
+
+def test_top_values_among_very_many(spark):
+    """A column of 100,000 values keeps its stated top, the rest goes to one place."""
+    df = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 5 == 0, F.concat(F.lit("warm"), F.col("id") % 4)).otherwise((F.col("id") % 100_000).cast("string")).alias("v"))
+    df = df.withColumn("w", F.when(F.col("v") == "hot", None).otherwise(F.lit("x"))).repartition(7)
+    vocab = columns.fit_top_vocab(df, ["v", "w"], 5, slack=20)
+    exact = [r.v for r in df.groupBy("v").count().orderBy(F.col("count").desc(), "v").limit(5).collect()]
+    assert vocab == {"v": exact, "w": ["x"]}
+    made, names = columns.sparse_one_hot(df, vocab)
+    sums = made.agg(Summarizer.sum(F.col("ohe")).alias("s")).first().s
+    counts = {r.v: r["count"] for r in df.groupBy("v").count().collect()}
+    assert dict(zip(names, sums)) == {**{f"v={v}": counts[v] for v in exact}, "v≠": 300_000 - sum(counts[v] for v in exact), "w=x": 200_000, "w≠": 0}
+    assert made.first().ohe.size == 8
+
+
+def test_scratch_folders_have_an_owner(spark):
+    from devicelens import session
+
+    with session.scratch(spark) as folder:
+        kept = session.stored(spark.range(5), "rows")
+        assert kept.count() == 5 and os.path.isdir(folder) and session.scratch_path(spark, "x").startswith(folder)
+    assert not os.path.exists(folder)
+    outside = session.scratch_path(spark, "x")
+    assert spark.sparkContext.applicationId in outside and not outside.startswith(folder)
+    with pytest.raises(RuntimeError), session.scratch(spark) as folder:
+        session.stored(spark.range(5), "rows")
+        raise RuntimeError
+    assert not os.path.exists(folder)
