@@ -90,15 +90,22 @@ def check_signature(df: DataFrame, expected: str) -> None:
 
 
 class Ledger:
+    """Runs, versions and stages below a folder. As there is one writer at a time, it remembers the numbers it has given out."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self._readable: set[str] = set()
+        self._highest: dict[str, int] | None = None
+        self._seq: int | None = None
 
     def _path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        # An empty first file makes the folder readable before anything is logged.
-        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self._path(name))
+        if name not in self._readable:
+            # An empty first file makes the folder readable before anything is logged.
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self._path(name))
+            self._readable.add(name)
         return self.spark.read.schema(schema).parquet(self._path(name))
 
     def _append(self, name: str, schema: T.StructType, row: Mapping) -> None:
@@ -212,16 +219,18 @@ class Ledger:
 
     def register(self, name: str, run_id: str) -> int:
         """A new version of the named model: one more than the highest so far."""
-        highest = self.versions().where(F.col("name") == name).agg(F.max("version")).first()[0]
-        version = (highest or 0) + 1
+        if self._highest is None:
+            self._highest = {r["name"]: r["v"] for r in rows(self.versions().groupBy("name").agg(F.max("version").alias("v")), 1_000_000)}
+        version = self._highest[name] = self._highest.get(name, 0) + 1
         row = {"name": name, "version": version, "run_id": run_id, "registered_at": dt.datetime.now()}
         self._append("versions", VERSIONS, row)
         return version
 
     def set_stage(self, name: str, version: int, stage: str) -> None:
-        changes = self._read("stages", STAGES)
-        seq = (changes.agg(F.max("seq")).first()[0] or 0) + 1
-        self._append("stages", STAGES, {"name": name, "version": version, "stage": stage, "at": dt.datetime.now(), "seq": seq})
+        if self._seq is None:
+            self._seq = self._read("stages", STAGES).agg(F.max("seq")).first()[0] or 0
+        self._seq += 1
+        self._append("stages", STAGES, {"name": name, "version": version, "stage": stage, "at": dt.datetime.now(), "seq": self._seq})
 
     def stages(self) -> DataFrame:
         return current_stage(self._read("stages", STAGES), ["seq"])
