@@ -26,7 +26,7 @@ from devicelens.llm.support import Memo, worker_memo
 
 #: A worker forgets its known words or pieces at so many bytes, its machine states (about 700 bytes each) or stable pairs at so many; they are
 #: made again on demand.
-MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 48 << 20, 24 << 20, 80_000, 300_000
+MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 60 << 20, 80 << 20, 120_000, 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -47,10 +47,10 @@ def forget_memo() -> None:
 class Memo(dict):
     """A dictionary that makes what it lacks, forgets everything at so many bytes, and does not keep long entries.
 
-    Keys and values are counted by their length (four bytes a character, if they are no bytes) and ``ENTRY`` for what holds them.
+    Keys and values count with their lengths, and ``ENTRY`` for what holds them.
     """
 
-    ENTRY, LONGEST = 200, 512
+    ENTRY, LONGEST = 180, 512
 
     def __init__(self, make: Callable, most: int):
         super().__init__()
@@ -58,7 +58,7 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.make(key)
-        length = len(key) + 8 * len(value or ())
+        length = len(key) + len(value or ())
         if length <= self.LONGEST:
             self.size += length + self.ENTRY
             if self.size > self.most:
