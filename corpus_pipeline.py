@@ -51,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row of the mix, and the digests of a round trip. Workers come from the earlier stages, so the memos are smaller here."""
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return encode_documents(docs, ranks, public_tokenizers.PATTERN, memo=0.6)
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, memo=0.4)
 
 
 STAGES = [
