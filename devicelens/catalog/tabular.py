@@ -424,8 +424,8 @@ _TOP = 25
 def top_values(spark, sf_dir):
     """The most frequent customers and priorities of all orders as places of sparse vectors, every other value in one place, added up."""
     df = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority")
-    # Customers have nearly the same number of orders: all of them are kept, so that ties are told apart exactly.
-    vocab = C.fit_top_vocab(df, ["o_custkey", "o_orderpriority"], _TOP, slack=100_000)
+    # Customers have nearly the same number of orders: all of them are counted, so that ties are told apart exactly.
+    vocab = C.fit_top_vocab(df, ["o_custkey", "o_orderpriority"], _TOP)
     encoded, names = C.sparse_one_hot(df, vocab)
     total = encoded.agg(Summarizer.sum(F.col("ohe")).alias("s")).select(vector_to_array("s").alias("s"))
     each = total.select(F.posexplode("s").alias("i", "n"))

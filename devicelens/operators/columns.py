@@ -69,23 +69,45 @@ def one_hot(df: DataFrame, vocab: Mapping[str, Sequence[str]], prefix: str = "oh
     return hstack(df, encoded).drop(*vocab)
 
 
-def fit_top_vocab(df: DataFrame, columns: Sequence[str], n: int, slack: int = 8) -> dict[str, list[str]]:
+#: Parts in which the values of a column are ranked before the best of all parts meet.
+RANKED_IN = 256
+
+
+def fit_top_vocab(df: DataFrame, columns: Sequence[str], n: int, slack: int | None = None) -> dict[str, list[str]]:
     """The ``n`` most frequent values of each column (as text; ties: the smaller value first), however many values there are.
 
-    A summary of bounded size per task (heavy hitters by Misra and Gries, merged) leaves out only values that stand in less than one of
-    ``slack * n`` rows; the values it keeps are counted exactly in a second scan. So a value above that share is never missed.
+    All values are counted, each task's own before the shuffle, and ranked in parts, so that no task gets all values of a column.
+    With ``slack`` only likely values are counted: a summary of bounded size per task (heavy hitters by Misra and Gries, merged) leaves
+    out those that stand in less than one of ``slack * n`` rows. A value above that share is never missed, a rarer one may be.
     """
-    columns, room = list(columns), slack * n
+    columns = list(columns)
     pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
     values = df.select(F.inline(pairs)).where("v is not null")
+    if slack is not None:
+        values = values.join(F.broadcast(_likely(values, slack * n)), ["i", "v"])
+    best = values.groupBy("i", "v").count().withColumn("p", F.pmod(F.xxhash64("v"), F.lit(RANKED_IN)))
+    for part in (["i", "p"], ["i"]):
+        in_order = Window.partitionBy(*part).orderBy(F.col("count").desc(), "v")
+        best = best.withColumn("r", F.row_number().over(in_order)).where(F.col("r") <= n)
+    found = best.orderBy("i", "r").collect()  # n rows per column
+    return {c: [r.v for r in found if r.i == i] for i, c in enumerate(columns)}
+
+
+def _likely(values: DataFrame, room: int) -> DataFrame:
+    """Of each column up to ``room`` values, among them all that stand in one of ``room`` rows or more."""
 
     def summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.Series(dtype="int64")
+        held: list[pd.Series] = []
+        size = 0
         for pdf in frames:
-            counts = pdf.groupby(["i", "v"])["n"].sum() if "n" in pdf else pdf.value_counts(["i", "v"])
-            held = heavy(held.add(counts, fill_value=0) if len(held) else counts)
-        if len(held):
-            yield held.rename("n").rename_axis(["i", "v"]).reset_index().astype({"n": "int64"})
+            held.append(pdf.groupby(["i", "v"])["n"].sum() if "n" in pdf else pdf.value_counts(["i", "v"]))
+            size += len(held[-1])
+            if size > 2 * room:  # merging seldom keeps the work linear in the rows
+                held = [heavy(pd.concat(held).groupby(level=[0, 1]).sum())]
+                size = 0
+        if held:
+            found = heavy(pd.concat(held).groupby(level=[0, 1]).sum())
+            yield found.rename("n").rename_axis(["i", "v"]).reset_index().astype({"n": "int64"})
 
     def heavy(counts: pd.Series) -> pd.Series:
         """Of each column the largest ``room`` counts, less the largest one that goes."""
@@ -99,13 +121,9 @@ def fit_top_vocab(df: DataFrame, columns: Sequence[str], n: int, slack: int = 8)
 
     schema = "i int, v string, n long"
     # The summaries of all tasks merge on all cores, then in one task: rows are bounded by tasks and cores, not by values.
-    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    cores = max(1, values.sparkSession.sparkContext.defaultParallelism)
     found = values.mapInPandas(summaries, schema).repartition(cores).mapInPandas(summaries, schema)
-    likely = cut(found.coalesce(1).mapInPandas(summaries, schema).select("i", "v"))
-    exact = values.join(F.broadcast(likely), ["i", "v"]).groupBy("i", "v").count()
-    ranked = exact.withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy(F.col("count").desc(), "v"))).where(F.col("r") <= n)
-    best = ranked.orderBy("i", "r").collect()  # n rows per column
-    return {c: [r.v for r in best if r.i == i] for i, c in enumerate(columns)}
+    return cut(found.coalesce(1).mapInPandas(summaries, schema).select("i", "v"))
 
 
 def sparse_one_hot(df: DataFrame, vocab: Mapping[str, Sequence[str]], out: str = "ohe") -> tuple[DataFrame, list[str]]:

@@ -146,6 +146,13 @@ def test_top_values_among_very_many(spark):
     assert made.first().ohe.size == 8
 
 
+def test_top_values_of_a_flat_column(spark):
+    """Where every value is rare, the few that stand out by one row are still found, and ties go to the smaller text."""
+    ids = spark.range(40_000).select((F.col("id") % 20_000).cast("string").alias("v")).repartition(7)
+    more = spark.createDataFrame([("17",), ("19999",), ("4",), (None,)], "v string")
+    assert columns.fit_top_vocab(ids.union(more), ["v"], 5) == {"v": ["17", "19999", "4", "0", "1"]}
+
+
 def test_scratch_folders_have_an_owner(spark):
     from devicelens import session
 
