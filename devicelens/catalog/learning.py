@@ -490,7 +490,7 @@ def mlp_scores(spark, sf_dir):
 def robust_lines(spark, sf_dir):
     """Huber's line through density and temperature of each device: whether its equations hold, and it beats least squares by its own measure."""
     limit = 5.0
-    df = readings(spark, sf_dir).select("device_id", "density", "temperature").dropna()
+    df = stored(readings(spark, sf_dir).select("device_id", "density", "temperature").dropna(), "lines")
     lines = huber_lines(df, "device_id", "density", "temperature", limit)
     plain = df.groupBy("device_id").agg(F.regr_slope("temperature", "density").alias("p"), F.regr_intercept("temperature", "density").alias("q"), F.avg("density").alias("m"))
     both = lookup(lookup(df, lines.select("device_id", "n_rows", "slope", "intercept"), ["device_id"]), plain, ["device_id"])

@@ -76,6 +76,49 @@ def test_recursive_forecast_finds_a_moving_average(spark):
         assert not made["p"].isna().any() and error < 1.06  # the shocks themselves have 1, the plain mean 1.22
 
 
+@pytest.mark.parametrize("busy_rows", [0, 100, 10**9])
+def test_lines_of_many_keys_in_few_passes(spark, busy_rows):
+    """Small keys read their rows a fixed number of times, however many steps they take; alone or together, the lines agree."""
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"k": np.repeat(np.arange(60), 40)[:2_000], "x": rng.normal(3, 2, 2_000).round(3)})
+    pdf.loc[:400, "k"] = 0
+    pdf["y"] = 1.5 * pdf["x"] + rng.standard_t(1.5, 2_000).round(3) * 9
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    df = spark.createDataFrame(pdf).repartition(3).mapInPandas(count, "k long, x double, y double")
+    found = {r.k: r for r in huber_lines(df, "k", "x", "y", 1.345, busy_rows=busy_rows).collect()}
+    if busy_rows:
+        assert seen.value <= 6 * len(pdf)
+    assert {k: r.n_rows for k, r in found.items()} == pdf.groupby("k").size().to_dict()
+    for k, part in pdf.groupby("k"):
+        push = np.clip(part["y"] - found[k].intercept - found[k].slope * part["x"], -1.345, 1.345)
+        assert abs(push.mean()) < 1e-7 and abs((push * (part["x"] - part["x"].mean())).mean()) < 1e-6
+
+
+def test_runs_are_whole(spark):
+    """Each key comes in one piece and in order, several at a time, also one that is longer than a call's rows."""
+    from devicelens.operators.groups import map_runs
+
+    df = spark.range(3_000).select(F.when(F.col("id") % 7 > 2, "long").when(F.col("id") % 7 == 1, F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), "id").repartition(4)
+
+    def sums(table, starts):
+        import pyarrow as pa
+
+        at = [*starts.tolist(), table.num_rows]
+        ids = table.column("id").to_numpy()
+        assert all((np.diff(ids[a:b]) > 0).all() for a, b in zip(at, at[1:]))
+        return pa.table([table.column("k").combine_chunks().take(pa.array(starts)), pa.array(np.diff(at)), pa.array(np.add.reduceat(ids, starts))], names=["k", "n", "s"])
+
+    for rows in (1, 100, 10**6):
+        made = map_runs(df, ["k"], ["id"], sums, "k string, n long, s long", rows)
+        assert sorted(map(str, made.collect())) == sorted(map(str, df.groupBy("k").agg(F.count("*").alias("n"), F.sum("id").alias("s")).collect()))
+
+
 def test_huber_line_is_at_its_optimum(spark):
     rng = np.random.default_rng(4)
     rows, want = [], {}
