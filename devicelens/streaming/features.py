@@ -2,7 +2,8 @@
 
 What the batch way gets from windows over a whole series, a stream gets from a few numbers per device: the trip it is in,
 the last rotation speeds, the decayed sums of both smoothed columns, and the last values that fill gaps. The state is the
-query's own, kept in its checkpoint, so a restarted query goes on as if it had never stopped.
+query's own, kept in its checkpoint, so a restarted query goes on as if it had never stopped. A call from Spark costs
+milliseconds, so devices share a fixed number of groups: there are no more calls per micro-batch, however many devices report.
 """
 
 from __future__ import annotations
@@ -20,16 +21,9 @@ from devicelens.plans.features import DENSITY_SPAN, TEMPERATURE_COM
 
 #: Readings that rotation speed is behind pressure in the airflow.
 LAG = 5
+#: Groups of devices. It must stay the same as long as a checkpoint is used.
+GROUPS = 2_048
 FILLED = ("airflow_rate", "rotation_speed", "air_pressure", "temperature", "delay", "density", "rolling_mean_temp", "temp_difference")
-_STATE = T.StructType(
-    [
-        T.StructField("trip", T.LongType()),
-        T.StructField("trip_id", T.IntegerType()),
-        T.StructField("rotation", T.ArrayType(T.DoubleType())),
-        T.StructField("sums", T.ArrayType(T.DoubleType())),
-        T.StructField("last", T.ArrayType(T.DoubleType())),
-    ]
-)
 
 
 class DeviceState:
@@ -39,8 +33,15 @@ class DeviceState:
         self.trip, self.trip_id = trip, trip_id
         self.rotation, self.sums, self.last = list(rotation), list(sums), list(last)
 
-    def as_tuple(self) -> tuple:
-        return self.trip, self.trip_id, self.rotation, self.sums, self.last
+    #: Numbers of a device beside its trip: how many rotation speeds, these, the sums, and the last values.
+    WIDTH = 1 + LAG + 4 + len(FILLED)
+
+    def numbers(self) -> list[float]:
+        return [float(len(self.rotation)), *self.rotation, *[0.0] * (LAG - len(self.rotation)), *self.sums, *self.last]
+
+    @classmethod
+    def restored(cls, trip: int, trip_id: int, numbers: Sequence[float]) -> DeviceState:
+        return cls(trip, trip_id, numbers[1 : 1 + int(numbers[0])], numbers[1 + LAG : 5 + LAG], numbers[5 + LAG :])
 
     def step(self, trip: int, rotation: float, pressure: float, temperature: float, delay: float, density: float) -> tuple:
         """Take one reading; its trip number, the filled columns, and the smoothed density."""
@@ -69,30 +70,52 @@ def stream_features(readings: DataFrame, key: str = "device_id", order_by: Seque
     """The columns of the batch feature table (before one-hot columns) for a stream of raw readings.
 
     Readings of a device must come in their order: those of a micro-batch are sorted, later micro-batches hold later
-    readings. Memory per task is a micro-batch's rows of one device and its state.
+    readings. Devices share ``GROUPS`` groups by a hash. Memory per task is a micro-batch's rows of one group and the states of its devices.
     """
-    columns = [key, *order_by, "_trip", "rotation_speed", "air_pressure", "temperature", "delay", "density", *keep]
+    columns = ["_group", key, *order_by, "_trip", "rotation_speed", "air_pressure", "temperature", "delay", "density", *keep]
     numbers = ["rotation_speed", "air_pressure", "temperature", "delay", "density"]
     doubles = [F.col(c).cast("double").alias(c) for c in numbers]
     day = F.unix_micros(F.date_trunc(grain, order_by[0]).cast("timestamp"))
-    rows = readings.select(key, *order_by, day.alias("_trip"), *doubles, *keep).select(*columns)
+    group = F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int").alias("_group")
+    rows = readings.select(group, key, *order_by, day.alias("_trip"), *doubles, *keep).select(*columns)
     fields = [rows.schema[c] for c in [key, *order_by, *keep]]
     made = [T.StructField(c, T.DoubleType()) for c in (*FILLED, "rolling_mean_density")]
     schema = T.StructType([*fields, T.StructField("trip_id", T.IntegerType()), *made])
 
+    kept = T.StructType(
+        [
+            T.StructField("devices", T.ArrayType(rows.schema[key].dataType)),
+            T.StructField("trips", T.ArrayType(T.LongType())),
+            T.StructField("trip_ids", T.ArrayType(T.IntegerType())),
+            T.StructField("numbers", T.ArrayType(T.DoubleType())),
+        ]
+    )
+    width = DeviceState.WIDTH
+
     def run(_key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        device = DeviceState(*state.get) if state.exists else DeviceState()
+        devices: dict = {}
+        if state.exists:
+            names, trips, trip_ids, flat = state.get
+            for i, (name, trip, trip_id) in enumerate(zip(names, trips, trip_ids)):
+                devices[name] = DeviceState.restored(trip, trip_id, flat[i * width : (i + 1) * width])
         batch = pd.concat(list(frames), ignore_index=True).sort_values(list(order_by), ignore_index=True)
-        values = [batch[c].to_numpy(dtype=float).tolist() for c in numbers]  # plain numbers: the state goes back to Spark
-        found = [device.step(int(t), *row) for t, row in zip(batch["_trip"], zip(*values))]
-        state.update(device.as_tuple())
+        # Plain numbers, and None for no device: the state goes back to Spark.
+        names = batch[key].astype(object).where(batch[key].notna(), None).tolist()
+        values = [batch[c].to_numpy(dtype=float).tolist() for c in numbers]
+        found = []
+        for name, trip, row in zip(names, batch["_trip"].tolist(), zip(*values)):
+            device = devices.get(name)
+            if device is None:
+                device = devices[name] = DeviceState()
+            found.append(device.step(trip, *row))
+        state.update((list(devices), [d.trip for d in devices.values()], [d.trip_id for d in devices.values()], [x for d in devices.values() for x in d.numbers()]))
         out = batch[[key, *order_by, *keep]].copy()
         out["trip_id"] = np.array([f[0] for f in found], np.int32)
         for i, c in enumerate((*FILLED, "rolling_mean_density"), 1):
             out[c] = [f[i] for f in found]
         yield out[schema.names]
 
-    return rows.groupBy(key).applyInPandasWithState(run, schema, _STATE, "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("_group").applyInPandasWithState(run, schema, kept, "append", GroupStateTimeout.NoTimeout)
 
 
 def write_features(stream: DataFrame, sink: str, checkpoint: str, name: str | None = None, finish: Callable[[DataFrame], DataFrame] = lambda df: df):

@@ -102,3 +102,27 @@ def test_features_of_a_stream_equal_those_of_the_table(spark):
     assert got.index.tolist() == list(range(n))
     for c in ("trip_id", "airflow_rate", "rotation_speed", "air_pressure", "temperature", "delay", "density", "rolling_mean_temp", "temp_difference", "rolling_mean_density"):
         np.testing.assert_allclose(got[c].astype(float), batch[c].astype(float), rtol=1e-9, atol=1e-9, err_msg=c)
+
+
+def test_devices_of_a_stream_share_groups(spark, monkeypatch):
+    """Many devices make no more groups than there are, and each keeps a state of its own over a restart."""
+    from devicelens.streaming import features
+
+    monkeypatch.setattr(features, "GROUPS", 4)
+    n = 240
+    t = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60).cast("timestamp_ntz").alias("ts")
+    numbers = [((F.col("id") * k) % 17 + 1.0).alias(c) for k, c in enumerate(("rotation_speed", "air_pressure", "temperature", "delay", "density"), 2)]
+    device = F.when(F.col("id") % 80 != 7, F.concat(F.lit("d"), F.col("id") % 80)).alias("device_id")
+    df = spark.range(n).select(F.col("id").alias("event_id"), device, t, *numbers, F.lit("f").alias("factory_id"), F.lit("m").alias("model_id"), F.lit(0).alias("defect"))
+    source, sink, checkpoint = (scratch_path(spark, x) for x in ("source", "sink", "checkpoint"))
+    for low, high in ((0, 100), (100, n)):
+        write_path(df.where(F.col("event_id").between(low, high - 1)), source, mode="append")
+        query = write_features(stream_table(spark, source), sink, checkpoint)
+        drain(query, 120)
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    frame = assign_trips(ordered(df, ["device_id"], ["ts", "event_id"]), grain="week")
+    batch = build_features(airflow(frame, "rotation_speed", "air_pressure", within=["trip_id"]), None).toPandas().set_index("event_id").sort_index()
+    got = spark.read.parquet(sink).toPandas().set_index("event_id").sort_index()
+    assert got.index.tolist() == list(range(n)) and got["device_id"].isna().sum() == 3
+    for c in ("trip_id", "airflow_rate", "temperature", "rolling_mean_temp", "temp_difference", "rolling_mean_density"):
+        np.testing.assert_allclose(got[c].astype(float), batch[c].astype(float), rtol=1e-9, atol=1e-9, err_msg=c)
