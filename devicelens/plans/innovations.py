@@ -11,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devicelens.operators.groups import map_runs
 from devicelens.operators.lookup import lookup
 from devicelens.operators.ordered import BLOCK, HOT, OrderedFrame
 from devicelens.session import cut, stored
@@ -26,6 +25,8 @@ from devicelens.session import cut, stored
 RADIUS = 0.98
 #: Answers smaller than this are none.
 NOTHING = 1e-18
+#: Blocks up to this length keep their answers for the next block with the same gaps, so many of them at a time.
+SHORT, KEPT = 4_096, 1_000
 
 
 def companion(theta: np.ndarray) -> np.ndarray:
@@ -98,20 +99,42 @@ def innovations(frame: OrderedFrame, w: str, theta: Column, out: str) -> DataFra
     schema = T.StructType([*df.schema.fields, T.StructField("_e", T.DoubleType()), T.StructField("_answer", T.ArrayType(T.DoubleType())), T.StructField("_map", T.ArrayType(T.DoubleType()))])
     split = frame.split
 
-    def local(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in order], null_placement="at_start"))
+    def local(rows: pa.Table, starts: np.ndarray) -> pa.Table:
         x = rows.column("_w").combine_chunks().fill_null(float("nan")).to_numpy(zero_copy_only=False)
-        terms = tamed(rows.column("_theta")[0].as_py())
-        e = shocks(x, terms)
-        hot = split and rows.column(HOT)[0].as_py()
-        map_ = [None] * len(x)
-        if hot and len(terms):
-            map_[-1] = passed_on(x, terms).ravel().tolist()
+        firsts = pa.array(starts)
+        given = rows.column("_theta").combine_chunks().take(firsts).to_pylist()
+        hots = rows.column(HOT).combine_chunks().take(firsts).to_pylist() if split else [False] * len(starts)
+        e = np.empty(len(x))
+        answer: list = [None] * len(x)
+        map_: list = [None] * len(x)
+        drawn: dict[tuple, np.ndarray] = {}
+        kept: dict[tuple, tuple] = {}
+        for start, end, theta, hot in zip(starts.tolist(), [*starts[1:].tolist(), len(x)], given, hots):
+            theta = tuple(theta or ())
+            terms = drawn.get(theta)
+            if terms is None:
+                if len(drawn) >= KEPT:
+                    drawn.clear()
+                terms = drawn[theta] = tamed(theta)
+            w = x[start:end]
+            e[start:end] = shocks(w, terms)
+            if not hot or not len(terms):
+                continue
+            # Both depend on the terms and on which rows are known, not on the readings.
+            same = (theta, np.isfinite(w).tobytes()) if len(w) <= SHORT else None
+            found = kept.get(same)
+            if found is None:
+                found = answers(w, terms), passed_on(w, terms).ravel().tolist()
+                if same:
+                    if len(kept) >= KEPT:
+                        kept.clear()
+                    kept[same] = found
+            answer[start:end], map_[end - 1] = found
         rows = rows.append_column("_e", pa.array(np.where(np.isfinite(e), e, 0), pa.float64(), mask=~np.isfinite(e)))
-        rows = rows.append_column("_answer", pa.array(answers(x, terms) if hot else [None] * len(x), pa.list_(pa.float64())))
+        rows = rows.append_column("_answer", pa.array(answer, pa.list_(pa.float64())))
         return rows.append_column("_map", pa.array(map_, pa.list_(pa.float64())))
 
-    made = df.groupBy(*home).applyInArrow(local, schema)
+    made = map_runs(df, home, order, local, schema)
     if not split:
         return made.withColumn(out, F.col("_e")).drop("_w", "_theta", "_e", "_answer", "_map")
     made = stored(made, "shocks")
@@ -125,20 +148,19 @@ def innovations(frame: OrderedFrame, w: str, theta: Column, out: str) -> DataFra
     # A block shorter than q hands on its own shocks and those before it: the map has both.
     carry = T.StructType([*[ends.schema[c] for c in home], T.StructField("_shocks_before", T.ArrayType(T.DoubleType()))])
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(BLOCK)
-        before: list = []
+    def fold(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        new, before = set(starts.tolist()), []
         state: np.ndarray | None = None
-        for last, map_ in zip(pdf["_last"], pdf["_map"]):
+        for i, (last, map_) in enumerate(zip(rows.column("_last").to_pylist(), rows.column("_map").to_pylist())):
             q = 0 if map_ is None else int(round(len(map_) ** 0.5))
-            state = np.zeros(q) if state is None else state
+            state = np.zeros(q) if state is None or i in new else state
             before.append(state.tolist())
             if q:
                 own = np.array([r["e"] for r in last][:q] + [0.0] * max(0, q - len(last)))
                 state = own + np.asarray(map_, dtype=float).reshape(q, q) @ state
-        return pdf[home].assign(_shocks_before=before)
+        return rows.select(home).append_column("_shocks_before", pa.array(before, pa.list_(pa.float64())))
 
-    carries = cut(ends.groupBy(*keys).applyInPandas(fold, carry))
+    carries = cut(map_runs(ends, keys, [BLOCK], fold, carry))
     joined = lookup(made, carries, home, materialise=False)
     answer = F.aggregate(F.zip_with("_answer", "_shocks_before", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     return joined.withColumn(out, F.col("_e") + F.coalesce(answer, F.lit(0.0))).drop("_w", "_theta", "_e", "_answer", "_map", "_shocks_before", BLOCK, HOT)
