@@ -109,10 +109,8 @@ def stream_features(readings: DataFrame, key: str = "device_id", order_by: Seque
                 device = devices[name] = DeviceState()
             found.append(device.step(trip, *row))
         state.update((list(devices), [d.trip for d in devices.values()], [d.trip_id for d in devices.values()], [x for d in devices.values() for x in d.numbers()]))
-        out = batch[[key, *order_by, *keep]].copy()
-        out["trip_id"] = np.array([f[0] for f in found], np.int32)
-        for i, c in enumerate((*FILLED, "rolling_mean_density"), 1):
-            out[c] = [f[i] for f in found]
+        made = dict(zip((*FILLED, "rolling_mean_density"), np.array([f[1:] for f in found]).T))
+        out = pd.DataFrame({**{c: batch[c] for c in (key, *order_by, *keep)}, "trip_id": np.array([f[0] for f in found], np.int32), **made})
         yield out[schema.names]
 
     return rows.groupBy("_group").applyInPandasWithState(run, schema, kept, "append", GroupStateTimeout.NoTimeout)
