@@ -19,16 +19,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devicelens.operators.groups import BATCH, rebatch
+from devicelens.session import small_batches
 from devicelens.sources.tables import rows
 
 # Layer widths, epochs, learning rate, patience.
 HIDDEN = (64, 32)
 EPOCHS, LEARNING_RATE, PATIENCE = 20, 1e-3, 3
+#: Rows of a batch that are worked on at once, and packed batches that go to Python at once.
+SLICE, PACKS = 512, 16
 
 
 def _shapes(n: int, hidden: Sequence[int]) -> list[tuple[int, ...]]:
@@ -59,9 +63,10 @@ def _forward(layers: list[np.ndarray], x: np.ndarray) -> list[np.ndarray]:
     """Activations of all layers, the last one before the sigmoid."""
     out = [x]
     for i in range(0, len(layers), 2):
-        x = x @ layers[i] + layers[i + 1]
+        x = x @ layers[i]
+        x += layers[i + 1]
         if i + 2 < len(layers):
-            x = np.maximum(x, 0.0)
+            np.maximum(x, 0.0, out=x)
         out.append(x)
     return out
 
@@ -71,20 +76,28 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _loss_gradient(flat: np.ndarray, shapes, x: np.ndarray, y: np.ndarray, heavy: tuple[float, float] = (1.0, 1.0)) -> tuple[float, np.ndarray]:
-    """Mean binary cross-entropy of a batch and its gradient; ``heavy`` are the weights of rows of class 0 and 1."""
+    """Mean binary cross-entropy of a batch and its gradient; ``heavy`` are the weights of rows of class 0 and 1.
+
+    The sums go over slices of the batch whose activations stay in the processor's cache.
+    """
     layers = _split(flat, shapes)
-    acts = _forward(layers, x)
-    p = _sigmoid(acts[-1][:, 0])
-    weight = np.where(y > 0.5, heavy[1], heavy[0])
-    loss = -np.mean(weight * (y * np.log(np.maximum(p, 1e-12)) + (1 - y) * np.log(np.maximum(1 - p, 1e-12))))
-    back = (weight * (p - y) / len(y))[:, None]
-    grads: list[np.ndarray] = []
-    for i in range(len(layers) - 2, -1, -2):
-        below = acts[i // 2]
-        grads = [(below.T @ back).ravel(), back.sum(axis=0), *grads]
-        if i:
-            back = (back @ layers[i].T) * (below > 0)
-    return float(loss), np.concatenate(grads)
+    lost, gradient = 0.0, np.zeros(len(flat))
+    for start in range(0, len(y), SLICE):
+        true = y[start : start + SLICE]
+        acts = _forward(layers, x[start : start + SLICE])
+        p = _sigmoid(acts[-1][:, 0])
+        weight = np.where(true > 0.5, heavy[1], heavy[0])
+        lost -= float(np.sum(weight * (true * np.log(np.maximum(p, 1e-12)) + (1 - true) * np.log(np.maximum(1 - p, 1e-12)))))
+        back = (weight * (p - true) / len(y))[:, None]
+        grads: list[np.ndarray] = []
+        for i in range(len(layers) - 2, -1, -2):
+            below = acts[i // 2]
+            grads = [(below.T @ back).ravel(), back.sum(axis=0), *grads]
+            if i:
+                back = back @ layers[i].T
+                back *= below > 0
+        gradient += np.concatenate(grads)
+    return lost / len(y), gradient
 
 
 @dataclass
@@ -147,19 +160,22 @@ def train_mlp(
         workers = min(workers or max(1, data.count() // (4 * batch)), cores)
     if workers:
         data = data.repartition(workers)  # in turn, not by hash: equal rows must not meet in one partition
-    data = data.persist()
     shapes = _shapes(n, hidden)
     model = Mlp(columns, hidden, centre, width, _start(n, hidden, seed))
     if balanced:
-        share = data.agg(F.avg("_y")).first()[0] or 0.0
+        share = df.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
         heavy = (0.5 / (1 - share) if share < 1 else 1.0, 0.5 / share if share > 0 else 1.0)
     else:
         heavy = (1.0, 1.0)
     if synchronous:
+        data = data.persist()
         try:
             return _train_together(data, model, shapes, columns, epochs, batch, learning_rate, patience, heavy)
         finally:
             data.unpersist()
+    # Packed once: an epoch then reads whole batches and not row by row.
+    packed = data.mapInPandas(_packer(columns, centre, width, batch), "rows binary").persist()
+    packed.count()
     size = len(model.flat)
     moments = np.zeros(2 * size)
     steps, waited, best = 0.0, 0, np.inf
@@ -167,25 +183,28 @@ def train_mlp(
         for _ in range(epochs):
             shared = data.sparkSession.sparkContext.broadcast((model.flat, moments, steps))
 
-            def train(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            def train(packs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flat, (m, v), t = shared.value[0].copy(), np.split(shared.value[1].copy(), 2), shared.value[2]
                 count, total = 0, 0.0
-                for pdf in rebatch(frames, batch):
-                    x = (pdf[columns].to_numpy(dtype=float) - centre) / width
-                    loss, gradient = _loss_gradient(flat, shapes, x, pdf["_y"].to_numpy(dtype=float), heavy)
-                    t += 1
-                    m = 0.9 * m + 0.1 * gradient
-                    v = 0.999 * v + 0.001 * gradient * gradient
-                    flat -= learning_rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-                    count += len(pdf)
-                    total += loss * len(pdf)
+                for pack in packs:
+                    for blob in pack.column(0):
+                        table = np.frombuffer(blob.as_buffer()).reshape(-1, n + 1)
+                        loss, gradient = _loss_gradient(flat, shapes, table[:, :n], table[:, n], heavy)
+                        t += 1
+                        m = 0.9 * m + 0.1 * gradient
+                        v = 0.999 * v + 0.001 * gradient * gradient
+                        flat -= learning_rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+                        count += len(table)
+                        total += loss * len(table)
                 if count:
                     values = np.concatenate([flat, m, v, [t, total / count]])
-                    yield pd.DataFrame({"at": np.arange(len(values)), "value": values * count, "n": float(count)})
+                    columns_of = [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values * count), pa.array(np.full(len(values), float(count)))]
+                    yield pa.RecordBatch.from_arrays(columns_of, ["at", "value", "n"])
 
-            returned = data.mapInPandas(train, "at int, value double, n double")
+            returned = packed.mapInArrow(train, "at int, value double, n double")
             mean = returned.groupBy("at").agg((F.sum("value") / F.sum("n")).alias("value"))
-            values = mean.toPandas().sort_values("at")["value"].to_numpy()
+            with small_batches(data.sparkSession, PACKS):
+                values = mean.toPandas().sort_values("at")["value"].to_numpy()
             shared.unpersist()
             if not len(values):
                 raise ValueError("no rows to train on")
@@ -196,10 +215,21 @@ def train_mlp(
             if waited >= patience:
                 break
     finally:
-        data.unpersist()
+        packed.unpersist()
     return model
 
 
+def _packer(columns: list[str], centre: np.ndarray, width: np.ndarray, batch: int):
+    """From rows to batches of so many within each partition: standardised columns and the label, row after row, as doubles."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in rebatch(frames, batch):
+            x = (pdf[columns].to_numpy(dtype=float) - centre) / width
+            yield pd.DataFrame({"rows": [np.column_stack([x, pdf["_y"].to_numpy(dtype=float)]).tobytes()]})
+
+    return pack
+
+
 def _train_together(data: DataFrame, model: Mlp, shapes, columns: list[str], epochs: int, batch: int, learning_rate: float, patience: int, heavy) -> Mlp:
     """All partitions take each step together: the gradient of a batch is the sum over the partitions' rows of it.
 

@@ -248,3 +248,29 @@ def test_synchronous_training_does_not_depend_on_the_layout(spark, labelled):
     losses = [mlp.train_mlp(df.repartition(p), "y", ["u", "v", "w"], epochs=2, batch=400, workers=p, synchronous=True).history for p in (1, 4, 8)]
     np.testing.assert_allclose(losses[1:], [losses[0]] * 2, rtol=1e-9)
     assert losses[0][1] < losses[0][0]
+
+
+def test_training_reads_whole_batches(spark, labelled, monkeypatch):
+    """An epoch gets batches that were packed once, not rows; the weights are those of the plain loop over the same batches."""
+    pdf, df = labelled
+    monkeypatch.setattr(mlp, "SLICE", 64)
+    one = spark.createDataFrame(pdf).coalesce(1)
+    got = mlp.train_mlp(one, "y", ["u", "v", "w"], epochs=2, batch=250, balanced=True)
+    part = one.toPandas()
+    x = (part[["u", "v", "w"]].to_numpy(float) - got.centre) / got.width
+    y, shapes, flat = part["y"].to_numpy(float), mlp._shapes(3, mlp.HIDDEN), mlp._start(3, mlp.HIDDEN, 0)
+    heavy = (0.5 / (1 - y.mean()), 0.5 / y.mean())
+    m, v, t = np.zeros(len(flat)), np.zeros(len(flat)), 0
+    for _ in range(2):
+        for at in range(0, len(y), 250):
+            t += 1
+            whole = slice(at, at + 250)
+            monkeypatch.setattr(mlp, "SLICE", 10_000)
+            gradient = mlp._loss_gradient(flat, shapes, x[whole], y[whole], heavy)[1]
+            monkeypatch.setattr(mlp, "SLICE", 64)
+            np.testing.assert_allclose(mlp._loss_gradient(flat, shapes, x[whole], y[whole], heavy)[1], gradient, rtol=1e-9, atol=1e-12)
+            m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient * gradient
+            flat = flat - mlp.LEARNING_RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    np.testing.assert_allclose(got.flat, flat, rtol=1e-6, atol=1e-9)
+    packs = df.repartition(3).select("u", "v", "w", F.col("y").cast("double").alias("_y")).mapInPandas(mlp._packer(["u", "v", "w"], got.centre, got.width, 250), "rows binary")
+    assert sorted(len(r.rows) // 32 for r in packs.collect()) == [150] * 3 + [250] * 3
