@@ -21,7 +21,7 @@ from devicelens.operators.lookup import lookup
 from devicelens.operators.ordered import OrderedFrame, nth_difference, ordered
 from devicelens.plans.innovations import innovations
 from devicelens.plans.regress import least_squares, linear, product_sums, solve_sums, unpack
-from devicelens.session import cut
+from devicelens.session import cut, stored
 
 Order = tuple[int, int, int]
 
@@ -81,23 +81,29 @@ def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDE
     df = df.withColumns({"_undo": _undo(x, d), "_plain": F.coalesce(*without_shocks, F.lit(0.0))}).drop(*[f"_x{i}" for i in range(1, depth + 1)])
     constant = [F.lit(1.0)] if d == 0 else []
     spent = ["_undo", *z]
+    # Both fits read the differences from a narrow copy: what made them (trips, fills, lags) is not done again for each.
+    narrow = stored(df.select(*keys, *z), "differences") if q else df
     shocks: list[Column] = []
     if q:
         terms = [[*constant, *[F.col(z[j + i]) for i in range(1, m + 1)]] for j in range(q + 1)]
-        df = lookup(df, _fit(df, keys, terms[0], F.col(z[0]), "_long"), keys, materialise=False)
-        df = df.withColumns({f"_e{j}": F.col(z[j]) - linear(F.col("_long"), terms[j]) for j in range(1, q + 1)})
+        long = _fit(narrow, keys, terms[0], F.col(z[0]), "_long", [F.col(c) for c in z[: m + 1]])
+        df, narrow = (lookup(part, long, keys, materialise=False) for part in (df, narrow))
+        made = {f"_e{j}": F.col(z[j]) - linear(F.col("_long"), terms[j]) for j in range(1, q + 1)}
+        df, narrow = df.withColumns(made), narrow.withColumns(made)
         shocks = [F.col(f"_e{j}") for j in range(1, q + 1)]
         spent += ["_long", *[f"_e{j}" for j in range(1, q + 1)]]
     terms = [*constant, *[F.col(z[i]) for i in range(1, p + 1)], *shocks]
     if terms:
-        df = lookup(df, _fit(df, keys, terms, F.col(z[0]), "_short"), keys, materialise=False)
+        # A shock is known where its differences are, and its key has a long fit: cheaper to ask than the shocks.
+        known = [*map(F.col, z), F.col("_long")] if q else [*terms, F.col(z[0])]
+        df = lookup(df, _fit(narrow, keys, terms, F.col(z[0]), "_short", known), keys, materialise=False)
         predicted = linear(F.col("_short"), terms)
         spent.append("_short")
         if recursive and q:
-            known = len(constant) + p
-            rest = F.col(z[0]) - linear(F.col("_short"), terms[:known])
+            own = len(constant) + p
+            rest = F.col(z[0]) - linear(F.col("_short"), terms[:own])
             again = ordered(df.withColumn("_rest", rest), [k for k in keys if k != "_all"], frame.order_by, frame.rows_per_block)
-            df = innovations(again, "_rest", F.slice("_short", known + 1, q), "_shock")
+            df = innovations(again, "_rest", F.slice("_short", own + 1, q), "_shock")
             predicted = F.col(z[0]) - F.col("_shock")
             spent += ["_rest", "_shock"]
     else:
@@ -105,9 +111,9 @@ def arima_forecast(frame: OrderedFrame, column: str, order: Order = DEFAULT_ORDE
     return df.withColumn(out, F.coalesce(predicted + F.col("_undo"), F.col("_plain"))).drop(*spent, "_plain", "_all")
 
 
-def _fit(df: DataFrame, keys: list[str], terms: Sequence[Column], target: Column, out: str) -> DataFrame:
-    """Coefficients per key, one small row each."""
-    rows = df.where(_present([*terms, target]))
+def _fit(df: DataFrame, keys: list[str], terms: Sequence[Column], target: Column, out: str, known: Sequence[Column]) -> DataFrame:
+    """Coefficients per key from its rows where all of ``known`` is there, one small row each."""
+    rows = df.where(_present(known))
     sums = rows.groupBy(*keys).agg(product_sums([*terms, target]).alias("_sums"))
     return cut(sums.select(*keys, solve_sums(F.col("_sums"), len(terms)).alias(out)))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from devicelens.operators.ordered import ordered
 from devicelens.plans.forecast import arima_forecast, best_order, choose_orders, tune_orders
@@ -78,6 +79,21 @@ def test_forecast(spark, order, rows_per_block):
         np.testing.assert_allclose(part["f"].to_numpy(dtype=float), expected, rtol=1e-6)
 
 
+def test_both_fits_read_the_series_once(spark):
+    """One pass for the two fits, and one for the result: what comes before the differences is not done again for each fit."""
+    read = spark.sparkContext.accumulator(0)
+    pdf = series(150)
+
+    @F.udf("double")
+    def watched(x):
+        read.add(1)
+        return x
+
+    df = spark.createDataFrame(pdf).withColumn("x", watched("x"))
+    assert arima_forecast(ordered(df, ["k"], ["t"]), "x", (1, 2, 4), "f").toPandas()["f"].notna().all()
+    assert read.value <= 2 * len(pdf)
+
+
 def test_order_search(spark):
     pdf = series()
     grid = [(1, 0, 0), (1, 1, 0), (2, 0, 1), (0, 2, 2), (3, 3, 4), (0, 0, 0)]
