@@ -7,7 +7,12 @@ reading a byte goes down the trie, and where the node is a token stable after th
 may also emit it and go back to the root. :class:`Transducer` determinises that machine lazily, state
 by state as texts need them. A state is a set of configurations, each with the tokens it still owes;
 what all of them owe in common is emitted at once. As every prefix has one encoding, a state never has
-more configurations than the longest token has bytes: that is the bound of the lookahead.
+more configurations than the longest token has bytes: that is the bound of the lookahead. Making a state costs
+as much as many steps of its configurations, and most steps of rare words are needed once only. So a step near the end of
+a piece is determinised at its ``NEEDS``-th need; before, the configurations go to that end by themselves.
+
+Whether a pair is stable is read off the two tokens' histories: how the last part of the one and the first part of
+the other grow, and at which rank each merge comes.
 
 Texts are cut by the pattern first; pieces are encoded separately, so the machine starts anew in each.
 """
@@ -26,7 +31,10 @@ from devicelens.llm.support import Memo, worker_memo
 
 #: A worker forgets its known words or pieces at so many bytes, its machine states (about 700 bytes each) or stable pairs at so many; they are
 #: made again on demand.
-MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 60 << 20, 80 << 20, 120_000, 400_000
+MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 100 << 20, 40 << 20, 120_000, 400_000
+#: Bytes that configurations may go by themselves, and needs of a step before it is determinised; the cost of a pair that never merges.
+STRETCH, NEEDS, NEVER = 64, 64, 1 << 40
+LACKING = "the ranks lack a token for a byte or for a step of a merge"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,16 +44,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _State(dict):
-    """A state of the machine: byte to (next state, emitted tokens), made when a text first needs it."""
-
-    __slots__ = ("machine", "configurations", "final")
+    """A state of the machine: byte to (next state, emitted tokens), or to how often texts needed the step so far."""
 
-    def __init__(self, machine: Transducer, configurations: tuple):
-        self.machine, self.configurations, self.final = machine, configurations, None
+    __slots__ = ("configurations", "final")
 
-    def __missing__(self, byte: int) -> tuple[_State, tuple[int, ...]]:
-        move = self[byte] = self.machine.advance(self.configurations, byte)
-        return move
+    def __init__(self, configurations: tuple):
+        self.configurations, self.final = configurations, None
 
 
 class Transducer:
@@ -69,12 +73,21 @@ class Transducer:
                     self.inner.append(False)
                     self.depth.append(self.depth[key >> 8] + 1)
             self.ends[node] = rank
-        self.stable_pairs: dict[tuple[int, int], bool] = {}
+        # By token: its length, and the longest other token that it begins with (or -1). Nodes come after their parents.
+        self.sizes, self.shorter = [0] * (max(self.token, default=-1) + 1), [-1] * (max(self.token, default=-1) + 1)
+        above = [-1] * len(self.ends)
+        for key, node in self.child.items():
+            parent = key >> 8
+            above[node] = self.ends[parent] if self.ends[parent] >= 0 else above[parent]
+            if self.ends[node] >= 0:
+                self.sizes[self.ends[node]], self.shorter[self.ends[node]] = self.depth[node], above[node]
+        self.stable_pairs: dict[int, bool] = {}
+        self.histories: dict[int, tuple | None] = {}
         self._clear()
 
     def _clear(self) -> None:
         first = ((-1, 0, ()),)
-        self.start = _State(self, first)
+        self.start = _State(first)
         self.number: dict[tuple, _State] = {first: self.start}
 
     def _state(self, configurations: tuple) -> _State:
@@ -82,30 +95,78 @@ class Transducer:
         if found is None:
             if len(self.number) >= MEMO_STATES * self.memo:
                 self._clear()  # also within a piece: the state it is in goes on by itself
-            found = self.number[configurations] = _State(self, configurations)
+            found = self.number[configurations] = _State(configurations)
         return found
 
-    def merge(self, data: bytes) -> list[int]:
-        """Plain BPE: join the adjacent pair of lowest rank until no pair has one."""
+    def merge(self, data: bytes, steps: list | None = None) -> list[int]:
+        """Plain BPE: join the adjacent pair of lowest rank until no pair has one. ``steps`` gets each merge's rank, first and last part."""
         get = self.ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
-        costs = [get(a + b, 1 << 40) for a, b in zip(parts, parts[1:])]
+        costs = [get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
         while costs:
             best = min(costs)
-            if best == 1 << 40:
+            if best == NEVER:
                 break
             at = costs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             del costs[at]
             if at < len(costs):
-                costs[at] = get(parts[at] + parts[at + 1], 1 << 40)
+                costs[at] = get(parts[at] + parts[at + 1], NEVER)
             if at:
-                costs[at - 1] = get(parts[at - 1] + parts[at], 1 << 40)
+                costs[at - 1] = get(parts[at - 1] + parts[at], NEVER)
+            if steps is not None:
+                steps.append((best, parts[0], parts[-1]))
         return [self.ranks[p] for p in parts]
 
+    def _history(self, token: int) -> tuple | None:
+        """How the first and the last part of a token grow: each part with the rank of the merge that ends it.
+
+        None if the token's merges do not come in the order of their ranks, or do not give the token.
+        """
+        data, steps = self.token[token], []
+        if self.merge(data, steps) != [token] or any(a[0] > b[0] for a, b in zip(steps, steps[1:])):
+            found = None
+        else:
+            found = []
+            for side, part in ((1, data[:1]), (2, data[-1:])):
+                grown = []
+                for step in steps:
+                    if step[side] != part:
+                        grown.append((part, step[0]))
+                        part = step[side]
+                found.append((*grown, (part, NEVER)))
+            found = tuple(found)
+        self.histories[token] = found
+        return found
+
     def _stable(self, left: int, right: int) -> bool:
-        found = self.merge(self.token[left] + self.token[right]) == [left, right]
-        self.stable_pairs[left, right] = found
+        """Whether the bytes of two tokens are encoded as these tokens.
+
+        Until a merge goes across the border, both sides merge as they would alone, the lower rank first, the left side at a tie. So the pair
+        is stable if at no time the two parts at the border have a lower rank than the merge that ends one of them; between two
+        ends of parts ranks only rise.
+        """
+        histories = self.histories
+        one = histories[left] if left in histories else self._history(left)
+        two = histories[right] if right in histories else self._history(right)
+        if one is None or two is None:
+            found = self.merge(self.token[left] + self.token[right]) == [left, right]
+        else:
+            get, ends, starts = self.ranks.get, iter(one[1]), iter(two[0])
+            (a, until), (b, up_to) = next(ends), next(starts)
+            while True:
+                across = get(a + b, NEVER)
+                if until <= up_to:
+                    if across < until or until == NEVER:
+                        found = across == NEVER
+                        break
+                    a, until = next(ends)
+                elif across <= up_to:
+                    found = False
+                    break
+                else:
+                    b, up_to = next(starts)
+        self.stable_pairs[left << 32 | right] = found
         return found
 
     def advance(self, configurations: tuple, byte: int) -> tuple[_State, tuple[int, ...]]:
@@ -118,7 +179,7 @@ class Transducer:
                 continue
             token = ends[node]
             if token >= 0:
-                good = last < 0 or pairs.get((last, token))
+                good = last < 0 or pairs.get(last << 32 | token)
                 if good or (good is None and self._stable(last, token)):
                     moved.append((token, 0, (*owed, token)))
             if inner[node]:
@@ -135,20 +196,66 @@ class Transducer:
                 moved = [(last, node, owed[common:]) for last, node, owed in moved]
         return self._state(tuple(moved)), emitted
 
+    def _to_end(self, configurations: tuple, data: bytes) -> tuple[int, ...]:
+        """What configurations still emit up to the end of a piece, without states.
+
+        Each goes down the trie as far as it can and emits the longest token that is stable; where no way goes on from there, the next
+        shorter one. As every prefix has one encoding, no place is entered twice.
+        """
+        child, ends, pairs, sizes, shorter = self.child.get, self.ends, self.stable_pairs.get, self.sizes, self.shorter
+        size = len(data)
+        entered = bytearray(size + 1)
+        for last, node, owed in reversed(configurations):
+            trail, at, rest = [], -self.depth[node], data
+            while True:
+                token = -1
+                for byte in rest:
+                    node = child(node << 8 | byte, 0)
+                    if not node:
+                        break
+                    if ends[node] >= 0:
+                        token = ends[node]
+                while True:
+                    end = at + sizes[token] if token >= 0 else 0
+                    if end <= 0:
+                        if not trail:
+                            break
+                        at, last, token = trail.pop()
+                    elif not entered[end]:
+                        good = last < 0 or pairs(last << 32 | token)
+                        if good or (good is None and self._stable(last, token)):
+                            break
+                    token = shorter[token]
+                if end <= 0:
+                    break
+                trail.append((at, last, token))
+                if end == size:
+                    return (*owed, *[step[2] for step in trail])
+                entered[end] = 1
+                at, last, node, rest = end, token, 0, data[end:]
+        raise ValueError(LACKING)
+
     def encode(self, piece: bytes) -> list[int]:
         """Tokens of one piece."""
         if len(self.stable_pairs) > MEMO_PAIRS * self.memo:
             self.stable_pairs.clear()
         out: list[int] = []
-        state = self.start
-        for byte in piece:
-            state, emitted = state[byte]
+        state, size = self.start, len(piece)
+        for at, byte in enumerate(piece):
+            move = state.get(byte, 0)
+            if move.__class__ is int:
+                if move + 1 < NEEDS and size - at <= STRETCH:
+                    state[byte] = move + 1
+                    out += self._to_end(state.configurations, piece[at:])
+                    return out
+                move = state[byte] = self.advance(state.configurations, byte)
+            state, emitted = move
             if emitted:
                 out += emitted
         if state.final is None:
             ends = [owed for _, node, owed in state.configurations if not node]
             if len(ends) != 1:
-                raise ValueError("the ranks lack a token for a byte or for a step of a merge")
+                raise ValueError(LACKING)
             state.final = ends[0]
         out += state.final
         return out
@@ -232,15 +339,29 @@ class Codec:
         exact = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.cut = regex.compile(exact).findall
         self.by_words = pattern == PATTERN_OF_WORDS
-        self.pieces = Memo(lambda p: array("I", self.machine.encode(p.encode("utf-8", "surrogatepass"))).tobytes(), int(MEMO_PIECES * memo))
+        self.pieces = Memo(self._piece, int(MEMO_PIECES * memo))
         self.words = Memo(self._word, int(MEMO_WORDS * memo))
         self.token_bytes = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.token_bytes[rank] = token
 
+    def _piece(self, piece: str) -> bytes:
+        return array("I", self.machine.encode(piece.encode("utf-8", "surrogatepass"))).tobytes()
+
     def _word(self, word: str) -> bytes | None:
-        """Ids of a word and the space before it; none if white space is next to that space or to the next one."""
-        return None if not word or word[0].isspace() or word[-1].isspace() else self._whole(" " + word)
+        """Ids of a word and the space before it; none if white space is next to that space or to the next one.
+
+        The piece that begins with the space is known as a word itself, or becomes one.
+        """
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        if word.isascii() and word.isalpha():
+            return self._piece(" " + word)
+        first, *rest = self.cut(" " + word)
+        if not rest:
+            return self._piece(first)
+        known = self.words[first[1:]]
+        return (self.pieces[first] if known is None else known) + b"".join(map(self.pieces.__getitem__, rest))
 
     def _whole(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.cut(text)))

@@ -62,6 +62,26 @@ def test_bpe_forgets_and_makes_again(codec, tiktoken_encoding, monkeypatch):
     assert codec.machine.encode(text.split()[1].encode()) and ids_of(codec._whole(text)) == tiktoken_encoding.encode_ordinary(text)
 
 
+def test_bpe_rare_words_make_few_states(codec, tiktoken_encoding):
+    """What is needed once is not determinised, and a word is remembered once."""
+    rng = random.Random(9)
+    fresh = bpe.Codec(codec.machine.ranks, bpe.PATTERN_OF_WORDS)
+    text = "The" + "".join(f" {''.join(rng.choice('aeinorstlé') for _ in range(rng.randint(5, 14)))}," for _ in range(3_000))
+    assert ids_of(fresh.encode(text)) == tiktoken_encoding.encode_ordinary(text)
+    assert len(fresh.machine.number) < 2_000 and len(fresh.pieces) < 50
+
+
+def test_bpe_stable_pairs_equal_merges(codec):
+    rng = random.Random(11)
+    odd = {bytes([b]): i for i, b in enumerate(b"abcd")} | {t: 9 - i for i, t in enumerate([b"abc", b"bc", b"ab", b"cd", b"abcd"])}
+    for ranks in (codec.machine.ranks, odd):
+        machine = bpe.Transducer(ranks)
+        names = list(machine.token)
+        for _ in range(5_000):
+            left, right = rng.choice(names), rng.choice(names)
+            assert machine._stable(left, right) == (machine.merge(machine.token[left] + machine.token[right]) == [left, right])
+
+
 def test_bpe_lookahead_is_bounded(codec):
     codec.encode("untold transubstantiation of incomprehensibilities")
     assert codec.machine.lookahead() <= 2 * max(map(len, codec.machine.ranks))
