@@ -34,6 +34,8 @@ from devicelens.llm.support import Memo, worker_memo
 MEMO_WORDS, MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 100 << 20, 40 << 20, 120_000, 400_000
 #: Bytes that configurations may go by themselves, and needs of a step before it is determinised; the cost of a pair that never merges.
 STRETCH, NEEDS, NEVER = 64, 64, 1 << 40
+#: Bytes of token ids that wait in a worker before they are handed on.
+HELD = 2 << 20
 LACKING = "the ranks lack a token for a byte or for a step of a merge"
 
 
@@ -379,6 +381,27 @@ class Codec:
         return b"".join(map(self.token_bytes.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
+def encoded(codec: Codec, batch: pa.RecordBatch, id_column: str, with_ids: bool = True) -> Iterator[pa.RecordBatch]:
+    """Results for a batch of ids and texts, handed on whenever they hold ``HELD`` bytes of token ids."""
+    names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256", "decoded_chars", *["ids"] * with_ids]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()][: len(names) - 1]
+    start, held, found = 0, 0, []
+    for row, text in enumerate(batch.column(1), 1):
+        ids = codec.encode(text.as_py() or "")
+        stream, digest, count = Utf8Stream(), hashlib.sha256(), 0
+        for at in range(0, len(ids), 1 << 20):
+            chunk = codec.decode(ids[at : at + (1 << 20)])
+            digest.update(chunk)
+            count += len(stream.feed(chunk))
+        count += len(stream.close())
+        found.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), digest.hexdigest(), count, ids if with_ids else b""))
+        held += len(ids)
+        if held >= HELD or row == batch.num_rows:
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*found), kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(found)), *columns], names)
+            start, held, found = row, 0, []
+
+
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True, memo: float = 1.0) -> DataFrame:
     """One row per document: its ids and the digests of ids and decoded text.
 
@@ -398,24 +421,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_memo(name, lambda: Codec(shared.value, pattern, memo))
         for batch in batches:
-            n, ids_sha, out_sha, chars, blobs = [], [], [], [], []
-            for text in batch.column(1):
-                ids = codec.encode(text.as_py() or "")
-                stream, digest, count = Utf8Stream(), hashlib.sha256(), 0
-                for at in range(0, len(ids), 1 << 20):
-                    chunk = codec.decode(ids[at : at + (1 << 20)])
-                    digest.update(chunk)
-                    count += len(stream.feed(chunk))
-                n.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                out_sha.append(digest.hexdigest())
-                chars.append(count + len(stream.close()))
-                blobs.append(ids)
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(out_sha, pa.string()), pa.array(chars, pa.int64())]
-            names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256", "decoded_chars"]
-            if with_ids:
-                columns, names = [*columns, pa.array(blobs, pa.binary())], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield from encoded(codec, batch, id_column, with_ids)
 
     narrow = docs.select(id_column, text_column)
     kind = narrow.schema[id_column].dataType.simpleString()

@@ -111,6 +111,19 @@ def test_encode_documents_odd_rows(spark, codec, tiktoken_encoding):
     assert empty.ids_sha256 == empty.decoded_sha256 == hashlib.sha256(b"").hexdigest() and empty.ids == b""
 
 
+def test_bpe_results_are_handed_on(codec):
+    """A large batch is never held as a whole; rows keep their order and their ids."""
+    import pyarrow as pa
+
+    texts = ["some words " * 20_000, None, "a b"] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    parts = list(bpe.encoded(codec, batch, "doc_id"))
+    assert max(p.column("ids").nbytes for p in parts) < bpe.HELD + 200_000 < sum(p.column("ids").nbytes for p in parts)
+    assert [i for p in parts for i in p.column("doc_id").to_pylist()] == list(range(len(texts)))
+    assert [ids for p in parts for ids in p.column("ids").to_pylist()] == [codec.encode(t or "") for t in texts]
+    assert not list(bpe.encoded(codec, batch.slice(0, 0), "doc_id"))
+
+
 def test_op3_whole_table(spark, sf_dir, tiktoken_encoding):
     from devicelens.llm.queries import op3_byte_bpe
 
