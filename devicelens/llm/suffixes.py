@@ -466,7 +466,8 @@ def _without_repeats(texts: DataFrame, parts: int, length: int, gram: int, with_
         each = runs.where("part = -2").select("run", "spans").mapInArrow(opened, "window binary, chunk long, doc long, place long, row long")
         each = each.withColumn("at", F.struct("doc", "place"))
         least_of = each.groupBy("window").agg(F.min("at").alias("least"))
-        lost = each.join(least_of, "window").where(F.col("at") > F.col("least")).select("chunk", "row", "place")
+        # Both sides are shuffled: joined by broadcast, a task would have the Python workers of both functions at once.
+        lost = each.join(least_of.hint("merge"), "window").where(F.col("at") > F.col("least")).select("chunk", "row", "place")
         spans = spans.unionByName(lost.mapInArrow(covered, "chunk int, spans binary"))
 
     def cut_out(key: tuple, chunk: pa.Table, found: pa.Table) -> pa.Table:

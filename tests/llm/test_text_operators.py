@@ -622,3 +622,79 @@ def test_slots_are_made_all_over(spark):
     by_task = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(by_task) == 400_030 and max(by_task) < 200_000
     assert made.where("source = 'hot'").select("block", "pass").distinct().count() == 400_000
+
+
+def python_nodes_of_a_stage(frame) -> int:
+    """The most Python functions that follow each other in the plan without a shuffle between them."""
+    import re
+
+    spark = frame.sparkSession
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = frame.select("*")._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    most, open_ = 0, []  # by depth in the tree: (indent, Python functions since the last exchange)
+    for line in plan:
+        indent = re.search(r"[A-Za-z*]", line)
+        if indent is None:
+            continue
+        while open_ and open_[-1][0] >= indent.start():
+            open_.pop()
+        above = open_[-1][1] if open_ else 0
+        here = 0 if "Exchange" in line else above + ("InArrow" in line or "InPandas" in line)
+        open_.append((indent.start(), here))
+        most = max(most, here)
+    return most
+
+
+def test_rounds_of_components_are_small(spark, monkeypatch):
+    """A task never has the Python workers of two functions, and few links go in few parts, however many partitions there are."""
+    from devicelens.llm import components as module
+    from devicelens.llm import simhash
+
+    frames = []
+
+    def cut(frame):
+        done = real(frame)
+        frames.append((python_nodes_of_a_stage(frame), done.rdd.getNumPartitions()))
+        return done
+
+    real = module.cut
+    monkeypatch.setattr(module, "cut", cut)
+    conf = {"spark.sql.shuffle.partitions": "5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        codes = [1, 3, 7, 15, 31, 63, 7 << 40, 7 << 40 | 1, 255 << 48]
+        distinct = spark.createDataFrame([(c,) for c in codes], "fp long").repartition(3)
+        found = {r.node: r.component for r in components(simhash.linked(distinct, len(codes), 1)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {**{c: 1 for c in codes[:6]}, 7 << 40: 7 << 40, 7 << 40 | 1: 7 << 40}
+    assert max(nodes for nodes, _ in frames) == 1
+    assert len(frames) > 2 and all(parts == 1 for _, parts in frames[1:])
+
+
+def test_hot_windows_are_joined_by_a_shuffle(spark, monkeypatch):
+    """The rows of hot windows come from one Python function and go to another: a shuffle lies between them."""
+    from devicelens.llm import suffixes
+
+    seen = []
+    real = suffixes._without_repeats
+
+    def watched(*args):
+        out = real(*args)
+        out.collect()
+        seen.append(out._jdf.queryExecution().executedPlan().toString())  # the plan as it ran
+        return out
+
+    monkeypatch.setattr(suffixes, "_without_repeats", watched)
+    text = hashlib.sha512(b"a").hexdigest() + hashlib.sha512(b"b").hexdigest()
+    docs = spark.createDataFrame([(i, f"{i} {text} {i}") for i in range(40)], "doc_id long, text string")
+    got = suffixes.remove_repeats(docs, hot=10).collect()
+    assert sum(r.n_removed > 0 for r in got) == 39
+    assert "Join" in seen[0] and "BroadcastHashJoin" not in seen[0]
