@@ -165,10 +165,15 @@ def time_spine(
 
 
 def repeat_rows(df: DataFrame, n: Column, out: str, chunk: int = 100_000) -> DataFrame:
-    """Each row ``n`` times, numbered 0 … n-1; not at all where n is 0 or null."""
+    """Each row ``n`` times, numbered 0 … n-1; not at all where n is 0 or null.
+
+    The rows are dealt over a fixed number of parts: by their own size before they are repeated, few parts would do, and few tasks make all copies.
+    """
     counted = df.withColumn("_copies", n.cast("long")).where(F.col("_copies") > 0)
     starts = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(chunk).cast("long"))
     chunks = counted.withColumn("_from", F.explode(starts))
-    chunks = chunks.repartition(F.xxhash64(*[c for c in chunks.columns]))
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    chunks = chunks.repartition(parts, F.xxhash64(*[c for c in chunks.columns]))
     upto = F.least(F.col("_from") + chunk, F.col("_copies")) - 1
     return chunks.withColumn(out, F.explode(F.sequence("_from", upto))).drop("_copies", "_from")

@@ -166,3 +166,15 @@ def test_scratch_folders_have_an_owner(spark):
         session.stored(spark.range(5), "rows")
         raise RuntimeError
     assert not os.path.exists(folder)
+
+
+def test_copies_are_made_by_many_tasks(spark):
+    """Few small rows that are repeated often are still dealt over the cores."""
+    from devicelens.sources.tables import repeat_rows
+
+    made = repeat_rows(spark.range(1_000), F.lit(20), "i")
+    # Checkpointed, the partitions are those that ran.
+    sizes = made.localCheckpoint().groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(r["count"] for r in sizes) == 20_000 == made.distinct().count()
+    assert len(sizes) >= spark.sparkContext.defaultParallelism
+    assert max(r["count"] for r in sizes) <= 20_000 / len(sizes) * 2
